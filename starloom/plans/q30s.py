@@ -1,6 +1,247 @@
-"""Query models."""
+"""Query models q30-q39."""
 
-from pyspark.sql import functions as F, Window as W  # noqa: F401
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from ..functions import *  # noqa: F401,F403
-from .registry import model  # noqa: F401
+from ..functions import c, davg, dbl, dsum, lsum, r6, top
+from .registry import model
+
+_CUST_OUT = ("c_customer_id", "c_salutation", "c_first_name", "c_last_name", "c_preferred_cust_flag",
+             "c_birth_day", "c_birth_month", "c_birth_year", "c_birth_country", "c_login", "c_email_address",
+             "c_last_review_date")
+
+
+def returns_above_state_average(t, returns, p, cust_col, addr_col, date_col, amount, year, state, limit_cols):
+    """Returning customers whose yearly return total exceeds 1.2x the average of their state."""
+    days = t.date_dim.where(c("d_year") == year).select("d_date_sk")
+    ctr = (returns.join(days, c(date_col) == c("d_date_sk"))
+           .join(t.customer_address.select("ca_address_sk", "ca_state"), c(addr_col) == c("ca_address_sk"))
+           .groupBy(c(cust_col).alias("cust"), c("ca_state").alias("ctr_state"))
+           .agg(F.sum(amount).alias("total")))
+    per_state = ctr.groupBy("ctr_state").agg(F.sum("total").alias("st"), F.count("total").alias("sc"))
+    home = t.customer_address.where(c("ca_state") == state).select(c("ca_address_sk").alias("home_sk"))
+    return (ctr.join(per_state, "ctr_state").where(c("total") * c("sc") * 10 > c("st") * 12)
+            .join(t.customer, c("cust") == c("c_customer_sk"))
+            .join(home, c("c_current_addr_sk") == c("home_sk")))
+
+
+@model
+def q30(t, year=2002, state="IL"):
+    """Web-return customers above 1.2x their state's average."""
+    j = returns_above_state_average(t, t.web_returns, "wr", "wr_returning_customer_sk", "wr_returning_addr_sk",
+                                    "wr_returned_date_sk", "wr_return_amt", year, state, None)
+    out = j.select(*_CUST_OUT, dbl("total").alias("ctr_total_return"))
+    return top(out, 100, *_CUST_OUT, "ctr_total_return")
+
+
+@model
+def q31(t, year=2000):
+    """Counties where web growth beats store growth from Q1 to Q2 and Q2 to Q3."""
+    days = t.date_dim.where((c("d_year") == year) & c("d_qoy").isin(1, 2, 3)).select("d_date_sk", "d_qoy")
+
+    def quarters(fact, date_col, addr_col, amount, tag):
+        j = (fact.join(days, c(date_col) == c("d_date_sk"))
+             .join(t.customer_address.select("ca_address_sk", "ca_county"), c(addr_col) == c("ca_address_sk")))
+        return j.groupBy("ca_county").agg(
+            *[dsum(F.when(c("d_qoy") == q, c(amount))).alias(f"{tag}{q}") for q in (1, 2, 3)])
+
+    ss = quarters(t.store_sales, "ss_sold_date_sk", "ss_addr_sk", "ss_ext_sales_price", "s")
+    ws = quarters(t.web_sales, "ws_sold_date_sk", "ws_bill_addr_sk", "ws_ext_sales_price", "w")
+    j = ss.join(ws, "ca_county").where(c("s1").isNotNull() & c("s2").isNotNull() & c("s3").isNotNull()
+                                       & c("w1").isNotNull() & c("w2").isNotNull() & c("w3").isNotNull())
+    cond = ((F.when(c("w1") > 0, c("w2") / c("w1")) > F.when(c("s1") > 0, c("s2") / c("s1")))
+            & (F.when(c("w2") > 0, c("w3") / c("w2")) > F.when(c("s2") > 0, c("s3") / c("s2"))))
+    out = j.where(cond).select(
+        "ca_county", F.lit(year).alias("d_year"),
+        (c("w2") / c("w1")).alias("web_q1_q2_increase"), (c("s2") / c("s1")).alias("store_q1_q2_increase"),
+        (c("w3") / c("w2")).alias("web_q2_q3_increase"), (c("s3") / c("s2")).alias("store_q2_q3_increase"))
+    return top(out, None, "d_year")
+
+
+def excess_discount(t, fact, p, manufact, start, days):
+    """Sum of discounts above 1.3x the item's average discount in a 90-day window."""
+    lo = F.lit(start).cast("date")
+    dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
+    window = fact.join(dates, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+    # the correlated average per item, decorrelated into one row per item
+    per_item = window.groupBy(c(f"{p}_item_sk").alias("avg_item")).agg(
+        F.sum(f"{p}_ext_discount_amt").alias("ds"), F.count(f"{p}_ext_discount_amt").alias("dn"))
+    items = t.item.where(c("i_manufact_id") == manufact).select("i_item_sk")
+    return (window.join(items, c(f"{p}_item_sk") == c("i_item_sk"))
+            .join(per_item, c("i_item_sk") == c("avg_item"))
+            .where(c(f"{p}_ext_discount_amt") * c("dn") * 10 > c("ds") * 13)
+            .agg(dsum(f"{p}_ext_discount_amt").alias("excess discount amount")))
+
+
+@model
+def q32(t, manufact=269, start="1998-03-18", days=90):
+    """Catalog discounts above 1.3x the item's 90-day average."""
+    return excess_discount(t, t.catalog_sales, "cs", manufact, start, days)
+
+
+def channel_item_revenue(t, key, item_filter, year, moy, gmt, order_first):
+    """Revenue of items picked by ``item_filter`` across three channels (q33, q56, q60)."""
+    keys = t.item.where(item_filter).select(c(key).alias("pick")).distinct()
+    items = t.item.join(keys, c(key) == c("pick"), "left_semi").select("i_item_sk", key)
+    days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    addrs = t.customer_address.where(c("ca_gmt_offset") == gmt).select("ca_address_sk")
+    u = None
+    for table, p, addr in (("store_sales", "ss", "ss_addr_sk"), ("catalog_sales", "cs", "cs_bill_addr_sk"),
+                           ("web_sales", "ws", "ws_bill_addr_sk")):
+        part = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .join(addrs, c(addr) == c("ca_address_sk"))
+                .join(items, c(f"{p}_item_sk") == c("i_item_sk"))
+                .groupBy(key).agg(F.sum(f"{p}_ext_sales_price").alias("total_sales")))
+        u = part if u is None else u.unionByName(part)
+    out = u.groupBy(key).agg(dsum("total_sales").alias("total_sales"))
+    return top(out, 100, *order_first)
+
+
+@model
+def q33(t, category="Books", year=1999, moy=3, gmt=-5):
+    """Manufacturer revenue across channels for one category and time zone."""
+    return channel_item_revenue(t, "i_manufact_id", c("i_category") == category, year, moy, gmt,
+                                ("total_sales",))
+
+
+def ticket_counts(t, dom_cond, buy_potentials, ratio, years, counties, vehicle_ratio_cond=True):
+    hd = t.household_demographics.where(
+        c("hd_buy_potential").isin(list(buy_potentials)) & (c("hd_vehicle_count") > 0)
+        & (F.when(c("hd_vehicle_count") > 0, c("hd_dep_count") / c("hd_vehicle_count")) > ratio))
+    days = t.date_dim.where(dom_cond & c("d_year").isin(list(years))).select("d_date_sk")
+    stores = t.store.where(c("s_county").isin(list(counties))).select("s_store_sk")
+    return (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+            .join(stores, c("ss_store_sk") == c("s_store_sk"))
+            .join(hd.select("hd_demo_sk"), c("ss_hdemo_sk") == c("hd_demo_sk"))
+            .groupBy("ss_ticket_number", "ss_customer_sk").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@model
+def q34(t, years=(1998, 1999, 2000), lo=15, hi=20):
+    """Tickets with 15-20 lines on month-edge days for some household types."""
+    dom = c("d_dom").between(1, 3) | c("d_dom").between(25, 28)
+    dn = ticket_counts(t, dom, (">10000", "Unknown"), 1.2, years, ("Williamson County",))
+    out = (dn.where(c("cnt").between(lo, hi)).join(t.customer, c("ss_customer_sk") == c("c_customer_sk"))
+           .select("c_last_name", "c_first_name", "c_salutation", "c_preferred_cust_flag", "ss_ticket_number", "cnt"))
+    return top(out, None, "c_last_name", "c_first_name", "c_salutation", "-c_preferred_cust_flag",
+               "ss_ticket_number")
+
+
+def _buyers(t, fact, cust_col, date_col, cond):
+    days = t.date_dim.where(cond).select("d_date_sk")
+    return fact.join(days, c(date_col) == c("d_date_sk")).select(c(cust_col).alias("buyer"))
+
+
+@model
+def q35(t, year=1999, max_qoy=4):
+    """Demographic statistics of customers buying in store and (web or catalog)."""
+    cond = (c("d_year") == year) & (c("d_qoy") < max_qoy)
+    store = _buyers(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", cond)
+    other = (_buyers(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", cond)
+             .unionByName(_buyers(t, t.catalog_sales, "cs_ship_customer_sk", "cs_sold_date_sk", cond)))
+    cust = (t.customer.join(store, c("c_customer_sk") == c("buyer"), "left_semi")
+            .join(other, c("c_customer_sk") == c("buyer"), "left_semi"))
+    keys = ["ca_state", "cd_gender", "cd_marital_status", "cd_dep_count", "cd_dep_employed_count",
+            "cd_dep_college_count"]
+    g = (cust.join(t.customer_address, c("c_current_addr_sk") == c("ca_address_sk"))
+         .join(t.customer_demographics, c("c_current_cdemo_sk") == c("cd_demo_sk"))
+         .groupBy(*keys)
+         .agg(F.count(F.lit(1)).alias("n"),
+              *[x for i, col in enumerate(("cd_dep_count", "cd_dep_employed_count", "cd_dep_college_count"), 1)
+                for x in (davg(col).alias(f"aggone{i}"), F.max(col).alias(f"aggtwo{i}"),
+                          lsum(col).alias(f"aggthree{i}"))]))
+    out = g.select("ca_state", "cd_gender", "cd_marital_status",
+                   "cd_dep_count", c("n").alias("cnt1"), "aggone1", "aggtwo1", "aggthree1",
+                   "cd_dep_employed_count", c("n").alias("cnt2"), "aggone2", "aggtwo2", "aggthree2",
+                   "cd_dep_college_count", c("n").alias("cnt3"), "aggone3", "aggtwo3", "aggthree3")
+    return top(out, 100, *keys)
+
+
+@model
+def q36(t, year=2000, states=("TN",)):
+    """Gross margin by category and class with subtotals, ranked inside the parent."""
+    j = (t.store_sales
+         .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+         .join(t.item, c("ss_item_sk") == c("i_item_sk"))
+         .join(t.store.where(c("s_state").isin(list(states))), c("ss_store_sk") == c("s_store_sk")))
+    g = (j.rollup("i_category", "i_class")
+         .agg((dbl(F.sum("ss_net_profit")) / dbl(F.sum("ss_ext_sales_price"))).alias("gross_margin"),
+              (F.grouping("i_category") + F.grouping("i_class")).cast("long").alias("lochierarchy"),
+              F.grouping("i_class").alias("gb")))
+    parent = F.when(c("gb") == 0, c("i_category"))
+    w = W.partitionBy("lochierarchy", parent).orderBy(c("gross_margin").asc_nulls_last())
+    out = g.select("gross_margin", "i_category", "i_class", "lochierarchy",
+                   F.rank().over(w).cast("long").alias("rank_within_parent"))
+    ordered = top(out, 100, "-lochierarchy", F.when(c("lochierarchy") == 0, c("i_category")).asc_nulls_last(),
+                  "rank_within_parent")
+    return ordered
+
+
+def items_in_stock_and_sold(t, fact, item_col, price_lo, manufacts, start, days):
+    lo = F.lit(start).cast("date")
+    dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
+    stock = (t.inventory.where(c("inv_quantity_on_hand").between(100, 500))
+             .join(dates, c("inv_date_sk") == c("d_date_sk")).select("inv_item_sk"))
+    items = t.item.where(c("i_current_price").between(price_lo, price_lo + 30)
+                         & c("i_manufact_id").isin(list(manufacts)))
+    # the query joins inventory and sales only to test presence; grouping
+    # afterwards removes the repeats, so semi joins give the same rows
+    out = (items.join(stock, c("i_item_sk") == c("inv_item_sk"), "left_semi")
+           .join(fact.select(c(item_col).alias("sold")), c("i_item_sk") == c("sold"), "left_semi")
+           .select("i_item_id", "i_item_desc", dbl("i_current_price").alias("i_current_price"))
+           .distinct())
+    return top(out, 100, "i_item_id")
+
+
+@model
+def q37(t, price_lo=22, manufacts=(678, 964, 918, 849), start="2001-06-02", days=60):
+    """Items in stock (100-500 units) within 60 days and sold by catalog, in a price band."""
+    return items_in_stock_and_sold(t, t.catalog_sales, "cs_item_sk", price_lo, manufacts, start, days)
+
+
+def _name_days(t, fact, date_col, cust_col, month_seq):
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
+    return (fact.join(days, c(date_col) == c("d_date_sk"))
+            .join(t.customer, c(cust_col) == c("c_customer_sk"))
+            .select("c_last_name", "c_first_name", "d_date"))
+
+
+@model
+def q38(t, month_seq=1212):
+    """Number of (name, date) pairs present in all three channels within a year."""
+    s = _name_days(t, t.store_sales, "ss_sold_date_sk", "ss_customer_sk", month_seq)
+    cs = _name_days(t, t.catalog_sales, "cs_sold_date_sk", "cs_bill_customer_sk", month_seq)
+    ws = _name_days(t, t.web_sales, "ws_sold_date_sk", "ws_bill_customer_sk", month_seq)
+    return s.intersect(cs).intersect(ws).agg(F.count(F.lit(1)).alias("hot_cust_count"))
+
+
+def _q39(t, year, moy, min_cov1):
+    days = t.date_dim.where((c("d_year") == year) & c("d_moy").isin(moy, moy + 1)).select("d_date_sk", "d_moy")
+    g = (t.inventory.join(days, c("inv_date_sk") == c("d_date_sk"))
+         .join(t.item.select("i_item_sk"), c("inv_item_sk") == c("i_item_sk"))
+         .join(t.warehouse, c("inv_warehouse_sk") == c("w_warehouse_sk"))
+         .groupBy("w_warehouse_name", "w_warehouse_sk", "i_item_sk", "d_moy")
+         .agg(F.stddev_samp("inv_quantity_on_hand").alias("stdev"), F.avg("inv_quantity_on_hand").alias("mean")))
+    g = (g.withColumn("cov", F.when(c("mean") != 0, c("stdev") / c("mean")))
+         .where(F.when(c("mean") == 0, F.lit(0.0)).otherwise(c("stdev") / c("mean")) > 1))
+    a = g.where(c("d_moy") == moy)
+    if min_cov1 is not None:
+        a = a.where(c("cov") > min_cov1)
+    b = g.where(c("d_moy") == moy + 1).select(*[c(x).alias(f"{x}_b") for x in g.columns])
+    out = a.join(b, (c("i_item_sk") == c("i_item_sk_b")) & (c("w_warehouse_sk") == c("w_warehouse_sk_b"))).select(
+        "w_warehouse_sk", "i_item_sk", "d_moy", "mean", r6(c("cov")).alias("cov"),
+        c("w_warehouse_sk_b").alias("w_warehouse_sk2"), c("i_item_sk_b").alias("i_item_sk2"),
+        c("d_moy_b").alias("d_moy2"), c("mean_b").alias("mean2"), r6(c("cov_b")).alias("cov2"))
+    return top(out, None, "w_warehouse_sk", "i_item_sk", "d_moy", "mean", "cov", "d_moy2", "mean2", "cov2")
+
+
+@model
+def q39a(t, year=1998, moy=4):
+    """Warehouse/item pairs whose stock varies strongly in two consecutive months."""
+    return _q39(t, year, moy, None)
+
+
+@model
+def q39b(t, year=1998, moy=4, min_cov=1.5):
+    """As q39a with the first month's variation above 1.5."""
+    return _q39(t, year, moy, min_cov)
