@@ -1,6 +1,189 @@
-"""Query models."""
+"""Query models q60-q69."""
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import c, davg, dbl, dsum, lsum, top
+from .q30s import channel_item_revenue
+from .q50s import _q53_items, lag_buckets, period_deviation
+from .registry import model
+
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
+@model
+def q60(t, category="Children", year=1999, moy=9, gmt=-6):
+    """Item revenue across channels for one category and time zone."""
+    return channel_item_revenue(t, "i_item_id", c("i_category") == category, year, moy, gmt,
+                                ("i_item_id", "total_sales"))
+
+
+@model
+def q61(t, gmt=-7, category="Books", year=1999, moy=11):
+    """Share of promoted store sales in one month, category and time zone."""
+    days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    base = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+            .join(t.store.where(c("s_gmt_offset") == gmt).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
+            .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("ss_customer_sk") == c("c_customer_sk"))
+            .join(t.customer_address.where(c("ca_gmt_offset") == gmt).select("ca_address_sk"),
+                  c("c_current_addr_sk") == c("ca_address_sk"))
+            .join(t.item.where(c("i_category") == category).select("i_item_sk"), c("ss_item_sk") == c("i_item_sk")))
+    promo = t.promotion.where((c("p_channel_dmail") == "Y") | (c("p_channel_email") == "Y")
+                              | (c("p_channel_tv") == "Y")).select("p_promo_sk")
+    promotions = base.join(promo, c("ss_promo_sk") == c("p_promo_sk")).agg(dsum("ss_ext_sales_price").alias("promotions"))
+    total = base.agg(dsum("ss_ext_sales_price").alias("total"))
+    out = promotions.crossJoin(total).select(
+        "promotions", "total", (c("promotions") / c("total") * 100).alias("promotional_pct"))
+    return top(out, 100, "promotions", "total")
+
+
+def ship_lag_report(t, fact, p, month_seq, outlet_dim, outlet_key, outlet_col):
+    """Shipping lag buckets per warehouse, ship mode and outlet (q62, q99)."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    j = (fact.join(days, c(f"{p}_ship_date_sk") == c("d_date_sk"))
+         .join(t.warehouse, c(f"{p}_warehouse_sk") == c("w_warehouse_sk"))
+         .join(t.ship_mode, c(f"{p}_ship_mode_sk") == c("sm_ship_mode_sk"))
+         .join(outlet_dim, c(f"{p}_{outlet_key}") == c(outlet_dim.columns[0])))
+    keys = [F.substring("w_warehouse_name", 1, 20).alias("w_warehouse_name_substr"), "sm_type", outlet_col]
+    out = j.groupBy(*keys).agg(*lag_buckets(c(f"{p}_ship_date_sk") - c(f"{p}_sold_date_sk")))
+    return top(out, 100, "w_warehouse_name_substr", "sm_type", outlet_col)
+
+
+@model
+def q62(t, month_seq=1212):
+    """Web shipping lag buckets per warehouse, ship mode and site."""
+    return ship_lag_report(t, t.web_sales, "ws", month_seq, t.web_site.select("web_site_sk", "web_name"),
+                           "web_site_sk", "web_name")
+
+
+@model
+def q63(t, month_seq=1212):
+    """Manager monthly sales deviating more than 10% from their mean."""
+    v = period_deviation(t, "i_manager_id", "d_moy", month_seq, _q53_items(), "avg_monthly_sales")
+    return top(v.select("i_manager_id", "sum_sales", "avg_monthly_sales"), 100,
+               "i_manager_id", "avg_monthly_sales", "sum_sales")
+
+
+Q64_COLORS = ("maroon", "burnished", "dim", "steel", "navajo", "chocolate")
+
+
+@model
+def q64(t, colors=Q64_COLORS, price=35, year=2000):
+    """Items bought at the same store in consecutive years by customers whose marital status changed."""
+    refund = c("cr_refunded_cash") + c("cr_reversed_charge") + c("cr_store_credit")
+    cs_ui = (t.catalog_sales.join(t.catalog_returns, (c("cs_item_sk") == c("cr_item_sk"))
+                                  & (c("cs_order_number") == c("cr_order_number")))
+             .groupBy(c("cs_item_sk").alias("ui_item"))
+             .agg(F.sum("cs_ext_list_price").alias("sale"), F.sum(refund).alias("refund"))
+             .where(c("sale") > c("refund") * 2).select("ui_item"))
+    items = t.item.where(c("i_color").isin(*colors) & c("i_current_price").between(price, price + 10)
+                         & c("i_current_price").between(price + 1, price + 15)).select("i_item_sk", "i_product_name")
+    d = t.date_dim.select("d_date_sk", "d_year")
+    cd1 = t.customer_demographics.select(c("cd_demo_sk").alias("cd1_sk"), c("cd_marital_status").alias("m1"))
+    cd2 = t.customer_demographics.select(c("cd_demo_sk").alias("cd2_sk"), c("cd_marital_status").alias("m2"))
+    hd1 = t.household_demographics.select(c("hd_demo_sk").alias("hd1_sk"), c("hd_income_band_sk").alias("ib1"))
+    hd2 = t.household_demographics.select(c("hd_demo_sk").alias("hd2_sk"), c("hd_income_band_sk").alias("ib2"))
+    ib = t.income_band.select("ib_income_band_sk")
+    ad = t.customer_address.select("ca_address_sk", "ca_street_number", "ca_street_name", "ca_city", "ca_zip")
+    ad1 = ad.select(*[c(x).alias(f"b_{x[3:]}") for x in ad.columns])
+    ad2 = ad.select(*[c(x).alias(f"c_{x[3:]}") for x in ad.columns])
+    cust = t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk",
+                             "c_first_sales_date_sk", "c_first_shipto_date_sk")
+    # filters of small dimensions first, then the fact-to-fact join
+    j = (t.store_sales
+         .join(items, c("ss_item_sk") == c("i_item_sk"))
+         .join(cs_ui, c("ss_item_sk") == c("ui_item"), "left_semi")
+         .join(t.store_returns.select("sr_item_sk", "sr_ticket_number"),
+               (c("ss_item_sk") == c("sr_item_sk")) & (c("ss_ticket_number") == c("sr_ticket_number")))
+         .join(t.store.select("s_store_sk", "s_store_name", "s_zip"), c("ss_store_sk") == c("s_store_sk"))
+         .join(d.select(c("d_date_sk").alias("d1"), c("d_year").alias("syear")), c("ss_sold_date_sk") == c("d1"))
+         .join(cust, c("ss_customer_sk") == c("c_customer_sk"))
+         .join(cd1, c("ss_cdemo_sk") == c("cd1_sk"))
+         .join(cd2, c("c_current_cdemo_sk") == c("cd2_sk"))
+         .where(c("m1") != c("m2"))
+         .join(t.promotion.select("p_promo_sk"), c("ss_promo_sk") == c("p_promo_sk"))
+         .join(hd1, c("ss_hdemo_sk") == c("hd1_sk"))
+         .join(hd2, c("c_current_hdemo_sk") == c("hd2_sk"))
+         .join(ib.select(c("ib_income_band_sk").alias("ib1_sk")), c("ib1") == c("ib1_sk"))
+         .join(ib.select(c("ib_income_band_sk").alias("ib2_sk")), c("ib2") == c("ib2_sk"))
+         .join(ad1, c("ss_addr_sk") == c("b_address_sk"))
+         .join(ad2, c("c_current_addr_sk") == c("c_address_sk"))
+         .join(d.select(c("d_date_sk").alias("d2"), c("d_year").alias("fsyear")), c("c_first_sales_date_sk") == c("d2"))
+         .join(d.select(c("d_date_sk").alias("d3"), c("d_year").alias("s2year")),
+               c("c_first_shipto_date_sk") == c("d3")))
+    keys = ["i_product_name", "i_item_sk", "s_store_name", "s_zip", "b_street_number", "b_street_name", "b_city",
+            "b_zip", "c_street_number", "c_street_name", "c_city", "c_zip", "syear", "fsyear", "s2year"]
+    cross = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), F.sum("ss_wholesale_cost").alias("s1"),
+                                 F.sum("ss_list_price").alias("s2"), F.sum("ss_coupon_amt").alias("s3"))
+    a = cross.where(c("syear") == year)
+    b = cross.where(c("syear") == year + 1).select(
+        c("i_item_sk").alias("item2"), c("s_store_name").alias("store2"), c("s_zip").alias("zip2"),
+        c("s1").alias("b_s1"), c("s2").alias("b_s2"), c("s3").alias("b_s3"), c("syear").alias("syear2"),
+        c("cnt").alias("cnt2"))
+    out = (a.join(b, (c("i_item_sk") == c("item2")) & (c("s_store_name") == c("store2")) & (c("s_zip") == c("zip2")))
+           .where(c("cnt2") <= c("cnt"))
+           .select(c("i_product_name").alias("product_name"), c("s_store_name").alias("store_name"),
+                   c("s_zip").alias("store_zip"), "b_street_number", "b_street_name", "b_city", "b_zip",
+                   "c_street_number", "c_street_name", "c_city", "c_zip", "syear", "cnt",
+                   dbl("s1").alias("s11"), dbl("s2").alias("s21"), dbl("s3").alias("s31"),
+                   dbl("b_s1").alias("s12"), dbl("b_s2").alias("s22"), dbl("b_s3").alias("s32"),
+                   "syear2", "cnt2"))
+    return top(out, None, "product_name", "store_name", "cnt2", "s11", "s12")
+
+
+@model
+def q65(t, month_seq=1212, share_tenths=1):
+    """Store items whose revenue is at most 10% of the store's average item revenue."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    sc = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+          .groupBy("ss_store_sk", "ss_item_sk").agg(F.sum("ss_sales_price").alias("revenue")))
+    sb = sc.groupBy(c("ss_store_sk").alias("sb_store")).agg(F.sum("revenue").alias("rs"),
+                                                            F.count("revenue").alias("rn"))
+    out = (sc.join(sb, c("ss_store_sk") == c("sb_store"))
+           .where(c("revenue") * c("rn") * 10 <= c("rs") * share_tenths)
+           .join(t.store, c("ss_store_sk") == c("s_store_sk"))
+           .join(t.item, c("ss_item_sk") == c("i_item_sk"))
+           .select("s_store_name", "i_item_desc", dbl("revenue").alias("revenue"),
+                   dbl("i_current_price").alias("i_current_price"), dbl("i_wholesale_cost").alias("i_wholesale_cost"),
+                   "i_brand"))
+    return top(out, 100, "s_store_name", "i_item_desc")
+
+
+_W_COLS = ("w_warehouse_name", "w_warehouse_sq_ft", "w_city", "w_county", "w_state", "w_country")
+
+
+def _warehouse_months(t, fact, p, price, net, days, times, modes):
+    j = (fact.join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+         .join(times, c(f"{p}_sold_time_sk") == c("t_time_sk"))
+         .join(modes, c(f"{p}_ship_mode_sk") == c("sm_ship_mode_sk"))
+         .join(t.warehouse, c(f"{p}_warehouse_sk") == c("w_warehouse_sk")))
+    aggs = []
+    for i, m in enumerate(MONTHS, 1):
+        aggs.append(F.sum(F.when(c("d_moy") == i, c(price) * c(f"{p}_quantity")).otherwise(0)).alias(f"{m}_sales"))
+    for i, m in enumerate(MONTHS, 1):
+        aggs.append(F.sum(F.when(c("d_moy") == i, c(net) * c(f"{p}_quantity")).otherwise(0)).alias(f"{m}_net"))
+    g = j.groupBy(*_W_COLS, c("d_year").alias("year")).agg(*aggs)
+    # per square foot in double per channel row, summed after the union
+    return g.select(*_W_COLS, "year", *[c(f"{m}_sales") for m in MONTHS],
+                    *[(dbl(f"{m}_sales") / c("w_warehouse_sq_ft")).alias(f"{m}_psf") for m in MONTHS],
+                    *[c(f"{m}_net") for m in MONTHS])
+
+
+@model
+def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE")):
+    """Warehouse monthly sales and per-square-foot figures for web and catalog."""
+    days = t.date_dim.where(c("d_year") == year).select("d_date_sk", "d_year", "d_moy")
+    times = t.time_dim.where(c("t_time").between(time_lo, time_lo + 28800)).select("t_time_sk")
+    modes = t.ship_mode.where(c("sm_carrier").isin(*carriers)).select("sm_ship_mode_sk")
+    web = _warehouse_months(t, t.web_sales, "ws", "ws_sales_price", "ws_net_paid_inc_tax", days, times, modes)
+    cat = _warehouse_months(t, t.catalog_sales, "cs", "cs_ext_sales_price", "cs_net_paid_inc_ship_tax",
+                            days, times, modes)
+    u = web.unionByName(cat).withColumn("ship_carriers", F.lit(",".join(carriers)))
+    out = (u.groupBy(*_W_COLS, "ship_carriers", "year")
+           .agg(*[dsum(f"{m}_sales").alias(f"{m}_sales") for m in MONTHS],
+                *[F.sum(f"{m}_psf").alias(f"{m}_sales_per_sq_foot") for m in MONTHS],
+                *[dsum(f"{m}_net").alias(f"{m}_net") for m in MONTHS]))
+    return top(out, 100, "w_warehouse_name")
+
 
-from pyspark.sql import functions as F, Window as W  # noqa: F401
 
-from ..functions import *  # noqa: F401,F403
-from .registry import model  # noqa: F401
