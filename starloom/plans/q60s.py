@@ -187,3 +187,174 @@ def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE")):
 
 
 
+@model
+def q67(t, month_seq=1212, n=100):
+    """Top sales per category over eight-level subtotals."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)) \
+        .select("d_date_sk", "d_year", "d_qoy", "d_moy")
+    keys = ["i_category", "i_class", "i_brand", "i_product_name", "d_year", "d_qoy", "d_moy", "s_store_id"]
+    # sum at the finest level first; the rollup then expands grouped rows only
+    fine = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+            .join(t.store.select("s_store_sk", "s_store_id"), c("ss_store_sk") == c("s_store_sk"))
+            .join(t.item, c("ss_item_sk") == c("i_item_sk"))
+            .groupBy(*keys)
+            .agg(F.sum(F.coalesce(c("ss_sales_price") * c("ss_quantity"), F.lit(0))).alias("s")))
+    rolled = fine.rollup(*keys).agg(F.sum("s").alias("sumsales"))
+    # rank <= n per category plans as a window group limit, applied per
+    # partition before the shuffle as well
+    w = W.partitionBy("i_category").orderBy(c("sumsales").desc_nulls_last())
+    ranked = rolled.select(*keys, "sumsales", F.rank().over(w).alias("rk")).where(c("rk") <= n)
+    out = ranked.select(*keys, dbl("sumsales").alias("sumsales"), c("rk").cast("long").alias("rk"))
+    return top(out, 100, *keys, "sumsales", "rk")
+
+
+@model
+def q68(t, years=(1999, 2000, 2001), cities=("Midway", "Fairview"), dep=5, vehicles=3):
+    """Tickets of the first two days of a month bought away from home."""
+    from .q40s import ticket_city
+
+    j = ticket_city(t, c("d_dom").between(1, 2), years, cities,
+                    (c("hd_dep_count") == dep) | (c("hd_vehicle_count") == vehicles),
+                    [dsum("ss_ext_sales_price").alias("extended_price"), dsum("ss_ext_list_price").alias("list_price"),
+                     dsum("ss_ext_tax").alias("extended_tax")])
+    out = j.select("c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number", "extended_price",
+                   "extended_tax", "list_price")
+    return top(out, 100, "c_last_name", "ss_ticket_number")
+
+
+def _buyers_in(t, fact, cust_col, date_col, cond):
+    days = t.date_dim.where(cond).select("d_date_sk")
+    return fact.join(days, c(date_col) == c("d_date_sk")).select(c(cust_col).alias("buyer"))
+
+
+@model
+def q69(t, states=("CO", "IL", "MN"), year=1999, moy=1, months=3):
+    """Demographics of customers buying in store but neither by web nor by catalog."""
+    cond = (c("d_year") == year) & c("d_moy").between(moy, moy + months - 1)
+    store = _buyers_in(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", cond)
+    web = _buyers_in(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", cond)
+    cat = _buyers_in(t, t.catalog_sales, "cs_ship_customer_sk", "cs_sold_date_sk", cond)
+    cust = (t.customer.join(store, c("c_customer_sk") == c("buyer"), "left_semi")
+            .join(web, c("c_customer_sk") == c("buyer"), "left_anti")
+            .join(cat, c("c_customer_sk") == c("buyer"), "left_anti"))
+    keys = ["cd_gender", "cd_marital_status", "cd_education_status", "cd_purchase_estimate", "cd_credit_rating"]
+    g = (cust.join(t.customer_address.where(c("ca_state").isin(*states)), c("c_current_addr_sk") == c("ca_address_sk"))
+         .join(t.customer_demographics, c("c_current_cdemo_sk") == c("cd_demo_sk"))
+         .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    out = g.select("cd_gender", "cd_marital_status", "cd_education_status", c("n").alias("cnt1"),
+                   "cd_purchase_estimate", c("n").alias("cnt2"), "cd_credit_rating", c("n").alias("cnt3"))
+    return top(out, 100, *keys)
+
+
+def ranked_two_level(j, a, b, measure, measure_name, order_desc):
+    """Rollup of (a, b) with a rank of each row inside its parent (q36, q70, q86)."""
+    g = (j.rollup(a, b)
+         .agg(F.sum(measure).alias("m"),
+              (F.grouping(a) + F.grouping(b)).cast("long").alias("lochierarchy"),
+              F.grouping(b).alias("gb")))
+    parent = F.when(c("gb") == 0, c(a))
+    order = c("m").desc_nulls_last() if order_desc else c("m").asc_nulls_last()
+    w = W.partitionBy("lochierarchy", parent).orderBy(order)
+    out = g.select(dbl("m").alias(measure_name), a, b, "lochierarchy",
+                   F.rank().over(w).cast("long").alias("rank_within_parent"))
+    return top(out, 100, "-lochierarchy", F.when(c("lochierarchy") == 0, c(a)).asc_nulls_last(),
+               "rank_within_parent")
+
+
+@model
+def q70(t, month_seq=1212, top_states=5):
+    """Net profit by state and county with subtotals, ranked inside the parent."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    sales = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+             .join(t.store.select("s_store_sk", "s_state", "s_county"), c("ss_store_sk") == c("s_store_sk")))
+    # the ranking is partitioned by the grouping key, so every state ranks first;
+    # the shape is kept as written
+    per_state = sales.groupBy("s_state").agg(F.sum("ss_net_profit").alias("p"))
+    ranked = per_state.select(c("s_state").alias("top_state"),
+                              F.rank().over(W.partitionBy("s_state").orderBy(c("p").desc_nulls_last())).alias("r"))
+    states = ranked.where(c("r") <= top_states).select("top_state")
+    j = sales.join(states, c("s_state") == c("top_state"), "left_semi")
+    return ranked_two_level(j, "s_state", "s_county", "ss_net_profit", "total_sum", True)
+
+
+@model
+def q71(t, manager=1, moy=12, year=2000, meals=("breakfast", "dinner")):
+    """Brand revenue by hour and minute at breakfast or dinner across channels."""
+    days = t.date_dim.where((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
+    u = None
+    for table, p in (("web_sales", "ws"), ("catalog_sales", "cs"), ("store_sales", "ss")):
+        part = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .select(c(f"{p}_ext_sales_price").alias("ext_price"), c(f"{p}_item_sk").alias("sold_item_sk"),
+                        c(f"{p}_sold_time_sk").alias("time_sk")))
+        u = part if u is None else u.unionByName(part)
+    out = (u.join(t.item.where(c("i_manager_id") == manager), c("sold_item_sk") == c("i_item_sk"))
+           .join(t.time_dim.where(c("t_meal_time").isin(*meals)), c("time_sk") == c("t_time_sk"))
+           .groupBy("i_brand", "i_brand_id", "t_hour", "t_minute").agg(dsum("ext_price").alias("ext_price"))
+           .select(c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), "t_hour", "t_minute", "ext_price"))
+    return top(out, None, "-ext_price", "brand_id")
+
+
+@model
+def q72(t, buy_potential="1001-5000", year=2001, marital="M", lag_days=5):
+    """Catalog lines short of stock in the week of sale, by promotion presence."""
+    d1 = t.date_dim.where(c("d_year") == year).select(c("d_date_sk").alias("d1_sk"), c("d_week_seq").alias("wk"),
+                                                      c("d_date").alias("d1_date"))
+    cs = (t.catalog_sales
+          .join(t.household_demographics.where(c("hd_buy_potential") == buy_potential).select("hd_demo_sk"),
+                c("cs_bill_hdemo_sk") == c("hd_demo_sk"))
+          .join(t.customer_demographics.where(c("cd_marital_status") == marital).select("cd_demo_sk"),
+                c("cs_bill_cdemo_sk") == c("cd_demo_sk"))
+          .join(d1, c("cs_sold_date_sk") == c("d1_sk"))
+          .join(t.date_dim.select(c("d_date_sk").alias("d3_sk"), c("d_date").alias("d3_date")),
+                c("cs_ship_date_sk") == c("d3_sk"))
+          .where(c("d3_date") > F.date_add(c("d1_date"), lag_days)))
+    # the week of the snapshot is part of the equi-join key, so inventory
+    # rows meet only the sales of their own item and week
+    inv = t.inventory.join(t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_week_seq").alias("inv_wk")),
+                           c("inv_date_sk") == c("d2_sk"))
+    j = (cs.join(inv, (c("cs_item_sk") == c("inv_item_sk")) & (c("wk") == c("inv_wk"))
+                 & (c("inv_quantity_on_hand") < c("cs_quantity")))
+         .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("inv_warehouse_sk") == c("w_warehouse_sk"))
+         .join(t.item.select("i_item_sk", "i_item_desc"), c("cs_item_sk") == c("i_item_sk"))
+         .join(t.promotion.select("p_promo_sk"), c("cs_promo_sk") == c("p_promo_sk"), "left")
+         .join(t.catalog_returns.select("cr_item_sk", "cr_order_number"),
+               (c("cr_item_sk") == c("cs_item_sk")) & (c("cr_order_number") == c("cs_order_number")), "left"))
+    out = (j.groupBy("i_item_desc", "w_warehouse_name", c("wk").alias("d_week_seq"))
+           .agg(lsum(F.when(c("p_promo_sk").isNull(), 1).otherwise(0)).alias("no_promo"),
+                lsum(F.when(c("p_promo_sk").isNotNull(), 1).otherwise(0)).alias("promo"),
+                F.count(F.lit(1)).alias("total_cnt")))
+    return top(out, 100, "-total_cnt", "i_item_desc", "w_warehouse_name", "d_week_seq")
+
+
+@model
+def q73(t, years=(1998, 1999, 2000), lo=1, hi=5):
+    """Tickets with one to five lines on the first two days of a month."""
+    from .q30s import ticket_counts
+
+    dj = ticket_counts(t, c("d_dom").between(1, 2), (">10000", "Unknown"), 1, years, ("Williamson County",))
+    out = (dj.where(c("cnt").between(lo, hi)).join(t.customer, c("ss_customer_sk") == c("c_customer_sk"))
+           .select("c_last_name", "c_first_name", "c_salutation", "c_preferred_cust_flag", "ss_ticket_number", "cnt"))
+    return top(out, None, "-cnt", "c_last_name")
+
+
+@model
+def q74(t, year=2001):
+    """Customers whose web growth on the largest payment beats store growth."""
+    y1, y2 = year, year + 1
+    days = t.date_dim.where(c("d_year").isin(y1, y2)).select("d_date_sk", "d_year")
+
+    def per_channel(fact, cust_col, date_col, amount, tag):
+        return (fact.join(days, c(date_col) == c("d_date_sk"))
+                .join(t.customer, c(cust_col) == c("c_customer_sk"))
+                .groupBy("c_customer_id", "c_first_name", "c_last_name")
+                .agg(dbl(F.max(F.when(c("d_year") == y1, c(amount)))).alias(f"{tag}1"),
+                     dbl(F.max(F.when(c("d_year") == y2, c(amount)))).alias(f"{tag}2")))
+
+    s = per_channel(t.store_sales, "ss_customer_sk", "ss_sold_date_sk", "ss_net_paid", "s")
+    w = per_channel(t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", "ws_net_paid", "w") \
+        .select("c_customer_id", "w1", "w2")
+    out = (s.join(w, "c_customer_id")
+           .where((c("s1") > 0) & (c("w1") > 0) & (c("w2") / c("w1") > c("s2") / c("s1")))
+           .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
+                   c("c_last_name").alias("customer_last_name")))
+    return top(out, 100, "customer_first_name", "customer_id", "customer_last_name")
