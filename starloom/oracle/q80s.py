@@ -1,3 +1,133 @@
-"""Oracle SQL."""
+"""Oracle SQL for q81-q89."""
 
-from .registry import ob, register  # noqa: F401
+from .q30s import stock_sold_sql
+from .registry import ob, register
+
+_Q81_OUT = ("c_customer_id, c_salutation, c_first_name, c_last_name, ca_street_number, ca_street_name, "
+            "ca_street_type, ca_suite_number, ca_city, ca_county, ca_state, ca_zip, ca_country, ca_gmt_offset, "
+            "ca_location_type, ctr_total_return")
+register(q81=f"""
+WITH ctr AS (
+  SELECT cr_returning_customer_sk AS cust, ca_state AS st, sum(cr_return_amt_inc_tax) AS total
+  FROM catalog_returns JOIN date_dim ON cr_returned_date_sk = d_date_sk
+  JOIN customer_address ON cr_returning_addr_sk = ca_address_sk
+  WHERE d_year = 1998
+  GROUP BY cr_returning_customer_sk, ca_state)
+SELECT c_customer_id, c_salutation, c_first_name, c_last_name, ca_street_number, ca_street_name, ca_street_type,
+       ca_suite_number, ca_city, ca_county, ca_state, ca_zip, ca_country, CAST(ca_gmt_offset AS DOUBLE) AS ca_gmt_offset,
+       ca_location_type, CAST(ctr1.total AS DOUBLE) AS ctr_total_return
+FROM ctr ctr1
+JOIN customer ON ctr1.cust = c_customer_sk
+JOIN customer_address ON ca_address_sk = c_current_addr_sk
+WHERE ca_state = 'IL'
+  AND ctr1.total * (SELECT count(total) FROM ctr ctr2 WHERE ctr2.st = ctr1.st) * 10
+      > (SELECT sum(total) FROM ctr ctr2 WHERE ctr2.st = ctr1.st) * 12
+{ob(_Q81_OUT, _Q81_OUT)}
+""")
+
+register(q82=stock_sold_sql("store_sales", "ss_item_sk", 30, "437, 129, 727, 663", "2002-05-30", "2002-07-29"))
+
+
+def _ret_items(returns, p, name):
+    return f"""
+  SELECT i_item_id AS item_id, CAST(sum({p}_return_quantity) AS BIGINT) AS {name}
+  FROM {returns} JOIN item ON {p}_item_sk = i_item_sk JOIN date_dim ON {p}_returned_date_sk = d_date_sk
+  WHERE d_date IN (SELECT d_date FROM date_dim WHERE d_week_seq IN (
+                     SELECT d_week_seq FROM date_dim
+                     WHERE d_date IN (DATE '1998-01-02', DATE '1998-10-15', DATE '1998-11-10')))
+  GROUP BY i_item_id"""
+
+
+_TOT = "CAST(sr_item_qty + cr_item_qty + wr_item_qty AS DOUBLE)"
+register(q83=f"""
+WITH sr AS ({_ret_items("store_returns", "sr", "sr_item_qty")}),
+cr AS ({_ret_items("catalog_returns", "cr", "cr_item_qty")}),
+wr AS ({_ret_items("web_returns", "wr", "wr_item_qty")})
+SELECT sr.item_id, sr_item_qty, CAST(sr_item_qty AS DOUBLE) / {_TOT} / 3.0 * 100 AS sr_dev,
+       cr_item_qty, CAST(cr_item_qty AS DOUBLE) / {_TOT} / 3.0 * 100 AS cr_dev,
+       wr_item_qty, CAST(wr_item_qty AS DOUBLE) / {_TOT} / 3.0 * 100 AS wr_dev,
+       {_TOT} / 3.0 AS average
+FROM sr JOIN cr ON sr.item_id = cr.item_id JOIN wr ON sr.item_id = wr.item_id
+{ob("item_id, sr_item_qty", "sr_dev, cr_item_qty, cr_dev, wr_item_qty, wr_dev, average")}
+""")
+
+register(q84=f"""
+SELECT c_customer_id AS customer_id,
+       coalesce(c_last_name, '') || ', ' || coalesce(c_first_name, '') AS customername
+FROM customer, customer_address, customer_demographics, household_demographics, income_band, store_returns
+WHERE ca_city = 'Hopewell' AND c_current_addr_sk = ca_address_sk
+  AND ib_lower_bound >= 32287 AND ib_upper_bound <= 82287
+  AND ib_income_band_sk = hd_income_band_sk AND cd_demo_sk = c_current_cdemo_sk
+  AND hd_demo_sk = c_current_hdemo_sk AND sr_cdemo_sk = cd_demo_sk
+{ob("customer_id", "customername")}
+""")
+
+register(q85=f"""
+SELECT substr(r_reason_desc, 1, 20) AS reason_desc_substr,
+       CAST(sum(ws_quantity) AS DOUBLE) / count(ws_quantity) AS avg_ws_quantity,
+       CAST(sum(wr_refunded_cash) AS DOUBLE) / count(wr_refunded_cash) AS avg_wr_refunded_cash,
+       CAST(sum(wr_fee) AS DOUBLE) / count(wr_fee) AS avg_wr_fee
+FROM web_sales, web_returns, web_page, customer_demographics cd1, customer_demographics cd2,
+     customer_address, date_dim, reason
+WHERE ws_web_page_sk = wp_web_page_sk AND ws_item_sk = wr_item_sk AND ws_order_number = wr_order_number
+  AND ws_sold_date_sk = d_date_sk AND d_year = 1998 AND cd1.cd_demo_sk = wr_refunded_cdemo_sk
+  AND cd2.cd_demo_sk = wr_returning_cdemo_sk AND ca_address_sk = wr_refunded_addr_sk
+  AND r_reason_sk = wr_reason_sk
+  AND ((cd1.cd_marital_status = 'M' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = '4 yr Degree' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 100.00 AND 150.00)
+    OR (cd1.cd_marital_status = 'D' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = 'Primary' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 50.00 AND 100.00)
+    OR (cd1.cd_marital_status = 'U' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = 'Advanced Degree' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 150.00 AND 200.00))
+  AND ((ca_country = 'United States' AND ca_state IN ('KY', 'GA', 'NM') AND ws_net_profit BETWEEN 100 AND 200)
+    OR (ca_country = 'United States' AND ca_state IN ('MT', 'OR', 'IN') AND ws_net_profit BETWEEN 150 AND 300)
+    OR (ca_country = 'United States' AND ca_state IN ('WI', 'MO', 'WV') AND ws_net_profit BETWEEN 50 AND 250))
+GROUP BY r_reason_desc
+{ob("reason_desc_substr, avg_ws_quantity, avg_wr_refunded_cash, avg_wr_fee", "reason_desc_substr")}
+""")
+
+register(q86=f"""
+SELECT total_sum, i_category, i_class, lochierarchy, rank_within_parent FROM (
+  SELECT CAST(sum(ws_net_paid) AS DOUBLE) AS total_sum, i_category, i_class,
+         CAST(grouping(i_category) + grouping(i_class) AS BIGINT) AS lochierarchy,
+         CAST(rank() OVER (PARTITION BY grouping(i_category) + grouping(i_class),
+                                        CASE WHEN grouping(i_class) = 0 THEN i_category END
+                           ORDER BY sum(ws_net_paid) DESC) AS BIGINT) AS rank_within_parent
+  FROM web_sales JOIN date_dim d1 ON d1.d_date_sk = ws_sold_date_sk JOIN item ON i_item_sk = ws_item_sk
+  WHERE d1.d_month_seq BETWEEN 1212 AND 1223
+  GROUP BY ROLLUP (i_category, i_class)) r
+{ob("lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent",
+    "total_sum, i_category, i_class")}
+""")
+
+
+def _nd(fact, p, cust):
+    return f"""
+  SELECT DISTINCT c_last_name, c_first_name, d_date
+  FROM {fact} JOIN date_dim ON {p}_sold_date_sk = d_date_sk JOIN customer ON {cust} = c_customer_sk
+  WHERE d_month_seq BETWEEN 1212 AND 1223"""
+
+
+register(q87=f"""
+SELECT count(*) AS cool_cust_count FROM (
+  ({_nd("store_sales", "ss", "ss_customer_sk")})
+  EXCEPT
+  ({_nd("catalog_sales", "cs", "cs_bill_customer_sk")})
+  EXCEPT
+  ({_nd("web_sales", "ws", "ws_bill_customer_sk")})) cool_cust
+""")
+
+_SLOTS = (("h8_30_to_9", 8, ">= 30"), ("h9_to_9_30", 9, "< 30"), ("h9_30_to_10", 9, ">= 30"),
+          ("h10_to_10_30", 10, "< 30"), ("h10_30_to_11", 10, ">= 30"), ("h11_to_11_30", 11, "< 30"),
+          ("h11_30_to_12", 11, ">= 30"), ("h12_to_12_30", 12, "< 30"))
+register(q88="SELECT * FROM " + ",\n".join(f"""
+(SELECT count(*) AS {name}
+ FROM store_sales JOIN household_demographics ON ss_hdemo_sk = hd_demo_sk
+ JOIN time_dim ON ss_sold_time_sk = t_time_sk JOIN store ON ss_store_sk = s_store_sk
+ WHERE t_hour = {h} AND t_minute {cond}
+   AND ((hd_dep_count = 3 AND hd_vehicle_count <= 5) OR (hd_dep_count = 0 AND hd_vehicle_count <= 2)
+        OR (hd_dep_count = 1 AND hd_vehicle_count <= 3))
+   AND s_store_name = 'ese') s{i}""" for i, (name, h, cond) in enumerate(_SLOTS, 1)))

@@ -1,6 +1,157 @@
-"""Query models."""
+"""Query models q81-q89."""
 
-from pyspark.sql import functions as F, Window as W  # noqa: F401
+from pyspark.sql import functions as F
 
-from ..functions import *  # noqa: F401,F403
-from .registry import model  # noqa: F401
+from ..functions import c, davg, dbl, lsum, top
+from .q30s import items_in_stock_and_sold
+from .q60s import ranked_two_level
+from .registry import model
+
+_ADDR_OUT = ("ca_street_number", "ca_street_name", "ca_street_type", "ca_suite_number", "ca_city", "ca_county",
+             "ca_state", "ca_zip", "ca_country", "ca_gmt_offset", "ca_location_type")
+
+
+@model
+def q81(t, year=1998, state="IL"):
+    """Catalog-return customers above 1.2x their state's average, with their address."""
+    days = t.date_dim.where(c("d_year") == year).select("d_date_sk")
+    ctr = (t.catalog_returns.join(days, c("cr_returned_date_sk") == c("d_date_sk"))
+           .join(t.customer_address.select(c("ca_address_sk").alias("ra_sk"), c("ca_state").alias("ctr_state")),
+                 c("cr_returning_addr_sk") == c("ra_sk"))
+           .groupBy(c("cr_returning_customer_sk").alias("cust"), "ctr_state")
+           .agg(F.sum("cr_return_amt_inc_tax").alias("total")))
+    per_state = ctr.groupBy("ctr_state").agg(F.sum("total").alias("st"), F.count("total").alias("sc"))
+    out = (ctr.join(per_state, "ctr_state").where(c("total") * c("sc") * 10 > c("st") * 12)
+           .join(t.customer, c("cust") == c("c_customer_sk"))
+           .join(t.customer_address.where(c("ca_state") == state), c("c_current_addr_sk") == c("ca_address_sk"))
+           .select("c_customer_id", "c_salutation", "c_first_name", "c_last_name",
+                   *[dbl(x).alias(x) if x == "ca_gmt_offset" else c(x) for x in _ADDR_OUT],
+                   dbl("total").alias("ctr_total_return")))
+    return top(out, 100, "c_customer_id", "c_salutation", "c_first_name", "c_last_name", *_ADDR_OUT,
+               "ctr_total_return")
+
+
+@model
+def q82(t, price_lo=30, manufacts=(437, 129, 727, 663), start="2002-05-30", days=60):
+    """Items in stock (100-500 units) within 60 days and sold in stores, in a price band."""
+    return items_in_stock_and_sold(t, t.store_sales, "ss_item_sk", price_lo, manufacts, start, days)
+
+
+@model
+def q83(t, dates=("1998-01-02", "1998-10-15", "1998-11-10")):
+    """Returned quantities per item in three weeks, across channels, with shares."""
+    weeks = t.date_dim.where(c("d_date").isin(*[F.lit(d).cast("date") for d in dates])) \
+        .select(c("d_week_seq").alias("wk")).distinct()
+    days = t.date_dim.join(weeks, c("d_week_seq") == c("wk"), "left_semi").select("d_date_sk")
+
+    def qty(returns, p, name):
+        return (returns.join(days, c(f"{p}_returned_date_sk") == c("d_date_sk"))
+                .join(t.item.select("i_item_sk", "i_item_id"), c(f"{p}_item_sk") == c("i_item_sk"))
+                .groupBy(c("i_item_id").alias(f"{p}_id")).agg(lsum(f"{p}_return_quantity").alias(name)))
+
+    sr = qty(t.store_returns, "sr", "sr_item_qty")
+    cr = qty(t.catalog_returns, "cr", "cr_item_qty")
+    wr = qty(t.web_returns, "wr", "wr_item_qty")
+    j = sr.join(cr, c("sr_id") == c("cr_id")).join(wr, c("sr_id") == c("wr_id"))
+    total = dbl(c("sr_item_qty") + c("cr_item_qty") + c("wr_item_qty"))
+    out = j.select(c("sr_id").alias("item_id"), "sr_item_qty",
+                   (dbl("sr_item_qty") / total / 3.0 * 100).alias("sr_dev"), "cr_item_qty",
+                   (dbl("cr_item_qty") / total / 3.0 * 100).alias("cr_dev"), "wr_item_qty",
+                   (dbl("wr_item_qty") / total / 3.0 * 100).alias("wr_dev"), (total / 3.0).alias("average"))
+    return top(out, 100, "item_id", "sr_item_qty")
+
+
+@model
+def q84(t, city="Hopewell", income_lo=32287, width=50000):
+    """Customers of one city and income range, one row per store return of their demographic."""
+    bands = t.income_band.where((c("ib_lower_bound") >= income_lo) & (c("ib_upper_bound") <= income_lo + width))
+    hd = t.household_demographics.join(bands, c("hd_income_band_sk") == c("ib_income_band_sk")).select("hd_demo_sk")
+    cust = (t.customer.join(t.customer_address.where(c("ca_city") == city).select("ca_address_sk"),
+                            c("c_current_addr_sk") == c("ca_address_sk"))
+            .join(hd, c("c_current_hdemo_sk") == c("hd_demo_sk"))
+            .join(t.customer_demographics.select("cd_demo_sk"), c("c_current_cdemo_sk") == c("cd_demo_sk")))
+    out = (cust.join(t.store_returns.select("sr_cdemo_sk"), c("sr_cdemo_sk") == c("cd_demo_sk"))
+           .select(c("c_customer_id").alias("customer_id"),
+                   F.concat(F.coalesce("c_last_name", F.lit("")), F.lit(", "),
+                            F.coalesce("c_first_name", F.lit(""))).alias("customername")))
+    return top(out, 100, "customer_id")
+
+
+@model
+def q85(t, year=1998):
+    """Web return averages per reason under OR-ed demographic, price, address and profit bands."""
+    cd1 = t.customer_demographics.select(c("cd_demo_sk").alias("cd1_sk"), c("cd_marital_status").alias("m1"),
+                                         c("cd_education_status").alias("e1"))
+    cd2 = t.customer_demographics.select(c("cd_demo_sk").alias("cd2_sk"), c("cd_marital_status").alias("m2"),
+                                         c("cd_education_status").alias("e2"))
+    j = (t.web_sales
+         .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ws_sold_date_sk") == c("d_date_sk"))
+         .join(t.web_page.select("wp_web_page_sk"), c("ws_web_page_sk") == c("wp_web_page_sk"))
+         .join(t.web_returns, (c("ws_item_sk") == c("wr_item_sk")) & (c("ws_order_number") == c("wr_order_number")))
+         .join(cd1, c("wr_refunded_cdemo_sk") == c("cd1_sk"))
+         .join(cd2, c("wr_returning_cdemo_sk") == c("cd2_sk"))
+         .join(t.customer_address.where(c("ca_country") == "United States"),
+               c("wr_refunded_addr_sk") == c("ca_address_sk"))
+         .join(t.reason, c("wr_reason_sk") == c("r_reason_sk")))
+    price, profit = c("ws_sales_price"), c("ws_net_profit")
+    same = (c("m1") == c("m2")) & (c("e1") == c("e2"))
+    demo = same & (((c("m1") == "M") & (c("e1") == "4 yr Degree") & price.between(100, 150))
+                   | ((c("m1") == "D") & (c("e1") == "Primary") & price.between(50, 100))
+                   | ((c("m1") == "U") & (c("e1") == "Advanced Degree") & price.between(150, 200)))
+    geo = ((c("ca_state").isin("KY", "GA", "NM") & profit.between(100, 200))
+           | (c("ca_state").isin("MT", "OR", "IN") & profit.between(150, 300))
+           | (c("ca_state").isin("WI", "MO", "WV") & profit.between(50, 250)))
+    out = (j.where(demo & geo).groupBy("r_reason_desc")
+           .agg(davg("ws_quantity").alias("avg_ws_quantity"), davg("wr_refunded_cash").alias("avg_wr_refunded_cash"),
+                davg("wr_fee").alias("avg_wr_fee"))
+           .select(F.substring("r_reason_desc", 1, 20).alias("reason_desc_substr"), "avg_ws_quantity",
+                   "avg_wr_refunded_cash", "avg_wr_fee"))
+    return top(out, 100, "reason_desc_substr", "avg_ws_quantity", "avg_wr_refunded_cash", "avg_wr_fee")
+
+
+@model
+def q86(t, month_seq=1212):
+    """Web net paid by category and class with subtotals, ranked inside the parent."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    j = (t.web_sales.join(days, c("ws_sold_date_sk") == c("d_date_sk"))
+         .join(t.item.select("i_item_sk", "i_category", "i_class"), c("ws_item_sk") == c("i_item_sk")))
+    return ranked_two_level(j, "i_category", "i_class", "ws_net_paid", "total_sum", True)
+
+
+def _name_days(t, fact, date_col, cust_col, month_seq):
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
+    return (fact.join(days, c(date_col) == c("d_date_sk"))
+            .join(t.customer, c(cust_col) == c("c_customer_sk"))
+            .select("c_last_name", "c_first_name", "d_date"))
+
+
+@model
+def q87(t, month_seq=1212):
+    """Number of (name, date) pairs seen in stores but neither in catalog nor web."""
+    s = _name_days(t, t.store_sales, "ss_sold_date_sk", "ss_customer_sk", month_seq)
+    cs = _name_days(t, t.catalog_sales, "cs_sold_date_sk", "cs_bill_customer_sk", month_seq)
+    ws = _name_days(t, t.web_sales, "ws_sold_date_sk", "ws_bill_customer_sk", month_seq)
+    return s.subtract(cs).subtract(ws).agg(F.count(F.lit(1)).alias("cool_cust_count"))
+
+
+Q88_SLOTS = (("h8_30_to_9", 8, True), ("h9_to_9_30", 9, False), ("h9_30_to_10", 9, True),
+             ("h10_to_10_30", 10, False), ("h10_30_to_11", 10, True), ("h11_to_11_30", 11, False),
+             ("h11_30_to_12", 11, True), ("h12_to_12_30", 12, False))
+
+
+@model
+def q88(t, store_name="ese", slots=Q88_SLOTS):
+    """Store sale counts in eight half-hour slots, one row."""
+    hd = t.household_demographics.where(
+        ((c("hd_dep_count") == 3) & (c("hd_vehicle_count") <= 5))
+        | ((c("hd_dep_count") == 0) & (c("hd_vehicle_count") <= 2))
+        | ((c("hd_dep_count") == 1) & (c("hd_vehicle_count") <= 3))).select("hd_demo_sk")
+    hours = sorted({h for _, h, _ in slots})
+    times = t.time_dim.where(c("t_hour").isin(*hours)).select("t_time_sk", "t_hour", "t_minute")
+    j = (t.store_sales.join(hd, c("ss_hdemo_sk") == c("hd_demo_sk"))
+         .join(times, c("ss_sold_time_sk") == c("t_time_sk"))
+         .join(t.store.where(c("s_store_name") == store_name).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
+    # the eight scalar counts in one scan
+    counts = [F.count(F.when((c("t_hour") == h) & ((c("t_minute") >= 30) if late else (c("t_minute") < 30)), 1))
+              .alias(name) for name, h, late in slots]
+    return j.agg(*counts)
