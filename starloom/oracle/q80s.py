@@ -131,3 +131,131 @@ register(q88="SELECT * FROM " + ",\n".join(f"""
    AND ((hd_dep_count = 3 AND hd_vehicle_count <= 5) OR (hd_dep_count = 0 AND hd_vehicle_count <= 2)
         OR (hd_dep_count = 1 AND hd_vehicle_count <= 3))
    AND s_store_name = 'ese') s{i}""" for i, (name, h, cond) in enumerate(_SLOTS, 1)))
+
+_Q89_OUT = "i_category, i_class, i_brand, s_store_name, s_company_name, d_moy, sum_sales, avg_monthly_sales"
+register(q89=f"""
+SELECT * FROM (
+  SELECT i_category, i_class, i_brand, s_store_name, s_company_name, d_moy,
+         CAST(sum(ss_sales_price) AS DOUBLE) AS sum_sales,
+         CAST(sum(sum(ss_sales_price)) OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name) AS DOUBLE)
+           / count(sum(ss_sales_price)) OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name)
+           AS avg_monthly_sales
+  FROM store_sales JOIN item ON ss_item_sk = i_item_sk JOIN date_dim ON ss_sold_date_sk = d_date_sk
+  JOIN store ON ss_store_sk = s_store_sk
+  WHERE d_year IN (2000)
+    AND ((i_category IN ('Home', 'Books', 'Electronics') AND i_class IN ('wallpaper', 'parenting', 'musical'))
+      OR (i_category IN ('Shoes', 'Jewelry', 'Men') AND i_class IN ('womens', 'birdal', 'pants')))
+  GROUP BY i_category, i_class, i_brand, s_store_name, s_company_name, d_moy) tmp1
+WHERE CASE WHEN avg_monthly_sales <> 0 THEN abs(sum_sales - avg_monthly_sales) / avg_monthly_sales END > 0.1
+{ob("sum_sales - avg_monthly_sales, s_store_name", _Q89_OUT)}
+""")
+
+
+def _hours(lo):
+    return f"""
+  SELECT count(*) AS n FROM web_sales
+  JOIN household_demographics ON ws_ship_hdemo_sk = hd_demo_sk
+  JOIN time_dim ON ws_sold_time_sk = t_time_sk
+  JOIN web_page ON ws_web_page_sk = wp_web_page_sk
+  WHERE t_hour BETWEEN {lo} AND {lo + 1} AND hd_dep_count = 8 AND wp_char_count BETWEEN 5000 AND 5200"""
+
+
+register(q90=f"""
+SELECT CAST(am.n AS DOUBLE) / nullif(CAST(pm.n AS DOUBLE), 0) AS am_pm_ratio
+FROM ({_hours(6)}) am, ({_hours(14)}) pm
+""")
+
+register(q91="""
+SELECT cc_call_center_id AS Call_Center, cc_name AS Call_Center_Name, cc_manager AS Manager,
+       CAST(sum(cr_net_loss) AS DOUBLE) AS Returns_Loss
+FROM call_center, catalog_returns, date_dim, customer, customer_address, customer_demographics,
+     household_demographics
+WHERE cr_call_center_sk = cc_call_center_sk AND cr_returned_date_sk = d_date_sk
+  AND cr_returning_customer_sk = c_customer_sk AND cd_demo_sk = c_current_cdemo_sk
+  AND hd_demo_sk = c_current_hdemo_sk AND ca_address_sk = c_current_addr_sk
+  AND d_year = 1999 AND d_moy = 11
+  AND ((cd_marital_status = 'M' AND cd_education_status = 'Unknown')
+    OR (cd_marital_status = 'W' AND cd_education_status = 'Advanced Degree'))
+  AND hd_buy_potential LIKE '0-500%' AND ca_gmt_offset = -7
+GROUP BY cc_call_center_id, cc_name, cc_manager, cd_marital_status, cd_education_status
+ORDER BY Returns_Loss DESC
+""")
+
+from .q30s import excess_discount_sql  # noqa: E402
+
+register(q92=excess_discount_sql("web_sales", "ws", 269, "1998-03-18", "1998-06-16")
+         .replace('"excess discount amount"', '"Excess Discount Amount"'))
+
+register(q93=f"""
+SELECT ss_customer_sk, CAST(sum(act_sales) AS DOUBLE) AS sumsales
+FROM (SELECT ss_item_sk, ss_ticket_number, ss_customer_sk,
+             CASE WHEN sr_return_quantity IS NOT NULL THEN (ss_quantity - sr_return_quantity) * ss_sales_price
+                  ELSE ss_quantity * ss_sales_price END AS act_sales
+      FROM store_sales LEFT JOIN store_returns ON sr_item_sk = ss_item_sk AND sr_ticket_number = ss_ticket_number,
+           reason
+      WHERE sr_reason_sk = r_reason_sk AND r_reason_desc = 'Did not like the warranty') t
+GROUP BY ss_customer_sk
+{ob("sumsales, ss_customer_sk", "ss_customer_sk")}
+""")
+
+register(q94="""
+SELECT count(DISTINCT ws1.ws_order_number) AS "order count",
+       CAST(sum(ws1.ws_ext_ship_cost) AS DOUBLE) AS "total shipping cost",
+       CAST(sum(ws1.ws_net_profit) AS DOUBLE) AS "total net profit"
+FROM web_sales ws1
+JOIN date_dim ON ws1.ws_ship_date_sk = d_date_sk
+JOIN customer_address ON ws1.ws_ship_addr_sk = ca_address_sk
+JOIN web_site ON ws1.ws_web_site_sk = web_site_sk
+WHERE d_date BETWEEN DATE '1999-05-01' AND DATE '1999-06-30' AND ca_state = 'TX' AND web_company_name = 'pri'
+  AND EXISTS (SELECT 1 FROM web_sales ws2
+              WHERE ws1.ws_order_number = ws2.ws_order_number AND ws1.ws_warehouse_sk <> ws2.ws_warehouse_sk)
+  AND NOT EXISTS (SELECT 1 FROM web_returns wr1 WHERE ws1.ws_order_number = wr1.wr_order_number)
+""")
+
+register(q95="""
+WITH ws_wh AS (
+  SELECT ws1.ws_order_number, ws1.ws_warehouse_sk AS wh1, ws2.ws_warehouse_sk AS wh2
+  FROM web_sales ws1 JOIN web_sales ws2 ON ws1.ws_order_number = ws2.ws_order_number
+  WHERE ws1.ws_warehouse_sk <> ws2.ws_warehouse_sk)
+SELECT count(DISTINCT ws1.ws_order_number) AS "order count",
+       CAST(sum(ws1.ws_ext_ship_cost) AS DOUBLE) AS "total shipping cost",
+       CAST(sum(ws1.ws_net_profit) AS DOUBLE) AS "total net profit"
+FROM web_sales ws1
+JOIN date_dim ON ws1.ws_ship_date_sk = d_date_sk
+JOIN customer_address ON ws1.ws_ship_addr_sk = ca_address_sk
+JOIN web_site ON ws1.ws_web_site_sk = web_site_sk
+WHERE d_date BETWEEN DATE '1999-05-01' AND DATE '1999-06-30' AND ca_state = 'TX' AND web_company_name = 'pri'
+  AND ws1.ws_order_number IN (SELECT ws_order_number FROM ws_wh)
+  AND ws1.ws_order_number IN (SELECT wr_order_number FROM web_returns JOIN ws_wh
+                              ON wr_order_number = ws_wh.ws_order_number)
+""")
+
+register(q96="""
+SELECT count(*) AS store_sales_count
+FROM store_sales JOIN household_demographics ON ss_hdemo_sk = hd_demo_sk
+JOIN time_dim ON ss_sold_time_sk = t_time_sk JOIN store ON ss_store_sk = s_store_sk
+WHERE t_hour = 8 AND t_minute >= 30 AND hd_dep_count = 5 AND s_store_name = 'ese'
+""")
+
+register(q97="""
+WITH ssci AS (SELECT ss_customer_sk AS customer_sk, ss_item_sk AS item_sk
+              FROM store_sales JOIN date_dim ON ss_sold_date_sk = d_date_sk
+              WHERE d_month_seq BETWEEN 1212 AND 1223 GROUP BY ss_customer_sk, ss_item_sk),
+csci AS (SELECT cs_bill_customer_sk AS customer_sk, cs_item_sk AS item_sk
+         FROM catalog_sales JOIN date_dim ON cs_sold_date_sk = d_date_sk
+         WHERE d_month_seq BETWEEN 1212 AND 1223 GROUP BY cs_bill_customer_sk, cs_item_sk)
+SELECT CAST(sum(CASE WHEN ssci.customer_sk IS NOT NULL AND csci.customer_sk IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+         AS store_only,
+       CAST(sum(CASE WHEN ssci.customer_sk IS NULL AND csci.customer_sk IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT)
+         AS catalog_only,
+       CAST(sum(CASE WHEN ssci.customer_sk IS NOT NULL AND csci.customer_sk IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT)
+         AS store_and_catalog
+FROM ssci FULL OUTER JOIN csci ON ssci.customer_sk = csci.customer_sk AND ssci.item_sk = csci.item_sk
+""")
+
+from .q10s import class_share_sql  # noqa: E402
+from .q60s import ship_lag_sql  # noqa: E402
+
+register(q98=class_share_sql("store_sales", "ss_item_sk", "ss_sold_date_sk", "ss_ext_sales_price",
+                             "'Jewelry', 'Sports', 'Books'", "2001-01-12", "2001-02-11", None))
+register(q99=ship_lag_sql("catalog_sales", "cs", "call_center", "call_center_sk", "cc_call_center_sk", "cc_name"))

@@ -155,3 +155,167 @@ def q88(t, store_name="ese", slots=Q88_SLOTS):
     counts = [F.count(F.when((c("t_hour") == h) & ((c("t_minute") >= 30) if late else (c("t_minute") < 30)), 1))
               .alias(name) for name, h, late in slots]
     return j.agg(*counts)
+
+
+@model
+def q89(t, year=2000):
+    """Store brand months deviating more than 10% from the brand's monthly mean."""
+    from pyspark.sql import Window as W
+
+    items = ((c("i_category").isin("Home", "Books", "Electronics") & c("i_class").isin("wallpaper", "parenting", "musical"))
+             | (c("i_category").isin("Shoes", "Jewelry", "Men") & c("i_class").isin("womens", "birdal", "pants")))
+    days = t.date_dim.where(c("d_year") == year).select("d_date_sk", "d_moy")
+    g = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+         .join(t.item.where(items), c("ss_item_sk") == c("i_item_sk"))
+         .join(t.store.select("s_store_sk", "s_store_name", "s_company_name"), c("ss_store_sk") == c("s_store_sk"))
+         .groupBy("i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy")
+         .agg(F.sum("ss_sales_price").alias("s")))
+    w = W.partitionBy("i_category", "i_brand", "s_store_name", "s_company_name")
+    v = g.select("i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy",
+                 dbl("s").alias("sum_sales"),
+                 (F.sum("s").over(w).cast("double") / F.count("s").over(w)).alias("avg_monthly_sales"))
+    out = v.where(F.when(c("avg_monthly_sales") != 0,
+                         F.abs(c("sum_sales") - c("avg_monthly_sales")) / c("avg_monthly_sales")) > 0.1)
+    return top(out, 100, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "s_store_name")
+
+
+@model
+def q90(t, am_hour=6, pm_hour=14, dep=8, chars_lo=5000, chars_hi=5200):
+    """Ratio of morning to evening web sales for one household type and page size."""
+    hd = t.household_demographics.where(c("hd_dep_count") == dep).select("hd_demo_sk")
+    pages = t.web_page.where(c("wp_char_count").between(chars_lo, chars_hi)).select("wp_web_page_sk")
+    times = t.time_dim.where(c("t_hour").between(am_hour, am_hour + 1) | c("t_hour").between(pm_hour, pm_hour + 1)) \
+        .select("t_time_sk", "t_hour")
+    j = (t.web_sales.join(hd, c("ws_ship_hdemo_sk") == c("hd_demo_sk"))
+         .join(pages, c("ws_web_page_sk") == c("wp_web_page_sk"))
+         .join(times, c("ws_sold_time_sk") == c("t_time_sk")))
+    # both counts in one scan
+    counts = j.agg(F.count(F.when(c("t_hour").between(am_hour, am_hour + 1), 1)).alias("amc"),
+                   F.count(F.when(c("t_hour").between(pm_hour, pm_hour + 1), 1)).alias("pmc"))
+    return counts.select((dbl("amc") / F.when(c("pmc") != 0, dbl("pmc"))).alias("am_pm_ratio"))
+
+
+@model
+def q91(t, year=1999, moy=11, gmt=-7, potential_prefix="0-500"):
+    """Call-center return losses for some demographics in one month."""
+    cd = t.customer_demographics.where(
+        ((c("cd_marital_status") == "M") & (c("cd_education_status") == "Unknown"))
+        | ((c("cd_marital_status") == "W") & (c("cd_education_status") == "Advanced Degree")))
+    hd = t.household_demographics.where(c("hd_buy_potential").like(potential_prefix + "%")).select("hd_demo_sk")
+    days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    j = (t.catalog_returns.join(days, c("cr_returned_date_sk") == c("d_date_sk"))
+         .join(t.call_center, c("cr_call_center_sk") == c("cc_call_center_sk"))
+         .join(t.customer, c("cr_returning_customer_sk") == c("c_customer_sk"))
+         .join(cd, c("c_current_cdemo_sk") == c("cd_demo_sk"))
+         .join(hd, c("c_current_hdemo_sk") == c("hd_demo_sk"))
+         .join(t.customer_address.where(c("ca_gmt_offset") == gmt).select("ca_address_sk"),
+               c("c_current_addr_sk") == c("ca_address_sk")))
+    out = (j.groupBy("cc_call_center_id", "cc_name", "cc_manager", "cd_marital_status", "cd_education_status")
+           .agg(F.sum("cr_net_loss").alias("loss"))
+           .select(c("cc_call_center_id").alias("Call_Center"), c("cc_name").alias("Call_Center_Name"),
+                   c("cc_manager").alias("Manager"), dbl("loss").alias("Returns_Loss")))
+    return top(out, None, "-Returns_Loss")
+
+
+@model
+def q92(t, manufact=269, start="1998-03-18", days=90):
+    """Web discounts above 1.3x the item's 90-day average."""
+    from .q30s import excess_discount
+
+    return excess_discount(t, t.web_sales, "ws", manufact, start, days) \
+        .withColumnRenamed("excess discount amount", "Excess Discount Amount")
+
+
+@model
+def q93(t, reason="Did not like the warranty"):
+    """Store sales net of returns for one return reason, per customer."""
+    reasons = t.reason.where(c("r_reason_desc") == reason).select("r_reason_sk")
+    # the filter on the returns side turns the outer join into an inner one
+    r = (t.store_returns.join(reasons, c("sr_reason_sk") == c("r_reason_sk"))
+         .select("sr_item_sk", "sr_ticket_number", "sr_return_quantity"))
+    j = t.store_sales.join(r, (c("sr_item_sk") == c("ss_item_sk")) & (c("sr_ticket_number") == c("ss_ticket_number")))
+    act = F.when(c("sr_return_quantity").isNotNull(),
+                 (c("ss_quantity") - c("sr_return_quantity")) * c("ss_sales_price")) \
+        .otherwise(c("ss_quantity") * c("ss_sales_price"))
+    out = j.groupBy("ss_customer_sk").agg(dbl(F.sum(act)).alias("sumsales"))
+    return top(out, 100, "sumsales", "ss_customer_sk")
+
+
+@model
+def q94(t, start="1999-05-01", days=60, state="TX", company="pri"):
+    """Web orders from several warehouses, never returned: count, ship cost, profit."""
+    from .q10s import multi_warehouse_unreturned
+
+    site = t.web_site.where(c("web_company_name") == company).select("web_site_sk")
+    return multi_warehouse_unreturned(t, t.web_sales, "ws", t.web_returns, "wr", "ws_ship_date_sk", "ws_ship_addr_sk",
+                                      (site, c("ws_web_site_sk") == c("web_site_sk")), start, days, state,
+                                      returned=False)
+
+
+@model
+def q95(t, start="1999-05-01", days=60, state="TX", company="pri"):
+    """Web orders from several warehouses that were returned: count, ship cost, profit."""
+    lo = F.lit(start).cast("date")
+    dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
+    # orders owning two lines from different warehouses, found by one
+    # aggregation per order instead of the self-join of its line pairs
+    multi = (t.web_sales.groupBy(c("ws_order_number").alias("mo"))
+             .agg(F.min("ws_warehouse_sk").alias("wmin"), F.max("ws_warehouse_sk").alias("wmax"))
+             .where(c("wmin") < c("wmax")).select("mo"))
+    returned = t.web_returns.select(c("wr_order_number").alias("ro")).join(multi, c("ro") == c("mo"), "left_semi")
+    base = (t.web_sales.join(dates, c("ws_ship_date_sk") == c("d_date_sk"))
+            .join(t.customer_address.where(c("ca_state") == state).select("ca_address_sk"),
+                  c("ws_ship_addr_sk") == c("ca_address_sk"))
+            .join(t.web_site.where(c("web_company_name") == company).select("web_site_sk"),
+                  c("ws_web_site_sk") == c("web_site_sk"))
+            .join(multi, c("ws_order_number") == c("mo"), "left_semi")
+            .join(returned, c("ws_order_number") == c("ro"), "left_semi"))
+    return base.agg(F.countDistinct("ws_order_number").alias("order count"),
+                    dbl(F.sum("ws_ext_ship_cost")).alias("total shipping cost"),
+                    dbl(F.sum("ws_net_profit")).alias("total net profit"))
+
+
+@model
+def q96(t, hour=8, dep=5, store_name="ese"):
+    """Store sales in one half hour for one household type and store name."""
+    return (t.store_sales
+            .join(t.household_demographics.where(c("hd_dep_count") == dep).select("hd_demo_sk"),
+                  c("ss_hdemo_sk") == c("hd_demo_sk"))
+            .join(t.time_dim.where((c("t_hour") == hour) & (c("t_minute") >= 30)).select("t_time_sk"),
+                  c("ss_sold_time_sk") == c("t_time_sk"))
+            .join(t.store.where(c("s_store_name") == store_name).select("s_store_sk"),
+                  c("ss_store_sk") == c("s_store_sk"))
+            .agg(F.count(F.lit(1)).alias("store_sales_count")))
+
+
+@model
+def q97(t, month_seq=1212):
+    """Customer/item pairs bought in store only, catalog only, or both."""
+    days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    ssci = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+            .select(c("ss_customer_sk").alias("s_cust"), c("ss_item_sk").alias("s_item")).distinct())
+    csci = (t.catalog_sales.join(days, c("cs_sold_date_sk") == c("d_date_sk"))
+            .select(c("cs_bill_customer_sk").alias("c_cust"), c("cs_item_sk").alias("c_item")).distinct())
+    j = ssci.join(csci, (c("s_cust") == c("c_cust")) & (c("s_item") == c("c_item")), "full")
+    s_in, c_in = c("s_cust").isNotNull(), c("c_cust").isNotNull()
+    return j.agg(lsum(F.when(s_in & ~c_in, 1).otherwise(0)).alias("store_only"),
+                 lsum(F.when(~s_in & c_in, 1).otherwise(0)).alias("catalog_only"),
+                 lsum(F.when(s_in & c_in, 1).otherwise(0)).alias("store_and_catalog"))
+
+
+@model
+def q98(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=30):
+    """Store item revenue and share of its class over 30 days, all rows."""
+    from .q10s import class_share
+
+    return class_share(t, t.store_sales, "ss_item_sk", "ss_sold_date_sk", "ss_ext_sales_price",
+                       categories, start, days, None)
+
+
+@model
+def q99(t, month_seq=1212):
+    """Catalog shipping lag buckets per warehouse, ship mode and call center."""
+    from .q60s import ship_lag_report
+
+    return ship_lag_report(t, t.catalog_sales, "cs", month_seq,
+                           t.call_center.select("cc_call_center_sk", "cc_name"), "call_center_sk", "cc_name")
