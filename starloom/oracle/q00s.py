@@ -43,6 +43,16 @@ FROM y JOIN z ON y.d_week_seq = z.d_week_seq - 53
 {ob("d_week_seq1", "d_week_seq1," + ",".join(s + "_sales_ratio" for s in _SHORT), None)}
 """)
 
+register(q03=f"""
+SELECT d_year, i_brand_id AS brand_id, i_brand AS brand, CAST(sum(ss_ext_sales_price) AS DOUBLE) AS sum_agg
+FROM store_sales
+JOIN date_dim ON d_date_sk = ss_sold_date_sk
+JOIN item ON ss_item_sk = i_item_sk
+WHERE i_manufact_id = 436 AND d_moy = 12
+GROUP BY d_year, i_brand, i_brand_id
+{ob("d_year, sum_agg DESC, brand_id", "brand")}
+""")
+
 
 def _yt(fact, cust, date, p):
     return f"""

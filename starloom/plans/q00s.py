@@ -72,6 +72,19 @@ def _channel_years(t, fact, cust_col, date_col, measure, y1, y2, tag):
                  dsum(F.when(c("d_year") == y2, measure)).alias(f"{tag}2")))
 
 
+@model
+def q03(t, manufact=436, moy=12):
+    """Brand revenue per year in one month for one manufacturer (star join, top 100)."""
+    days = t.date_dim.where(c("d_moy") == moy).select("d_date_sk", "d_year")
+    items = t.item.where(c("i_manufact_id") == manufact).select("i_item_sk", "i_brand_id", "i_brand")
+    out = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+           .join(items, c("ss_item_sk") == c("i_item_sk"))
+           .groupBy("d_year", "i_brand", "i_brand_id")
+           .agg(dsum("ss_ext_sales_price").alias("sum_agg"))
+           .select("d_year", c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), "sum_agg"))
+    return top(out, 100, "d_year", "-sum_agg", "brand_id")
+
+
 @model
 def q04(t, year=2001):
     """Customers whose catalog growth beats both store and web growth."""
