@@ -43,7 +43,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        # set at startup: SparkContext already uses it for checkpoint()
         return current
     path = tempfile.mkdtemp(prefix="starloom-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
