@@ -177,3 +177,24 @@ def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
 def except_(a: DataFrame, b: DataFrame) -> DataFrame:
     """Set difference; NULLs compare equal."""
     return a.subtract(b)
+
+
+def global_rank(df: DataFrame, order: Column, name: str, partitions: int | None = None) -> DataFrame:
+    """Exact ``rank() OVER (ORDER BY order)`` without moving all rows to one task.
+
+    Rows are range-partitioned by the order (equal values always land in
+    the same partition and partitions follow the order), ranked inside
+    their partition, and shifted by the number of rows in all earlier
+    partitions.  The offsets come from one count per partition, a frame
+    bounded by the partition count.  ``order`` is a sort expression such as
+    ``F.col("v").asc_nulls_last()``.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id())
+    local = ranged.withColumn("_lr", F.rank().over(W.partitionBy("_rp").orderBy(order)))
+    counts = ranged.groupBy("_rp").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_rp", (F.sum("_n").over(W.orderBy("_rp").rowsBetween(W.unboundedPreceding, -1)))
+                            .alias("_off"))
+    return (local.join(F.broadcast(offsets), "_rp")
+            .withColumn(name, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
+            .drop("_rp", "_lr", "_off"))

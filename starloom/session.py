@@ -1,4 +1,10 @@
-"""Spark session defaults for the suite."""
+"""Spark session for the suite.
+
+On a cluster the session comes from ``spark-submit`` and its configuration
+is left alone (shuffle partitions, memory and broadcast threshold belong to
+the deployment).  For ``local[...]`` runs (tests, the benchmark) a few
+settings are fixed so results and timings are reproducible.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +13,16 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-DEFAULTS = {
+# settings for local runs only
+LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # dimension sides below this size are broadcast; Spark checks the
-    # estimated size of each side before choosing a broadcast join
+    # dimension sides below this estimated size are broadcast; Spark checks
+    # each side's size (and AQE re-checks at run time) before choosing it
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -23,12 +30,14 @@ DEFAULTS = {
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "starloom") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    local = bool(master and master.startswith("local"))
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g"))
+    if local:
+        for k, v in LOCAL_DEFAULTS.items():
+            builder = builder.config(k, v)
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder = builder.config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
