@@ -179,22 +179,27 @@ def except_(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
-def global_rank(df: DataFrame, order: Column, name: str, partitions: int | None = None) -> DataFrame:
-    """Exact ``rank() OVER (ORDER BY order)`` without moving all rows to one task.
-
-    Rows are range-partitioned by the order (equal values always land in
-    the same partition and partitions follow the order), ranked inside
-    their partition, and shifted by the number of rows in all earlier
-    partitions.  The offsets come from one count per partition, a frame
-    bounded by the partition count.  ``order`` is a sort expression such as
-    ``F.col("v").asc_nulls_last()``.
+def global_rank(df: DataFrame, col: str, name: str, descending: bool = False,
+                partitions: int | None = None) -> DataFrame:
+    """Exact ``rank() OVER (ORDER BY col [DESC] NULLS LAST)`` without a single-task window.
+
+    rank(v) = 1 + number of rows ordered before v.  Rows are first counted
+    per distinct value (ties collapse in a partial aggregation, so a value
+    shared by a third of the rows is one row here), the distinct values are
+    range-partitioned in order, a running count inside each partition plus
+    the total of all earlier partitions gives each value its rank, and the
+    rank is joined back by value (NULL-safe).  The per-partition offsets are
+    one row per partition, a bounded broadcast.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id())
-    local = ranged.withColumn("_lr", F.rank().over(W.partitionBy("_rp").orderBy(order)))
-    counts = ranged.groupBy("_rp").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_rp", (F.sum("_n").over(W.orderBy("_rp").rowsBetween(W.unboundedPreceding, -1)))
-                            .alias("_off"))
-    return (local.join(F.broadcast(offsets), "_rp")
-            .withColumn(name, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
-            .drop("_rp", "_lr", "_off"))
+    order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
+    vals = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = vals.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id())
+    before = F.sum("_c").over(W.partitionBy("_rp").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    local = ranged.withColumn("_before", F.coalesce(before, F.lit(0)))
+    totals = ranged.groupBy("_rp").agg(F.sum("_c").alias("_t"))
+    offsets = totals.select("_rp", F.coalesce(F.sum("_t").over(W.orderBy("_rp").rowsBetween(W.unboundedPreceding, -1)),
+                                              F.lit(0)).alias("_off"))
+    ranks = (local.join(F.broadcast(offsets), "_rp")
+             .select(F.col(col).alias("_v"), (F.col("_off") + F.col("_before") + 1).cast("long").alias(name)))
+    return df.join(ranks, df[col].eqNullSafe(ranks["_v"])).drop("_v")

@@ -1,6 +1,5 @@
 """Query models q10-q19."""
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, r6, top
@@ -74,11 +73,13 @@ def class_share(t, fact, item_col, date_col, amount, categories, start, days, li
          .join(items, c(item_col) == c("i_item_sk"))
          .groupBy("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
          .agg(F.sum(amount).alias("rev")))
-    # window over the grouped rows: each class partition holds one row per item
-    share = dbl("rev") * 100 / F.sum("rev").over(W.partitionBy("i_class")).cast("double")
-    out = g.select("i_item_id", "i_item_desc", "i_category", "i_class",
-                   dbl("i_current_price").alias("i_current_price"),
-                   dbl("rev").alias("itemrevenue"), share.alias("revenueratio"))
+    # the class total as an aggregate joined back, not a window: a class holds
+    # one row per item (unbounded), the totals one row per class (a fixed domain)
+    totals = g.groupBy(c("i_class").alias("cls")).agg(F.sum("rev").alias("class_rev"))
+    share = dbl("rev") * 100 / dbl("class_rev")
+    out = g.join(F.broadcast(totals), c("i_class").eqNullSafe(c("cls"))).select(
+        "i_item_id", "i_item_desc", "i_category", "i_class", dbl("i_current_price").alias("i_current_price"),
+        dbl("rev").alias("itemrevenue"), share.alias("revenueratio"))
     return top(out, limit, "i_category", "i_class", "i_item_id", "i_item_desc", "revenueratio")
 
 

@@ -94,10 +94,10 @@ def q44(t, store=2, share_tenths=9, n=10):
     # avg > 0.9 * store average, as exact decimal arithmetic against one row
     kept = per_item.crossJoin(base).where(c("s") * c("bn") * 10 > c("bs") * share_tenths * c("cnt"))
     # rank over all items without a single-task window (see global_rank)
-    asc = global_rank(kept.select("item_sk", "rank_col"), c("rank_col").asc_nulls_last(), "rnk") \
+    asc = global_rank(kept.select("item_sk", "rank_col"), "rank_col", "rnk") \
         .where(c("rnk") < n + 1).select("item_sk", "rnk")
-    desc = global_rank(kept.select(c("item_sk").alias("item_sk2"), "rank_col"), c("rank_col").desc_nulls_last(),
-                       "rnk2").where(c("rnk2") < n + 1).select("item_sk2", "rnk2")
+    desc = global_rank(kept.select(c("item_sk").alias("item_sk2"), "rank_col"), "rank_col", "rnk2", descending=True) \
+        .where(c("rnk2") < n + 1).select("item_sk2", "rnk2")
     i1 = t.item.select(c("i_item_sk").alias("i1_sk"), c("i_product_name").alias("best_performing"))
     i2 = t.item.select(c("i_item_sk").alias("i2_sk"), c("i_product_name").alias("worst_performing"))
     out = (asc.join(desc, c("rnk") == c("rnk2"))
@@ -219,8 +219,7 @@ def _return_ranks(t, sales, p, returns, rp, ticket, r_ticket, ret_amt, sold_date
         (dbl(F.sum(F.coalesce(c(ret_amt), F.lit(0))))
          / dbl(F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))))).alias("currency_ratio"))
     # ranks over all items of the month, computed without a single-task window
-    r = global_rank(global_rank(g, c("return_ratio").asc_nulls_last(), "return_rank"),
-                    c("currency_ratio").asc_nulls_last(), "currency_rank")
+    r = global_rank(global_rank(g, "return_ratio", "return_rank"), "currency_ratio", "currency_rank")
     return r.where((c("return_rank") <= 10) | (c("currency_rank") <= 10)) \
         .select(F.lit(channel).alias("channel"), "item", "return_ratio", "return_rank", "currency_rank")
 

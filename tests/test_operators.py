@@ -116,3 +116,18 @@ def test_data_tests(spark):
     assert expect_row_count(df, 4).collect()[0]["actual_row_count"] == 5
     dup = {r["k"]: r["n"] for r in expect_unique(df, "k").collect()}
     assert dup == {1: 2, None: 2}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_global_rank_equals_single_partition_rank(spark, descending):
+    import random
+
+    from pyspark.sql import Window
+
+    rnd = random.Random(7)
+    data = [(i, rnd.choice([None, 1.0, 2.0, 2.0, 3.5, 3.5, 3.5, 7.0, rnd.random()])) for i in range(1500)]
+    df = spark.createDataFrame(data, "k int, v double")
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    want = df.withColumn("r", F.rank().over(Window.orderBy(order)).cast("long"))
+    got = R.global_rank(df, "v", "r", descending=descending).select(*want.columns)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
