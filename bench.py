@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from starloom.plans import MODELS  # noqa: E402
-from starloom.session import get_spark  # noqa: E402
+from starloom.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 from starloom.sources.views import Mart, materialize_mart  # noqa: E402
 
 
@@ -31,7 +31,7 @@ def main() -> None:
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
 
     t0 = time.time()
-    ckpt = spark.conf.get("spark.checkpoint.dir")
+    ckpt = ensure_checkpoint_dir(spark)
     mart_dir = os.path.join(ckpt, "mart-" + Mart(spark, sf_dir).suffix)
     materialize_mart(spark, sf_dir, mart_dir)
     build = time.time() - t0

@@ -653,8 +653,11 @@ def t2_unique_keys(spark, sf_dir):
 
 
 def _raw_dir(spark: SparkSession, sf_dir: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir")
-    return os.path.join(base, "raw-" + Mart(spark, sf_dir).suffix)
+    # the shared folder the cluster names in spark.checkpoint.dir (a scratch
+    # folder is set only when the session has none)
+    from ..session import ensure_checkpoint_dir
+
+    return os.path.join(ensure_checkpoint_dir(spark), "raw-" + Mart(spark, sf_dir).suffix)
 
 
 _SS_COLS = ("ss_sold_date_sk, ss_item_sk, ss_customer_sk, ss_ticket_number, ss_quantity, "
