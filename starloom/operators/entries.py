@@ -164,7 +164,8 @@ def r14_segment_share(spark, sf_dir):
 
 # Self join on a shifted key, guarded ratio
 @_entry("r15_f02_yearly_growth", f"""
-WITH y AS (SELECT year(CAST(o_orderdate AS DATE)) AS yr, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
+WITH y AS (SELECT CAST(year(CAST(o_orderdate AS DATE)) AS INTEGER) AS yr,
+                  sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
            FROM orders GROUP BY year(CAST(o_orderdate AS DATE)))
 SELECT a.yr AS yr1, b.yr AS yr2, CAST(a.total AS DOUBLE) AS total1, CAST(b.total AS DOUBLE) AS total2,
        CASE WHEN a.total > 0 THEN CAST(b.total AS DOUBLE) / CAST(a.total AS DOUBLE) END AS growth
@@ -388,7 +389,8 @@ def r38_top_customers(spark, sf_dir):
 SELECT yr, mo, CAST(total AS DOUBLE) AS total,
        CAST(sum(total) OVER (PARTITION BY yr ORDER BY mo ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS DOUBLE) AS running
-FROM (SELECT year(CAST(o_orderdate AS DATE)) AS yr, month(CAST(o_orderdate AS DATE)) AS mo,
+FROM (SELECT CAST(year(CAST(o_orderdate AS DATE)) AS INTEGER) AS yr,
+             CAST(month(CAST(o_orderdate AS DATE)) AS INTEGER) AS mo,
              sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
       FROM orders GROUP BY 1, 2) m
 {ob("yr, mo", "total, running", None)}
@@ -403,7 +405,8 @@ def r39_running(spark, sf_dir):
 
 # Neighbouring periods
 @_entry("r41_neighbour_months", f"""
-WITH m AS (SELECT o_orderpriority, year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE)) AS ym,
+WITH m AS (SELECT o_orderpriority,
+                  CAST(year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE)) AS INTEGER) AS ym,
                   count(*) AS n FROM orders GROUP BY 1, 2),
 r AS (SELECT *, rank() OVER (PARTITION BY o_orderpriority ORDER BY ym) AS rn FROM m)
 SELECT a.o_orderpriority, a.ym, a.n, p.n AS psum, x.n AS nsum
@@ -544,7 +547,7 @@ def f05_dates(spark, sf_dir):
 
 # Cast to int with rounding, round to 2 places
 @_entry("f06_f14_spend_segments", f"""
-SELECT segment, count(*) AS n, round(CAST(avg_spend AS DECIMAL(18,4)), 2) AS avg_rounded
+SELECT segment, count(*) AS n, CAST(round(CAST(avg_spend AS DECIMAL(18,4)), 2) AS DOUBLE) AS avg_rounded
 FROM (SELECT CAST(CAST(total AS DOUBLE) / 100000 AS INTEGER) AS segment, total,
              CAST(sum(total) OVER (PARTITION BY CAST(CAST(total AS DOUBLE) / 100000 AS INTEGER)) AS DOUBLE)
                / count(total) OVER (PARTITION BY CAST(CAST(total AS DOUBLE) / 100000 AS INTEGER)) AS avg_spend
@@ -561,7 +564,7 @@ def f06_segments(spark, sf_dir):
     w = W.partitionBy("segment")
     s = s.withColumn("avg_spend", F.sum("total").over(w).cast("double") / F.count("total").over(w))
     out = s.groupBy("segment", "avg_spend").agg(F.count(F.lit(1)).alias("n")) \
-        .select("segment", "n", F.round(c("avg_spend").cast("decimal(18,4)"), 2).alias("avg_rounded"))
+        .select("segment", "n", dbl(F.round(c("avg_spend").cast("decimal(18,4)"), 2)).alias("avg_rounded"))
     return top(out, None, "segment")
 
 
