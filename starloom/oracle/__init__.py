@@ -6,4 +6,4 @@ of each query, used only to check the DataFrame models.
 """
 
 from .registry import ORACLE, ob  # noqa: F401
-from . import q00s, q10s, q20s, q30s, q40s, q50s, q60s, q70s, q80s, q90s  # noqa: F401,E402
+from . import q00s, q10s, q20s, q30s, q40s, q50s, q60s, q70s, q80s  # noqa: F401,E402

@@ -1,4 +1,4 @@
-"""Oracle SQL for q81-q89."""
+"""Oracle SQL for q81-q99."""
 
 from .q30s import stock_sold_sql
 from .registry import ob, register

@@ -6,4 +6,4 @@ query is a keyword parameter whose default is the query's own value.
 """
 
 from .registry import MODELS, model  # noqa: F401
-from . import q00s, q10s, q20s, q30s, q40s, q50s, q60s, q70s, q80s, q90s  # noqa: F401,E402
+from . import q00s, q10s, q20s, q30s, q40s, q50s, q60s, q70s, q80s  # noqa: F401,E402

@@ -1,9 +1,9 @@
-"""Query models q60-q69."""
+"""Query models q60-q74."""
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import c, davg, dbl, dsum, lsum, top
+from ..functions import c, dbl, dsum, lsum, top
 from .q30s import channel_item_revenue
 from .q50s import _q53_items, lag_buckets, period_deviation
 from .registry import model

@@ -1,4 +1,4 @@
-"""Query models q81-q89."""
+"""Query models q81-q99."""
 
 from pyspark.sql import functions as F
 
