@@ -186,7 +186,6 @@ def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE")):
     return top(out, 100, "w_warehouse_name")
 
 
-
 @model
 def q67(t, month_seq=1212, n=100):
     """Top sales per category over eight-level subtotals."""
