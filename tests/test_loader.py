@@ -81,3 +81,16 @@ def test_materialized_mart_reads_back(spark):
     assert stored.materialized
     for t in ["store_sales", "inventory", "date_dim"]:
         assert stored.table(t).exceptAll(lazy.table(t)).count() == 0
+
+
+def test_models_as_views_and_tables(spark):
+    from starloom.plans.registry import build_models, register_models
+
+    m = Mart(spark, SF_SMALL)
+    frames = build_models(m, ["q03", "q42"])
+    assert set(frames) == {"q03", "q42"}
+    assert register_models(m, ["q42"], prefix="model_") == ["model_q42"]
+    assert spark.table("model_q42").count() == frames["q42"].count()
+    out = _scratch()
+    register_models(m, ["q42"], mode="table", path=out)
+    assert spark.read.parquet(os.path.join(out, "q42")).count() == frames["q42"].count()
