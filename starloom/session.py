@@ -24,6 +24,10 @@ LOCAL_DEFAULTS = {
     # dimension sides below this estimated size are broadcast; Spark checks
     # each side's size (and AQE re-checks at run time) before choosing it
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # PySpark records the Python call site of every API call for error
+    # messages (a stack walk and JVM round trips per call); building the
+    # wide query plans then costs seconds on the driver
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
