@@ -119,27 +119,34 @@ def q13(t, year=2001):
 _CHANNELS = (("store", "store_sales", "ss"), ("catalog", "catalog_sales", "cs"), ("web", "web_sales", "ws"))
 
 
-def cross_items(t, y_lo, y_hi):
-    """Items whose brand/class/category sold in all three channels in [y_lo, y_hi]."""
+def _item_totals(t, y_lo, y_hi):
+    """Per channel and item: sum and count of quantity * list price in [y_lo, y_hi].
+
+    One aggregation per channel serves both the cross-channel item set and
+    the overall average, so each fact is scanned once for the two.
+    """
     days = t.date_dim.where(c("d_year").between(y_lo, y_hi)).select("d_date_sk")
-    keys = None
+    out = []
     for _, table, p in _CHANNELS:
-        k = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-             .join(t.item, c(f"{p}_item_sk") == c("i_item_sk"))
-             .select("i_brand_id", "i_class_id", "i_category_id"))
+        v = c(f"{p}_quantity") * c(f"{p}_list_price")
+        out.append(getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                   .groupBy(c(f"{p}_item_sk").alias("it")).agg(F.sum(v).alias("s"), F.count(v).alias("n")))
+    return out
+
+
+def cross_items(totals, item):
+    """Items whose brand/class/category sold in all three channels."""
+    keys = None
+    for per_item in totals:
+        k = per_item.join(item, c("it") == c("i_item_sk")).select("i_brand_id", "i_class_id", "i_category_id")
         keys = k if keys is None else keys.intersect(k)
-    return t.item.join(keys, ["i_brand_id", "i_class_id", "i_category_id"]).select(c("i_item_sk").alias("ci_sk"))
+    return item.join(keys, ["i_brand_id", "i_class_id", "i_category_id"]).select(c("i_item_sk").alias("ci_sk"))
 
 
-def average_sales(t, y_lo, y_hi):
+def average_sales(totals):
     """One row: mean of quantity * list price over the three channels."""
-    days = t.date_dim.where(c("d_year").between(y_lo, y_hi)).select("d_date_sk")
-    u = None
-    for _, table, p in _CHANNELS:
-        part = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-                .select((c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v")))
-        u = part if u is None else u.unionByName(part)
-    return u.agg((dbl(F.sum("v")) / F.count("v")).alias("average_sales"))
+    u = totals[0].unionByName(totals[1]).unionByName(totals[2])
+    return u.agg((dbl(F.sum("s")) / F.sum("n")).alias("average_sales"))
 
 
 def _channel_brand_sales(t, table, p, days, items, avg):
@@ -155,8 +162,8 @@ def _channel_brand_sales(t, table, p, days, items, avg):
 @model
 def q14a(t, year_lo=1998, year=2000, moy=11):
     """Cross-channel items: per channel brand sales above the overall average, with subtotals."""
-    items = cross_items(t, year_lo, year_lo + 2)
-    avg = average_sales(t, year_lo, year_lo + 2)
+    totals = _item_totals(t, year_lo, year_lo + 2)
+    items, avg = cross_items(totals, t.item), average_sales(totals)
     days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
     u = None
     for ch, table, p in _CHANNELS:
@@ -170,8 +177,8 @@ def q14a(t, year_lo=1998, year=2000, moy=11):
 @model
 def q14b(t, year_lo=1998, year=1999, moy=12, dom=16):
     """Cross-channel items: store sales of one week this year vs the same week last year."""
-    items = cross_items(t, year_lo, year_lo + 2)
-    avg = average_sales(t, year_lo, year_lo + 2)
+    totals = _item_totals(t, year_lo, year_lo + 2)
+    items, avg = cross_items(totals, t.item), average_sales(totals)
 
     def week(y, tag):
         wk = (t.date_dim.where((c("d_year") == y) & (c("d_moy") == moy) & (c("d_dom") == dom))
