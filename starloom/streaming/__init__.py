@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference computes only bounded batch queries over loaded tables; it
+has no watermarks, windows over event time, state or late data.  Nothing
+is built here on purpose (see README, "Not built").
+"""
