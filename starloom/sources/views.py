@@ -35,17 +35,29 @@ _FACT_PARTITION = {
 _MARKER = "_MART_COMPLETE"
 
 
+def _norm_path(path: str) -> str:
+    """Absolute local paths; URIs with a scheme (hdfs://, s3a://, ...) as given."""
+    return path.rstrip("/") if "://" in path else os.path.abspath(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the cluster's Hadoop file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Mart:
     """Lazy access to the 24 mart tables of one source folder."""
 
     _cache: dict[tuple[int, str], "Mart"] = {}
 
     def __new__(cls, spark: SparkSession, src_dir: str):
-        key = (id(spark), os.path.abspath(src_dir))
+        key = (id(spark), _norm_path(src_dir))
         inst = cls._cache.get(key)
         if inst is None or inst.spark is not spark:
             inst = super().__new__(cls)
-            inst._init(spark, os.path.abspath(src_dir))
+            inst._init(spark, _norm_path(src_dir))
             cls._cache[key] = inst
         return inst
 
@@ -54,7 +66,7 @@ class Mart:
         self.src_dir = src_dir
         self.suffix = hashlib.sha1(src_dir.encode()).hexdigest()[:8]
         self._frames: dict[str, DataFrame] = {}
-        self.materialized = os.path.exists(os.path.join(src_dir, _MARKER))
+        self.materialized = _exists(spark, os.path.join(src_dir, _MARKER))
         self.names = {f"src_{t}": f"src_{t}_{self.suffix}" for t in M.SOURCE_TABLES}
         self.names["mart_base"] = f"mart_base_{self.suffix}"
         self._registered = False
