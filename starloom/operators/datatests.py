@@ -39,3 +39,15 @@ def expect_unique(df: DataFrame, keys) -> DataFrame:
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def expected_count_report(tables: dict, expected: dict) -> DataFrame:
+    """T1 over loaded raw tables with literal expectations (e.g. the SF1 counts):
+    one row (table_name, expected_rows, actual_rows) per mismatching table,
+    all tables counted in one union job."""
+    parts = [df.agg(F.count(F.lit(1)).alias("actual_rows"))
+             .select(F.lit(name).alias("table_name"), F.lit(int(expected[name])).cast("long").alias("expected_rows"),
+                     "actual_rows")
+             for name, df in sorted(tables.items())]
+    report = reduce(DataFrame.unionByName, parts)
+    return report.where(F.col("expected_rows") != F.col("actual_rows"))

@@ -161,3 +161,14 @@ def create_tables_sql(database: str, location: str | None = None) -> list[str]:
         loc = f" LOCATION '{location.rstrip('/')}/{t}'" if location else ""
         out.append(f"CREATE TABLE IF NOT EXISTS {database}.{t} ({ddl(t)}) USING parquet{loc}")
     return out
+
+
+# fixed values: exact row counts of the 25 raw tables at scale factor 1
+SF1_ROW_COUNTS = {
+    "call_center": 6, "catalog_page": 11718, "catalog_returns": 144067, "catalog_sales": 1441548,
+    "customer": 100000, "customer_address": 50000, "customer_demographics": 1920800, "date_dim": 73049,
+    "dbgen_version": 1, "household_demographics": 7200, "income_band": 20, "inventory": 11745000,
+    "item": 18000, "promotion": 300, "reason": 75, "ship_mode": 20, "store": 12, "store_returns": 287514,
+    "store_sales": 2880404, "time_dim": 86400, "warehouse": 5, "web_page": 60, "web_returns": 71763,
+    "web_sales": 719384, "web_site": 30,
+}

@@ -131,3 +131,13 @@ def test_global_rank_equals_single_partition_rank(spark, descending):
     want = df.withColumn("r", F.rank().over(Window.orderBy(order)).cast("long"))
     got = R.global_rank(df, "v", "r", descending=descending).select(*want.columns)
     assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_expected_count_report_flags_only_mismatches(spark):
+    from starloom.operators.datatests import expected_count_report
+    from starloom.sources.catalog import SF1_ROW_COUNTS
+
+    assert len(SF1_ROW_COUNTS) == 25 and SF1_ROW_COUNTS["store_sales"] == 2880404
+    tables = {"store": spark.range(12).toDF("s"), "warehouse": spark.range(4).toDF("w")}
+    rows = [tuple(r) for r in expected_count_report(tables, SF1_ROW_COUNTS).collect()]
+    assert rows == [("warehouse", 5, 4)]
