@@ -92,7 +92,10 @@ def _meet(acc: Column, x: Column, seed: int) -> Column:
 
 
 def _folded(units: DataFrame, seed: int) -> DataFrame:
-    """Each (source, bucket) to its decided units and one residual at most."""
+    """Each (source, bucket) to its decided units and one residual at most.
+
+    Heavy units meet first, so what is left over is a light one and the
+    source's total ends close to its target."""
     empty = F.struct(F.lit(None).cast(UNIT).alias("cur"), F.array().cast("array<struct<k:bigint,m:bigint,up:int>>").alias("done"))
     return (units.groupBy("_s", "_b").agg(F.array_sort(F.collect_list("_u")).alias("_us"))
             .select("_s", "_b", F.aggregate("_us", empty, lambda acc, x: _meet(acc, x, seed)).alias("_v"))
@@ -106,7 +109,7 @@ def pivotal_round(units: DataFrame, seed: int = 8) -> DataFrame:
     level = units.withColumns({
         "_h": F.xxhash64("_k", "_m", F.lit(seed)),
     }).select("_s", F.pmod("_h", F.lit(FAN ** (levels - 1))).alias("_b"),
-              F.struct(F.col("_h").alias("r"), F.col("_k").alias("k"), F.col("_m").alias("m"), F.col("_f").alias("f")).alias("_u"))
+              F.struct((-F.col("_m")).alias("r"), F.col("_k").alias("k"), F.col("_m").alias("m"), F.col("_f").alias("f")).alias("_u"))
     decided = None
     for depth in range(levels):
         folded = stored(_folded(level, seed + depth), f"level{depth}")
