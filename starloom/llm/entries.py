@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from starloom.llm.common import table
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.mixing import mix_sources
+from starloom.llm.near_dedup import near_duplicates
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate component."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +27,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_dedup": op3_near_dedup,
     "op8_mixing": op8_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
