@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import stored
+
 # positions are doc_id * 2**LINE_BITS + line number
 LINE_BITS = 24
 
@@ -41,7 +43,7 @@ def _doubled(names: DataFrame, other: DataFrame, shift: int) -> DataFrame:
              .join(other.select((F.col("_p") - shift).alias("_p"), F.col("_n").alias("_b")), "_p"))
     heads = (pairs.groupBy("_a", "_b").agg(F.min("_p").alias("_n"), F.max("_p").alias("_last"))
              .filter("_n < _last").drop("_last"))
-    return pairs.join(heads, ["_a", "_b"]).select("_p", "_n")
+    return pairs.join(stored(heads, "heads"), ["_a", "_b"]).select("_p", "_n")
 
 
 def line_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -53,7 +55,8 @@ def line_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                      F.xxhash64("_line").alias("_h"), F.hash("_line").alias("_g")))
     heads = (lines.groupBy("_h", "_g").agg(F.min("_p").alias("_n"), F.max("_p").alias("_last"))
              .filter("_n < _last").drop("_last"))
-    return lines.join(heads, ["_h", "_g"]).select("_p", "_n").distinct()
+    # heads are written out: a join of two shuffled sides is one that adaptive execution can split at a hot line
+    return lines.join(stored(heads, "heads"), ["_h", "_g"]).select("_p", "_n").distinct()
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
