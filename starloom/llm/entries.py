@@ -9,6 +9,12 @@ from starloom.llm.common import table
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
+from starloom.llm.substring_dedup import dedup_substrings
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that strings of 200 bytes found elsewhere cover."""
+    return dedup_substrings(table(spark, sf_dir, "documents"), length=200)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +33,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op8_mixing": op8_mixing,
     "op10_line_dedup": op10_line_dedup,
