@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
+from starloom.llm.langid import identify
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
@@ -27,6 +28,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated runs of two or more lines."""
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "n_runs", "text")
@@ -36,6 +42,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
 
