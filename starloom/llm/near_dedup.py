@@ -15,10 +15,14 @@ far less.
 Nodes are compared without listing their pairs.  First every member meets the
 node's smallest one; links confirmed on full sets give components, and nodes
 whose members already hang together are done (the usual case, however many
-near copies a node holds).  In the others every member outside the component
-of the node's smallest member meets every member of other components, which
-no limit shortens.  A link that is not tested this way joins documents that
-are connected already, so the components are those of all links.
+near copies a node holds).  In the other small nodes every member outside the
+component of the node's smallest member meets every member of other components.
+Other large nodes hold documents that share a common passage and little else:
+their members branch on, in ``deep_trees`` trees straight to ``deep`` levels,
+where a pair of similarity 0.75 meets at least once with probability
+1 - (1 - 0.75**10)**128 = 0.9994 and one of 0.4 with probability 0.013; the nodes
+there are compared in the same two steps.  A link that is not tested joins
+documents that are connected already, so the components are those of all links.
 
 Defined results
 * null or empty text, or text without words: an empty set, linked with nothing.
@@ -109,6 +113,25 @@ def _profiles(trees: int, depth: int, k: int):
     return run
 
 
+def _deep_nodes(trees: int, depth: int, k: int):
+    """(node, rep, size): the node of every deep tree that a document falls into."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, h, at in distinct_shingles(batch.column(1), k):
+                n = len(at) - 1
+                for t in range(trees):
+                    path = np.full(n, t + 1, np.uint64)
+                    for d in range(depth):
+                        s = 400 + 2 * (t * depth + d)
+                        path = mix(path * np.uint64(31) + _reduce(np.minimum, (h ^ SEEDS[s]) * SEEDS[s + 1], at))
+                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row:row + n]), pa.array(np.diff(at))],
+                                                     names=["node", "rep", "size"])
+
+    return run
+
+
 def _sets(k: int):
     def run(batches):
         for batch in batches:
@@ -126,7 +149,8 @@ def profiles(docs: DataFrame, trees: int, depth: int, k: int, id_col: str = "doc
 
 
 def leaf_members(reps: DataFrame, trees: int, depth: int, leaf: int) -> DataFrame:
-    """(node, rep, size) of every node with two members or more at which branching stops."""
+    """(node, rep, size) of every node with two members or more at which branching stops;
+    only nodes of the last level have more than ``leaf`` members."""
     one = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.slice(F.col("paths"), t * depth + 1, depth))
     rows = reps.select("rep", F.col("n_shingles").alias("size"), F.explode(one).alias("path"))
     out = None
@@ -153,46 +177,67 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * (F.size("_sa") + F.size("_sb") - shared)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int = 16, depth: int = 3, leaf: int = 24,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int = 16, depth: int = 3, leaf: int = 8,
+                    deep_trees: int = 128, deep: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     rows = stored(profiles(docs, trees, depth, k, id_col, text_col), "profiles")
     full = rows.filter("n_shingles > 0")
     classes = (full.groupBy("n_shingles", "f1", "f2")
                .agg(F.min("doc_id").alias("rep"), F.first("paths").alias("paths")))
-    members = stored(leaf_members(classes.filter("rep IS NOT NULL"), trees, depth, leaf), "leaves")
-
-    # every member meets the smallest of its node
-    hubs = members.groupBy("node").agg(F.min(F.struct("rep", "size")).alias("_hub"))
-    stars = stored(members.join(hubs, "node").filter(F.col("rep") > F.col("_hub.rep"))
-                   .filter(similar_size("size", "_hub.size", percent))
-                   .select(F.col("rep").alias("a"), F.col("_hub.rep").alias("b")).distinct(), "stars")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        found = texts.join(ids, F.col("id") == F.col("_w"), "left_semi")
-        return found.mapInArrow(_sets(k), "id long, set array<long>").dropDuplicates(["id"])
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("_w")).distinct()
+    def texts_of(ids: DataFrame) -> DataFrame:
+        return texts.join(ids, F.col("id") == F.col("_w"), "left_semi").dropDuplicates(["id"])
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("_w")).distinct()
+        sets = stored(texts_of(ids).mapInArrow(_sets(k), "id long, set array<long>"), "sets")
+        return confirmed(pairs, sets, percent)
+
+    def stars_of(members: DataFrame) -> DataFrame:
+        """Every member with the smallest of its node."""
+        hubs = members.groupBy("node").agg(F.min(F.struct("rep", "size")).alias("_hub"))
+        return (members.join(hubs, "node").filter(F.col("rep") > F.col("_hub.rep"))
+                .filter(similar_size("size", "_hub.size", percent))
+                .select(F.col("rep").alias("a"), F.col("_hub.rep").alias("b")).distinct())
+
+    def mixed_of(members: DataFrame, component: DataFrame) -> DataFrame:
+        """Members, with components, of the nodes that hold more than one component."""
+        placed = members.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+        nodes = (placed.groupBy("node").agg(F.min(F.struct("rep", "comp")).alias("_hub"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
+                                            F.count("*").alias("members")).filter("_lo < _hi"))
+        return placed.join(nodes, "node").select("node", "rep", "size", "comp", F.col("_hub.rep").alias("hub"), F.col("_hub.comp").alias("hub_comp"), "members")
+
+    def crossed(placed: DataFrame) -> DataFrame:
+        """Members outside the component of their node's smallest, with all members of other components."""
+        outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"))
+        return (placed.join(outside, "node").filter((F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")))
+                .filter(similar_size("size", "_z", percent))
+                .select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct())
 
-    links = stored(confirmed(stars, stored(sets_of(ends(stars)), "sets"), percent), "links")
+    members = stored(leaf_members(classes.filter("rep IS NOT NULL"), trees, depth, leaf), "leaves")
+    stars = stored(stars_of(members), "stars")
+    links = stored(confirm(stars), "links")
     component = connected_components(links)
 
-    # nodes that hold more than one component: members outside the hub's meet all of the others
-    placed = members.join(component, members["rep"] == component["id"], "left").select(
-        "node", "rep", "size", F.coalesce("component", "rep").alias("comp"))
-    mixed = placed.groupBy("node").agg(F.min(F.struct("rep", "comp")).alias("_hub"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo < _hi")
-    placed = stored(placed.join(mixed, "node").select("node", "rep", "size", "comp", F.col("_hub.rep").alias("hub"), F.col("_hub.comp").alias("hub_comp")), "mixed")
-    outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"))
-    rest = (placed.join(outside, "node").filter((F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")))
-            .filter(similar_size("size", "_z", percent))
-            .select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct())
+    mixed = stored(mixed_of(members, component), "mixed")
+    rest = crossed(mixed.filter(F.col("members") <= leaf))
+    far = stored(mixed.filter(F.col("members") > leaf).select(F.col("rep").alias("_w")).distinct(), "far")
+    deep_members = None
+    if not far.isEmpty():
+        nodes = texts_of(far).mapInArrow(_deep_nodes(deep_trees, deep, k), "node long, rep long, size long")
+        groups = nodes.groupBy("node").agg(F.count("*").alias("_n")).filter("_n > 1").select("node")
+        deep_members = stored(nodes.join(stored(groups, "groups"), "node"), "deep")
+        rest = rest.unionByName(stars_of(deep_members)).distinct()
     rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = confirmed(rest, stored(sets_of(ends(rest)), "sets"), percent)
-        links = stored(links.unionByName(more), "links")
+        links = stored(links.unionByName(confirm(rest)), "links")
         component = connected_components(links)
+    if deep_members is not None:
+        last = stored(crossed(mixed_of(deep_members, component)).join(rest, ["a", "b"], "left_anti"), "last")
+        if not last.isEmpty():
+            links = stored(links.unionByName(confirm(last)), "links")
+            component = connected_components(links)
 
     named = classes.join(component, classes["rep"] == component["id"], "left").select(
         "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("_c"))
