@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
+from starloom.llm.decontamination import find_leaks
 from starloom.llm.langid import identify
 from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.mixing import mix_sources
@@ -13,6 +14,12 @@ from starloom.llm.near_dedup import near_duplicates
 from starloom.llm.substring_dedup import dedup_substrings
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items whose question and answer it holds."""
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("leaked", F.size("items") > 0)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that strings of 200 bytes found elsewhere cover."""
     return dedup_substrings(table(spark, sf_dir, "documents"), length=200)
@@ -39,6 +46,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op8_mixing": op8_mixing,
