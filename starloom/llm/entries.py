@@ -10,6 +10,7 @@ from starloom.llm.common import table
 from starloom.llm.decontamination import find_leaks
 from starloom.llm.langid import identify
 from starloom.llm.line_dedup import dedup_lines
+from starloom.llm.lm_score import score_texts
 from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
 from starloom.llm.substring_dedup import dedup_substrings
@@ -31,6 +32,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the token counts and under the mixed model."""
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words the mix takes."""
     return mix_sources(table(spark, sf_dir, "documents"))
@@ -51,6 +57,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
