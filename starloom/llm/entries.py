@@ -13,6 +13,7 @@ from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.lm_score import score_texts
 from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
+from starloom.llm.quality import score_quality
 from starloom.llm.substring_dedup import dedup_substrings
 
 
@@ -32,6 +33,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under the token counts and under the mixed model."""
     return score_texts(table(spark, sf_dir, "documents"))
@@ -57,6 +63,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op6_quality": op6_quality,
     "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
