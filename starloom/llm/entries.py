@@ -15,6 +15,7 @@ from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
 from starloom.llm.quality import score_quality
 from starloom.llm.substring_dedup import dedup_substrings
+from starloom.llm.vector_dedup import link_vectors
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and its component."""
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -63,6 +69,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op5_vector_dedup": op5_vector_dedup,
     "op6_quality": op6_quality,
     "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,

@@ -69,3 +69,24 @@ def substring_dedup(docs, length=200):
         runs = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
         out.append((i, len(b), sum(gone), runs, sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest()))
     return out
+
+
+def vector_links(rows, threshold=0.93):
+    """{vec_id: (n_links, component)} of (vec_id, embedding, label) rows."""
+    import numpy as np
+
+    ok = {}
+    for i, v, g in rows:
+        x = np.array([np.nan if c is None else c for c in (v or [])], float)
+        if g is not None and len(x) and np.isfinite(x).all() and np.linalg.norm(x) > 0:
+            ok.setdefault((g, len(x)), []).append((i, x / np.linalg.norm(x)))
+    n, links = {i: 0 for i, _, _ in rows}, []
+    for group in ok.values():
+        ids, x = [i for i, _ in group], np.stack([v for _, v in group])
+        hit = x @ x.T >= threshold
+        np.fill_diagonal(hit, False)
+        for p, q in zip(*np.nonzero(hit)):
+            n[ids[p]] += 1
+            links.append((ids[p], ids[q]))
+    comp = components(n, links)
+    return {i: (n[i], comp[i]) for i in n}
