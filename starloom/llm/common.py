@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 import numpy as np
@@ -55,8 +54,30 @@ def bounded_sample(df: DataFrame, key: Column, bound: int, seed: int = 1, within
     return out.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= bound).drop("_h", "_t", "_r")
 
 
-def folder_of(path: str) -> str:
-    return os.path.dirname(os.path.normpath(path))
+BITMAP = 27
+
+
+def bitmap_place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << BITMAP))
+
+
+def id_bitmap(ids: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of 2**27 bits (16 MB, whatever the number of ids) with the hashed places of ``ids``.
+    A broadcast copy lets map tasks drop most rows of other ids before a join on the id removes the rest;
+    with very many ids it fills up and drops less, never a row that is wanted."""
+    place = bitmap_place(F.col(key)) + 1
+    rows = (ids.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect())
+    out = np.zeros(1 << (BITMAP - 3), np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        at = (r["b"] - 1) * len(part)
+        out[at:at + len(part)] = part
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
 # ---- vectorised text hashing (numpy, inside tasks) -------------------------

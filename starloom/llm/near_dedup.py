@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import batch_bytes, lowered, mix, prefix_hash, span_hash, stored, word_spans
+from starloom.llm.common import batch_bytes, bitmap_place, id_bitmap, in_bitmap, lowered, mix, prefix_hash, span_hash, stored, word_spans
 from starloom.llm.graph import connected_components
 
 SEEDS = np.random.default_rng(30).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
@@ -113,28 +113,42 @@ def _profiles(trees: int, depth: int, k: int):
     return run
 
 
-def _deep_nodes(trees: int, depth: int, k: int):
-    """(node, rep, size): the node of every deep tree that a document falls into."""
+def _wanted(batches, bitmap):
+    """Batches (id, text) of the rows whose id may be wanted."""
+    for batch in batches:
+        keep = in_bitmap(bitmap.value, batch.column(2).to_numpy())
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+
+
+def _deep_nodes(bitmap, trees: int, depth: int, k: int):
+    """(node, rep, size, sketch): the node of every deep tree that a document falls into, and one bit of each minwise token."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _wanted(batches, bitmap):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for row, h, at in distinct_shingles(batch.column(1), k):
                 n = len(at) - 1
+                nodes, bits = np.zeros((n, trees), np.uint64), np.zeros((n, trees * depth), np.uint8)
                 for t in range(trees):
                     path = np.full(n, t + 1, np.uint64)
                     for d in range(depth):
                         s = 400 + 2 * (t * depth + d)
-                        path = mix(path * np.uint64(31) + _reduce(np.minimum, (h ^ SEEDS[s]) * SEEDS[s + 1], at))
-                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row:row + n]), pa.array(np.diff(at))],
-                                                     names=["node", "rep", "size"])
+                        token = _reduce(np.minimum, (h ^ SEEDS[s]) * SEEDS[s + 1], at)
+                        path = mix(path * np.uint64(31) + token)
+                        bits[:, t * depth + d] = (mix(token) & np.uint64(1)).astype(np.uint8)
+                    nodes[:, t] = path
+                sketch = np.packbits(bits, axis=1).view(np.int64)
+                lists = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
+                yield pa.RecordBatch.from_arrays([lists(nodes.view(np.int64)), pa.array(ids[row:row + n]), pa.array(np.diff(at)), lists(np.ascontiguousarray(sketch))],
+                                                 names=["nodes", "rep", "size", "sketch"])
 
     return run
 
 
-def _sets(k: int):
+def _sets(bitmap, k: int):
     def run(batches):
-        for batch in batches:
+        for batch in _wanted(batches, bitmap):
             for row, h, at in distinct_shingles(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(at) - 1), pa.ListArray.from_arrays(at.astype(np.int32), h.view(np.int64))], names=["id", "set"])
@@ -142,6 +156,15 @@ def _sets(k: int):
     return run
 
 
+def sketches_agree(a: str, b: str, words: int, percent: int, deviations: float = 4.5):
+    """Whether two one-bit sketches allow the similarity: bits agree with probability (1 + j) / 2, and
+    the estimate must not lie more than ``deviations`` standard deviations below the threshold (one pair in 300,000)."""
+    bits, j = 64 * words, percent / 100
+    least = j - deviations * 2 * float(np.sqrt((1 + j) / 2 * (1 - j) / 2 / bits))
+    differ = sum((F.bit_count(F.get(F.col(a), i).bitwiseXOR(F.get(F.col(b), i))) for i in range(words)), F.lit(0))
+    return differ <= int((1 - least) / 2 * bits)
+
+
 def profiles(docs: DataFrame, trees: int, depth: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, a fingerprint of the set (f1, f2) and the path keys of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -184,14 +207,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
     full = rows.filter("n_shingles > 0")
     classes = (full.groupBy("n_shingles", "f1", "f2")
                .agg(F.min("doc_id").alias("rep"), F.first("paths").alias("paths")))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    def texts_of(ids: DataFrame) -> DataFrame:
-        return texts.join(ids, F.col("id") == F.col("_w"), "left_semi").dropDuplicates(["id"])
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL").withColumn("_h", bitmap_place(F.col("id")))
+    context = docs.sparkSession.sparkContext
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("_w")).distinct()
-        sets = stored(texts_of(ids).mapInArrow(_sets(k), "id long, set array<long>"), "sets")
+        """Full sets are made where the texts lie, for documents in ``pairs``, and only the sets travel."""
+        wanted = context.broadcast(id_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("_w")), "_w"))
+        sets = stored(texts.mapInArrow(_sets(wanted, k), "id long, set array<long>"), "sets").dropDuplicates(["id"])
         return confirmed(pairs, sets, percent)
 
     def stars_of(members: DataFrame) -> DataFrame:
@@ -208,12 +230,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
                                             F.count("*").alias("members")).filter("_lo < _hi"))
         return placed.join(nodes, "node").select("node", "rep", "size", "comp", F.col("_hub.rep").alias("hub"), F.col("_hub.comp").alias("hub_comp"), "members")
 
-    def crossed(placed: DataFrame) -> DataFrame:
+    def crossed(placed: DataFrame, agree=None) -> DataFrame:
         """Members outside the component of their node's smallest, with all members of other components."""
-        outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"))
-        return (placed.join(outside, "node").filter((F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")))
-                .filter(similar_size("size", "_z", percent))
-                .select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct())
+        outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"),
+                                                           *([F.col("sketch").alias("_sketch")] if agree is not None else []))
+        allowed = (F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")) & similar_size("size", "_z", percent)
+        allowed = allowed & ((F.col("comp") == F.col("hub_comp")) | (F.col("rep") < F.col("_r")))  # two outside members meet once
+        here = placed.join(outside, "node").filter(allowed if agree is None else allowed & agree)
+        return here.select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct()
 
     members = stored(leaf_members(classes.filter("rep IS NOT NULL"), trees, depth, leaf), "leaves")
     stars = stored(stars_of(members), "stars")
@@ -225,7 +249,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
     far = stored(mixed.filter(F.col("members") > leaf).select(F.col("rep").alias("_w")).distinct(), "far")
     deep_members = None
     if not far.isEmpty():
-        nodes = texts_of(far).mapInArrow(_deep_nodes(deep_trees, deep, k), "node long, rep long, size long")
+        wanted = context.broadcast(id_bitmap(far, "_w"))
+        found = stored(texts.mapInArrow(_deep_nodes(wanted, deep_trees, deep, k), "nodes array<long>, rep long, size long, sketch array<long>")
+                       .join(far, F.col("rep") == F.col("_w"), "left_semi").dropDuplicates(["rep"]), "sketches")
+        nodes = found.select("rep", "size", F.explode("nodes").alias("node"))
         groups = nodes.groupBy("node").agg(F.count("*").alias("_n")).filter("_n > 1").select("node")
         deep_members = stored(nodes.join(stored(groups, "groups"), "node"), "deep")
         rest = rest.unionByName(stars_of(deep_members)).distinct()
@@ -234,7 +261,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
         links = stored(links.unionByName(confirm(rest)), "links")
         component = connected_components(links)
     if deep_members is not None:
-        last = stored(crossed(mixed_of(deep_members, component)).join(rest, ["a", "b"], "left_anti"), "last")
+        placed = stored(mixed_of(deep_members, component), "deep_mixed").join(found.select("rep", "sketch"), "rep")
+        agree = sketches_agree("sketch", "_sketch", deep_trees * deep // 64, percent)
+        last = stored(crossed(placed, agree).join(rest, ["a", "b"], "left_anti"), "last")
         if not last.isEmpty():
             links = stored(links.unionByName(confirm(last)), "links")
             component = connected_components(links)
