@@ -13,6 +13,7 @@ from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.lm_score import score_texts
 from starloom.llm.mixing import mix_sources
 from starloom.llm.near_dedup import near_duplicates
+from starloom.llm.pii import find_pii
 from starloom.llm.quality import score_quality
 from starloom.llm.substring_dedup import dedup_substrings
 from starloom.llm.vector_dedup import link_vectors
@@ -34,6 +35,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data."""
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links and its component."""
     return link_vectors(table(spark, sf_dir, "embeddings"))
@@ -69,6 +75,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_pii": op4_pii,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_quality": op6_quality,
     "op7_lm_score": op7_lm_score,
