@@ -252,8 +252,8 @@ def identify(docs: DataFrame, modulus: int = 5, id_col: str = "doc_id", text_col
 def keep_identified(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is identified with a score of ``least`` or more."""
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, **options))
-    carried = docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    fields = ", ".join(["doc_id long", "lang_pred string", "score double"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[2:]] + ["`_text` string"])
-    out = carried.withColumn("_text", F.col("text")).mapInArrow(_predicted(model), fields)
-    return (out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
-            .withColumnRenamed("_text", "text").select(*docs.columns))
+    carried = docs.select(F.col("doc_id"), F.col("text").cast("string"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)])
+    schema = ", ".join([f"doc_id {carried.schema[0].dataType.simpleString()}", "lang_pred string", "score double"]
+                       + [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[2:]])
+    out = carried.mapInArrow(_predicted(model), schema).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -23,7 +23,8 @@ Defined results
 * null doc_id: the row has no position; it is returned unchanged.
 * repeated rows of one doc_id are one document; each row gets its result.
 * lines split at line feeds only; a carriage return belongs to its line.
-* other columns pass through; internal names start with an underscore.
+* other columns pass through; internal names start with ``__line``; n_lines,
+  n_removed and n_runs replace columns of those names.
 """
 
 from __future__ import annotations
@@ -78,16 +79,14 @@ def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", tex
     """``docs`` with its text cleaned of later copies of repeated line runs, and
     the columns n_lines, n_removed (lines) and n_runs (maximal removed runs)."""
     gone = (repeated_runs(docs, min_lines, id_col, text_col).filter("_n < _p")
-            .select(F.shiftright("_p", LINE_BITS).alias("_d"), F.col("_p").bitwiseAND((1 << LINE_BITS) - 1).cast("int").alias("_i"))
-            .select("_d", F.explode(F.sequence("_i", F.col("_i") + (min_lines - 1))).alias("_i"))
-            .groupBy("_d").agg(F.collect_set("_i").alias("_gone")))
-    lines = F.split(F.col(text_col), "\n", -1)
-    removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    out = docs.join(gone, F.col(id_col).cast("long") == F.col("_d"), "left")
+            .select(F.shiftright("_p", LINE_BITS).alias("__line_doc"), F.col("_p").bitwiseAND((1 << LINE_BITS) - 1).cast("int").alias("_i"))
+            .select("__line_doc", F.explode(F.sequence("_i", F.col("_i") + (min_lines - 1))).alias("_i"))
+            .groupBy("__line_doc").agg(F.collect_set("_i").alias("__line_gone")))
+    lines, gone_here = F.split(F.col(text_col), "\n", -1), F.col("__line_gone")
+    out = docs.join(gone, F.col(id_col).cast("long") == F.col("__line_doc"), "left")
     return out.withColumns({
         "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long"),
-        "n_removed": F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(removed).cast("long"),
-        "n_runs": F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(
-            F.size(F.array_except(F.col("_gone"), F.transform("_gone", lambda i: i + 1)))).cast("long"),
-        text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(_kept(lines, F.col("_gone"))),
-    }).drop("_d", "_gone")
+        "n_removed": F.when(gone_here.isNull(), F.lit(0)).otherwise(F.size(gone_here)).cast("long"),
+        "n_runs": F.when(gone_here.isNull(), F.lit(0)).otherwise(F.size(F.array_except(gone_here, F.transform(gone_here, lambda i: i + 1)))).cast("long"),
+        text_col: F.when(gone_here.isNull(), F.col(text_col)).otherwise(_kept(lines, gone_here)),
+    }).drop("__line_doc", "__line_gone")

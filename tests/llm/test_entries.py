@@ -1,0 +1,41 @@
+"""The registered queries and the pipeline."""
+
+import re
+
+import pytest
+
+import brute
+import corpus_pipeline
+from conftest import SF_SMALL
+from starloom.llm.entries import ORACLE_SQL, QUERIES
+from starloom.oracle.check import compare
+
+
+def test_all_registered():
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES if n != "pipeline"} == {str(i) for i in range(1, 11)}
+    assert "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_oracle(spark, duck_small, name):
+    ok, msg, _ = compare(QUERIES[name](spark, SF_SMALL), duck_small, ORACLE_SQL[name])
+    assert ok, msg
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(out.columns) >= set(docs.columns)
+    # stage by stage, brute force: no language rejected here, then lines, near copies, leaks
+    first = docs.orderBy("doc_id").collect()
+    from test_operators import brute_lines
+
+    texts = brute_lines([(r.doc_id, r.text) for r in first], 2)
+    comp = brute.near_components(list(texts.items()))
+    norm = lambda s: " " + " ".join(re.findall(r"[^\W_]+", s.lower())) + " "
+    items = [norm(r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    stay = {i for i, t in texts.items() if comp[i][1] == i and not any(x in norm(t) for x in items)}
+    assert set(got) <= stay
+    assert all(r.text == texts[i] and r.copies >= 1 and r.taken == r.copies * r.size for i, r in got.items())
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "mixing"]
