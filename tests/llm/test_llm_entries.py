@@ -29,7 +29,7 @@ def test_pipeline(spark):
     assert set(out.columns) >= set(docs.columns)
     # stage by stage, brute force: no language rejected here, then lines, near copies, leaks
     first = docs.orderBy("doc_id").collect()
-    from test_operators import brute_lines
+    from test_llm_operators import brute_lines
 
     texts = brute_lines([(r.doc_id, r.text) for r in first], 2)
     comp = brute.near_components(list(texts.items()))
