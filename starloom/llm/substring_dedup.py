@@ -157,8 +157,9 @@ def _by_distance(raw: bytes, lo: int, place: int, owned: int, ah: int, length: i
     while top >= near:
         j = top.bit_length() - 1 if top > 0 else -1
         low = max(near, 1 << j if j >= 0 else 0)
+        most = min(max(0, (2 << j) - 1 if j >= 0 else 0), length - k)  # the class's farthest start, whether this context has it or not
         shared = raw[lo + place - (1 << j if j >= 0 else 0):lo + place]
-        after = raw[lo + place + k:lo + place + length - top] if length - top > k else b""
+        after = raw[lo + place + k:lo + place + length - most]
         tag = hashlib.blake2b(ah.to_bytes(8, "little", signed=True) + bytes([j + 1]) + shared + after, digest_size=8).digest()
         yield int.from_bytes(tag, "little", signed=True), place - top, place - low + 1
         top = low - 1
