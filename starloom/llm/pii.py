@@ -305,8 +305,9 @@ def learn(docs: DataFrame, bound: int = 300) -> Tagger:
     return tagger
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """doc_id, base counts n_email, n_ip, n_card, n_phone, base_sha256, spans and n_added for every row of ``docs``."""
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: DataFrame | None = None, **options) -> DataFrame:
+    """doc_id, base counts n_email, n_ip, n_card, n_phone, base_sha256, spans and n_added for every row of
+    ``docs``; trained on documents of ``train`` (doc_id, text), by default on ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(learn(rows, **options))
+    model = docs.sparkSession.sparkContext.broadcast(learn(rows if train is None else train, **options))
     return rows.mapInArrow(_found(model), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")

@@ -97,10 +97,9 @@ def test_decontamination(spark, docs, empty):
 # ---- 2 ------------------------------------------------------------------------
 
 def test_substring_dedup(docs, empty):
-    want = Counter(brute.substring_dedup([(r[0], r[1]) for r in rows()], 40))
+    want = Counter(brute.substring_dedup([(r[0], r[1]) for r in rows()], 100))
     for options in ({}, {"hot": 1, "shard_bytes": 2000, "budget": 5000, "in_memory": 50}):
-        assert keyed(dedup_substrings(docs, 100, **options)) == Counter(brute.substring_dedup([(r[0], r[1]) for r in rows()], 100))
-    assert want
+        assert keyed(dedup_substrings(docs, 100, **options)) == want
     assert dedup_substrings(empty, 200).count() == 0
 
 
@@ -167,7 +166,7 @@ def test_pii(spark, empty):
     d = spark.createDataFrame([(0, base, 1), (1, None, 1), (2, "", 1), (3, "no data here", 1), (None, "a@b.cd", 1), (0, base, 1)]
                               + [(100 + i, f"the words of {s} and more words", 1) for _, s, i in generated], "doc_id long, text string, spans int")
     got = {}
-    for r in pii.find_pii(d).collect():
+    for r in pii.find_pii(d, train=d.filter("doc_id < 100")).collect():
         got.setdefault(r.doc_id, []).append(r)
     assert len(got[0]) == 2 and got[0][0] == got[0][1]
     r = got[0][0]
