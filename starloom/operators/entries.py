@@ -556,14 +556,10 @@ GROUP BY segment, avg_spend
 {ob("segment", "n, avg_rounded", None)}
 """)
 def f06_segments(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     t = _src(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(dec("o_totalprice")).alias("total"))
     # cast(x as int) rounds half to even in the reference engine: rint first
     s = t.withColumn("segment", F.rint(dbl("total") / 100000).cast("int"))
-    w = W.partitionBy("segment")
-    s = s.withColumn("avg_spend", F.sum("total").over(w).cast("double") / F.count("total").over(w))
-    out = s.groupBy("segment", "avg_spend").agg(F.count(F.lit(1)).alias("n")) \
+    out = s.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), (F.sum("total").cast("double") / F.count("total")).alias("avg_spend")) \
         .select("segment", "n", dbl(F.round(c("avg_spend").cast("decimal(18,4)"), 2)).alias("avg_rounded"))
     return top(out, None, "segment")
 

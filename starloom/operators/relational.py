@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def select_all(df: DataFrame) -> DataFrame:
     """R2: ``SELECT *`` over a derived table."""
@@ -189,12 +191,15 @@ def global_rank(df: DataFrame, col: str, name: str, descending: bool = False,
     range-partitioned in order, a running count inside each partition plus
     the total of all earlier partitions gives each value its rank, and the
     rank is joined back by value (NULL-safe).  The per-partition offsets are
-    one row per partition, a bounded broadcast.
+    one row per partition, a bounded broadcast.  Range boundaries are sampled,
+    so the ranged values are written once, partition number included, to the
+    shared checkpoint folder: both uses read the same partitions.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
     vals = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = vals.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = vals.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id()).checkpoint()
     before = F.sum("_c").over(W.partitionBy("_rp").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
     local = ranged.withColumn("_before", F.coalesce(before, F.lit(0)))
     totals = ranged.groupBy("_rp").agg(F.sum("_c").alias("_t"))
@@ -203,3 +208,16 @@ def global_rank(df: DataFrame, col: str, name: str, descending: bool = False,
     ranks = (local.join(F.broadcast(offsets), "_rp")
              .select(F.col(col).alias("_v"), (F.col("_off") + F.col("_before") + 1).cast("long").alias(name)))
     return df.join(ranks, df[col].eqNullSafe(ranks["_v"])).drop("_v")
+
+
+def top_ranks(df: DataFrame, col: str, name: str, n: int, descending: bool = False) -> DataFrame:
+    """Rows whose ``rank() OVER (ORDER BY col [DESC] NULLS LAST)`` is at most ``n``, with that rank.
+
+    They lie among the n smallest distinct values, which one TakeOrdered
+    finds (n rows per task); the running count over those n rows is the rank.
+    """
+    order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
+    vals = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).orderBy(order).limit(n)
+    before = F.sum("_c").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    ranks = vals.select(F.col(col).alias("_v"), (F.coalesce(before, F.lit(0)) + 1).cast("long").alias(name)).where(F.col(name) <= n)
+    return df.join(ranks, df[col].eqNullSafe(ranks["_v"])).drop("_v")

@@ -1,5 +1,6 @@
 """Oracle SQL for q01-q09."""
 
+from ..plans.q08_zips import Q08_ZIPS
 from .registry import ob, register
 
 _DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
@@ -157,10 +158,11 @@ GROUP BY i_item_id
 {ob("i_item_id", "i_item_id, agg1, agg2, agg3, agg4")}
 """)
 
+_ZIPS = ", ".join(f"'{z}'" for z in Q08_ZIPS)
 register(q08=f"""
 WITH v1 AS (
   SELECT substr(ca_zip, 1, 5) AS zip FROM customer_address
-  WHERE substr(ca_zip, 1, 5) IN ('89436', '30868', '65085', '22977', '83927', '77557', '58429', '40697')
+  WHERE substr(ca_zip, 1, 5) IN ({_ZIPS})
   INTERSECT
   SELECT zip FROM (
     SELECT substr(ca_zip, 1, 5) AS zip, count(*) AS cnt

@@ -154,21 +154,19 @@ LIMIT 100
 """)
 
 register(q48="""
+WITH people(marital, education, low, high) AS (
+  VALUES ('M', '4 yr Degree', 100, 150), ('D', 'Primary', 50, 100), ('U', 'Advanced Degree', 150, 200)),
+places(state, least, most) AS (
+  VALUES ('KY', 0, 2000), ('GA', 0, 2000), ('NM', 0, 2000), ('MT', 150, 3000), ('OR', 150, 3000), ('IN', 150, 3000),
+         ('WI', 50, 25000), ('MO', 50, 25000), ('WV', 50, 25000))
 SELECT CAST(sum(ss_quantity) AS BIGINT) AS total_quantity
-FROM store_sales, store, customer_demographics, customer_address, date_dim
-WHERE s_store_sk = ss_store_sk AND ss_sold_date_sk = d_date_sk AND d_year = 1998
-  AND ((cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'M' AND cd_education_status = '4 yr Degree'
-        AND ss_sales_price BETWEEN 100.00 AND 150.00)
-    OR (cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'D' AND cd_education_status = 'Primary'
-        AND ss_sales_price BETWEEN 50.00 AND 100.00)
-    OR (cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'U' AND cd_education_status = 'Advanced Degree'
-        AND ss_sales_price BETWEEN 150.00 AND 200.00))
-  AND ((ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('KY', 'GA', 'NM')
-        AND ss_net_profit BETWEEN 0 AND 2000)
-    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('MT', 'OR', 'IN')
-        AND ss_net_profit BETWEEN 150 AND 3000)
-    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('WI', 'MO', 'WV')
-        AND ss_net_profit BETWEEN 50 AND 25000))
+FROM store_sales
+JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_year = 1998
+JOIN store ON s_store_sk = ss_store_sk
+JOIN customer_demographics ON cd_demo_sk = ss_cdemo_sk
+JOIN customer_address ON ca_address_sk = ss_addr_sk AND ca_country = 'United States'
+JOIN people ON marital = cd_marital_status AND education = cd_education_status AND ss_sales_price BETWEEN low AND high
+JOIN places ON state = ca_state AND ss_net_profit BETWEEN least AND most
 """)
 
 

@@ -98,27 +98,29 @@ register(q53=period_deviation_sql("i_manufact_id", "d_qoy", Q53_ITEMS, "avg_quar
          + ob("avg_quarterly_sales, sum_sales, i_manufact_id", "i_manufact_id"))
 
 register(q54=f"""
-WITH my_customers AS (
-  SELECT DISTINCT c_customer_sk, c_current_addr_sk
-  FROM (SELECT cs_sold_date_sk AS sold_date_sk, cs_bill_customer_sk AS customer_sk, cs_item_sk AS item_sk
-        FROM catalog_sales
-        UNION ALL
-        SELECT ws_sold_date_sk, ws_bill_customer_sk, ws_item_sk FROM web_sales) u
-  JOIN item ON item_sk = i_item_sk
-  JOIN date_dim ON sold_date_sk = d_date_sk
-  JOIN customer ON c_customer_sk = u.customer_sk
-  WHERE i_category = 'Jewelry' AND i_class = 'consignment' AND d_moy = 3 AND d_year = 1999),
-my_revenue AS (
-  SELECT c_customer_sk, sum(ss_ext_sales_price) AS revenue
-  FROM my_customers, store_sales, customer_address, store, date_dim
-  WHERE c_current_addr_sk = ca_address_sk AND ca_county = s_county AND ca_state = s_state
-    AND ss_sold_date_sk = d_date_sk AND c_customer_sk = ss_customer_sk
-    AND d_month_seq BETWEEN (SELECT DISTINCT d_month_seq + 1 FROM date_dim WHERE d_year = 1999 AND d_moy = 3)
-                        AND (SELECT DISTINCT d_month_seq + 3 FROM date_dim WHERE d_year = 1999 AND d_moy = 3)
-  GROUP BY c_customer_sk),
-segments AS (SELECT CAST(CAST(revenue AS DOUBLE) / 50 AS INTEGER) AS segment FROM my_revenue)
+WITH month AS (SELECT min(d_month_seq) AS seq FROM date_dim WHERE d_year = 1999 AND d_moy = 3),
+remote AS (
+  SELECT ws_bill_customer_sk AS buyer, ws_item_sk AS item, ws_sold_date_sk AS day FROM web_sales
+  UNION ALL
+  SELECT cs_bill_customer_sk, cs_item_sk, cs_sold_date_sk FROM catalog_sales),
+chosen AS (
+  SELECT c_customer_sk, c_current_addr_sk FROM customer
+  WHERE c_customer_sk IN (
+    SELECT buyer FROM remote
+    JOIN date_dim ON d_date_sk = day AND d_year = 1999 AND d_moy = 3
+    JOIN item ON i_item_sk = item AND i_class = 'consignment' AND i_category = 'Jewelry')),
+spent AS (
+  SELECT c_customer_sk, sum(ss_ext_sales_price) AS total
+  FROM chosen
+  JOIN customer_address ON ca_address_sk = c_current_addr_sk
+  JOIN store ON s_state = ca_state AND s_county = ca_county
+  JOIN store_sales ON ss_customer_sk = c_customer_sk
+  JOIN date_dim ON d_date_sk = ss_sold_date_sk
+  CROSS JOIN month
+  WHERE d_month_seq > seq AND d_month_seq <= seq + 3
+  GROUP BY c_customer_sk)
 SELECT segment, count(*) AS num_customers, segment * 50 AS segment_base
-FROM segments
+FROM (SELECT CAST(CAST(total AS DOUBLE) / 50 AS INTEGER) AS segment FROM spent) x
 GROUP BY segment
 {ob("segment, num_customers", "segment_base")}
 """)

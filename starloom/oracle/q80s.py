@@ -63,61 +63,63 @@ WHERE ca_city = 'Hopewell' AND c_current_addr_sk = ca_address_sk
 """)
 
 register(q85=f"""
+WITH people(marital, education, low, high) AS (
+  VALUES ('M', '4 yr Degree', 100, 150), ('D', 'Primary', 50, 100), ('U', 'Advanced Degree', 150, 200)),
+places(state, least, most) AS (
+  VALUES ('KY', 100, 200), ('GA', 100, 200), ('NM', 100, 200), ('MT', 150, 300), ('OR', 150, 300), ('IN', 150, 300),
+         ('WI', 50, 250), ('MO', 50, 250), ('WV', 50, 250))
 SELECT substr(r_reason_desc, 1, 20) AS reason_desc_substr,
        CAST(sum(ws_quantity) AS DOUBLE) / count(ws_quantity) AS avg_ws_quantity,
        CAST(sum(wr_refunded_cash) AS DOUBLE) / count(wr_refunded_cash) AS avg_wr_refunded_cash,
        CAST(sum(wr_fee) AS DOUBLE) / count(wr_fee) AS avg_wr_fee
-FROM web_sales, web_returns, web_page, customer_demographics cd1, customer_demographics cd2,
-     customer_address, date_dim, reason
-WHERE ws_web_page_sk = wp_web_page_sk AND ws_item_sk = wr_item_sk AND ws_order_number = wr_order_number
-  AND ws_sold_date_sk = d_date_sk AND d_year = 1998 AND cd1.cd_demo_sk = wr_refunded_cdemo_sk
-  AND cd2.cd_demo_sk = wr_returning_cdemo_sk AND ca_address_sk = wr_refunded_addr_sk
-  AND r_reason_sk = wr_reason_sk
-  AND ((cd1.cd_marital_status = 'M' AND cd1.cd_marital_status = cd2.cd_marital_status
-        AND cd1.cd_education_status = '4 yr Degree' AND cd1.cd_education_status = cd2.cd_education_status
-        AND ws_sales_price BETWEEN 100.00 AND 150.00)
-    OR (cd1.cd_marital_status = 'D' AND cd1.cd_marital_status = cd2.cd_marital_status
-        AND cd1.cd_education_status = 'Primary' AND cd1.cd_education_status = cd2.cd_education_status
-        AND ws_sales_price BETWEEN 50.00 AND 100.00)
-    OR (cd1.cd_marital_status = 'U' AND cd1.cd_marital_status = cd2.cd_marital_status
-        AND cd1.cd_education_status = 'Advanced Degree' AND cd1.cd_education_status = cd2.cd_education_status
-        AND ws_sales_price BETWEEN 150.00 AND 200.00))
-  AND ((ca_country = 'United States' AND ca_state IN ('KY', 'GA', 'NM') AND ws_net_profit BETWEEN 100 AND 200)
-    OR (ca_country = 'United States' AND ca_state IN ('MT', 'OR', 'IN') AND ws_net_profit BETWEEN 150 AND 300)
-    OR (ca_country = 'United States' AND ca_state IN ('WI', 'MO', 'WV') AND ws_net_profit BETWEEN 50 AND 250))
+FROM web_returns
+JOIN reason ON r_reason_sk = wr_reason_sk
+JOIN customer_demographics payer ON payer.cd_demo_sk = wr_refunded_cdemo_sk
+JOIN customer_demographics giver ON giver.cd_demo_sk = wr_returning_cdemo_sk
+JOIN customer_address ON ca_address_sk = wr_refunded_addr_sk AND ca_country = 'United States'
+JOIN web_sales ON ws_order_number = wr_order_number AND ws_item_sk = wr_item_sk
+JOIN web_page ON wp_web_page_sk = ws_web_page_sk
+JOIN date_dim ON d_date_sk = ws_sold_date_sk AND d_year = 1998
+JOIN people ON marital = payer.cd_marital_status AND marital = giver.cd_marital_status
+           AND education = payer.cd_education_status AND education = giver.cd_education_status
+           AND ws_sales_price BETWEEN low AND high
+JOIN places ON state = ca_state AND ws_net_profit BETWEEN least AND most
 GROUP BY r_reason_desc
 {ob("reason_desc_substr, avg_ws_quantity, avg_wr_refunded_cash, avg_wr_fee", "reason_desc_substr")}
 """)
 
 register(q86=f"""
-SELECT total_sum, i_category, i_class, lochierarchy, rank_within_parent FROM (
-  SELECT CAST(sum(ws_net_paid) AS DOUBLE) AS total_sum, i_category, i_class,
-         CAST(grouping(i_category) + grouping(i_class) AS BIGINT) AS lochierarchy,
-         CAST(rank() OVER (PARTITION BY grouping(i_category) + grouping(i_class),
-                                        CASE WHEN grouping(i_class) = 0 THEN i_category END
-                           ORDER BY sum(ws_net_paid) DESC) AS BIGINT) AS rank_within_parent
-  FROM web_sales JOIN date_dim d1 ON d1.d_date_sk = ws_sold_date_sk JOIN item ON i_item_sk = ws_item_sk
-  WHERE d1.d_month_seq BETWEEN 1212 AND 1223
-  GROUP BY ROLLUP (i_category, i_class)) r
+WITH paid AS (
+  SELECT i_category, i_class, ws_net_paid
+  FROM date_dim JOIN web_sales ON ws_sold_date_sk = d_date_sk JOIN item ON i_item_sk = ws_item_sk
+  WHERE d_month_seq >= 1212 AND d_month_seq < 1224),
+levels AS (
+  SELECT i_category, i_class, sum(ws_net_paid) AS total, 0 AS level FROM paid GROUP BY i_category, i_class
+  UNION ALL
+  SELECT i_category, NULL, sum(ws_net_paid), 1 FROM paid GROUP BY i_category
+  UNION ALL
+  SELECT NULL, NULL, sum(ws_net_paid), 2 FROM paid)
+SELECT CAST(total AS DOUBLE) AS total_sum, i_category, i_class, CAST(level AS BIGINT) AS lochierarchy,
+       CAST(rank() OVER (PARTITION BY level, CASE level WHEN 0 THEN i_category END ORDER BY total DESC) AS BIGINT) AS rank_within_parent
+FROM levels
 {ob("lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent",
     "total_sum, i_category, i_class")}
 """)
 
 
-def _nd(fact, p, cust):
+def _visits(fact, buyer, day):
     return f"""
-  SELECT DISTINCT c_last_name, c_first_name, d_date
-  FROM {fact} JOIN date_dim ON {p}_sold_date_sk = d_date_sk JOIN customer ON {cust} = c_customer_sk
-  WHERE d_month_seq BETWEEN 1212 AND 1223"""
+  SELECT c_last_name, c_first_name, d_date
+  FROM customer JOIN {fact} ON {buyer} = c_customer_sk JOIN date_dim ON d_date_sk = {day}
+  WHERE d_month_seq >= 1212 AND d_month_seq < 1224"""
 
 
 register(q87=f"""
-SELECT count(*) AS cool_cust_count FROM (
-  ({_nd("store_sales", "ss", "ss_customer_sk")})
-  EXCEPT
-  ({_nd("catalog_sales", "cs", "cs_bill_customer_sk")})
-  EXCEPT
-  ({_nd("web_sales", "ws", "ws_bill_customer_sk")})) cool_cust
+WITH elsewhere AS ({_visits("web_sales", "ws_bill_customer_sk", "ws_sold_date_sk")}
+  UNION{_visits("catalog_sales", "cs_bill_customer_sk", "cs_sold_date_sk")}),
+stores_only AS ({_visits("store_sales", "ss_customer_sk", "ss_sold_date_sk")}
+  EXCEPT SELECT * FROM elsewhere)
+SELECT count(*) AS cool_cust_count FROM stores_only
 """)
 
 _SLOTS = (("h8_30_to_9", 8, ">= 30"), ("h9_to_9_30", 9, "< 30"), ("h9_30_to_10", 9, ">= 30"),

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, nz_div, top
+from .q08_zips import Q08_ZIPS
 from .registry import model
 
 WEEKDAYS = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
@@ -201,12 +202,6 @@ def q07(t, gender="F", marital="W", education="Primary", year=1998):
     return top(out, 100, "i_item_id")
 
 
-# The query's zip list has 400 entries; it is a parameter.  The default
-# holds the entries of that list that occur in the mart's zip domain, so
-# on the mart the answer equals the one of the full list.
-Q08_ZIPS = ("89436", "30868", "65085", "22977", "83927", "77557", "58429", "40697")
-
-
 @model
 def q08(t, zips=Q08_ZIPS, qoy=1, year=2002, min_preferred=10):
     """Store net profit where the store's 2-digit zip matches busy preferred-customer zips."""

@@ -74,10 +74,10 @@ def class_share(t, fact, item_col, date_col, amount, categories, start, days, li
          .groupBy("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
          .agg(F.sum(amount).alias("rev")))
     # the class total as an aggregate joined back, not a window: a class holds
-    # one row per item (unbounded), the totals one row per class (a fixed domain)
+    # one row per item (unbounded); Spark picks the join by the totals' size
     totals = g.groupBy(c("i_class").alias("cls")).agg(F.sum("rev").alias("class_rev"))
     share = dbl("rev") * 100 / dbl("class_rev")
-    out = g.join(F.broadcast(totals), c("i_class").eqNullSafe(c("cls"))).select(
+    out = g.join(totals, c("i_class").eqNullSafe(c("cls"))).select(
         "i_item_id", "i_item_desc", "i_category", "i_class", dbl("i_current_price").alias("i_current_price"),
         dbl("rev").alias("itemrevenue"), share.alias("revenueratio"))
     return top(out, limit, "i_category", "i_class", "i_item_id", "i_item_desc", "revenueratio")

@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
-from ..operators.relational import global_rank
+from ..operators.relational import global_rank, top_ranks
 from .q00s import WEEKDAYS, WEEKDAY_NAMES
 from .registry import model
 
@@ -93,11 +93,9 @@ def q44(t, store=2, share_tenths=9, n=10):
                      davg("ss_net_profit").alias("rank_col")))
     # avg > 0.9 * store average, as exact decimal arithmetic against one row
     kept = per_item.crossJoin(base).where(c("s") * c("bn") * 10 > c("bs") * share_tenths * c("cnt"))
-    # rank over all items without a single-task window (see global_rank)
-    asc = global_rank(kept.select("item_sk", "rank_col"), "rank_col", "rnk") \
-        .where(c("rnk") < n + 1).select("item_sk", "rnk")
-    desc = global_rank(kept.select(c("item_sk").alias("item_sk2"), "rank_col"), "rank_col", "rnk2", descending=True) \
-        .where(c("rnk2") < n + 1).select("item_sk2", "rnk2")
+    asc = top_ranks(kept.select("item_sk", "rank_col"), "rank_col", "rnk", n).select("item_sk", "rnk")
+    desc = top_ranks(kept.select(c("item_sk").alias("item_sk2"), "rank_col"), "rank_col", "rnk2", n, descending=True) \
+        .select("item_sk2", "rnk2")
     i1 = t.item.select(c("i_item_sk").alias("i1_sk"), c("i_product_name").alias("best_performing"))
     i2 = t.item.select(c("i_item_sk").alias("i2_sk"), c("i_product_name").alias("worst_performing"))
     out = (asc.join(desc, c("rnk") == c("rnk2"))

@@ -100,9 +100,8 @@ def q77(t, start="1998-08-04", days=30):
         (c("profit") - F.coalesce("profit_loss", zero)).alias("profit"))
     # the catalog pair has no join key: every call center's sales meet every
     # call center's returns (a cross join of two per-call-center aggregates)
-    # both sides hold one row per call center, a dimension of fixed small size,
-    # so the broadcast is bounded
-    catalog = cs.crossJoin(F.broadcast(cr)).select(F.lit("catalog channel").alias("channel"), "id", "sales", "returns",
+    # both sides hold one row per call center
+    catalog = cs.crossJoin(cr).select(F.lit("catalog channel").alias("channel"), "id", "sales", "returns",
                                       (c("profit") - c("profit_loss")).alias("profit"))
     web = ws.join(wr, c("id") == c("rid"), "left").select(
         F.lit("web channel").alias("channel"), "id", "sales", F.coalesce("returns", zero).alias("returns"),

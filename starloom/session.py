@@ -48,16 +48,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One JVM: local, local[n], local[*]; local-cluster has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as is; only when
-    it is unset (local tests) a fresh scratch folder is set.
+    it is unset on a local master (tests) a fresh scratch folder is set.  On a
+    cluster a machine-local folder would be lost or unseen, so that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         # set at startup: SparkContext already uses it for checkpoint()
         return current
+    if not is_local(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="starloom-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -398,7 +398,7 @@ def _date_dim(d: Dialect) -> str:
     day_name = _pick(D.DAY_NAMES, "(n + 1) % 7")
     return f"""
 SELECT CAST({SK0} + n AS BIGINT) AS d_date_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS d_date_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS d_date_id,
        d_date,
        CAST(year(d_date) AS INT) AS d_year,
        CAST(month(d_date) AS INT) AS d_moy,
@@ -425,7 +425,7 @@ def _time_dim(d: Dialect) -> str:
     )
     return f"""
 SELECT CAST(n AS BIGINT) AS t_time_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS t_time_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS t_time_id,
        CAST(n AS INT) AS t_time,
        CAST({hour} AS INT) AS t_hour,
        CAST({dv('n', '60')} % 60 AS INT) AS t_minute,
@@ -443,7 +443,7 @@ def _item(d: Dialect) -> str:
     class_ix = f"{dv(pk, '7')} % {len(D.CLASSES)}"
     return f"""
 SELECT CAST({pk} + 1 AS BIGINT) AS i_item_sk,
-       'AAAAAAAA' || lpad(CAST({pk} AS STRING), 8, '0') AS i_item_id,
+       'AAAAAAAA' || lpad(CAST({pk} AS STRING), 20, '0') AS i_item_id,
        p_name AS i_item_desc,
        {_money(f'100 + ({pk} * 7919) % 9900')} AS i_current_price,
        {_money(f'50 + ({pk} * 104729) % 5000')} AS i_wholesale_cost,
@@ -471,7 +471,7 @@ def _customer(d: Dialect) -> str:
     last = _pick(D.LAST_NAMES, dv(c, '2'))
     return f"""
 SELECT CAST({c} + 1 AS BIGINT) AS c_customer_sk,
-       'AAAAAAAA' || lpad(CAST({c} AS STRING), 8, '0') AS c_customer_id,
+       'AAAAAAAA' || lpad(CAST({c} AS STRING), 20, '0') AS c_customer_id,
        CAST(1 + ({c} * 7) % {N_CDEMO} AS BIGINT) AS c_current_cdemo_sk,
        CAST(1 + ({c} * 13) % {N_HDEMO} AS BIGINT) AS c_current_hdemo_sk,
        CAST({c} + 1 AS BIGINT) AS c_current_addr_sk,
@@ -497,7 +497,7 @@ def _customer_address(d: Dialect) -> str:
     c = "c_custkey"
     return f"""
 SELECT CAST({c} + 1 AS BIGINT) AS ca_address_sk,
-       'AAAAAAAA' || lpad(CAST({c} AS STRING), 8, '0') AS ca_address_id,
+       'AAAAAAAA' || lpad(CAST({c} AS STRING), 20, '0') AS ca_address_id,
        CAST(1 + ({c} * 37) % 999 AS STRING) AS ca_street_number,
        {_pick(D.STREET_NAMES, dv(c, '4'))} AS ca_street_name,
        {_pick(D.STREET_TYPES, dv(c, '9'))} AS ca_street_type,
@@ -555,7 +555,7 @@ def _store(d: Dialect) -> str:
     s = "n_nationkey"
     return f"""
 SELECT CAST({s} + 1 AS BIGINT) AS s_store_sk,
-       'AAAAAAAA' || lpad(CAST({s} AS STRING), 8, '0') AS s_store_id,
+       'AAAAAAAA' || lpad(CAST({s} AS STRING), 20, '0') AS s_store_id,
        {_pick(D.STORE_NAMES, s)} AS s_store_name,
        CAST(200 + ({s} * 37) % 100 AS INT) AS s_number_employees,
        CAST(5000 + ({s} * 311) % 4000 AS INT) AS s_floor_space,
@@ -580,7 +580,7 @@ def _warehouse(d: Dialect) -> str:
     w = "r_regionkey"
     return f"""
 SELECT CAST({w} + 1 AS BIGINT) AS w_warehouse_sk,
-       'AAAAAAAA' || lpad(CAST({w} AS STRING), 8, '0') AS w_warehouse_id,
+       'AAAAAAAA' || lpad(CAST({w} AS STRING), 20, '0') AS w_warehouse_id,
        {_pick(D.WAREHOUSE_NAMES, w)} AS w_warehouse_name,
        CAST(100000 + ({w} * 179731) % 900000 AS INT) AS w_warehouse_sq_ft,
        {_pick(D.CITIES, w)} AS w_city,
@@ -594,7 +594,7 @@ FROM {{src_region}}
 def _call_center(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS cc_call_center_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS cc_call_center_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS cc_call_center_id,
        {_pick(D.CALL_CENTER_NAMES, 'n')} AS cc_name,
        {_pick(D.FIRST_NAMES, 'n * 5')} || ' ' || {_pick(D.LAST_NAMES, 'n * 3')} AS cc_manager,
        CASE WHEN n % 2 = 0 THEN 'Williamson County' ELSE 'Bronx County' END AS cc_county
@@ -605,7 +605,7 @@ FROM {d.numbers(N_CALL_CENTER)} x
 def _web_site(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS web_site_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS web_site_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS web_site_id,
        'site_' || CAST(n % 10 AS STRING) AS web_name,
        {_pick(D.COMPANY_NAMES, 'n')} AS web_company_name
 FROM {d.numbers(N_WEB_SITE)} x
@@ -615,7 +615,7 @@ FROM {d.numbers(N_WEB_SITE)} x
 def _web_page(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS wp_web_page_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS wp_web_page_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS wp_web_page_id,
        CAST(4000 + (n * 97) % 3000 AS INT) AS wp_char_count
 FROM {d.numbers(N_WEB_PAGE)} x
 """
@@ -624,7 +624,7 @@ FROM {d.numbers(N_WEB_PAGE)} x
 def _ship_mode(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS sm_ship_mode_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS sm_ship_mode_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS sm_ship_mode_id,
        {_pick(D.SHIP_TYPES, 'n')} AS sm_type,
        {_pick(D.CARRIERS, 'n')} AS sm_carrier
 FROM {d.numbers(N_SHIP_MODE)} x
@@ -636,7 +636,7 @@ def _promotion(d: Dialect) -> str:
     yn = lambda bit: f"CASE WHEN {dv('n', str(bit))} % 2 = 0 THEN 'N' ELSE 'Y' END"
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS p_promo_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS p_promo_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS p_promo_id,
        {yn(1)} AS p_channel_dmail,
        {yn(2)} AS p_channel_email,
        {yn(4)} AS p_channel_catalog,
@@ -651,7 +651,7 @@ FROM {d.numbers(N_PROMO)} x
 def _reason(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS r_reason_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS r_reason_id,
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS r_reason_id,
        {_pick(D.REASONS, 'n')} AS r_reason_desc
 FROM {d.numbers(N_REASON)} x
 """
@@ -660,7 +660,7 @@ FROM {d.numbers(N_REASON)} x
 def _catalog_page(d: Dialect) -> str:
     return f"""
 SELECT CAST(n + 1 AS BIGINT) AS cp_catalog_page_sk,
-       'AAAAAAAA' || lpad(CAST(n AS STRING), 8, '0') AS cp_catalog_page_id
+       'AAAAAAAA' || lpad(CAST(n AS STRING), 20, '0') AS cp_catalog_page_id
 FROM {d.numbers(N_CATALOG_PAGE)} x
 """
 

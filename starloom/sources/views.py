@@ -16,11 +16,17 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from . import mart as M
 
+# tasks that one day's fact rows are dealt to when facts are partitioned by day
+DAY_TASKS = 8
+
 # partition column of each fact when the mart is written out
 _FACT_PARTITION = {
     "store_sales": "ss_sold_date_sk",
@@ -47,6 +53,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Mart:
     """Lazy access to the 24 mart tables of one source folder."""
 
@@ -61,6 +72,11 @@ class Mart:
             cls._cache[key] = inst
         return inst
 
+    @classmethod
+    def forget(cls, spark: SparkSession, src_dir: str) -> None:
+        """Drop what is known of a folder; its next use lists it anew."""
+        cls._cache.pop((id(spark), _norm_path(src_dir)), None)
+
     def _init(self, spark: SparkSession, src_dir: str) -> None:
         self.spark = spark
         self.src_dir = src_dir
@@ -133,23 +149,34 @@ def materialize_mart(spark: SparkSession, src_dir: str, out_dir: str,
     files, so it is off by default.  Overwrite makes re-runs idempotent;
     the marker file is written last.
     """
+    _delete(spark, os.path.join(out_dir, _MARKER))  # until the end this folder is not a mart
+    Mart.forget(spark, out_dir)
     mart = Mart(spark, src_dir)
+    lazy_base = None
     if not mart.materialized:
         # the lineitem x orders join feeds all seven facts: run it once,
         # write it, and derive every fact from the written copy
         mart._register_sources()
-        base_path = os.path.join(out_dir, "_base")
-        write = spark.table(mart.names["mart_base"]).write.mode("overwrite")
-        write.parquet(base_path)
+        lazy_base = spark.table(mart.names["mart_base"])
+        base_path = f"{ensure_checkpoint_dir(spark)}/mart-base-{uuid.uuid4().hex}"
+        lazy_base.write.parquet(base_path)
         spark.read.parquet(base_path).createOrReplaceTempView(mart.names["mart_base"])
         mart._frames.clear()
     for name in M.MART_TABLES:
         df = mart.table(name)
         key = _FACT_PARTITION.get(name)
-        if key is not None and not partition_facts:
+        if key is not None and partition_facts:
+            # a day's rows go to a few tasks, so folders hold few files and no day is one task
+            df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(DAY_TASKS))).repartition(key, "_salt").drop("_salt")
+        elif key is not None:
             df = df.sortWithinPartitions(key)
             key = None
         materialize(df, name, "table", os.path.join(out_dir, name), key)
     spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(
         os.path.join(out_dir, _MARKER))
+    if lazy_base is not None:  # the source's own views are as before
+        lazy_base.createOrReplaceTempView(mart.names["mart_base"])
+        mart._frames.clear()
+        _delete(spark, base_path)
+    Mart.forget(spark, out_dir)
     return out_dir

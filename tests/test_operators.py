@@ -141,3 +141,43 @@ def test_expected_count_report_flags_only_mismatches(spark):
     tables = {"store": spark.range(12).toDF("s"), "warehouse": spark.range(4).toDF("w")}
     rows = [tuple(r) for r in expected_count_report(tables, SF1_ROW_COUNTS).collect()]
     assert rows == [("warehouse", 5, 4)]
+
+
+def test_global_rank_without_exchange_reuse(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.operators.relational import global_rank, top_ranks
+
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(20000).select("id", F.pmod(F.xxhash64("id"), F.lit(5000)).cast("double").alias("v")).repartition(8)
+        df = df.withColumn("v", F.when(F.col("id") % 97 == 0, None).otherwise(F.col("v")))
+        want = df.toPandas()["v"].rank(method="min", na_option="bottom")
+        got = global_rank(df, "v", "rk", partitions=16).toPandas()
+        assert sorted(got["rk"]) == sorted(want.astype(int))
+        assert (got.sort_values("id")["rk"].values == df.toPandas().assign(r=want).sort_values("id")["r"].astype(int).values).all()
+        best = top_ranks(df, "v", "rk", 10).toPandas()
+        assert set(best["id"]) == set(got[got["rk"] <= 10]["id"]) and (best.set_index("id")["rk"] == got.set_index("id")["rk"].loc[best["id"]]).all()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_long_keys_keep_distinct_ids(spark):
+    from starloom.sources import mart as M
+
+    spark.sql("SELECT 123456789 AS p_partkey, 'a' AS p_name UNION ALL SELECT 123456780, 'b'").createOrReplaceTempView("long_part")
+    ids = spark.sql(M.table_sql("item", M.SPARK, {"src_part": "long_part"})).select("i_item_id").distinct().count()
+    assert ids == 2
+
+
+def test_q08_zip_list_is_whole():
+    from starloom.plans.q08_zips import Q08_ZIPS
+
+    assert len(set(Q08_ZIPS)) == 400 and all(len(z) == 5 for z in Q08_ZIPS)
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    from starloom.session import is_local
+
+    assert is_local("local[8]") and is_local("local")
+    assert not any(map(is_local, ("spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x")))

@@ -4,20 +4,21 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_MID, SF_SMALL
+from starloom.operators.entries import OPERATOR_QUERIES
 from starloom.oracle.check import compare
+from starloom.plans import MODELS
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
-NAMES = sorted(QUERIES)
+NAMES = sorted([*MODELS, *OPERATOR_QUERIES])
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(NAMES) <= set(QUERIES) and set(NAMES) <= set(ORACLE)
 
 
 def test_all_models_registered():
-    models = [n for n in NAMES if n.startswith("q")]
-    assert len(models) == 103
+    assert len(MODELS) == 103 and set(MODELS) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)

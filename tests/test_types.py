@@ -2,6 +2,8 @@
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from starloom.operators.entries import OPERATOR_QUERIES
+from starloom.plans import MODELS
 
 _SPARK = {"int": "int32", "smallint": "int32", "tinyint": "int32", "bigint": "int64", "double": "double",
           "float": "double", "string": "string", "date": "date", "boolean": "boolean"}
@@ -21,7 +23,7 @@ def _duck_type(t):
 def test_output_types_match(spark, duck_small):
     queries, sqls = entry.queries(), entry.oracle_sql()
     diffs = {}
-    for name in sorted(queries):
+    for name in sorted([*MODELS, *OPERATOR_QUERIES]):
         df = queries[name](spark, SF_SMALL)
         st = {f.name: _spark_type(f.dataType.simpleString()) for f in df.schema.fields}
         dt = {r[0]: _duck_type(r[1]) for r in duck_small.execute(f"DESCRIBE {sqls[name]}").fetchall()}
