@@ -144,7 +144,7 @@ def _tags(length: int, spans) -> np.ndarray:
     return out
 
 
-def training_set(texts: list[str], generated: int = 700, seed: int = 44) -> tuple[np.ndarray, np.ndarray]:
+def training_set(texts: list[str], generated: int = 1600, seed: int = 44) -> tuple[np.ndarray, np.ndarray]:
     """Windows of codes and tags: around base matches of ``texts``, and with generated spans set into them."""
     rng = np.random.default_rng(seed)
     codes, tags, carriers = [], [], []
@@ -165,9 +165,12 @@ def training_set(texts: list[str], generated: int = 700, seed: int = 44) -> tupl
         lo = int(rng.integers(0, max(1, len(text) - WINDOW)))
         if not TRIGGER.search(text[lo:lo + WINDOW]):
             carriers.append(text[lo:lo + WINDOW])
+    letters = list("abcdefghijklmnopqrstuvwxyz")
     carriers = carriers or ["words of a text that hold nothing in particular, one after the other until the window is full of them"]
     for _ in range(generated):
         carrier = carriers[int(rng.integers(0, len(carriers)))]
+        if rng.random() < 0.5:  # words of any letters, so that the corpus' own words are not the only ones outside spans
+            carrier = " ".join("".join(rng.choice(letters, int(rng.integers(1, 10)))) for _ in range(18))[:WINDOW]
         at = int(rng.integers(0, len(carrier) + 1))
         kind, span = _generated(rng)
         gap = str(rng.choice([" ", " ", ", ", ": ", "\n"]))

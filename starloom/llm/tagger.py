@@ -116,7 +116,7 @@ class Tagger:
         np.add.at(g["E"], codes, dxa + dxb[:, ::-1])
         return float((total - own).mean()), g
 
-    def train(self, codes: np.ndarray, tags: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.01, seed: int = 4) -> float:
+    def train(self, codes: np.ndarray, tags: np.ndarray, epochs: int = 10, batch: int = 48, rate: float = 0.01, seed: int = 4) -> float:
         """Adam over shuffled batches; the last epoch's mean loss."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
