@@ -4,7 +4,7 @@ Prints one JSON line:
   {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 The mart is first written once as parquet under the session's checkpoint
-folder (facts partitioned by date key), as a deployment would do before
+folder (facts sorted by date key inside files), as a deployment would do before
 serving many queries; its build time is reported as ``mart_build``.
 Each query is then collected once after one warm-up run of the first.
 """

@@ -40,7 +40,9 @@ def q02(t, year=2001, week_gap=53):
     sales = (t.web_sales.select(c("ws_sold_date_sk").alias("sold"), c("ws_ext_sales_price").alias("price"))
              .unionByName(t.catalog_sales.select(c("cs_sold_date_sk").alias("sold"),
                                                  c("cs_ext_sales_price").alias("price"))))
-    weekly = (sales.join(t.date_dim, c("sold") == c("d_date_sk"))
+    # only weeks that touch the two years are summed
+    wanted = t.date_dim.where(c("d_year").isin(year, year + 1)).select("d_week_seq").distinct()
+    weekly = (sales.join(t.date_dim.join(wanted, "d_week_seq", "left_semi"), c("sold") == c("d_date_sk"))
               .groupBy("d_week_seq").agg(*_weekday_sums(None, "d_day_name", "price")))
 
     def side(y, suffix):
@@ -143,8 +145,9 @@ def q05(t, start="1998-08-04", days=14):
                                   c("cr_return_amount").alias("returns"), c("cr_net_loss").alias("loss"))
     ws = t.web_sales.select(c("ws_web_site_sk").alias("outlet"), c("ws_sold_date_sk").alias("date_sk"),
                             c("ws_ext_sales_price").alias("sales"), c("ws_net_profit").alias("profit"))
-    # web returns carry no site: take it from the matching sale (left outer)
-    wr = (t.web_returns.join(t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
+    # web returns carry no site: take it from the matching sale (left outer), after the date filter
+    recent = t.web_returns.join(dates.select(c("d_date_sk").alias("_day")), c("wr_returned_date_sk") == c("_day"), "left_semi")
+    wr = (recent.join(t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
                              (c("wr_item_sk") == c("ws_item_sk")) & (c("wr_order_number") == c("ws_order_number")),
                              "left")
           .select(c("ws_web_site_sk").alias("outlet"), c("wr_returned_date_sk").alias("date_sk"),

@@ -217,15 +217,18 @@ def multi_warehouse_unreturned(t, sales, p, returns, rp, ship_date_col, addr_col
     # EXISTS(other line of the order from another warehouse) holds exactly when
     # the line has a warehouse and the order's warehouses are not all equal:
     # one partial aggregation per order instead of a join of line pairs
-    multi = (sales.groupBy(c(f"{p}_order_number").alias("mo"))
-             .agg(F.min(f"{p}_warehouse_sk").alias("wmin"), F.max(f"{p}_warehouse_sk").alias("wmax"))
-             .where(c("wmin") < c("wmax")).select("mo"))
     base = (sales.where(c(f"{p}_warehouse_sk").isNotNull())
             .join(dates, c(ship_date_col) == c("d_date_sk"))
             .join(t.customer_address.where(c("ca_state") == state).select("ca_address_sk"),
                   c(addr_col) == c("ca_address_sk"))
-            .join(outlet_filter[0], outlet_filter[1])
-            .join(multi, c(f"{p}_order_number") == c("mo"), "left_semi"))
+            .join(outlet_filter[0], outlet_filter[1]))
+    # over the orders that the other filters leave, not over all history
+    orders = base.select(c(f"{p}_order_number").alias("co")).distinct()
+    multi = (sales.select(c(f"{p}_order_number").alias("mo"), c(f"{p}_warehouse_sk").alias("w"))
+             .join(orders, c("mo") == c("co"), "left_semi")
+             .groupBy("mo").agg(F.min("w").alias("wmin"), F.max("w").alias("wmax"))
+             .where(c("wmin") < c("wmax")).select("mo"))
+    base = base.join(multi, c(f"{p}_order_number") == c("mo"), "left_semi")
     how = "left_semi" if returned else "left_anti"
     base = base.join(returns.select(c(f"{rp}_order_number").alias("ro")), c(f"{p}_order_number") == c("ro"), how)
     return base.agg(F.countDistinct(f"{p}_order_number").alias("order count"),

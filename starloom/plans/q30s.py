@@ -184,10 +184,13 @@ def items_in_stock_and_sold(t, fact, item_col, price_lo, manufacts, start, days)
              .join(dates, c("inv_date_sk") == c("d_date_sk")).select("inv_item_sk"))
     items = t.item.where(c("i_current_price").between(price_lo, price_lo + 30)
                          & c("i_manufact_id").isin(list(manufacts)))
+    # the few filtered items cut the fact down before it is a build side
+    sold = (fact.select(c(item_col).alias("sold"))
+            .join(items.select(c("i_item_sk").alias("listed")), c("sold") == c("listed"), "left_semi").distinct())
     # the query joins inventory and sales only to test presence; grouping
     # afterwards removes the repeats, so semi joins give the same rows
     out = (items.join(stock, c("i_item_sk") == c("inv_item_sk"), "left_semi")
-           .join(fact.select(c(item_col).alias("sold")), c("i_item_sk") == c("sold"), "left_semi")
+           .join(sold, c("i_item_sk") == c("sold"), "left_semi")
            .select("i_item_id", "i_item_desc", dbl("i_current_price").alias("i_current_price"))
            .distinct())
     return top(out, 100, "i_item_id")

@@ -202,7 +202,9 @@ def q58(t, day="1998-02-19"):
 @model
 def q59(t, month_seq=1185, week_gap=52):
     """Store weekday sales of a year vs the same weeks one year later."""
-    wss = (t.store_sales.join(t.date_dim.select("d_date_sk", "d_week_seq", "d_day_name"),
+    # only weeks that touch the two years are summed
+    wanted = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 23)).select("d_week_seq").distinct()
+    wss = (t.store_sales.join(t.date_dim.join(wanted, "d_week_seq", "left_semi").select("d_date_sk", "d_week_seq", "d_day_name"),
                               c("ss_sold_date_sk") == c("d_date_sk"))
            .groupBy("d_week_seq", "ss_store_sk").agg(*_weekday_sums(None, "d_day_name", "ss_sales_price")))
 

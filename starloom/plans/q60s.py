@@ -30,9 +30,11 @@ def q61(t, gmt=-7, category="Books", year=1999, moy=11):
             .join(t.item.where(c("i_category") == category).select("i_item_sk"), c("ss_item_sk") == c("i_item_sk")))
     promo = t.promotion.where((c("p_channel_dmail") == "Y") | (c("p_channel_email") == "Y")
                               | (c("p_channel_tv") == "Y")).select("p_promo_sk")
-    promotions = base.join(promo, c("ss_promo_sk") == c("p_promo_sk")).agg(dsum("ss_ext_sales_price").alias("promotions"))
-    total = base.agg(dsum("ss_ext_sales_price").alias("total"))
-    out = promotions.crossJoin(total).select(
+    # one pass: the promoted part is a conditional sum
+    sums = base.join(promo, c("ss_promo_sk") == c("p_promo_sk"), "left").agg(
+        dsum(F.when(c("p_promo_sk").isNotNull(), c("ss_ext_sales_price"))).alias("promotions"),
+        dsum("ss_ext_sales_price").alias("total"))
+    out = sums.select(
         "promotions", "total", (c("promotions") / c("total") * 100).alias("promotional_pct"))
     return top(out, 100, "promotions", "total")
 

@@ -13,7 +13,7 @@ def q75(t, category="Sports", year=2002):
     """Brand lines whose yearly count net of returns fell below 90% of the previous year."""
     items = t.item.where(c("i_category") == category) \
         .select("i_item_sk", "i_brand_id", "i_class_id", "i_category_id", "i_manufact_id")
-    dates = t.date_dim.select("d_date_sk", "d_year")
+    dates = t.date_dim.where(c("d_year").isin(year - 1, year)).select("d_date_sk", "d_year")
     parts = []
     for sales, p, returns, rp, key, rkey, ramt in (
             (t.catalog_sales, "cs", t.catalog_returns, "cr", "cs_order_number", "cr_order_number", "cr_return_amount"),
@@ -29,12 +29,13 @@ def q75(t, category="Sports", year=2002):
         parts.append(d)
     # UNION (not UNION ALL): identical detail rows across channels count once
     detail = parts[0].union(parts[1]).union(parts[2]).distinct()
-    all_sales = detail.groupBy(*_KEYS).agg(lsum("sales_cnt").alias("sales_cnt"), F.sum("sales_amt").alias("sales_amt"))
-    cur = all_sales.where(c("d_year") == year)
-    prev = all_sales.where(c("d_year") == year - 1).select(
-        c("d_year").alias("prev_year"), *[c(k).alias(f"p_{k}") for k in _KEYS[1:]],
-        c("sales_cnt").alias("prev_yr_cnt"), c("sales_amt").alias("prev_amt"))
-    j = cur.join(prev, [c(k) == c(f"p_{k}") for k in _KEYS[1:]])
+    # both years in one aggregate; a line needs rows in each of them
+    now, before = c("d_year") == year, c("d_year") == year - 1
+    j = detail.groupBy(*_KEYS[1:]).agg(
+        F.max("d_year").alias("d_year"), F.min("d_year").alias("prev_year"),
+        lsum(F.when(now, c("sales_cnt"))).alias("sales_cnt"), F.sum(F.when(now, c("sales_amt"))).alias("sales_amt"),
+        lsum(F.when(before, c("sales_cnt"))).alias("prev_yr_cnt"), F.sum(F.when(before, c("sales_amt"))).alias("prev_amt"))
+    j = j.dropna(subset=list(_KEYS[1:])).where((c("d_year") == year) & (c("prev_year") == year - 1))
     # cnt / prev_cnt < 0.9 with exact integers
     j = j.where((c("prev_yr_cnt") > 0) & (c("sales_cnt") * 10 < c("prev_yr_cnt") * 9))
     out = j.select("prev_year", c("d_year").alias("year"), "i_brand_id", "i_class_id", "i_category_id",

@@ -257,19 +257,19 @@ def q95(t, start="1999-05-01", days=60, state="TX", company="pri"):
     """Web orders from several warehouses that were returned: count, ship cost, profit."""
     lo = F.lit(start).cast("date")
     dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
-    # orders owning two lines from different warehouses, found by one
-    # aggregation per order instead of the self-join of its line pairs
-    multi = (t.web_sales.groupBy(c("ws_order_number").alias("mo"))
-             .agg(F.min("ws_warehouse_sk").alias("wmin"), F.max("ws_warehouse_sk").alias("wmax"))
-             .where(c("wmin") < c("wmax")).select("mo"))
-    returned = t.web_returns.select(c("wr_order_number").alias("ro")).join(multi, c("ro") == c("mo"), "left_semi")
     base = (t.web_sales.join(dates, c("ws_ship_date_sk") == c("d_date_sk"))
             .join(t.customer_address.where(c("ca_state") == state).select("ca_address_sk"),
                   c("ws_ship_addr_sk") == c("ca_address_sk"))
             .join(t.web_site.where(c("web_company_name") == company).select("web_site_sk"),
                   c("ws_web_site_sk") == c("web_site_sk"))
-            .join(multi, c("ws_order_number") == c("mo"), "left_semi")
-            .join(returned, c("ws_order_number") == c("ro"), "left_semi"))
+            .join(t.web_returns.select(c("wr_order_number").alias("ro")), c("ws_order_number") == c("ro"), "left_semi"))
+    # orders owning two lines from different warehouses, found by one aggregation
+    # per order that the other filters leave, not by a self-join of its line pairs
+    orders = base.select(c("ws_order_number").alias("co")).distinct()
+    multi = (t.web_sales.select(c("ws_order_number").alias("mo"), "ws_warehouse_sk").join(orders, c("mo") == c("co"), "left_semi")
+             .groupBy("mo").agg(F.min("ws_warehouse_sk").alias("wmin"), F.max("ws_warehouse_sk").alias("wmax"))
+             .where(c("wmin") < c("wmax")).select("mo"))
+    base = base.join(multi, c("ws_order_number") == c("mo"), "left_semi")
     return base.agg(F.countDistinct("ws_order_number").alias("order count"),
                     dbl(F.sum("ws_ext_ship_cost")).alias("total shipping cost"),
                     dbl(F.sum("ws_net_profit")).alias("total net profit"))
