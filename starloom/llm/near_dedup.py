@@ -122,23 +122,25 @@ def _wanted(batches, bitmap):
 
 
 def _deep_nodes(bitmap, trees: int, depth: int, k: int):
-    """(node, rep, size, sketch): the node of every deep tree that a document falls into, and one bit of each minwise token."""
+    """(nodes, rep, size, sketch): the node of every deep tree that a document falls into, and two bits of each minwise token."""
 
     def run(batches):
         for batch in _wanted(batches, bitmap):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for row, h, at in distinct_shingles(batch.column(1), k):
                 n = len(at) - 1
-                nodes, bits = np.zeros((n, trees), np.uint64), np.zeros((n, trees * depth), np.uint8)
+                nodes, bits = np.zeros((n, trees), np.uint64), np.zeros((n, trees * depth, 2), np.uint8)
                 for t in range(trees):
                     path = np.full(n, t + 1, np.uint64)
                     for d in range(depth):
                         s = 400 + 2 * (t * depth + d)
                         token = _reduce(np.minimum, (h ^ SEEDS[s]) * SEEDS[s + 1], at)
                         path = mix(path * np.uint64(31) + token)
-                        bits[:, t * depth + d] = (mix(token) & np.uint64(1)).astype(np.uint8)
+                        two = mix(token)
+                        bits[:, t * depth + d, 0] = (two & np.uint64(1)).astype(np.uint8)
+                        bits[:, t * depth + d, 1] = (two >> np.uint64(1) & np.uint64(1)).astype(np.uint8)
                     nodes[:, t] = path
-                sketch = np.packbits(bits, axis=1).view(np.int64)
+                sketch = np.packbits(bits.reshape(n, -1), axis=1).view(np.int64)
                 lists = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
                 yield pa.RecordBatch.from_arrays([lists(nodes.view(np.int64)), pa.array(ids[row:row + n]), pa.array(np.diff(at)), lists(np.ascontiguousarray(sketch))],
                                                  names=["nodes", "rep", "size", "sketch"])
@@ -157,12 +159,17 @@ def _sets(bitmap, k: int):
 
 
 def sketches_agree(a: str, b: str, words: int, percent: int, deviations: float = 4.5):
-    """Whether two one-bit sketches allow the similarity: bits agree with probability (1 + j) / 2, and
-    the estimate must not lie more than ``deviations`` standard deviations below the threshold (one pair in 300,000)."""
-    bits, j = 64 * words, percent / 100
-    least = j - deviations * 2 * float(np.sqrt((1 + j) / 2 * (1 - j) / 2 / bits))
-    differ = sum((F.bit_count(F.get(F.col(a), i).bitwiseXOR(F.get(F.col(b), i))) for i in range(words)), F.lit(0))
-    return differ <= int((1 - least) / 2 * bits)
+    """Whether two sketches of two-bit fields allow the similarity j: a field differs with probability
+    0.75 * (1 - j), and no more may differ than ``deviations`` standard deviations above what is expected
+    at the threshold (which bars one linked pair in 300,000 there)."""
+    fields, p = 32 * words, 0.75 * (1 - percent / 100)
+    most = int(p * fields + deviations * float(np.sqrt(p * (1 - p) * fields)))
+
+    def differing(i: int):
+        x = F.get(F.col(a), i).bitwiseXOR(F.get(F.col(b), i))
+        return F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    return sum((differing(i) for i in range(words)), F.lit(0)) <= most
 
 
 def profiles(docs: DataFrame, trees: int, depth: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,7 +219,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Full sets are made where the texts lie, for documents in ``pairs``, and only the sets travel."""
-        wanted = context.broadcast(id_bitmap(pairs.select(F.explode(F.array("a", "b")).alias("_w")), "_w"))
+        wanted = context.broadcast(id_bitmap(pairs.select(F.col("a").alias("_w")).unionByName(pairs.select(F.col("b").alias("_w"))), "_w"))
         sets = stored(texts.mapInArrow(_sets(wanted, k), "id long, set array<long>"), "sets").dropDuplicates(["id"])
         return confirmed(pairs, sets, percent)
 
@@ -262,7 +269,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
         component = connected_components(links)
     if deep_members is not None:
         placed = stored(mixed_of(deep_members, component), "deep_mixed").join(found.select("rep", "sketch"), "rep")
-        agree = sketches_agree("sketch", "_sketch", deep_trees * deep // 64, percent)
+        agree = sketches_agree("sketch", "_sketch", deep_trees * deep // 32, percent)
         last = stored(crossed(placed, agree).join(rest, ["a", "b"], "left_anti"), "last")
         if not last.isEmpty():
             links = stored(links.unionByName(confirm(last)), "links")
