@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.session import ensure_checkpoint_dir
@@ -44,14 +44,14 @@ def word_count(text: Column) -> Column:
 
 
 def bounded_sample(df: DataFrame, key: Column, bound: int, seed: int = 1, within: Column | None = None) -> DataFrame:
-    """At most ``bound`` rows (for each value of ``within``), those with the
-    smallest hash of ``key``: the same rows in every run.  Each map task keeps
-    at most ``bound`` rows per value before the exchange (window group limit)."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*([within] if within is not None else [])).orderBy("_h", "_t")
-    out = df.withColumns({"_h": F.xxhash64(key, F.lit(seed)), "_t": key})
-    return out.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= bound).drop("_h", "_t", "_r")
+    """At most ``bound`` rows (for each value of ``within``), those with the smallest hash of ``key``: the
+    same rows in every run.  Rows whose hash lies above twice the share that is needed are dropped where
+    they are, so about 2 * ``bound`` rows of a value meet in the window, however many there are."""
+    out = df.withColumns({"_h": F.xxhash64(key, F.lit(seed)), "_t": key, "_w": F.lit(0) if within is None else within})
+    counts = out.groupBy("_w").agg((F.lit(2.0 * bound + 64) / F.count("*")).alias("_share"))
+    near = F.col("_h").cast("double") <= F.lit(-(2.0 ** 63)) + F.least(F.lit(1.0), F.col("_share")) * F.lit(2.0 ** 64)
+    ranked = out.join(counts, "_w").filter(near).withColumn("_r", F.row_number().over(Window.partitionBy("_w").orderBy("_h", "_t")))
+    return ranked.filter(F.col("_r") <= bound).drop("_h", "_t", "_r", "_w", "_share")
 
 
 BITMAP = 27
