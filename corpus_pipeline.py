@@ -27,8 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of two or more lines are cut from the texts; every document stays."""
-    out = dedup_lines(docs.select(*COLUMNS))
+    """Later copies of repeated runs of two or more lines, and of lines of 50 or more words, are cut from the texts; every document stays."""
+    out = dedup_lines(docs.select(*COLUMNS), long_words=50)
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -13,6 +13,10 @@ later copies go.  Overlapping intervals join to maximal runs: a line is in a
 later copy of some run of ``min_lines`` or more lines exactly if an interval
 of depth ``min_lines`` covers it, so no deeper round can change the answer.
 
+With ``long_words`` a line of that many words is a run by itself: its later
+copies go whatever their neighbours are, also where blank lines part the
+paragraphs and where the line is the whole text.
+
 Only DataFrame operations: grouping (with partial aggregation, so a line that
 a third of all documents share is one row per map task) and equi-joins (which
 adaptive execution splits when one key is hot).
@@ -32,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stored
+from starloom.llm.common import stored, word_count
 
 # positions are doc_id * 2**LINE_BITS + line number
 LINE_BITS = 24
@@ -47,11 +51,11 @@ def _doubled(names: DataFrame, other: DataFrame, shift: int) -> DataFrame:
     return pairs.join(stored(heads, "heads"), ["_a", "_b"]).select("_p", "_n")
 
 
-def line_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Depth 1: (_p, _n) of every line that occurs at two positions or more."""
+def line_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 1) -> DataFrame:
+    """Depth 1: (_p, _n) of every line of ``least_words`` words or more that occurs at two positions or more."""
     lines = (docs.filter(F.col(id_col).isNotNull())
              .select(F.col(id_col).cast("long").alias("_d"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("_i", "_line"))
-             .filter(F.col("_line").rlike(r"[^\x20\x09-\x0D]"))
+             .filter(F.col("_line").rlike(r"[^\x20\x09-\x0D]") if least_words < 2 else word_count(F.col("_line")) >= least_words)
              .select((F.shiftleft("_d", LINE_BITS) + F.col("_i")).alias("_p"),
                      F.xxhash64("_line").alias("_h"), F.hash("_line").alias("_g")))
     heads = (lines.groupBy("_h", "_g").agg(F.min("_p").alias("_n"), F.max("_p").alias("_last"))
@@ -75,12 +79,14 @@ def _kept(lines: Column, gone: Column) -> Column:
     return F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", long_words: int | None = None) -> DataFrame:
     """``docs`` with its text cleaned of later copies of repeated line runs, and
     the columns n_lines, n_removed (lines) and n_runs (maximal removed runs)."""
-    gone = (repeated_runs(docs, min_lines, id_col, text_col).filter("_n < _p")
-            .select(F.shiftright("_p", LINE_BITS).alias("__line_doc"), F.col("_p").bitwiseAND((1 << LINE_BITS) - 1).cast("int").alias("_i"))
-            .select("__line_doc", F.explode(F.sequence("_i", F.col("_i") + (min_lines - 1))).alias("_i"))
+    later = repeated_runs(docs, min_lines, id_col, text_col).filter("_n < _p").select("_p", F.lit(min_lines).alias("_size"))
+    if long_words is not None:
+        later = later.unionByName(line_names(docs, id_col, text_col, long_words).filter("_n < _p").select("_p", F.lit(1).alias("_size")))
+    gone = (later.select(F.shiftright("_p", LINE_BITS).alias("__line_doc"), F.col("_p").bitwiseAND((1 << LINE_BITS) - 1).cast("int").alias("_i"), "_size")
+            .select("__line_doc", F.explode(F.sequence("_i", F.col("_i") + F.col("_size") - 1)).alias("_i"))
             .groupBy("__line_doc").agg(F.collect_set("_i").alias("__line_gone")))
     lines, gone_here = F.split(F.col(text_col), "\n", -1), F.col("__line_gone")
     out = docs.join(gone, F.col(id_col).cast("long") == F.col("__line_doc"), "left")

@@ -403,3 +403,12 @@ def test_line_dedup(docs, empty, k):
             assert (r.text or "") == want[r.doc_id]
     assert dedup_lines(empty, k).count() == 0
     assert set(dedup_lines(docs, k).columns) == {*docs.columns, "n_removed", "n_runs"}
+
+
+def test_line_dedup_long_lines(spark):
+    """A long line is a run by itself: among other neighbours, between blank lines and as a whole text."""
+    long, short = " ".join(f"w{i}" for i in range(50)), "a short line"
+    texts = ["first\n" + long + "\n" + short, long, "x\n" + long + "\ny", "p\n\n" + long + "\n\n" + short, short + "\nz", long + " more", None]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in dedup_lines(d, long_words=50).collect()}
+    assert got == {0: (texts[0], 0, 0), 1: ("", 1, 1), 2: ("x\ny", 1, 1), 3: ("p\n\n\n" + short, 1, 1), 4: (texts[4], 0, 0), 5: (texts[5], 0, 0), 6: (None, 0, 0)}
