@@ -38,34 +38,40 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import stored, word_count
 
-# positions are doc_id * 2**LINE_BITS + line number
-LINE_BITS = 24
+# a position is (_d id, _i line number); as one number that sorts alike it is id * 2**32 + line number, which
+# 38 digits hold for every id, and hash aggregates take it (they take no struct)
+PLACE = "decimal(38,0)"
+
+
+def _place() -> Column:
+    return (F.col("_d").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("_i")).cast(PLACE)
+
+
+def _heads(rows: DataFrame, *key: str) -> DataFrame:
+    """The earliest position of every key that stands at two positions or more."""
+    return (rows.groupBy(*key).agg(F.min(_place()).alias("_n"), F.max(_place()).alias("_last"))
+            .filter("_n < _last").drop("_last"))
 
 
 def _doubled(names: DataFrame, other: DataFrame, shift: int) -> DataFrame:
     """Names of windows that join the window at p with the one at p + shift."""
-    pairs = (names.select("_p", F.col("_n").alias("_a"))
-             .join(other.select((F.col("_p") - shift).alias("_p"), F.col("_n").alias("_b")), "_p"))
-    heads = (pairs.groupBy("_a", "_b").agg(F.min("_p").alias("_n"), F.max("_p").alias("_last"))
-             .filter("_n < _last").drop("_last"))
-    return pairs.join(stored(heads, "heads"), ["_a", "_b"]).select("_p", "_n")
+    pairs = (names.select("_d", "_i", F.col("_n").alias("_a"))
+             .join(other.select("_d", (F.col("_i") - shift).alias("_i"), F.col("_n").alias("_b")), ["_d", "_i"]))
+    return pairs.join(stored(_heads(pairs, "_a", "_b"), "heads"), ["_a", "_b"]).select("_d", "_i", "_n")
 
 
 def line_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 1) -> DataFrame:
-    """Depth 1: (_p, _n) of every line of ``least_words`` words or more that occurs at two positions or more."""
+    """Depth 1: (_d, _i, _n) of every line of ``least_words`` words or more that occurs at two positions or more."""
     lines = (docs.filter(F.col(id_col).isNotNull())
              .select(F.col(id_col).cast("long").alias("_d"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("_i", "_line"))
              .filter(F.col("_line").rlike(r"[^\x20\x09-\x0D]") if least_words < 2 else word_count(F.col("_line")) >= least_words)
-             .select((F.shiftleft("_d", LINE_BITS) + F.col("_i")).alias("_p"),
-                     F.xxhash64("_line").alias("_h"), F.hash("_line").alias("_g")))
-    heads = (lines.groupBy("_h", "_g").agg(F.min("_p").alias("_n"), F.max("_p").alias("_last"))
-             .filter("_n < _last").drop("_last"))
+             .select("_d", "_i", F.xxhash64("_line").alias("_h"), F.hash("_line").alias("_g")))
     # heads are written out: a join of two shuffled sides is one that adaptive execution can split at a hot line
-    return lines.join(stored(heads, "heads"), ["_h", "_g"]).select("_p", "_n").distinct()
+    return lines.join(stored(_heads(lines, "_h", "_g"), "heads"), ["_h", "_g"]).select("_d", "_i", "_n").distinct()
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_p, _n): every window of ``min_lines`` lines that occurs twice or more, with its earliest position."""
+    """(_d, _i, _n): every window of ``min_lines`` lines that occurs twice or more, with its earliest position."""
     names, depth = line_names(docs, id_col, text_col), 1
     while 2 * depth <= min_lines:
         names, depth = _doubled(names, names, depth), 2 * depth
@@ -82,11 +88,10 @@ def _kept(lines: Column, gone: Column) -> Column:
 def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", long_words: int | None = None) -> DataFrame:
     """``docs`` with its text cleaned of later copies of repeated line runs, and
     the columns n_lines, n_removed (lines) and n_runs (maximal removed runs)."""
-    later = repeated_runs(docs, min_lines, id_col, text_col).filter("_n < _p").select("_p", F.lit(min_lines).alias("_size"))
+    later = repeated_runs(docs, min_lines, id_col, text_col).filter(F.col("_n") < _place()).select("_d", "_i", F.lit(min_lines).alias("_size"))
     if long_words is not None:
-        later = later.unionByName(line_names(docs, id_col, text_col, long_words).filter("_n < _p").select("_p", F.lit(1).alias("_size")))
-    gone = (later.select(F.shiftright("_p", LINE_BITS).alias("__line_doc"), F.col("_p").bitwiseAND((1 << LINE_BITS) - 1).cast("int").alias("_i"), "_size")
-            .select("__line_doc", F.explode(F.sequence("_i", F.col("_i") + F.col("_size") - 1)).alias("_i"))
+        later = later.unionByName(line_names(docs, id_col, text_col, long_words).filter(F.col("_n") < _place()).select("_d", "_i", F.lit(1).alias("_size")))
+    gone = (later.select(F.col("_d").alias("__line_doc"), F.explode(F.sequence("_i", F.col("_i") + F.col("_size") - 1)).alias("_i"))
             .groupBy("__line_doc").agg(F.collect_set("_i").alias("__line_gone")))
     lines, gone_here = F.split(F.col(text_col), "\n", -1), F.col("__line_gone")
     out = docs.join(gone, F.col(id_col).cast("long") == F.col("__line_doc"), "left")

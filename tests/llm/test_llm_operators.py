@@ -412,3 +412,12 @@ def test_line_dedup_long_lines(spark):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in dedup_lines(d, long_words=50).collect()}
     assert got == {0: (texts[0], 0, 0), 1: ("", 1, 1), 2: ("x\ny", 1, 1), 3: ("p\n\n\n" + short, 1, 1), 4: (texts[4], 0, 0), 5: (texts[5], 0, 0), 6: (None, 0, 0)}
+
+
+def test_line_dedup_wide_ids(spark):
+    """Ids that differ only above bit 39, the largest ones and negative ones are documents of their own."""
+    ids = [-(2 ** 63), -5, 3, 3 + 2 ** 40, 3 + 2 ** 41, 2 ** 63 - 1]
+    data = [(i, f"own {n}\nsame one\nsame two\nlast {n}") for n, i in enumerate(ids)]
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in dedup_lines(d).collect()} == brute_lines(data, 2)
+    assert sum(r.n_removed for r in dedup_lines(d, long_words=2).collect()) == 2 * (len(ids) - 1)
