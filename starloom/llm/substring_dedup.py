@@ -19,7 +19,10 @@ so that equal strings meet:
    are repeated throughout and take part as partners.  An anchor with more than
    ``hot`` different contexts is split: strings whose anchor stands 2**j to
    2**(j+1)-1 bytes in share at least 2**j bytes before it, so they are dealt
-   by those bytes too.
+   by those bytes too.  Such a key can still hold any number of contexts (own
+   texts around one passage); where it holds more than ``key_bytes``, its starts
+   are not sorted but counted, by key and a hash of their ``length`` bytes, with
+   partial aggregation.  So no task holds more than its shard and one such key.
 4. Repeated starts return to their documents as byte ranges, which are joined
    and cut out.
 
@@ -109,32 +112,39 @@ def _anchor_rows(length):
     return run
 
 
-def _contexts(length, k):
-    """Rows (text, its list of contexts) to the contexts' bytes; hot ones cut by the anchor's distance."""
+def _parts(batch, length: int, k: int):
+    """(key, n, _d, _t, first, owned, bytes, hot) of a batch (text, its list of contexts); hot ones are cut by the anchor's distance."""
+    d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    lists = batch.column(3)
+    at = lists.offsets.to_numpy()
+    ah, n, first, owned, hot = (lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+    for row, data, offsets in batch_bytes(batch.column(2)):
+        raw = data.tobytes()
+        for i in range(len(offsets) - 1):
+            base = offsets[i]
+            for j in range(at[row + i] - at[0], at[row + i + 1] - at[0]):
+                lo = int(base + first[j])
+                parts = [(int(ah[j]), 0, int(owned[j]))]
+                if hot[j]:
+                    place = int(anchors(data[lo:lo + int(owned[j]) - 1 + length], np.array([0, int(owned[j]) - 1 + length]), length, k, False)[3][0])
+                    parts = _by_distance(raw, lo, place, int(owned[j]), int(ah[j]), length, k)
+                for key, a, b in parts:
+                    yield key, int(n[j]), int(d[row + i]), int(t[row + i]), int(first[j]) + a, b - a, raw[lo + a:lo + b - 1 + length], bool(hot[j])
+
+
+def _contexts(length, k, large):
+    """Rows (text, its list of contexts) to the contexts' bytes, without the keys that are too large to sort."""
 
     def run(batches):
         for batch in batches:
-            d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            lists = batch.column(3)
-            at = lists.offsets.to_numpy()
-            ah, n, first, owned, hot = (lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(5))
             out: list[list] = [[] for _ in range(7)]
             held = 0
-            for row, data, offsets in batch_bytes(batch.column(2)):
-                raw = data.tobytes()
-                for i in range(len(offsets) - 1):
-                    base = offsets[i]
-                    for j in range(at[row + i] - at[0], at[row + i + 1] - at[0]):
-                        lo = int(base + first[j])
-                        parts = [(int(ah[j]), 0, int(owned[j]))]
-                        if hot[j]:
-                            place = int(anchors(data[lo:lo + int(owned[j]) - 1 + length], np.array([0, int(owned[j]) - 1 + length]), length, k, False)[3][0])
-                            parts = list(_by_distance(raw, lo, place, int(owned[j]), int(ah[j]), length, k))
-                        for key, a, b in parts:
-                            body = raw[lo + a:lo + b - 1 + length]
-                            for col, v in zip(out, (key, int(n[j]), int(d[row + i]), int(t[row + i]), int(first[j]) + a, b - a, body)):
-                                col.append(v)
-                            held += len(body)
+            for *part, hot in _parts(batch, length, k):
+                if hot and part[0] in large.value:
+                    continue
+                for col, v in zip(out, part):
+                    col.append(v)
+                held += len(part[6])
                 if held > 4 << 20:
                     yield _rows(out)
                     out, held = [[] for _ in range(7)], 0
@@ -143,6 +153,45 @@ def _contexts(length, k):
     return run
 
 
+def _key_bytes(length, k):
+    """(key, bytes) of the hot contexts of a task."""
+
+    def run(batches):
+        for batch in batches:
+            held: dict[int, int] = {}
+            for key, *_, body, _ in _parts(batch, length, k):
+                held[key] = held.get(key, 0) + len(body)
+            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array(held.values(), pa.int64())], names=["key", "bytes"])
+
+    return run
+
+
+def _start_rows(out):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["key", "h", "_d", "_t", "lo", "n"])
+
+
+def _start_hashes(length, k, large):
+    """(key, h, _d, _t, lo, n) of every start whose key is too large to sort."""
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for key, n, d, t, first, owned, body, hot in _parts(batch, length, k):
+                if not hot or key not in large.value:
+                    continue
+                at = np.arange(owned)
+                h = span_hash(prefix_hash(np.frombuffer(body, np.uint8)), at, at + length).view(np.int64)
+                for col, v in zip(out, (np.full(owned, key), h, np.full(owned, d), np.full(owned, t), first + at, np.full(owned, n))):
+                    col.append(v)
+                if len(out[0]) == 4096:
+                    yield _start_rows(out)
+                    out = [[] for _ in range(6)]
+            if out[0]:
+                yield _start_rows(out)
+
+    return run
+
+
 def _rows(out):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["key", "n", "_d", "_t", "first", "owned", "body"])
@@ -244,9 +293,8 @@ def _cut(batches):
                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_ranges(texts: DataFrame, length: int, hot: int = 4096, shard_bytes: int = 6 << 20,
-                    budget: int = 64 << 20, in_memory: int = 4 << 20) -> DataFrame:
-    """(_d, _t, lo, hi): byte ranges of the rows (_d, _t, text) covered by repeated strings."""
+def candidates(texts: DataFrame, length: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """Ranges (_d, _t, lo, hi) of contexts with copies, and (_d, _t, c) of the contexts whose starts are to be compared."""
     twice = stored(texts.select("text").mapInArrow(_anchor_hashes(length), "ah long, n long")
                    .groupBy("ah").agg(F.sum("n").alias("n")).filter("n > 1").select("ah"), "twice")
     found = stored(texts.select("_d", "_t", "text").mapInArrow(_anchor_rows(length), FIELDS).join(twice, "ah"), "found")
@@ -258,13 +306,37 @@ def repeated_ranges(texts: DataFrame, length: int, hot: int = 4096, shard_bytes:
     several = classes.groupBy("ah").agg(F.count("*").alias("_k")).filter("_k > 1")
     wanted = stored(classes.join(several, "ah").select(
         "one._d", "one._t", F.struct("ah", "n", "one.first", "one.owned", (F.col("_k") > hot).cast("int").alias("hot")).alias("c")), "wanted")
+    return copies, wanted
+
+
+def too_large(texts: DataFrame, wanted: DataFrame, length: int, key_bytes: int) -> set[int]:
+    """The keys of hot anchors whose contexts have more than ``key_bytes`` bytes: one for each ``key_bytes`` of all contexts at most."""
+    lists = wanted.filter("c.hot = 1").groupBy("_d", "_t").agg(F.collect_list("c").alias("cs"))
+    if lists.isEmpty():
+        return set()
+    sizes = texts.join(lists, ["_d", "_t"]).select("_d", "_t", "text", "cs").mapInArrow(_key_bytes(length, K), "key long, bytes long")
+    return {r[0] for r in sizes.groupBy("key").agg(F.sum("bytes").alias("bytes")).filter(F.col("bytes") > key_bytes).select("key").collect()}
+
+
+def repeated_ranges(texts: DataFrame, length: int, hot: int = 4096, shard_bytes: int = 6 << 20,
+                    budget: int = 64 << 20, in_memory: int = 4 << 20, key_bytes: int = 6 << 20) -> DataFrame:
+    """(_d, _t, lo, hi): byte ranges of the rows (_d, _t, text) covered by repeated strings."""
+    copies, wanted = candidates(texts, length, hot)
+    keys = too_large(texts, wanted, length, key_bytes)
+    large = texts.sparkSession.sparkContext.broadcast(keys)
     volume = wanted.agg(F.sum(F.col("c.owned") + length)).first()[0] or 0
     shards = max(1, volume // shard_bytes, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) if volume > shard_bytes else 1)
     lists = wanted.groupBy("_d", "_t").agg(F.collect_list("c").alias("cs"))
-    bodies = (texts.join(lists, ["_d", "_t"]).select("_d", "_t", "text", "cs")
-              .mapInArrow(_contexts(length, K), "key long, n long, _d long, _t long, first int, owned int, body binary"))
+    held = texts.join(lists, ["_d", "_t"]).select("_d", "_t", "text", "cs")
+    bodies = (held.mapInArrow(_contexts(length, K, large), "key long, n long, _d long, _t long, first int, owned int, body binary"))
     partly = bodies.repartition(int(shards), "key").mapInArrow(_sort_shard(length, budget, in_memory), "_d long, _t long, lo int, hi int")
-    return copies.unionByName(partly)
+    out = copies.unionByName(partly)
+    if not keys:
+        return out
+    starts = stored(held.mapInArrow(_start_hashes(length, K, large), "key long, h long, _d long, _t long, lo long, n long"), "starts")
+    again = stored(starts.groupBy("key", "h").agg(F.sum("n").alias("_all")).filter("_all > 1").select("key", "h"), "again")
+    return out.unionByName(starts.filter("n < 2").join(again, ["key", "h"])
+                           .select("_d", "_t", F.col("lo").cast("int").alias("lo"), (F.col("lo") + length).cast("int").alias("hi")))
 
 
 def dedup_substrings(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -421,3 +421,32 @@ def test_line_dedup_wide_ids(spark):
     d = spark.createDataFrame(data, "doc_id long, text string")
     assert {r.doc_id: r.text for r in dedup_lines(d).collect()} == brute_lines(data, 2)
     assert sum(r.n_removed for r in dedup_lines(d, long_words=2).collect()) == 2 * (len(ids) - 1)
+
+
+def test_substring_dedup_large_keys(spark, monkeypatch):
+    """Own texts around one passage share keys; those that outgrow the bound are never sorted in one task."""
+    from pyspark.sql import functions as F
+
+    from starloom.llm import substring_dedup as sd
+
+    rng = random.Random(21)
+    passage = "".join(rng.choices("abcdefgh", k=300))
+    data = [(i, "".join(rng.choices("ijklmnop", k=150)) + passage[i % 3:] + "".join(rng.choices("ijklmnop", k=150))) for i in range(80)]
+    data += [(100, data[0][1]), (101, "z" + passage[40:260]), (102, passage[:150])]
+    d = spark.createDataFrame(data, "doc_id long, text string").repartition(3).cache()
+    most, contexts = [], sd._contexts
+
+    def watched(length, k, large):
+        run = contexts(length, k, large)
+        held = d.select("doc_id", F.xxhash64("text").alias("_t"), "text").withColumnRenamed("doc_id", "_d")
+        _, wanted = sd.candidates(held, length, 1)
+        lists = wanted.groupBy("_d", "_t").agg(F.collect_list("c").alias("cs"))
+        rows = held.join(lists, ["_d", "_t"]).select("_d", "_t", "text", "cs").mapInArrow(run, "key long, n long, _d long, _t long, first int, owned int, body binary")
+        most.append(max((r[0] for r in rows.groupBy("key").agg(F.sum(F.length("body"))).select("sum(length(body))").collect()), default=0))
+        return run
+
+    want = Counter(brute.substring_dedup(data, 200))
+    monkeypatch.setattr(sd, "_contexts", watched)
+    assert keyed(dedup_substrings(d, 200, hot=1)) == want
+    assert keyed(dedup_substrings(d, 200, hot=1, key_bytes=3000)) == want
+    assert most[0] > 3000 >= most[1]
