@@ -33,10 +33,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.select(*COLUMNS).filter("doc_id IS NULL"))
+    """One document of each near-duplicate group stays, the one with the smallest id; rows without an id come after all others."""
+    docs = docs.select(*COLUMNS)
+    if docs.filter("doc_id IS NULL").isEmpty():
+        kept = near_duplicates(docs).filter("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # a row key that sorts like the id, written once with the rows; _spread parts rows without an id (or of one id) among tasks
+    spread = docs.withColumn("_spread", F.monotonically_increasing_id())
+    keyed = stored(spread.orderBy(F.col("doc_id").asc_nulls_last(), "_spread").withColumn("_row", F.monotonically_increasing_id()).drop("_spread"), "keyed")
+    kept = near_duplicates(keyed, id_col="_row").filter("kept").select(F.col("doc_id").alias("_row"))
+    out = keyed.join(kept, "_row", "left_semi").select(*COLUMNS)
+    return out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with the number of copies and the words taken."""
-    mix = mix_sources(docs).filter("copies > 0").select(F.col("doc_id").alias("_id"), "size", "source_size", "target", "taken", "copies")
-    return docs.select(*COLUMNS).join(mix, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return mix_sources(docs, carry=tuple(COLUMNS)).filter("copies > 0").select(*COLUMNS, "size", "source_size", "target", "taken", "copies")
 
 
 STAGES = [

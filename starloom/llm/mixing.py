@@ -19,8 +19,9 @@ Defined results
 * null sources are one source, ordered last.
 * rows that repeat (doc_id, source, size) are one unit whose mass is their
   total size; each of them is taken equally often.
-* a null doc_id is an id of its own; an empty table gives an empty result.
-* input columns other than doc_id, source and text are not needed and not returned.
+* a null doc_id: each row is a unit of its own, by a row number that is written once with its size.
+* an empty table gives an empty result.
+* input columns other than doc_id, source and text are not needed; those in ``carry`` are returned.
 """
 
 from __future__ import annotations
@@ -123,20 +124,23 @@ def pivotal_round(units: DataFrame, seed: int = 8) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 8,
-                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken (words) and copies for every row of ``docs``."""
+                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken (words) and copies for every row of ``docs``; with ``carry``, those columns in place of doc_id."""
     sizes = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size")), "sizes")
+                               word_count(F.col(text_col)).alias("size"), F.monotonically_increasing_id().alias("_row"),
+                               *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]), "sizes")
     targets = stored(source_targets(sizes, weights, cap), "targets").withColumn("_s", F.xxhash64("source"))
     ratio = F.col("target") / F.col("source_size")
     placed = (sizes.withColumn("_s", F.xxhash64("source"))
               .join(targets.drop("source"), "_s")
               .withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(0).cast("long"))
               .withColumn("_f", F.when(F.col("source_size") > 0, ratio - F.floor(ratio)).otherwise(0.0))
-              .withColumn("_k", F.xxhash64("doc_id", "size", "_s")))
+              .withColumn("_k", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("row"), "_row", "size", "_s"))
+                          .otherwise(F.xxhash64("doc_id", "size", "_s"))))
     units = (placed.filter((F.col("size") > 0) & (F.col("_f") > 0))
              .groupBy("_s", "_k", "_f").agg(F.sum("size").alias("_m")))
     ups = pivotal_round(units, seed).filter("up = 1").select("_s", "_k", F.lit(1).alias("_up"))
     copies = F.when(F.col("size") > 0, F.col("_whole") + F.coalesce(F.col("_up"), F.lit(0))).otherwise(0).cast("long")
+    named = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)] or ["doc_id"]
     return (placed.join(ups, ["_s", "_k"], "left")
-            .select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies")))
+            .select(*named, "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies")))

@@ -39,3 +39,19 @@ def test_pipeline(spark):
     assert set(got) <= stay
     assert all(r.text == texts[i] and r.copies >= 1 and r.taken == r.copies * r.size for i, r in got.items())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "mixing"]
+
+
+def test_null_ids(spark):
+    """Rows without an id are deduplicated like others, and mixed row by row."""
+    text = lambda n: " ".join(f"w{n}x{j}" for j in range(40))
+    rows = [(2 ** 63 - 1, text(0)), (None, text(0)), (None, text(0) + " more"), *[(None, text(1))] * 5, (None, text(2)), (None, None), (-7, text(3)), (5, text(3))]
+    d = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).cache()
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, d, SF_SMALL).collect()), key=str)
+    assert got == sorted([(2 ** 63 - 1, text(0)), (None, text(1)), (None, text(2)), (None, None), (-7, text(3))], key=str)
+
+    # 60 rows of 10 words without an id in each source, weights 1 and 2
+    d = spark.createDataFrame([(None, f"{s}{i} " * 10, "en", s, i) for s in "ab" for i in range(60)], d.schema).repartition(3).cache()
+    out = corpus_pipeline.mixing(spark, d, SF_SMALL).collect()
+    assert len({r.text for r in out}) == len(out) <= 120
+    for s, target in (("a", 400), ("b", 800)):
+        assert abs(sum(r.taken for r in out if r.source == s) - target) <= 10
