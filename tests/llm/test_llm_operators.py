@@ -450,3 +450,14 @@ def test_substring_dedup_large_keys(spark, monkeypatch):
     assert keyed(dedup_substrings(d, 200, hot=1)) == want
     assert keyed(dedup_substrings(d, 200, hot=1, key_bytes=3000)) == want
     assert most[0] > 3000 >= most[1]
+
+
+def test_quality_sees_words(spark):
+    """Texts of one shape whose quality shows in their words alone."""
+    rng = random.Random(17)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(240)]
+    data = [(i, " ".join(rng.choices(vocabulary[:120] if i % 2 else vocabulary[120:], k=40))) for i in range(400)]
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    held = [r for r in quality.score_quality(d, labels).collect() if r.held_out]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 0.95 * len(held)
