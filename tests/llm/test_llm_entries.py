@@ -12,7 +12,7 @@ from starloom.oracle.check import compare
 
 
 def test_all_registered():
-    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES if n != "pipeline"} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES if n != "pipeline"} == {str(i) for i in range(1, 14)}
     assert "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
 
 
