@@ -35,6 +35,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +45,10 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+|[.,;:!?\n\x0b\x0c\r]")
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 TILE = 1024
-RUN = 1 << 21  # pairs that a task counts at once
-DISTINCT = 300_000  # words that a task's counter holds
+TEXT_RUN = 1 << 21  # bytes of texts that are cut into words at once
+RUN = 1 << 20  # pairs that a task counts at once
+DISTINCT = 200_000  # words that a task's counter holds
+REMEMBERED = 40_000  # words of a language whose hash a task remembers
 LONG_WORD = 200  # bytes; longer words get a hash whatever their rank
 BITS = 27
 HASHED = np.int64(1 << 62)
@@ -54,17 +57,17 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def _texts(batch: pa.RecordBatch):
     """(language, lower-cased bytes of runs of whole texts, a break after each) of a batch (lang, text)."""
-    by_lang: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if text:
-            by_lang.setdefault(lang, []).append(text.encode().translate(_LOWER))
-    for lang, texts in by_lang.items():
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size > 1 << 22 or i + 1 == len(texts):
-                yield lang, b"\n".join(texts[start:i + 1])
-                start, size = i + 1, 0
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start, done = 0, 0
+    while start < len(size):
+        stop = max(start + 1, int(np.searchsorted(size, done + TEXT_RUN, "right")))
+        by_lang: dict[str, list[bytes]] = {}
+        for lang, text in zip(*(batch.column(i).slice(start, stop - start).to_pylist() for i in (0, 1))):
+            if text:
+                by_lang.setdefault(lang, []).append(text.encode().translate(_LOWER))
+        for lang, texts in by_lang.items():
+            yield lang, b"\n".join(texts)
+        start, done = stop, int(size[stop - 1])
 
 
 def _count_words(batches):
@@ -109,7 +112,7 @@ class Words(dict):
     def __init__(self, lang: str, ranks: dict[bytes, int], bitmap, seed: int):
         super().__init__(ranks)
         self.update((bytes([b]), -1) for b in BREAKS)
-        self.lang, self.bitmap, self.seed, self.room = lang, bitmap, seed, len(self) + DISTINCT
+        self.lang, self.bitmap, self.seed, self.room = lang, bitmap, seed, len(self) + REMEMBERED
 
     def __missing__(self, word: bytes) -> int:
         if self.bitmap is None:
