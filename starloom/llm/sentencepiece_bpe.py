@@ -22,7 +22,7 @@ Characters outside the vocabulary become their UTF-8 bytes' pieces.
 
 Defined results
 * null text counts as empty: no ids, and an empty decoded text.
-* every text is encoded whole, whatever its length; texts are worked off in runs of about 2 MB,
+* every text is encoded whole, whatever its length; texts are worked off in runs of about 1 MB,
   and a longer one alone.
 * rows are independent: repeated rows give equal rows, null ids stay, an empty table gives an empty
   result, and other columns come along only if named in ``carry``.
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 from itertools import chain
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -42,42 +43,81 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"  # the mark that stands for a space in pieces
-KEPT = 200_000  # cuts whose ids a task remembers
+KEPT = 200_000  # cuts whose ids, and pairs whose compatibility, a task remembers
 KEPT_CHARS = 48  # longest cut that is remembered
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 20
+
+
+def _parsed(model: bytes):
+    """The model and its piece kinds; an error if the encoder would not do it justice."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto.FromString(model)
+    kind = pb.ModelProto.SentencePiece
+    norm = proto.normalizer_spec
+    if proto.trainer_spec.model_type != pb.TrainerSpec.BPE:
+        raise ValueError("not a BPE model")
+    if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces or {p.type for p in proto.pieces} & {kind.USER_DEFINED, kind.UNUSED}:
+        raise ValueError("models that rewrite characters or have user-defined or unused pieces are not supported")
+    return proto, kind
+
+
+class Decoder:
+    """What each id stands for in a text."""
+
+    def __init__(self, model: bytes):
+        proto, kind = _parsed(model)
+        self.prefix = bool(proto.normalizer_spec.add_dummy_prefix)
+        self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == kind.UNKNOWN)
+        self.surface = [p.piece.replace(SPACE, " ").encode() if p.type == kind.NORMAL else b"" for p in proto.pieces]
+        self.surface[self.unknown] = proto.trainer_spec.unk_surface.encode()
+        byte = {i: int(p.piece[3:5], 16) for i, p in enumerate(proto.pieces) if p.type == kind.BYTE}
+        for i, b in byte.items():
+            self.surface[i] = bytes([b])
+        self.byte_ids = frozenset(byte)
+        self.invisible = frozenset(i for i, p in enumerate(proto.pieces) if p.type == kind.CONTROL)
+
+    def decode(self, ids) -> str:
+        """The text of ids: spaces for marks (one at the front goes if the model adds one), runs of
+        byte pieces as UTF-8 with U+FFFD for each byte that is none, control pieces invisible."""
+        surface, out, run, start = self.surface, [], [], True
+        if self.byte_ids.isdisjoint(ids) and self.invisible.isdisjoint(ids):
+            text = b"".join(map(surface.__getitem__, ids)).decode()
+            return text[1:] if self.prefix and text.startswith(" ") and ids[0] != self.unknown else text
+        for i in chain(ids, (None,)):
+            if i is not None and i in self.byte_ids:
+                run.append(surface[i])
+                continue
+            if run:
+                out.append(_utf8(b"".join(run)))
+                run = []
+            if i is None:
+                break
+            if out and out[-1]:
+                start = False
+            text = surface[i].decode()
+            if start and self.prefix and i != self.unknown and text.startswith(" "):
+                text, start = text[1:], False
+            out.append(text)
+        return "".join(out)
 
 
 class Vocabulary:
     """Pieces, scores and byte pieces of a model file, and what follows from them."""
 
     def __init__(self, model: bytes):
-        from sentencepiece import sentencepiece_model_pb2 as pb
-
-        proto = pb.ModelProto.FromString(model)
-        kind = pb.ModelProto.SentencePiece
-        norm = proto.normalizer_spec
-        kinds = {p.type for p in proto.pieces}
-        if proto.trainer_spec.model_type != pb.TrainerSpec.BPE:
-            raise ValueError("not a BPE model")
-        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces or kinds & {kind.USER_DEFINED, kind.UNUSED}:
-            raise ValueError("models that rewrite characters or have user-defined or unused pieces are not supported")
-        self.prefix = bool(norm.add_dummy_prefix)
+        proto, kind = _parsed(model)
+        self.prefix = bool(proto.normalizer_spec.add_dummy_prefix)
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kind.NORMAL}
         self.score = {p.piece: p.score for p in proto.pieces if p.type == kind.NORMAL}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == kind.UNKNOWN)
         byte = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == kind.BYTE}
         self.bytes = [byte[b] for b in range(256)] if len(byte) == 256 else None
-        # what each id stands for in a decoded text: bytes, and whether they come from a byte piece
-        self.surface = [p.piece.replace(SPACE, " ").encode() if p.type == kind.NORMAL else b"" for p in proto.pieces]
-        self.surface[self.unknown] = proto.trainer_spec.unk_surface.encode()
-        for b, i in byte.items():
-            self.surface[i] = bytes([b])
-        self.byte_ids = frozenset(byte.values())
-        self.invisible = frozenset(i for i, p in enumerate(proto.pieces) if p.type == kind.CONTROL)
 
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (1 - len(piece), piece))
         self.automaton.make_automaton()
         # the longest piece (or single character) that is a proper prefix
         self._shorter = {p: next(p[:n] for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in self.ids) for p in self.ids if len(p) > 1}
@@ -138,8 +178,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self._apart) >= KEPT:
-            self._apart.clear()
+        _make_room(self._apart)
         self._apart[a, b] = out
         return out
 
@@ -147,10 +186,8 @@ class Vocabulary:
         """The encoding of a text (spaces already marked) as pieces and characters outside the vocabulary."""
         n = len(text)
         longest = list(text)  # at every position the longest piece, or the character itself
-        for end, piece in self.automaton.iter(text):
-            start = end + 1 - len(piece)
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
+        for end, (back, piece) in self.automaton.iter(text):
+            longest[end + back] = piece  # matches come by their end, so the longest is last
         failed, any_failed = bytearray(n // 8 + 1), False
         known, shorter = self._apart, self._shorter
         out: list[str] = []
@@ -177,41 +214,20 @@ class Vocabulary:
                 piece = shorter[last] if last in shorter else None
         return out
 
-    def encode_cut(self, cut: str) -> list[int]:
-        out: list[int] = []
-        for p in self.pieces(cut):
-            i = self.ids.get(p)
-            if i is not None:
-                out.append(i)
-            elif self.bytes is not None:
-                out.extend(self.bytes[b] for b in p.encode())
-            else:
-                out.append(self.unknown)
-        return out
+    def encode_cut(self, cut: str) -> tuple[int, ...]:
+        pieces = self.pieces(cut)
+        try:
+            return tuple(map(self.ids.__getitem__, pieces))
+        except KeyError:
+            unknown = (self.unknown,)
+            return tuple(chain.from_iterable((self.ids[p],) if p in self.ids else (self.bytes[b] for b in p.encode()) if self.bytes else unknown for p in pieces))
 
-    def decode(self, ids) -> str:
-        """The text of ids: spaces for marks (one at the front goes if the model adds one), runs of
-        byte pieces as UTF-8 with U+FFFD for each byte that is none, control pieces invisible."""
-        surface, out, run, start = self.surface, [], [], True
-        if self.byte_ids.isdisjoint(ids) and self.invisible.isdisjoint(ids):
-            text = b"".join(map(surface.__getitem__, ids)).decode()
-            return text[1:] if self.prefix and text.startswith(" ") and ids[0] != self.unknown else text
-        for i in chain(ids, (None,)):
-            if i is not None and i in self.byte_ids:
-                run.append(surface[i])
-                continue
-            if run:
-                out.append(_utf8(b"".join(run)))
-                run = []
-            if i is None:
-                break
-            if out and out[-1]:
-                start = False
-            text = surface[i].decode()
-            if start and self.prefix and i != self.unknown and text.startswith(" "):
-                text, start = text[1:], False
-            out.append(text)
-        return "".join(out)
+
+def _make_room(memory: dict) -> None:
+    """Forgets the latest half of a full memory: what came first is what is frequent."""
+    if len(memory) >= KEPT:
+        for _ in range(KEPT // 2):
+            memory.popitem()
 
 
 def _utf8(raw: bytes) -> str:
@@ -235,45 +251,60 @@ def _utf8(raw: bytes) -> str:
 
 
 class Encoder(dict):
-    """Cut -> ids, with a bounded memory."""
+    """Cut -> ids, with a bounded memory.  A word without marks stands for itself behind a space mark."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.by_word = vocabulary.prefix and vocabulary.cut is not None
 
-    def __missing__(self, cut: str) -> list[int]:
-        v = self.vocabulary
-        borders = [i for i in range(1, len(cut)) if cut[i - 1:i + 1] not in v.together]
-        if borders:
-            ids = list(chain.from_iterable(self[cut[a:b]] for a, b in zip([0, *borders], [*borders, len(cut)])))
-        else:
-            ids = v.encode_cut(cut)
-        if len(cut) <= KEPT_CHARS:
-            if len(self) >= KEPT:
-                self.clear()
-            self[cut] = ids
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.whole(word if SPACE in word or not self.by_word else SPACE + word)
+        if len(word) <= KEPT_CHARS:
+            _make_room(self)
+            self[word] = ids
+        return ids
+
+    def whole(self, cut: str) -> tuple[int, ...]:
+        """The ids of a cut, parted further where two characters stand together in no piece."""
+        together = self.vocabulary.together
+        if together.issuperset(map(add, cut, cut[1:])):
+            return self.vocabulary.encode_cut(cut)
+        borders = [i for i, pair in enumerate(map(add, cut, cut[1:]), 1) if pair not in together]
+        return tuple(chain.from_iterable(map(self.part, [cut[a:b] for a, b in zip([0, *borders], [*borders, len(cut)])])))
+
+    def part(self, part: str) -> tuple[int, ...]:
+        """Remembered like words: as the word if it is one, else under a key that no word has."""
+        if self.by_word and part[0] == SPACE and SPACE not in part[1:]:
+            return self[part[1:]]
+        key = None, part
+        ids = self.get(key)
+        if ids is None:
+            ids = self.vocabulary.encode_cut(part)
+            if len(part) <= KEPT_CHARS:
+                _make_room(self)
+                self[key] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
-        v = self.vocabulary
-        marked = text.replace(" ", SPACE)
-        if not marked:
+        if not text:
             return []
-        if v.prefix:
-            marked = SPACE + marked
-        cuts = v.cut.findall(marked) if v.cut else [marked]
-        return list(chain.from_iterable(map(self.__getitem__, cuts)))
+        if self.by_word and "  " not in text and text[0] != " " and SPACE not in text:
+            return list(chain.from_iterable(map(self.__getitem__, text.split(" "))))
+        v = self.vocabulary
+        marked = (SPACE if v.prefix else "") + text.replace(" ", SPACE)
+        return list(chain.from_iterable(map(self.whole, v.cut.findall(marked) if v.cut else [marked])))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_LOADED: dict[tuple, object] = {}
 
 
-def _encoder(model) -> Encoder:
-    """One encoder for each model in a Python worker, kept from task to task."""
-    key = hash(model.value)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(Vocabulary(model.value))
-    return _ENCODERS[key]
+def _loaded(kind, model):
+    """One encoder or decoder for each model in a Python worker, kept from task to task."""
+    key = kind, hash(model.value)
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(Vocabulary(model.value)) if kind is Encoder else kind(model.value)
+    return _LOADED[key]
 
 
 def _runs(batch: pa.RecordBatch, at: int):
@@ -290,7 +321,7 @@ def _runs(batch: pa.RecordBatch, at: int):
 
 def _with_ids(model):
     def run(batches):
-        encoder = _encoder(model)
+        encoder = _loaded(Encoder, model)
         for batch in batches:
             for part in _runs(batch, batch.num_columns - 1):
                 rows = [encoder.encode(t) if t else [] for t in part.column(part.num_columns - 1).to_pylist()]
@@ -303,10 +334,10 @@ def _with_ids(model):
 
 def _with_text(model):
     def run(batches):
-        vocabulary = _encoder(model).vocabulary
+        decoder = _loaded(Decoder, model)
         for batch in batches:
             ids = batch.column(batch.num_columns - 1)
-            texts = [vocabulary.decode([i for i in r if i is not None]) if r else "" for r in ids.to_pylist()]
+            texts = [decoder.decode([i for i in ids[r].as_py() or () if i is not None]) for r in range(len(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run
@@ -316,7 +347,7 @@ def _model(df: DataFrame, model_path: str):
     """The model file's bytes for all tasks: one vocabulary, whose size the data do not change."""
     with open(model_path, "rb") as f:
         raw = f.read()
-    Vocabulary(raw)  # an unsuitable model fails here, not in a task
+    _parsed(raw)  # an unsuitable model fails here, not in a task
     return df.sparkSession.sparkContext.broadcast(raw)
 
 
