@@ -49,6 +49,7 @@ TEXT_RUN = 1 << 21  # bytes of texts that are cut into words at once
 RUN = 1 << 20  # pairs that a task counts at once
 DISTINCT = 200_000  # words that a task's counter holds
 REMEMBERED = 40_000  # words of a language whose hash a task remembers
+SEQUENCE_RUN = 1 << 21  # bytes of sequences that are worked off at once
 LONG_WORD = 200  # bytes; longer words get a hash whatever their rank
 BITS = 27
 HASHED = np.int64(1 << 62)
@@ -56,7 +57,7 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _texts(batch: pa.RecordBatch):
-    """(language, lower-cased bytes of runs of whole texts, a break after each) of a batch (lang, text)."""
+    """(language, lower-cased bytes of whole texts) of runs of a batch (lang, text)."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
     start, done = 0, 0
     while start < len(size):
@@ -66,7 +67,7 @@ def _texts(batch: pa.RecordBatch):
             if text:
                 by_lang.setdefault(lang, []).append(text.encode().translate(_LOWER))
         for lang, texts in by_lang.items():
-            yield lang, b"\n".join(texts)
+            yield lang, texts
         start, done = stop, int(size[stop - 1])
 
 
@@ -87,8 +88,10 @@ def _count_words(batches):
         held.clear()
 
     for batch in batches:
-        for lang, data in _texts(batch):
-            held.setdefault(lang, Counter()).update(_TOKEN.findall(data))
+        for lang, texts in _texts(batch):
+            words = held.setdefault(lang, Counter())
+            for data in texts:
+                words.update(_TOKEN.findall(data))
             if sum(map(len, held.values())) > DISTINCT:
                 yield from flush()
     yield from flush()
@@ -179,28 +182,43 @@ def tile_counts(a: np.ndarray, b: np.ndarray, head: int) -> tuple[np.ndarray, np
 
 
 def _sequences(words):
-    """Batches (lang, text) to sequences of word ids, -1 where a phrase cannot go on."""
+    """Batches (lang, text) to each text's sequence of word ids, -1 where a phrase cannot go on."""
 
     def run(batches):
         ranks, bitmap, seed = words.value
         known: dict[str, Words] = {}
         for batch in batches:
-            for lang, data in _texts(batch):
+            for lang, texts in _texts(batch):
                 if lang not in known:
                     known[lang] = Words(lang, ranks.get(lang, {}), bitmap, seed)
-                tokens = _TOKEN.findall(data)
-                ids = np.fromiter(map(known[lang].__getitem__, tokens), np.int64, len(tokens))
-                ids = ids[(ids >= 0) | np.concatenate(([True], ids[:-1] >= 0))] if len(ids) else ids  # one -1 parts as well as many
-                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
+                rows = []
+                for data in texts:
+                    tokens = _TOKEN.findall(data)
+                    ids = np.fromiter(map(known[lang].__getitem__, tokens), np.int64, len(tokens))
+                    ids = ids[(ids >= 0) | np.concatenate(([True], ids[:-1] >= 0))] if len(ids) else ids  # one -1 parts as well as many
+                    if len(ids) > 1:
+                        rows.append(ids.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 
     return run
 
 
+def _joined(column: pa.Array):
+    """Sequences of a column as one, -1 between them, in runs of about SEQUENCE_RUN bytes or one longer sequence."""
+    held, size, part = [], 0, np.int64(-1).tobytes()
+    for i in range(len(column)):
+        held.append(column[i].as_py())
+        size += len(held[-1])
+        if size >= SEQUENCE_RUN or i + 1 == len(column):
+            yield np.frombuffer(part.join(held), np.int64)
+            held, size = [], 0
+
+
 def _count_pairs(levels, head: int):
     """Sequences to counted pairs (phrase of the last level, next word)."""
 
     def run(batches):
-        tables = levels.value
+        tables = [level.value for level in levels]
         held, size = [], 0
 
         def flush():
@@ -209,8 +227,7 @@ def _count_pairs(levels, head: int):
                 yield pa.RecordBatch.from_arrays([pa.array(x[s:s + 200_000].astype(np.int64)) for x in (a, b, c)], names=["a", "b", "c"])
 
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                w = np.frombuffer(raw, np.int64)
+            for w in _joined(batch.column(0)):
                 p, n = w, 1
                 for table in tables:
                     p = table.ids(p[: max(0, len(w) - n)], w[n:])
@@ -332,8 +349,7 @@ def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5, head: int
     before = stored(words.select("id", "lang", F.array("word").alias("words"), "c"), "phrases1")
     out, levels = [before], []
     for k in range(2, longest + 1):
-        tables = spark.sparkContext.broadcast(list(levels))
-        pairs = stored(sequences.mapInArrow(_count_pairs(tables, head), "a long, b long, c long")
+        pairs = stored(sequences.mapInArrow(_count_pairs(list(levels), head), "a long, b long, c long")
                        .groupBy("a", "b").agg(F.sum("c").alias("c")), f"pairs{k}")
         placed, level = _ranked_pairs(pairs, least, head)
         if placed is None:
@@ -343,7 +359,7 @@ def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5, head: int
         before = stored(placed.join(first, "a").join(last, "b")
                         .select("id", "lang", F.concat("words", F.array("word")).alias("words"), "c"), f"phrases{k}")
         out.append(before)
-        levels.append(level)
+        levels.append(spark.sparkContext.broadcast(level))  # each table travels once
     phrases = out[0]
     for p in out[1:]:
         phrases = phrases.unionByName(p)
