@@ -38,12 +38,13 @@ from operator import add
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"  # the mark that stands for a space in pieces
-KEPT = 200_000  # cuts whose ids, and pairs whose compatibility, a task remembers
+KEPT = 400_000  # cuts whose ids, and pairs whose compatibility, a task remembers
 KEPT_CHARS = 48  # longest cut that is remembered
 RUN_BYTES = 1 << 20
 
@@ -81,9 +82,13 @@ class Decoder:
         """The text of ids: spaces for marks (one at the front goes if the model adds one), runs of
         byte pieces as UTF-8 with U+FFFD for each byte that is none, control pieces invisible."""
         surface, out, run, start = self.surface, [], [], True
-        if self.byte_ids.isdisjoint(ids) and self.invisible.isdisjoint(ids):
-            text = b"".join(map(surface.__getitem__, ids)).decode()
-            return text[1:] if self.prefix and text.startswith(" ") and ids[0] != self.unknown else text
+        if ids and self.invisible.isdisjoint(ids):
+            try:  # pieces end between characters, so bytes that are valid in all are valid run by run
+                text = b"".join(map(surface.__getitem__, ids)).decode()
+            except UnicodeDecodeError:
+                pass
+            else:
+                return text[1:] if self.prefix and text[:1] == " " and ids[0] != self.unknown and ids[0] not in self.byte_ids else text
         for i in chain(ids, (None,)):
             if i is not None and i in self.byte_ids:
                 run.append(surface[i])
@@ -309,8 +314,6 @@ def _loaded(kind, model):
 
 def _runs(batch: pa.RecordBatch, at: int):
     """Slices of a batch with about RUN_BYTES of column ``at`` each."""
-    import pyarrow.compute as pc
-
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
     start, done = 0, 0
     while start < len(size):
@@ -337,7 +340,13 @@ def _with_text(model):
         decoder = _loaded(Decoder, model)
         for batch in batches:
             ids = batch.column(batch.num_columns - 1)
-            texts = [decoder.decode([i for i in ids[r].as_py() or () if i is not None]) for r in range(len(ids))]
+            flat = ids.flatten()  # of the rows that are not null
+            if flat.null_count:
+                rows = [[i for i in r if i is not None] if r else [] for r in ids.to_pylist()]
+            else:
+                flat, at = flat.to_numpy(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))))
+                rows = (flat[a:b].tolist() for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
+            texts = [decoder.decode(r) for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run
