@@ -8,13 +8,14 @@ recurring patterns and are what the operator-level entries exercise.
 
 from __future__ import annotations
 
+import weakref
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-from ..session import ensure_checkpoint_dir
+from pyspark.sql import types as T
 
 
 def select_all(df: DataFrame) -> DataFrame:
@@ -181,31 +182,81 @@ def except_(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """A sub-plan with several consumers, evaluated once whatever exchange reuse does.
+
+    The executors keep its rows (memory, then disk) from the first action on; nothing runs
+    before that, and blocks that are lost with an executor are made again from their
+    lineage.  Inside a model the rows go when the model's result is no longer referenced;
+    elsewhere call ``unpersist`` on the returned frame.  Frames derived from a result
+    that is gone stay right, they evaluate the sub-plan anew.
+    """
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _OPEN:
+        _OPEN[-1].append(df)
+    return df
+
+
+_OPEN: list[list[DataFrame]] = []  # shared frames of the models that are being built
+
+
+def sharing(build):
+    """Calls ``build`` and ties the shared frames made in it to the life of its result."""
+    _OPEN.append([])
+    try:
+        out = build()
+    finally:
+        frames = _OPEN.pop()
+    if frames:
+        weakref.finalize(out, _release, frames).atexit = False
+    return out
+
+
+def _release(frames: list[DataFrame]) -> None:
+    for f in frames:
+        f.unpersist()
+
+
+def value_bucket(col: str, kind: T.DataType) -> Column:
+    """A bucket number that never falls as the value grows, so ranks can be counted bucket by bucket.
+
+    Numbers: 4096 buckets for each doubling of the magnitude (a logarithm never falls as its
+    argument grows), at most about 2**24 of them, NaN the last.  Texts: their first three bytes.
+    NULL has the bucket NULL.
+    """
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 3)), 6, "0")
+        return F.conv(head, 16, 10).cast("long")
+    v = (F.unix_micros(F.col(col).cast("timestamp")) if isinstance(kind, (T.DateType, T.TimestampType)) else F.col(col)).cast("double")
+    size = F.greatest(F.lit(1.0), F.floor((F.log2(F.least(F.abs(v), F.lit(1.7e308))) + 1100) * 4096))
+    return (F.when(F.isnan(v), F.lit(1e8)).when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0.0))).cast("long")
+
+
 def global_rank(df: DataFrame, col: str, name: str, descending: bool = False,
                 partitions: int | None = None) -> DataFrame:
     """Exact ``rank() OVER (ORDER BY col [DESC] NULLS LAST)`` without a single-task window.
 
     rank(v) = 1 + number of rows ordered before v.  Rows are first counted
     per distinct value (ties collapse in a partial aggregation, so a value
-    shared by a third of the rows is one row here), the distinct values are
-    range-partitioned in order, a running count inside each partition plus
-    the total of all earlier partitions gives each value its rank, and the
-    rank is joined back by value (NULL-safe).  The per-partition offsets are
-    one row per partition, a bounded broadcast.  Range boundaries are sampled,
-    so the ranged values are written once, partition number included, to the
-    shared checkpoint folder: both uses read the same partitions.
+    shared by a third of the rows is one row here); ``value_bucket`` deals the
+    distinct values to buckets in order, a running count inside each bucket
+    plus the total of all earlier buckets (one row per bucket, a bounded number)
+    gives each value its rank, and the rank is joined back by value (NULL-safe).
+    The bucket follows from the value alone, so nothing is sampled and nothing runs
+    before the action.  ``partitions`` is the number of tasks the buckets are dealt to
+    (default: the session's shuffle partitions).
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = df.schema[col].dataType
     order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
-    vals = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = vals.repartitionByRange(n, order).withColumn("_rp", F.spark_partition_id()).checkpoint()
-    before = F.sum("_c").over(W.partitionBy("_rp").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
-    local = ranged.withColumn("_before", F.coalesce(before, F.lit(0)))
-    totals = ranged.groupBy("_rp").agg(F.sum("_c").alias("_t"))
-    offsets = totals.select("_rp", F.coalesce(F.sum("_t").over(W.orderBy("_rp").rowsBetween(W.unboundedPreceding, -1)),
-                                              F.lit(0)).alias("_off"))
-    ranks = (local.join(F.broadcast(offsets), "_rp")
+    bucket_order = F.col("_b").desc_nulls_last() if descending else F.col("_b").asc_nulls_last()
+    vals = shared(df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", value_bucket(col, kind)))
+    dealt = vals.repartition(partitions, "_b") if partitions else vals
+    before = F.sum("_c").over(W.partitionBy("_b").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    local = dealt.withColumn("_before", F.coalesce(before, F.lit(0)))
+    earlier = F.sum("_t").over(W.orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1))
+    offsets = (vals.groupBy("_b").agg(F.sum("_c").alias("_t"))
+               .select(F.col("_b").alias("_ob"), F.coalesce(earlier, F.lit(0)).alias("_off")))
+    ranks = (local.join(offsets, F.col("_b").eqNullSafe(F.col("_ob")))
              .select(F.col(col).alias("_v"), (F.col("_off") + F.col("_before") + 1).cast("long").alias(name)))
     return df.join(ranks, df[col].eqNullSafe(ranks["_v"])).drop("_v")
 

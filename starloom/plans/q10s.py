@@ -1,5 +1,6 @@
 """Query models q10-q19."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, r6, top
@@ -119,79 +120,74 @@ def q13(t, year=2001):
 _CHANNELS = (("store", "store_sales", "ss"), ("catalog", "catalog_sales", "cs"), ("web", "web_sales", "ws"))
 
 
-def _item_totals(t, y_lo, y_hi):
-    """Per channel and item: sum and count of quantity * list price in [y_lo, y_hi].
+_TRIPLE = ("i_brand_id", "i_class_id", "i_category_id")
 
-    One aggregation per channel serves both the cross-channel item set and
-    the overall average, so each fact is scanned once for the two.
-    """
-    days = t.date_dim.where(c("d_year").between(y_lo, y_hi)).select("d_date_sk")
-    out = []
-    for _, table, p in _CHANNELS:
-        v = c(f"{p}_quantity") * c(f"{p}_list_price")
-        out.append(getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-                   .groupBy(c(f"{p}_item_sk").alias("it")).agg(F.sum(v).alias("s"), F.count(v).alias("n")))
-    return out
-
-
-def cross_items(totals, item):
-    """Items whose brand/class/category sold in all three channels."""
-    keys = None
-    for per_item in totals:
-        k = per_item.join(item, c("it") == c("i_item_sk")).select("i_brand_id", "i_class_id", "i_category_id")
-        keys = k if keys is None else keys.intersect(k)
-    return item.join(keys, ["i_brand_id", "i_class_id", "i_category_id"]).select(c("i_item_sk").alias("ci_sk"))
 
+def _brand_sales(t, windows, y_lo, y_hi, calendar=None):
+    """One row per brand, class and category of all channels, each fact read once.
 
-def average_sales(totals):
-    """One row: mean of quantity * list price over the three channels."""
-    u = totals[0].unionByName(totals[1]).unionByName(totals[2])
-    return u.agg((dbl(F.sum("s")) / F.sum("n")).alias("average_sales"))
+    ``windows`` maps a name to (condition on the calendar, by default date_dim, and channels).  Columns: in how many
+    channels the triple sold in [y_lo, y_hi]; for every window and channel the
+    sum (``name_channel``) and number (``name_channel_n``) of sales; and
+    ``average_sales``, the mean of quantity * list price in [y_lo, y_hi] over all
+    channels and rows.  The mean is a window over the triples, whose number
+    the product hierarchy bounds, not the sales.
+    """
+    years = c("d_year").between(y_lo, y_hi)
+    flags = [years.alias("in_years"), *[cond.alias(w) for w, (cond, _) in windows.items()]]
+    days = (t.date_dim if calendar is None else calendar).select("d_date_sk", *flags).where(" OR ".join(["in_years", *windows]))
+    u = None
+    for ch, table, p in _CHANNELS:
+        part = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .select(F.lit(ch).alias("ch"), c(f"{p}_item_sk").alias("it"),
+                        (c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v"), "in_years", *windows))
+        u = part if u is None else u.unionByName(part)
+    own = [(f"{w}_{ch}", c(w) & (c("ch") == ch)) for w, (_, chs) in windows.items() for ch in chs]
+    per_item = u.groupBy("it").agg(
+        F.sum(F.when(c("in_years"), c("v"))).alias("s"), F.count(F.when(c("in_years"), c("v"))).alias("n"),
+        *[F.max(c("in_years") & (c("ch") == ch)).alias(f"in_{ch}") for ch, _, _ in _CHANNELS],
+        *[F.sum(F.when(cond, c("v"))).alias(name) for name, cond in own],
+        *[F.count(F.when(cond, 1)).alias(f"{name}_n") for name, cond in own])
+    triples = (per_item.join(t.item.select("i_item_sk", *_TRIPLE), c("it") == c("i_item_sk"), "left").groupBy(*_TRIPLE).agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"),
+        sum((F.coalesce(F.max(f"in_{ch}"), F.lit(False)).cast("int") for ch, _, _ in _CHANNELS), F.lit(0)).alias("channels"),
+        *[F.sum(name).alias(name) for name, _ in own], *[F.sum(f"{name}_n").alias(f"{name}_n") for name, _ in own]))
+    everything = W.partitionBy()
+    return triples.withColumn("average_sales", dbl(F.sum("s").over(everything)) / F.sum("n").over(everything))
 
 
-def _channel_brand_sales(t, table, p, days, items, avg):
-    return (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-            .join(items, c(f"{p}_item_sk") == c("ci_sk"), "left_semi")
-            .join(t.item, c(f"{p}_item_sk") == c("i_item_sk"))
-            .groupBy("i_brand_id", "i_class_id", "i_category_id")
-            .agg(F.sum(c(f"{p}_quantity") * c(f"{p}_list_price")).alias("sales"),
-                 F.count(F.lit(1)).alias("number_sales"))
-            .crossJoin(avg).where(dbl("sales") > c("average_sales")).drop("average_sales"))
+def _cross_channel(triples):
+    """Triples that sold in all three channels; a triple without brand, class or category matches no item."""
+    return triples.where(c("channels") == len(_CHANNELS)).dropna(subset=list(_TRIPLE))
 
 
 @model
 def q14a(t, year_lo=1998, year=2000, moy=11):
     """Cross-channel items: per channel brand sales above the overall average, with subtotals."""
-    totals = _item_totals(t, year_lo, year_lo + 2)
-    items, avg = cross_items(totals, t.item), average_sales(totals)
-    days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
-    u = None
-    for ch, table, p in _CHANNELS:
-        part = _channel_brand_sales(t, table, p, days, items, avg).select(F.lit(ch).alias("channel"), "*")
-        u = part if u is None else u.unionByName(part)
-    out = (u.rollup("channel", "i_brand_id", "i_class_id", "i_category_id")
+    channels = [ch for ch, _, _ in _CHANNELS]
+    triples = _cross_channel(_brand_sales(t, {"now": ((c("d_year") == year) & (c("d_moy") == moy), channels)}, year_lo, year_lo + 2))
+    sales = F.explode(F.array(*[F.struct(F.lit(ch).alias("channel"), c(f"now_{ch}").alias("sales"), c(f"now_{ch}_n").alias("number_sales"))
+                                for ch in channels])).alias("x")
+    u = (triples.select(*_TRIPLE, "average_sales", sales).select("x.channel", *_TRIPLE, "x.sales", "x.number_sales", "average_sales")
+         .where(dbl("sales") > c("average_sales")))
+    out = (u.rollup("channel", *_TRIPLE)
            .agg(dsum("sales").alias("total_sales"), lsum("number_sales").alias("total_number_sales")))
-    return top(out, 100, "channel", "i_brand_id", "i_class_id", "i_category_id")
+    return top(out, 100, "channel", *_TRIPLE)
 
 
 @model
 def q14b(t, year_lo=1998, year=1999, moy=12, dom=16):
     """Cross-channel items: store sales of one week this year vs the same week last year."""
-    totals = _item_totals(t, year_lo, year_lo + 2)
-    items, avg = cross_items(totals, t.item), average_sales(totals)
-
-    def week(y, tag):
-        wk = (t.date_dim.where((c("d_year") == y) & (c("d_moy") == moy) & (c("d_dom") == dom))
-              .select(c("d_week_seq").alias("wk")))
-        days = t.date_dim.join(wk, c("d_week_seq") == c("wk")).select("d_date_sk")
-        s = _channel_brand_sales(t, "store_sales", "ss", days, items, avg)
-        return s.select(F.lit("store").alias(f"{tag}_channel"), c("i_brand_id").alias(f"{tag}_brand"),
-                        c("i_class_id").alias(f"{tag}_class"), c("i_category_id").alias(f"{tag}_category"),
-                        dbl("sales").alias(f"{tag}_sales"), c("number_sales").alias(f"{tag}_number_sales"))
-
-    ty, ly = week(year, "ty"), week(year - 1, "ly")
-    out = ty.join(ly, (c("ty_brand") == c("ly_brand")) & (c("ty_class") == c("ly_class"))
-                  & (c("ty_category") == c("ly_category")))
+    weeks = (t.date_dim.where(c("d_year").isin(year, year - 1) & (c("d_moy") == moy) & (c("d_dom") == dom))
+             .select(c("d_year").alias("wk_year"), c("d_week_seq").alias("wk")))
+    calendar = (t.date_dim.join(weeks, c("d_week_seq") == c("wk"), "left"))
+    week = {tag: (F.coalesce(c("wk_year") == y, F.lit(False)), ["store"]) for tag, y in (("ty", year), ("ly", year - 1))}
+    triples = _cross_channel(_brand_sales(t, week, year_lo, year_lo + 2, calendar))
+    out = triples.where((dbl("ty_store") > c("average_sales")) & (dbl("ly_store") > c("average_sales")))
+    out = out.select(*[x for tag in week for x in (
+        F.lit("store").alias(f"{tag}_channel"), c("i_brand_id").alias(f"{tag}_brand"), c("i_class_id").alias(f"{tag}_class"),
+        c("i_category_id").alias(f"{tag}_category"), dbl(f"{tag}_store").alias(f"{tag}_sales"),
+        c(f"{tag}_store_n").alias(f"{tag}_number_sales"))])
     return top(out, 100, "ty_channel", "ty_brand", "ty_class", "ty_category")
 
 

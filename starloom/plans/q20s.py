@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
+from ..operators.relational import shared
 from .q10s import class_share, sale_return_rebuy
 from .registry import model
 
@@ -45,44 +46,42 @@ def q22(t, month_seq=1212):
     return top(out.select(*keys, "qoh"), 100, "qoh", *keys)
 
 
-def _frequent_items(t, years, min_count):
+def _store_history(t, years):
+    """Of one pass over store_sales: rows of (item, day) in ``years`` with their number of sales (gid 1), and
+    rows of customers with their spend of all time and in ``years`` (gid 6)."""
     days = t.date_dim.where(c("d_year").isin(list(years))).select("d_date_sk", "d_date")
-    return (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
-            .join(t.item, c("ss_item_sk") == c("i_item_sk"))
-            .groupBy(F.substring("i_item_desc", 1, 30), c("i_item_sk").alias("fi_sk"), "d_date")
-            .agg(F.count(F.lit(1)).alias("cnt")).where(c("cnt") > min_count).select("fi_sk"))
-
-
-def _best_customers(t, years, share):
-    days = t.date_dim.where(c("d_year").isin(list(years))).select("d_date_sk")
     spend = c("ss_quantity") * c("ss_sales_price")
-    cmax = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
-            .join(t.customer.select("c_customer_sk"), c("ss_customer_sk") == c("c_customer_sk"))
-            .groupBy("c_customer_sk").agg(F.sum(spend).alias("cs"))
-            .agg(F.max("cs").alias("cmax")))
-    total = (t.store_sales.join(t.customer.select("c_customer_sk"), c("ss_customer_sk") == c("c_customer_sk"))
-             .groupBy(c("c_customer_sk").alias("bc_sk")).agg(F.sum(spend).alias("ssales")))
-    # one-row threshold joined to every customer total (broadcast of one row)
-    return total.crossJoin(cmax).where(dbl("ssales") > F.lit(share) * dbl("cmax")).select("bc_sk")
+    none = F.lit(None)
+    facts = F.explode(F.array(
+        F.struct(F.lit(1).alias("gid"), c("ss_item_sk").alias("it"), c("d_date"), none.cast("long").alias("cust")),
+        F.struct(F.lit(6).alias("gid"), none.cast("long").alias("it"), none.cast("date").alias("d_date"), c("ss_customer_sk").alias("cust")))).alias("x")
+    sold = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"), "left")
+            .select(spend.alias("spend"), c("d_date").isNotNull().alias("in_years"), facts)
+            .where("x.d_date IS NOT NULL OR x.cust IS NOT NULL"))
+    return sold.groupBy("x.gid", "x.it", "x.d_date", "x.cust").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum("spend").alias("spend"), F.sum(F.when(c("in_years"), c("spend"))).alias("recent"))
 
 
 def _q23_channels(t, year, moy, years, min_count, share, with_names):
-    items = _frequent_items(t, years, min_count)
-    best = _best_customers(t, years, share)
+    history = shared(_store_history(t, years).where((c("gid") == 6) | (c("cnt") > min_count)))
+    items = (history.where(c("gid") == 1).join(t.item, c("it") == c("i_item_sk"), "left_semi").select(c("it").alias("fi_sk")).distinct())
+    buyers = history.where(c("gid") == 6).join(t.customer, c("cust") == c("c_customer_sk"), "left_semi")
+    most = buyers.agg(F.max("recent").alias("most"))
+    # one-row threshold joined to every customer total (broadcast of one row)
+    best = buyers.crossJoin(most).where(dbl("spend") > F.lit(share) * dbl("most")).select(c("cust").alias("bc_sk"))
     days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
-    parts = []
+    f = None
     for table, p in (("catalog_sales", "cs"), ("web_sales", "ws")):
-        f = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-             .join(items, c(f"{p}_item_sk") == c("fi_sk"), "left_semi")
-             .join(best, c(f"{p}_bill_customer_sk") == c("bc_sk"), "left_semi"))
-        sales = c(f"{p}_quantity") * c(f"{p}_list_price")
-        if with_names:
-            f = (f.join(t.customer, c(f"{p}_bill_customer_sk") == c("c_customer_sk"))
-                 .groupBy("c_last_name", "c_first_name").agg(dsum(sales).alias("sales")))
-        else:
-            f = f.select(sales.alias("sales"))
-        parts.append(f)
-    return parts[0].unionByName(parts[1])
+        part = (getattr(t, table).join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .select(F.lit(p).alias("channel"), c(f"{p}_item_sk").alias("it"), c(f"{p}_bill_customer_sk").alias("cust"),
+                        (c(f"{p}_quantity") * c(f"{p}_list_price")).alias("sales")))
+        f = part if f is None else f.unionByName(part)
+    # both key sets are distinct; a semi join would be planned below the union, once for each channel
+    f = f.join(items, c("it") == c("fi_sk")).join(best, c("cust") == c("bc_sk"))
+    if with_names:
+        return (f.join(t.customer, c("cust") == c("c_customer_sk"))
+                .groupBy("channel", "c_last_name", "c_first_name").agg(dsum("sales").alias("sales")).drop("channel"))
+    return f.select("sales")
 
 
 @model

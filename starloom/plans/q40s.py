@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
-from ..operators.relational import global_rank, top_ranks
+from ..operators.relational import global_rank, shared, top_ranks
 from .q00s import WEEKDAYS, WEEKDAY_NAMES
 from .registry import model
 
@@ -85,12 +85,12 @@ def q43(t, gmt=-5, year=1998):
 @model
 def q44(t, store=2, share_tenths=9, n=10):
     """Best and worst items of one store by average profit, side by side by rank."""
-    ss = t.store_sales.where(c("ss_store_sk") == store)
-    base = ss.where(c("ss_hdemo_sk").isNull()).agg(
-        F.sum("ss_net_profit").alias("bs"), F.count("ss_net_profit").alias("bn"))
-    per_item = (ss.groupBy(c("ss_item_sk").alias("item_sk"))
-                .agg(F.sum("ss_net_profit").alias("s"), F.count("ss_net_profit").alias("cnt"),
-                     davg("ss_net_profit").alias("rank_col")))
+    no_demo = F.when(c("ss_hdemo_sk").isNull(), c("ss_net_profit"))
+    per_item = shared(t.store_sales.where(c("ss_store_sk") == store).groupBy(c("ss_item_sk").alias("item_sk"))
+                      .agg(F.sum("ss_net_profit").alias("s"), F.count("ss_net_profit").alias("cnt"),
+                           davg("ss_net_profit").alias("rank_col"), F.sum(no_demo).alias("bs"), F.count(no_demo).alias("bn")))
+    base = per_item.agg(F.sum("bs").alias("bs"), F.sum("bn").alias("bn"))
+    per_item = per_item.drop("bs", "bn")
     # avg > 0.9 * store average, as exact decimal arithmetic against one row
     kept = per_item.crossJoin(base).where(c("s") * c("bn") * 10 > c("bs") * share_tenths * c("cnt"))
     asc = top_ranks(kept.select("item_sk", "rank_col"), "rank_col", "rnk", n).select("item_sk", "rnk")
@@ -216,6 +216,7 @@ def _return_ranks(t, sales, p, returns, rp, ticket, r_ticket, ret_amt, sold_date
          / dbl(F.sum(F.coalesce(c(f"{p}_quantity"), F.lit(0))))).alias("return_ratio"),
         (dbl(F.sum(F.coalesce(c(ret_amt), F.lit(0))))
          / dbl(F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))))).alias("currency_ratio"))
+    g = shared(g)
     # ranks over all items of the month, computed without a single-task window
     r = global_rank(global_rank(g, "return_ratio", "return_rank"), "currency_ratio", "currency_rank")
     return r.where((c("return_rank") <= 10) | (c("currency_rank") <= 10)) \

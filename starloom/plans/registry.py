@@ -8,13 +8,22 @@ evaluation and nothing runs until an action.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+
+from ..operators.relational import sharing
 
 MODELS: dict[str, Callable] = {}
 
 
 def model(fn: Callable) -> Callable:
-    MODELS[fn.__name__] = fn
-    return fn
+    """Registers a query model; sub-plans it shares live as long as its result."""
+
+    @wraps(fn)
+    def run(mart, **params):
+        return sharing(lambda: fn(mart, **params))
+
+    MODELS[fn.__name__] = run
+    return run
 
 
 def build_models(mart, names=None, **params) -> dict:

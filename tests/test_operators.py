@@ -181,3 +181,20 @@ def test_no_local_checkpoint_folder_on_a_cluster():
 
     assert is_local("local[8]") and is_local("local")
     assert not any(map(is_local, ("spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x")))
+
+
+def test_global_rank_of_any_type(spark):
+    """Buckets keep the order of negative, tiny, huge, infinite and undefined numbers, and of texts and dates."""
+    from starloom.operators.relational import global_rank
+
+    inf, nan = float("inf"), float("nan")
+    numbers = [0.0, -0.0, 1.5, 1.5, -1.5, 5e-324, -5e-324, 1.7e308, -1.7e308, inf, -inf, nan, None, None, 1.0000001, 1.0, 2.0 ** 62, -7.25]
+    frames = [spark.createDataFrame([(v,) for v in numbers], "v double"), spark.createDataFrame([(i,) for i in (2 ** 62, 2 ** 62 + 1, -3, 0, None, 7, 7)], "v long"),
+              spark.createDataFrame([(x,) for x in ("", "a", "ab", "abc", "abcd", "abce", "é", "日本", None, "a", "Z")], "v string"),
+              spark.sql("SELECT explode(array(DATE '1969-12-31', DATE '1970-01-01', DATE '2020-02-02', NULL, DATE '2020-02-02')) AS v")]
+    for df in frames:
+        df.createOrReplaceTempView("ranked_values")
+        for descending in (False, True):
+            want = spark.sql(f"SELECT v, cast(rank() OVER (ORDER BY v {'DESC' if descending else 'ASC'} NULLS LAST) AS bigint) AS r FROM ranked_values")
+            got = global_rank(df, "v", "r", descending=descending).select("v", "r")
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -36,7 +36,7 @@ def test_nested_loops_only_against_bounded_sides(plans):
 
 @pytest.mark.parametrize("name,node", [("q10", "LeftSemi"), ("q35", "LeftSemi"), ("q69", "LeftAnti"),
                                        ("q16", "LeftAnti"), ("q94", "LeftAnti"), ("q78", "LeftAnti"),
-                                       ("q95", "LeftSemi"), ("q14a", "LeftSemi")])
+                                       ("q95", "LeftSemi"), ("q23a", "LeftSemi")])
 def test_subqueries_become_semi_and_anti_joins(plans, name, node):
     assert node in plans[name]
 
@@ -57,3 +57,81 @@ def test_filters_and_pruning_reach_the_scan(spark):
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "ss_sold_date_sk" in ln][0]
     # only the columns q07 needs are read from store_sales
     assert "ss_net_profit" not in scan and "ss_quantity" in scan
+
+
+FACTS = {"ss_": "store_sales", "cs_": "catalog_sales", "ws_": "web_sales", "sr_": "store_returns", "cr_": "catalog_returns",
+         "wr_": "web_returns", "inv_": "inventory"}
+
+
+def fact_scans(plan):
+    """Fact scans that a plan evaluates: those outside of shared frames, and those of each shared frame once."""
+    found, shared_depth, seen = [], None, set()
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*|"))
+        if shared_depth is not None and depth <= shared_depth:
+            shared_depth = None
+        if "InMemoryRelation" in line:
+            shared_depth = depth
+        if "FileScan parquet [" not in line:
+            continue
+        columns = line.split("FileScan parquet [")[1].split("]")[0]  # with the ids that tell one scan from another
+        if shared_depth is None or columns not in seen:
+            found += [t for p, t in FACTS.items() if columns.startswith(p)]
+        if shared_depth is not None:
+            seen.add(columns)
+    return sorted(found)
+
+
+@pytest.fixture(scope="module")
+def written_mart(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="starloom-plan-"), "mart")
+    materialize_mart(spark, SF_SMALL, out)
+    return Mart(spark, out)
+
+
+@pytest.mark.parametrize("name,scans", [("q14a", ["catalog_sales", "store_sales", "web_sales"]), ("q14b", ["catalog_sales", "store_sales", "web_sales"]),
+                                        ("q23a", ["catalog_sales", "store_sales", "web_sales"]), ("q23b", ["catalog_sales", "store_sales", "web_sales"]),
+                                        ("q44", ["store_sales"]),
+                                        ("q49", ["catalog_returns", "catalog_sales", "store_returns", "store_sales", "web_returns", "web_sales"])])
+def test_each_fact_is_read_once_without_exchange_reuse(spark, written_mart, name, scans):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert fact_scans(plan_of(MODELS[name](written_mart))) == scans
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_shared_frame_is_evaluated_once(spark):
+    """Counted by the tasks themselves: every input row passes once, whatever reads the frame."""
+    from starloom.operators.relational import shared, sharing
+
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    def build():
+        s = shared(spark.range(1000).mapInArrow(count, "id long"))
+        groups = s.groupBy((s.id % 7).alias("k")).count()
+        return s.where("id = 0").crossJoin(groups).unionByName(s.select("id", s.id.alias("k"), s.id.alias("count")))
+
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = sharing(build)
+        assert rows.value == 0  # nothing runs while the frame is built
+        assert out.count() == 1007 and rows.value == 1000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_building_a_model_starts_no_job(spark, written_mart):
+    group = "starloom-no-job"
+    spark.sparkContext.setJobGroup(group, "building models")
+    try:
+        for name in ("q14a", "q23a", "q44", "q49"):
+            MODELS[name](written_mart)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
