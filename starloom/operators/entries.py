@@ -11,13 +11,15 @@ engines add exactly, then reported as double.
 from __future__ import annotations
 
 import os
+import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import c, dbl, nz_div, safe_div, top
 from ..oracle.registry import ob
-from ..sources import loader
+from ..sources import catalog, loader
 from ..sources import mart as M
 from ..sources.views import Mart
 from . import datatests as T
@@ -659,27 +661,60 @@ def _raw_dir(spark: SparkSession, sf_dir: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "raw-" + Mart(spark, sf_dir).suffix)
 
 
-_SS_COLS = ("ss_sold_date_sk, ss_item_sk, ss_customer_sk, ss_ticket_number, ss_quantity, "
-            "CAST(ss_sales_price AS DOUBLE) AS ss_sales_price, CAST(ss_net_profit AS DOUBLE) AS ss_net_profit")
+def _compared(table: str) -> list[tuple[str, str]]:
+    """The raw table's columns that the mart has, with their types."""
+    have = set(re.findall(r"AS (\w+)", M.table_sql(table, M.SPARK, {"mart_base": "mart_base"})))
+    return [(n, t) for n, t in catalog.columns(table) if n in have]
 
 
-@_entry("s1_raw_store_sales_roundtrip", f"SELECT {_SS_COLS} FROM store_sales", mart_sql=True)
+def _raw_sql(table: str) -> str:
+    return "SELECT " + ", ".join(f"CAST({n} AS DOUBLE) AS {n}" if t.startswith("DECIMAL") else n for n, t in _compared(table)) + f" FROM {table}"
+
+
+def _raw_columns(df, table: str):
+    return df.select(*[dbl(n).alias(n) if t.startswith("DECIMAL") else F.col(n) for n, t in _compared(table)])
+
+
+@_entry("s1_raw_store_sales_roundtrip", _raw_sql("store_sales"), mart_sql=True)
 def s1_roundtrip(spark, sf_dir):
-    """store_sales written as a raw pipe-delimited extract and bulk-loaded back."""
+    """store_sales written as a raw pipe-delimited extract and bulk-loaded back, all columns; the extract is written when the query is called."""
     path = loader.dat_path(_raw_dir(spark, sf_dir), "store_sales")
     loader.write_dat(Mart(spark, sf_dir).store_sales, "store_sales", path)
-    df = loader.load_dat(spark, path, "store_sales")
-    return df.select("ss_sold_date_sk", "ss_item_sk", "ss_customer_sk", "ss_ticket_number", "ss_quantity",
-                     dbl("ss_sales_price").alias("ss_sales_price"), dbl("ss_net_profit").alias("ss_net_profit"))
+    return _raw_columns(loader.load_dat(spark, path, "store_sales"), "store_sales")
 
 
-@_entry("s2_raw_gzip_returns_roundtrip",
-        "SELECT sr_returned_date_sk, sr_item_sk, sr_ticket_number, sr_return_quantity, "
-        "CAST(sr_return_amt AS DOUBLE) AS sr_return_amt FROM store_returns", mart_sql=True)
+@_entry("s2_raw_gzip_returns_roundtrip", _raw_sql("store_returns"), mart_sql=True)
 def s2_roundtrip(spark, sf_dir):
-    """store_returns as a gzipped extract, read by position and cast."""
+    """store_returns as a gzipped extract, read by position and cast, all columns; the extract is written when the query is called."""
     path = loader.dat_path(_raw_dir(spark, sf_dir), "store_returns", compressed=True)
     loader.write_dat(Mart(spark, sf_dir).store_returns, "store_returns", path, compressed=True)
-    df = loader.load_dat(spark, path, "store_returns", cast=True)
-    return df.select("sr_returned_date_sk", "sr_item_sk", "sr_ticket_number", "sr_return_quantity",
-                     dbl("sr_return_amt").alias("sr_return_amt"))
+    return _raw_columns(loader.load_dat(spark, path, "store_returns", cast=True), "store_returns")
+
+
+@_entry("s2_raw_reject_channel", "SELECT CASE WHEN wr_return_quantity % 5 = 0 THEN 'wr_return_quantity: many' WHEN wr_return_quantity % 7 = 0 THEN '26 fields' END AS reason, "
+        "COUNT(*) AS n, SUM(wr_order_number) AS orders FROM web_returns GROUP BY 1", mart_sql=True)
+def s2_rejects(spark, sf_dir):
+    """web_returns as raw lines, some with a word for a quantity and some with a field too many: every line is either loaded or rejected with its reason."""
+    q = F.col("wr_return_quantity")
+    lines = loader.to_lines(Mart(spark, sf_dir).web_returns, "web_returns").select(
+        "wr_order_number", F.when(q % 5 == 0, F.regexp_replace("value", r"^((?:[^|]*\|){14})[^|]*", "$1many"))
+        .when(q % 7 == 0, F.concat("value", F.lit("|"))).otherwise(F.col("value")).alias("value"))
+    parsed = loader.parse_lines(lines, "web_returns")
+    order = F.get(F.split("_line", r"\|"), F.lit(13)).cast("long")
+    return parsed.groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum(order).alias("orders"))
+
+
+_CATALOG_TABLES = ("store", "warehouse", "store_returns")
+
+
+@_entry("s5_catalog_load_twice", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n FROM {t}" for t in _CATALOG_TABLES), mart_sql=True)
+def s5_catalog_load(spark, sf_dir):
+    """Raw extracts loaded twice into catalog tables, which are made if absent; counts read from the catalog.  The loads run when the query is called."""
+    raw, mart = _raw_dir(spark, sf_dir), Mart(spark, sf_dir)
+    database = "starloom_" + mart.suffix
+    for t in _CATALOG_TABLES:
+        loader.write_dat(mart.table(t), t, loader.dat_path(raw, t))
+    for _ in range(2):
+        names = loader.load_tables(spark, raw, database, _CATALOG_TABLES, location=raw + "-tables")
+    counts = [spark.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for n, t in zip(names, _CATALOG_TABLES)]
+    return reduce(lambda a, b: a.unionByName(b), counts)

@@ -37,13 +37,15 @@ def _weekday_sums(df, day_col, amount):
 @model
 def q02(t, year=2001, week_gap=53):
     """Web+catalog weekly sales by weekday, week w of a year vs week w+53."""
-    sales = (t.web_sales.select(c("ws_sold_date_sk").alias("sold"), c("ws_ext_sales_price").alias("price"))
-             .unionByName(t.catalog_sales.select(c("cs_sold_date_sk").alias("sold"),
-                                                 c("cs_ext_sales_price").alias("price"))))
-    # only weeks that touch the two years are summed
+    # only weeks that touch the two years are summed; the days meet each fact below the union, so they prune it
     wanted = t.date_dim.where(c("d_year").isin(year, year + 1)).select("d_week_seq").distinct()
-    weekly = (sales.join(t.date_dim.join(wanted, "d_week_seq", "left_semi"), c("sold") == c("d_date_sk"))
-              .groupBy("d_week_seq").agg(*_weekday_sums(None, "d_day_name", "price")))
+    days = t.date_dim.join(wanted, "d_week_seq", "left_semi").select("d_date_sk", "d_week_seq", "d_day_name")
+    sales = None
+    for fact, p in ((t.web_sales, "ws"), (t.catalog_sales, "cs")):
+        part = (fact.join(days, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .select("d_week_seq", "d_day_name", c(f"{p}_ext_sales_price").alias("price")))
+        sales = part if sales is None else sales.unionByName(part)
+    weekly = (sales.groupBy("d_week_seq").agg(*_weekday_sums(None, "d_day_name", "price")))
 
     def side(y, suffix):
         # joining the weeks back to date_dim repeats each week once per day of
@@ -118,11 +120,11 @@ def q04(t, year=2001):
 def _sales_returns(sales, returns, dates, outlet_dim, outlet_key, outlet_id):
     """Sales and returns of one channel in a date window, summed per outlet id."""
     z = F.lit(0).cast("decimal(7,2)")
-    sales = sales.select("outlet", "date_sk", c("sales"), c("profit"),
-                         z.alias("returns"), z.alias("loss"))
-    returns = returns.select("outlet", "date_sk", z.alias("sales"), z.alias("profit"),
-                             c("returns"), c("loss"))
-    both = sales.unionByName(returns).join(dates, c("date_sk") == c("d_date_sk"))
+    # the days meet each fact below the union, so they prune it
+    in_window = lambda fact: fact.join(dates, c("date_sk") == c("d_date_sk"))
+    sales = in_window(sales).select("outlet", c("sales"), c("profit"), z.alias("returns"), z.alias("loss"))
+    returns = in_window(returns).select("outlet", z.alias("sales"), z.alias("profit"), c("returns"), c("loss"))
+    both = sales.unionByName(returns)
     return (both.join(outlet_dim, c("outlet") == c(outlet_key))
             .groupBy(outlet_id)
             .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"),

@@ -311,8 +311,10 @@ def q72(t, buy_potential="1001-5000", year=2001, marital="M", lag_days=5):
           .where(c("d3_date") > F.date_add(c("d1_date"), lag_days)))
     # the week of the snapshot is part of the equi-join key, so inventory
     # rows meet only the sales of their own item and week
-    inv = t.inventory.join(t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_week_seq").alias("inv_wk")),
-                           c("inv_date_sk") == c("d2_sk"))
+    # and only snapshots of the year's weeks are read and shuffled
+    weeks = d1.select(c("wk").alias("d_week_seq"))
+    d2 = t.date_dim.join(weeks, "d_week_seq", "left_semi").select(c("d_date_sk").alias("d2_sk"), c("d_week_seq").alias("inv_wk"))
+    inv = t.inventory.join(d2, c("inv_date_sk") == c("d2_sk"))
     j = (cs.join(inv, (c("cs_item_sk") == c("inv_item_sk")) & (c("wk") == c("inv_wk"))
                  & (c("inv_quantity_on_hand") < c("cs_quantity")))
          .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("inv_warehouse_sk") == c("w_warehouse_sk"))

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import mart as M
 
-# tasks that one day's fact rows are dealt to when facts are partitioned by day
-DAY_TASKS = 8
+# a fact is partitioned by day from this many bytes a day on; fewer make folders of tiny files
+DAY_BYTES = 64 << 20
+# a day's rows are dealt to as many tasks as keep a file near this size
+FILE_BYTES = 256 << 20
 
 # partition column of each fact when the mart is written out
 _FACT_PARTITION = {
@@ -123,6 +125,61 @@ class Mart:
         return out
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder of any file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def _rename(spark: SparkSession, a: str, b: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(a).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(a), path(b)):
+        raise OSError(f"cannot rename {a} to {b}")
+
+
+def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Write ``df`` as the table at ``path``, in place of what is there.
+
+    The rows are written to a folder beside it first and swapped in when all of them
+    are there: a write that fails leaves the old rows readable, and ``df`` may read
+    the table it replaces.  Should the job die between the two renames, the old
+    rows lie in ``<path>.replaced``, and the next call (or ``restore_table``) puts them back.
+    """
+    spark = df.sparkSession
+    path = _norm_path(path)
+    staged, old = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.replaced"
+    restore_table(spark, path)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    try:
+        writer.parquet(staged)
+    except BaseException:
+        _delete(spark, staged)
+        raise
+    if _exists(spark, path):
+        _rename(spark, path, old)
+    _rename(spark, staged, path)
+    _delete(spark, old)
+
+
+def restore_table(spark: SparkSession, path: str) -> None:
+    """Ends a swap that was broken off: old rows come back if no new ones took their place."""
+    old = f"{_norm_path(path)}.replaced"
+    if _exists(spark, old):
+        if _exists(spark, path):
+            _delete(spark, old)
+        else:
+            _rename(spark, old, _norm_path(path))
+
+
+def day_files(n_bytes: int, days: int, day_bytes: int | None = None) -> int:
+    """Files for each day of a fact of ``n_bytes`` over ``days``; 0 if days are too small for folders of their own."""
+    a_day = n_bytes / max(days, 1)
+    return 0 if a_day < (DAY_BYTES if day_bytes is None else day_bytes) else -(-int(a_day) // FILE_BYTES) or 1
+
+
 def materialize(df: DataFrame, name: str, mode: str = "view", path: str | None = None,
                 partition_by: str | None = None) -> DataFrame:
     """Expose a result as a temp view, or write it as a parquet table."""
@@ -131,28 +188,25 @@ def materialize(df: DataFrame, name: str, mode: str = "view", path: str | None =
         return df
     if mode != "table" or path is None:
         raise ValueError("mode must be 'view', or 'table' with a path")
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    replace_table(df, path, partition_by)
     return df.sparkSession.read.parquet(path)
 
 
 def materialize_mart(spark: SparkSession, src_dir: str, out_dir: str,
-                     partition_facts: bool = False) -> str:
+                     partition_facts: bool | None = None) -> str:
     """Write every mart table once as parquet under ``out_dir``.
 
-    Fact rows are sorted by their date key inside each file, so parquet
-    row-group statistics let the date filters skip data.  Directory
-    partitioning by date key (``partition_facts``) pays off only when each
-    day holds many megabytes; at small scale it makes thousands of tiny
-    files, so it is off by default.  Overwrite makes re-runs idempotent;
-    the marker file is written last.
+    A fact whose days hold ``DAY_BYTES`` or more on average is partitioned by its date key, so
+    the filters on ``date_dim`` prune days (dynamic partition pruning); each day's
+    rows are dealt to tasks by a salt that keeps files near ``FILE_BYTES``, so no day is one
+    task.  Smaller facts are sorted by the key inside files.  ``partition_facts`` sets the
+    layout of all facts instead.  Each table is swapped in whole, and the marker
+    file is written last.
     """
     _delete(spark, os.path.join(out_dir, _MARKER))  # until the end this folder is not a mart
     Mart.forget(spark, out_dir)
     mart = Mart(spark, src_dir)
-    lazy_base = None
+    lazy_base, base_rows = None, None
     if not mart.materialized:
         # the lineitem x orders join feeds all seven facts: run it once,
         # write it, and derive every fact from the written copy
@@ -160,17 +214,25 @@ def materialize_mart(spark: SparkSession, src_dir: str, out_dir: str,
         lazy_base = spark.table(mart.names["mart_base"])
         base_path = f"{ensure_checkpoint_dir(spark)}/mart-base-{uuid.uuid4().hex}"
         lazy_base.write.parquet(base_path)
-        spark.read.parquet(base_path).createOrReplaceTempView(mart.names["mart_base"])
+        base = spark.read.parquet(base_path)
+        base.createOrReplaceTempView(mart.names["mart_base"])
+        base_rows = base.count()
         mart._frames.clear()
     for name in M.MART_TABLES:
         df = mart.table(name)
         key = _FACT_PARTITION.get(name)
-        if key is not None and partition_facts:
-            # a day's rows go to a few tasks, so folders hold few files and no day is one task
-            df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(DAY_TASKS))).repartition(key, "_salt").drop("_salt")
-        elif key is not None:
-            df = df.sortWithinPartitions(key)
-            key = None
+        if key is not None:
+            if partition_facts is None:
+                source = base_path if lazy_base is not None else os.path.join(src_dir, name)
+                files = _files_by_size(df, key, path_bytes(spark, source), base_rows)
+            else:
+                files = 1 if partition_facts else 0
+            if files and not df.isEmpty():  # without a row there would be no file to read the columns from
+                salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+                df = df.withColumn("_salt", salt).repartition(key, "_salt").drop("_salt")
+            else:
+                df = df.sortWithinPartitions(key)
+                key = None
         materialize(df, name, "table", os.path.join(out_dir, name), key)
     spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(
         os.path.join(out_dir, _MARKER))
@@ -180,3 +242,11 @@ def materialize_mart(spark: SparkSession, src_dir: str, out_dir: str,
         _delete(spark, base_path)
     Mart.forget(spark, out_dir)
     return out_dir
+
+
+def _files_by_size(df: DataFrame, key: str, source_bytes: int, base_rows: int | None) -> int:
+    """``day_files`` of a fact; one that is derived is taken to have as many bytes a row as the written base."""
+    if source_bytes * M.INVENTORY_WEEKS < DAY_BYTES:
+        return 0  # all days together hold less
+    rows, days = df.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    return day_files(source_bytes if base_rows is None else source_bytes * rows // max(base_rows, 1), days)

@@ -94,3 +94,85 @@ def test_models_as_views_and_tables(spark):
     out = _scratch()
     register_models(m, ["q42"], mode="table", path=out)
     assert spark.read.parquet(os.path.join(out, "q42")).count() == frames["q42"].count()
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark):
+    def failing_after_some_rows(batches):
+        for batch in batches:
+            yield batch
+            raise RuntimeError("task killed in the middle")
+
+    path = os.path.join(_scratch(), "t")
+    loader.write_table(spark.range(10), path)
+    with pytest.raises(Exception, match="killed in the middle"):
+        loader.write_table(spark.range(1000).repartition(3).mapInArrow(failing_after_some_rows, "id long"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(10))
+    assert os.listdir(os.path.dirname(path)) == ["t"]  # no staged folder is left
+    loader.write_table(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)  # reads the table it replaces
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1, 11))
+
+
+def test_broken_off_swap_is_ended(spark):
+    from starloom.sources.views import restore_table
+
+    path = os.path.join(_scratch(), "t")
+    loader.write_table(spark.range(10), path)
+    os.rename(path, path + ".replaced")  # the job died between the two renames
+    restore_table(spark, path)
+    assert spark.read.parquet(path).count() == 10
+    os.rename(path, path + ".replaced")
+    loader.write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(os.path.dirname(path)) == ["t"]
+
+
+@pytest.mark.parametrize("compressed", [False, True])
+def test_reject_channel(spark, compressed, monkeypatch):
+    import gzip
+
+    d = _scratch()
+    n = len(catalog.columns("reason"))
+    good = [f"{i}|AAAA{i}|" + ("x" if i % 3 else "") + "|" for i in range(50)]
+    bad = ["word|AAAA|x|", "7|short", "8|A|x||", "", "99999999999999999999|A|x|"]
+    assert n == 3
+    path = loader.dat_path(d, "reason", compressed)
+    with (gzip.open(path, "wt") if compressed else open(path, "w")) as f:
+        f.write("\n".join(good[:20] + bad + good[20:] ) + "\n")
+    monkeypatch.setattr(loader, "GZIP_BYTES", 64)
+    rows, rejected = loader.load_dat_checked(spark, path, "reason")
+    assert sorted(r.r_reason_sk for r in rows.collect()) == list(range(50))
+    reasons = {r.line: r.reason for r in rejected.collect()}
+    assert reasons["word|AAAA|x|"] == "r_reason_sk: word" and reasons["8|A|x||"] == "5 fields" and reasons[""] == "1 fields"
+    assert reasons["99999999999999999999|A|x|"].startswith("r_reason_sk: ")
+    assert rows.count() + rejected.count() == 55
+    if compressed:
+        assert spark.read.text(path).rdd.getNumPartitions() == 1 < rows.rdd.getNumPartitions()
+
+
+def test_load_with_rejects_folder(spark):
+    d, out, bad = _scratch(), _scratch(), _scratch()
+    with open(loader.dat_path(d, "reason"), "w") as f:
+        f.write("1|A|x|\nx|A|y|\n2|B|z|\n")
+    loader.load_raw(spark, d, out, ["reason"], rejects_dir=bad)
+    assert spark.read.parquet(os.path.join(out, "reason")).count() == 2
+    assert [tuple(r) for r in spark.read.parquet(os.path.join(bad, "reason")).collect()] == [("x|A|y|", "r_reason_sk: x")]
+    with pytest.raises(Exception):
+        loader.load_raw(spark, d, out, ["reason"])
+    assert spark.read.parquet(os.path.join(out, "reason")).count() == 2  # the load that failed left the rows
+
+
+def test_catalog_tables_keep_their_types(spark):
+    d, where = _scratch(), _scratch()
+    with open(loader.dat_path(d, "reason"), "w") as f:
+        f.write("1|A|x|\n2|B|z|\n")
+    name = "starloom_test_load"
+    for _ in range(2):
+        assert loader.load_tables(spark, d, name, ["reason"], location=where) == [f"{name}.reason"]
+    assert spark.table(f"{name}.reason").count() == 2
+    assert [f.dataType.simpleString().upper() for f in spark.table(f"{name}.reason").schema] == [t.upper() for _, t in catalog.columns("reason")]
+
+
+def test_layout_follows_bytes_a_day():
+    from starloom.sources.views import DAY_BYTES, FILE_BYTES, day_files
+
+    assert day_files(1 << 30, 2000) == 0 and day_files(10 ** 14, 2000) == -(-(10 ** 14 // 2000) // FILE_BYTES)
+    assert day_files(DAY_BYTES * 2000, 2000) == 1 and day_files(5, 3, day_bytes=0) == 1 and day_files(0, 0) == 0
