@@ -80,7 +80,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             done = m.end()
         at = text.find("@", max(at + 1, done))
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             out.append((1, *m.span()))
     for m in CARD.finditer(text):
         digits = re.sub("[ -]", "", m[0])

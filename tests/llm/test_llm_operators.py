@@ -142,6 +142,12 @@ def test_near_dedup(docs, empty):
 
 # ---- 4 ------------------------------------------------------------------------
 
+def test_pii_very_long_numbers():
+    """Parts of an address with more digits than Python reads at once, zeros before them or not."""
+    assert pii.base_spans("0" * 4301 + ".1.1.1") == [(1, 0, 4307)]
+    assert pii.base_spans("0" * 9000 + "256.1.1.1 " + "9" * 9000 + ".1.1.1") == []
+
+
 def test_pii_base_spans():
     text = "mail a.b@c.d.example or x@y, 10.0.0.1 999.1.1.1 1.2.3.4.5.6.7.8, 4111 1111 1111 1111 4111-1111-1111-1112 +49 (30) 1234-5678 +1 23 é a@b.cc@d.ee"
     want = [("email", "a.b@c.d.example"), ("email", "a@b.cc"), ("ip", "10.0.0.1"), ("ip", "1.2.3.4"), ("ip", "5.6.7.8"), ("phone", "+49 (30) 1234-5678")]
