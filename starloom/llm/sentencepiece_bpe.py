@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"  # the mark that stands for a space in pieces
-KEPT = 400_000  # cuts whose ids, and pairs whose compatibility, a task remembers
+KEPT = 300_000  # cuts whose ids, and pairs whose compatibility, a task remembers
 KEPT_CHARS = 48  # longest cut that is remembered
 RUN_BYTES = 1 << 20
 
