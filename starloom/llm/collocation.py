@@ -51,6 +51,7 @@ DISTINCT = 200_000  # words that a task's counter holds
 REMEMBERED = 40_000  # words of a language whose hash a task remembers
 SEQUENCE_RUN = 1 << 21  # bytes of sequences that are worked off at once
 LONG_WORD = 200  # bytes; longer words get a hash whatever their rank
+SHARES = 64  # of a language's phrases, ranked apart before all
 BITS = 27
 HASHED = np.int64(1 << 62)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -392,6 +393,10 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, cover_percent: int
     score = F.expr(f"(cast(a as {wide_type}) * cast(n * 1000 as {wide_type})) div (cast(l as {wide_type}) * cast(r as {wide_type}))")
     best = cuts.withColumn("score", score).groupBy("lang", "words").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("s"))
     rows = best.select("lang", F.array_join("words", " ").alias("phrase"), "s.a", "s.l", "s.r", "s.n", "s.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (rows.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    # the best of each of SHARES shares of a language first, so at most top * SHARES rows meet in one task
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    share = Window.partitionBy("lang", "_share").orderBy(*order)
+    rows = (rows.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+            .withColumn("_nth", F.row_number().over(share)).filter(F.col("_nth") <= top))
+    return (rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
