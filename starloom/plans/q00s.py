@@ -63,18 +63,16 @@ def q02(t, year=2001, week_gap=53):
     return top(out, None, "d_week_seq1")
 
 
-_CUSTOMER_ATTRS = ("c_customer_id", "c_first_name", "c_last_name", "c_preferred_cust_flag",
-                   "c_birth_country", "c_login", "c_email_address")
+def customer_years(t, fact, cust_col, date_col, measure, y1, y2, tag, total=dsum):
+    """Per customer key: the channel's measure in year y1 and y2 (conditional pivot).
 
-
-def _channel_years(t, fact, cust_col, date_col, measure, y1, y2, tag):
-    """Per customer: the channel's measure total in year y1 and y2 (conditional pivot)."""
+    Customers are met after this, so a sale is shuffled by its key alone and
+    the attributes travel once for each customer that is left."""
     days = t.date_dim.where(c("d_year").isin(y1, y2)).select("d_date_sk", "d_year")
-    joined = (fact.join(days, c(date_col) == c("d_date_sk"))
-              .join(t.customer, c(cust_col) == c("c_customer_sk")))
-    return (joined.groupBy(*_CUSTOMER_ATTRS)
-            .agg(dsum(F.when(c("d_year") == y1, measure)).alias(f"{tag}1"),
-                 dsum(F.when(c("d_year") == y2, measure)).alias(f"{tag}2")))
+    return (fact.where(c(cust_col).isNotNull()).join(days, c(date_col) == c("d_date_sk"))
+            .groupBy(c(cust_col).alias("customer_sk"))
+            .agg(total(F.when(c("d_year") == y1, measure)).alias(f"{tag}1"),
+                 total(F.when(c("d_year") == y2, measure)).alias(f"{tag}2")))
 
 
 @model
@@ -99,17 +97,16 @@ def q04(t, year=2001):
         return (c(f"{p}_ext_list_price") - c(f"{p}_ext_wholesale_cost") - c(f"{p}_ext_discount_amt")) \
             + c(f"{p}_ext_sales_price")
 
-    s = _channel_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", m("ss"), y1, y2, "s")
-    cs = _channel_years(t, t.catalog_sales, "cs_bill_customer_sk", "cs_sold_date_sk", m("cs"), y1, y2, "c") \
-        .select("c_customer_id", "c1", "c2")
-    w = _channel_years(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", m("ws"), y1, y2, "w") \
-        .select("c_customer_id", "w1", "w2")
+    s = customer_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", m("ss"), y1, y2, "s")
+    cs = customer_years(t, t.catalog_sales, "cs_bill_customer_sk", "cs_sold_date_sk", m("cs"), y1, y2, "c")
+    w = customer_years(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", m("ws"), y1, y2, "w")
     # the measure is sum(x / 2); halves are taken after the exact sum
-    j = s.join(cs, "c_customer_id").join(w, "c_customer_id")
+    j = s.join(cs, "customer_sk").join(w, "customer_sk")
     half = {k: c(k) / 2 for k in ("s1", "s2", "c1", "c2", "w1", "w2")}
     out = (j.where((half["s1"] > 0) & (half["c1"] > 0) & (half["w1"] > 0)
                    & (half["c2"] / half["c1"] > half["s2"] / half["s1"])
                    & (half["c2"] / half["c1"] > half["w2"] / half["w1"]))
+           .join(t.customer, c("customer_sk") == c("c_customer_sk"))
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name"),
                    c("c_email_address").alias("customer_email_address")))

@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, r6, top
+from .q00s import customer_years
 from .registry import model
 
 
@@ -38,27 +39,18 @@ def q10(t, counties=("Walker County", "Richland County", "Gaines County", "Dougl
     return top(out, 100, *_CD_ATTRS)
 
 
-def _two_years(t, fact, cust_col, date_col, measure, y1, y2, tag):
-    days = t.date_dim.where(c("d_year").isin(y1, y2)).select("d_date_sk", "d_year")
-    return (fact.join(days, c(date_col) == c("d_date_sk"))
-            .join(t.customer, c(cust_col) == c("c_customer_sk"))
-            .groupBy("c_customer_id", "c_first_name", "c_last_name", "c_preferred_cust_flag",
-                     "c_birth_country", "c_login", "c_email_address")
-            .agg(dsum(F.when(c("d_year") == y1, measure)).alias(f"{tag}1"),
-                 dsum(F.when(c("d_year") == y2, measure)).alias(f"{tag}2")))
-
-
 @model
 def q11(t, year=2001):
     """Customers whose web growth on list-minus-discount beats store growth."""
     y1, y2 = year, year + 1
-    s = _two_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk",
-                   c("ss_ext_list_price") - c("ss_ext_discount_amt"), y1, y2, "s")
-    w = _two_years(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk",
-                   c("ws_ext_list_price") - c("ws_ext_discount_amt"), y1, y2, "w").select("c_customer_id", "w1", "w2")
-    out = (s.join(w, "c_customer_id")
+    s = customer_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk",
+                       c("ss_ext_list_price") - c("ss_ext_discount_amt"), y1, y2, "s")
+    w = customer_years(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk",
+                       c("ws_ext_list_price") - c("ws_ext_discount_amt"), y1, y2, "w")
+    out = (s.join(w, "customer_sk")
            .where((c("s1") > 0) & (c("w1") > 0) & c("s2").isNotNull() & c("w2").isNotNull()
                   & (c("w2") / c("w1") > c("s2") / c("s1")))
+           .join(t.customer, c("customer_sk") == c("c_customer_sk"))
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name"),
                    c("c_email_address").alias("customer_email_address")))

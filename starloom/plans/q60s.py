@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, dbl, dsum, lsum, top
+from .q00s import customer_years
 from .q30s import channel_item_revenue
 from .q50s import _q53_items, lag_buckets, period_deviation
 from .registry import model
@@ -344,20 +345,12 @@ def q73(t, years=(1998, 1999, 2000), lo=1, hi=5):
 def q74(t, year=2001):
     """Customers whose web growth on the largest payment beats store growth."""
     y1, y2 = year, year + 1
-    days = t.date_dim.where(c("d_year").isin(y1, y2)).select("d_date_sk", "d_year")
-
-    def per_channel(fact, cust_col, date_col, amount, tag):
-        return (fact.join(days, c(date_col) == c("d_date_sk"))
-                .join(t.customer, c(cust_col) == c("c_customer_sk"))
-                .groupBy("c_customer_id", "c_first_name", "c_last_name")
-                .agg(dbl(F.max(F.when(c("d_year") == y1, c(amount)))).alias(f"{tag}1"),
-                     dbl(F.max(F.when(c("d_year") == y2, c(amount)))).alias(f"{tag}2")))
-
-    s = per_channel(t.store_sales, "ss_customer_sk", "ss_sold_date_sk", "ss_net_paid", "s")
-    w = per_channel(t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", "ws_net_paid", "w") \
-        .select("c_customer_id", "w1", "w2")
-    out = (s.join(w, "c_customer_id")
+    largest = lambda x: dbl(F.max(x))
+    s = customer_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", c("ss_net_paid"), y1, y2, "s", largest)
+    w = customer_years(t, t.web_sales, "ws_bill_customer_sk", "ws_sold_date_sk", c("ws_net_paid"), y1, y2, "w", largest)
+    out = (s.join(w, "customer_sk")
            .where((c("s1") > 0) & (c("w1") > 0) & (c("w2") / c("w1") > c("s2") / c("s1")))
+           .join(t.customer, c("customer_sk") == c("c_customer_sk"))
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name")))
     return top(out, 100, "customer_first_name", "customer_id", "customer_last_name")
