@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import c, dbl, nz_div, safe_div, top
+from ..oracle import ORACLE
 from ..oracle.registry import ob
+from ..plans.graph import run_models
 from ..sources import catalog, loader
 from ..sources import mart as M
 from ..sources.views import Mart
@@ -692,7 +694,7 @@ def s2_roundtrip(spark, sf_dir):
 
 
 @_entry("s2_raw_reject_channel", "SELECT CASE WHEN wr_return_quantity % 5 = 0 THEN 'wr_return_quantity: many' WHEN wr_return_quantity % 7 = 0 THEN '26 fields' END AS reason, "
-        "COUNT(*) AS n, SUM(wr_order_number) AS orders FROM web_returns GROUP BY 1", mart_sql=True)
+        "COUNT(*) AS n, CAST(SUM(wr_order_number) AS BIGINT) AS orders FROM web_returns GROUP BY 1", mart_sql=True)
 def s2_rejects(spark, sf_dir):
     """web_returns as raw lines, some with a word for a quantity and some with a field too many: every line is either loaded or rejected with its reason."""
     q = F.col("wr_return_quantity")
@@ -718,3 +720,42 @@ def s5_catalog_load(spark, sf_dir):
         names = loader.load_tables(spark, raw, database, _CATALOG_TABLES, location=raw + "-tables")
     counts = [spark.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for n, t in zip(names, _CATALOG_TABLES)]
     return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+# key columns of the audit: the catalog's, and the customer's own id, by which q04, q11 and q74 name a customer
+_AUDIT_KEYS = {**{t: k for t, k in catalog.PRIMARY_KEYS.items() if t in M.MART_TABLES}, "customer_by_id": ("c_customer_id",)}
+# literal counts of the tables whose size does not follow the input
+_AUDIT_COUNTS = {"date_dim": M.CAL_DAYS, "time_dim": 86400}
+
+
+def _audit_sql() -> str:
+    parts = []
+    for name, key in sorted(_AUDIT_KEYS.items()):
+        table, cols = name.removesuffix("_by_id"), ", ".join(key)
+        broken = " OR ".join(f"{k} IS NULL" for k in key)
+        parts.append(f"SELECT '{name}' AS table_name, CAST({_AUDIT_COUNTS.get(name, 'NULL')} AS BIGINT) AS expected_rows, "
+                     f"(SELECT COUNT(*) FROM {table}) AS actual_rows, (SELECT COUNT(*) FROM (SELECT {cols} FROM {table} "
+                     f"WHERE NOT ({broken}) GROUP BY {cols} HAVING COUNT(*) > 1) d) AS duplicate_keys, "
+                     f"(SELECT COUNT(*) FROM {table} WHERE {broken}) AS null_keys")
+    return "\nUNION ALL\n".join(parts)
+
+
+@_entry("t1_t2_audit", _audit_sql(), mart_sql=True)
+def t1_t2_audit(spark, sf_dir):
+    """Row count, repeated and NULL keys of every mart table, facts by their composite keys, each table read once."""
+    mart = Mart(spark, sf_dir)
+    return T.audit({name: mart.table(name.removesuffix("_by_id")) for name in _AUDIT_KEYS}, _AUDIT_KEYS, _AUDIT_COUNTS)
+
+
+_SHARING = {"q03": "sum_agg", "q42": "total_sales", "q52": "ext_price", "q55": "ext_price"}
+
+
+@_entry("s9_models_in_order", "\nUNION ALL\n".join(
+    f"SELECT '{q}' AS model, COUNT(*) AS n, ROUND(SUM({v}), 2) AS total FROM ({ORACLE[q]}) m" for q, v in sorted(_SHARING.items())),
+    mart_sql=True)
+def s9_models(spark, sf_dir):
+    """Four models written after the tables they share, each of these derived and written once; rows and sums read
+    from the written models.  The writes run when the query is called."""
+    frames = run_models(Mart(spark, sf_dir), sorted(_SHARING), _raw_dir(spark, sf_dir) + "-models")
+    return R.union_all([frames[q].agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(v), 2).alias("total"))
+                        .select(F.lit(q).alias("model"), "n", "total") for q, v in sorted(_SHARING.items())])
