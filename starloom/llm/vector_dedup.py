@@ -14,6 +14,7 @@ most about ``BLOCK`` vectors, queries likewise; blocks meet in a join on (label,
 cell), which adaptive execution splits at a hot cell, and a pair of blocks is one
 matrix product.  A pair of blocks returns link counts and a spanning set of its
 links (every vector with the smallest member of its part), never the pairs.
+A link counts for both vectors, whichever of them visits the other's cell.
 
 Defined results
 * null label; null, empty or zero vector; null or non-finite component: linked with nothing,
@@ -130,19 +131,23 @@ def _placed(grid):
 
 
 def _met(threshold: float):
-    """Pairs of blocks to link counts and spanning links."""
+    """Pairs of blocks to spanning links (every vector with the smallest member of its part) and link counts.
+
+    A query's links have a null ``home``.  Those of an indexed vector are counted for each
+    ``home`` cell of the queries that found it, except this cell, which it visits itself."""
 
     def run(batches):
         for batch in batches:
-            ids, links, roots = [], [], []
-            for q_ids, q_vecs, i_ids, i_vecs, i_n in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                q, i, n = np.array(q_ids), np.array(i_ids), np.array(i_n, np.int64)
+            out = [[], [], [], []]
+            for cell, q_ids, q_vecs, q_n, homes, i_ids, i_vecs, i_n in zip(*(batch.column(c).to_pylist() for c in range(8))):
+                q, i, home = np.array(q_ids), np.array(i_ids), np.array(homes, np.int64)
                 hit = unit(q_vecs) @ unit(i_vecs).T >= threshold
                 hit &= q[:, None] != i[None, :]
                 rows, cols = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
                 if not len(rows):
                     continue
-                hit, q, i, n = hit[np.ix_(rows, cols)], q[rows], i[cols], n[cols]
+                hit, q, i, home = hit[np.ix_(rows, cols)], q[rows], i[cols], home[rows]
+                q_copies, i_copies = np.array(q_n, np.int64)[rows], np.array(i_n, np.int64)[cols]
                 most = np.iinfo(np.int64).max
                 lq, li = q.copy(), i.copy()
                 while True:
@@ -151,22 +156,30 @@ def _met(threshold: float):
                     if (nq == lq).all() and (ni == li).all():
                         break
                     lq, li = nq, ni
-                ids += [q, i]
-                links += [hit @ n, np.zeros(len(i), np.int64)]
-                roots += [lq, li]
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, links, roots)], names=["id", "n", "root"])
+                own, at = np.unique(home, return_inverse=True)
+                counts = np.zeros((len(own), len(i)), np.int64)
+                np.add.at(counts, at, hit * q_copies[:, None])
+                counts[own == cell] = 0
+                h, c = np.nonzero(counts)
+                parts = ((q, hit @ i_copies, lq, [None] * len(q)), (i, np.zeros(len(i), np.int64), li, [None] * len(i)),
+                         (i[c], counts[h, c], li[c], own[h].tolist()))
+                for part in parts:
+                    for column, values in zip(out, part):
+                        column.extend(values)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["id", "n", "root", "home"])
 
     return run
 
 
-def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """(label, cell) groups cut into blocks of about BLOCK vectors."""
+def _blocks(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    """(label, cell) groups cut into blocks of about BLOCK vectors; columns ``more`` go along."""
     size = rows.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
     return (rows.join(stored(size, f"{name}_sizes"), ["label", "cell"])
             .withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_blocks")))
             .groupBy("label", "cell", "_b")
-            .agg(F.collect_list("id").alias(f"{name}_ids"), F.collect_list("vec").alias(f"{name}_vecs"), F.collect_list("copies").alias(f"{name}_n"))
+            .agg(F.collect_list("id").alias(f"{name}_ids"), F.collect_list("vec").alias(f"{name}_vecs"), F.collect_list("copies").alias(f"{name}_n"),
+                 *[F.collect_list(m).alias(f"{name}_{m}") for m in more])
             .drop("_b"))
 
 
@@ -202,11 +215,16 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
         grid = spark.sparkContext.broadcast(Grid(x, k, threshold, recall))
         placed = stored(classes.select("id", "label", "vec", "copies").mapInArrow(_placed(grid), "id long, label string, vec binary, copies long, cell long, visits array<long>"), "placed")
         index = _blocks(placed.drop("visits"), "i")
-        queries = _blocks(placed.drop("cell").withColumn("cell", F.explode("visits")).drop("visits"), "q")
-        met = queries.join(stored(index, "index"), ["label", "cell"]).select("q_ids", "q_vecs", "i_ids", "i_vecs", "i_n")
-        found = stored(met.mapInArrow(_met(threshold), "id long, n long, root long"), "found")
+        visits = placed.withColumn("home", F.col("cell")).withColumn("cell", F.explode("visits")).drop("visits")
+        queries = _blocks(visits, "q", "home")
+        met = queries.join(stored(index, "index"), ["label", "cell"]).select("cell", "q_ids", "q_vecs", "q_n", "q_home", "i_ids", "i_vecs", "i_n")
+        found = stored(met.mapInArrow(_met(threshold), "id long, n long, root long, home long"), "found")
+        # a vector that was found, and does not visit the finder's home, never finds it: the link is counted here
+        one_sided = (found.filter("home IS NOT NULL").groupBy("id", "home").agg(F.sum("n").alias("n"))
+                     .join(placed.select("id", "visits"), "id").filter(~F.array_contains("visits", F.col("home"))).select("id", "n"))
+        counted = found.filter("home IS NULL").select("id", "n").unionByName(one_sided).groupBy("id").agg(F.sum("n").alias("_n"))
         component = connected_components(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-        own = (own.join(found.groupBy("id").agg(F.sum("n").alias("_n")), "id", "left")
+        own = (own.join(counted, "id", "left")
                .join(component, "id", "left"))
     else:
         own = own.withColumns({"_n": F.lit(None).cast("long"), "component": F.lit(None).cast("long")})

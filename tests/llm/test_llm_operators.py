@@ -229,6 +229,27 @@ def test_vector_dedup(spark):
     assert link_vectors(d.limit(0)).count() == 0
 
 
+def test_vector_links_count_for_both_sides(spark):
+    """Pairs at the threshold, few visits: a link that one side's visits find is counted for both."""
+    rng = np.random.default_rng(11)
+    vectors = []
+    for pair in range(800):
+        x, y = rng.standard_normal((2, 16))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        y = 0.94 * x + np.sqrt(1 - 0.94 ** 2) * y / np.linalg.norm(y)
+        vectors += [(2 * pair, x.tolist(), 0), (2 * pair + 1, y.tolist(), 0)]
+    vectors += [(1600 + i, vectors[2 * i + 1][1], 0) for i in range(200)]  # copies: each counts
+    d = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    want = brute.vector_links(vectors)
+    whole = Counter(c for _, c in want.values())
+    assert all(n == whole[c] - 1 for n, c in want.values())
+    got = link_vectors(d, recall=0.8).collect()
+    size = Counter(r.component_id for r in got)
+    found = [r for r in got if size[r.component_id] == whole[r.component_id] > 1]
+    assert len(found) > 1000 and [r for r in found if r.n_links != want[r.vec_id][0]] == []
+
+
 def test_multi_sequence_order():
     from starloom.llm.vector_dedup import Grid, _distances, _halves
 
