@@ -11,7 +11,7 @@ WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday
 
 
 @model
-def q01(t, year=2000, state="TN", factor_tenths=12):
+def q01(t, year=2000, state="TN", factor_tenths=12, limit=100):
     """Customers whose yearly store-return fees exceed 1.2x their store's average."""
     days = t.date_dim.where(c("d_year") == year).select("d_date_sk")
     ctr = (t.store_returns.join(days, c("sr_returned_date_sk") == c("d_date_sk"))
@@ -26,7 +26,7 @@ def q01(t, year=2000, state="TN", factor_tenths=12):
            .join(stores, c("store") == c("s_store_sk"))
            .join(t.customer, c("cust") == c("c_customer_sk"))
            .select("c_customer_id"))
-    return top(out, 100, "c_customer_id")
+    return top(out, limit, "c_customer_id")
 
 
 def _weekday_sums(df, day_col, amount):
@@ -76,7 +76,7 @@ def customer_years(t, fact, cust_col, date_col, measure, y1, y2, tag, total=dsum
 
 
 @model
-def q03(t, manufact=436, moy=12):
+def q03(t, manufact=436, moy=12, limit=100):
     """Brand revenue per year in one month for one manufacturer (star join, top 100)."""
     days = t.date_dim.where(c("d_moy") == moy).select("d_date_sk", "d_year")
     items = t.item.where(c("i_manufact_id") == manufact).select("i_item_sk", "i_brand_id", "i_brand")
@@ -85,11 +85,11 @@ def q03(t, manufact=436, moy=12):
            .groupBy("d_year", "i_brand", "i_brand_id")
            .agg(dsum("ss_ext_sales_price").alias("sum_agg"))
            .select("d_year", c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), "sum_agg"))
-    return top(out, 100, "d_year", "-sum_agg", "brand_id")
+    return top(out, limit, "d_year", "-sum_agg", "brand_id")
 
 
 @model
-def q04(t, year=2001):
+def q04(t, year=2001, limit=100):
     """Customers whose catalog growth beats both store and web growth."""
     y1, y2 = year, year + 1
 
@@ -110,7 +110,7 @@ def q04(t, year=2001):
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name"),
                    c("c_email_address").alias("customer_email_address")))
-    return top(out, 100, "customer_id", "customer_first_name", "customer_last_name",
+    return top(out, limit, "customer_id", "customer_first_name", "customer_last_name",
                "customer_email_address")
 
 
@@ -129,7 +129,7 @@ def _sales_returns(sales, returns, dates, outlet_dim, outlet_key, outlet_id):
 
 
 @model
-def q05(t, start="1998-08-04", days=14):
+def q05(t, start="1998-08-04", days=14, limit=100):
     """Sales, returns and profit per outlet and channel over 14 days, with subtotals."""
     lo = F.lit(start).cast("date")
     dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
@@ -165,11 +165,11 @@ def q05(t, start="1998-08-04", days=14):
         rows = part if rows is None else rows.unionByName(part)
     out = (rows.rollup("channel", "id")
            .agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"), dsum("profit").alias("profit")))
-    return top(out, 100, "channel", "id")
+    return top(out, limit, "channel", "id")
 
 
 @model
-def q06(t, year=2000, moy=2, min_count=10):
+def q06(t, year=2000, moy=2, min_count=10, limit=100):
     """States with >= 10 buyers of items priced over 1.2x their category average."""
     month = (t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy))
              .select(c("d_month_seq").alias("m")).distinct())
@@ -184,11 +184,11 @@ def q06(t, year=2000, moy=2, min_count=10):
            .join(t.customer_address, c("c_current_addr_sk") == c("ca_address_sk"))
            .groupBy(c("ca_state").alias("state")).agg(F.count(F.lit(1)).alias("cnt"))
            .where(c("cnt") >= min_count))
-    return top(out, 100, "cnt", "state")
+    return top(out, limit, "cnt", "state")
 
 
 @model
-def q07(t, gender="F", marital="W", education="Primary", year=1998):
+def q07(t, gender="F", marital="W", education="Primary", year=1998, limit=100):
     """Average quantity and prices per item for one demographic, non-email/event promotions."""
     cd = t.customer_demographics.where((c("cd_gender") == gender) & (c("cd_marital_status") == marital)
                                        & (c("cd_education_status") == education)).select("cd_demo_sk")
@@ -201,11 +201,11 @@ def q07(t, gender="F", marital="W", education="Primary", year=1998):
            .groupBy("i_item_id")
            .agg(davg("ss_quantity").alias("agg1"), davg("ss_list_price").alias("agg2"),
                 davg("ss_coupon_amt").alias("agg3"), davg("ss_sales_price").alias("agg4")))
-    return top(out, 100, "i_item_id")
+    return top(out, limit, "i_item_id")
 
 
 @model
-def q08(t, zips=Q08_ZIPS, qoy=1, year=2002, min_preferred=10):
+def q08(t, zips=Q08_ZIPS, qoy=1, year=2002, min_preferred=10, limit=100):
     """Store net profit where the store's 2-digit zip matches busy preferred-customer zips."""
     listed = t.customer_address.select(F.substring("ca_zip", 1, 5).alias("zip")) \
         .where(c("zip").isin(list(zips)))
@@ -220,7 +220,7 @@ def q08(t, zips=Q08_ZIPS, qoy=1, year=2002, min_preferred=10):
     out = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
            .join(stores, c("ss_store_sk") == c("s_store_sk"))
            .groupBy("s_store_name").agg(dsum("ss_net_profit").alias("total_net_profit")))
-    return top(out, 100, "s_store_name")
+    return top(out, limit, "s_store_name")
 
 
 @model

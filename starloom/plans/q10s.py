@@ -19,7 +19,7 @@ _CD_ATTRS = ("cd_gender", "cd_marital_status", "cd_education_status", "cd_purcha
 
 @model
 def q10(t, counties=("Walker County", "Richland County", "Gaines County", "Douglas County", "Dona Ana County"),
-        year=2002, moy=4, months=4):
+        year=2002, moy=4, months=4, limit=100):
     """Demographic counts of customers buying in store and (web or catalog) in 4 months."""
     hi = moy + months - 1
     store = _buyers(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", year, moy, hi)
@@ -36,11 +36,11 @@ def q10(t, counties=("Walker County", "Richland County", "Gaines County", "Dougl
                      "cd_purchase_estimate", c("n").alias("cnt2"), "cd_credit_rating", c("n").alias("cnt3"),
                      "cd_dep_count", c("n").alias("cnt4"), "cd_dep_employed_count", c("n").alias("cnt5"),
                      "cd_dep_college_count", c("n").alias("cnt6"))
-    return top(out, 100, *_CD_ATTRS)
+    return top(out, limit, *_CD_ATTRS)
 
 
 @model
-def q11(t, year=2001):
+def q11(t, year=2001, limit=100):
     """Customers whose web growth on list-minus-discount beats store growth."""
     y1, y2 = year, year + 1
     s = customer_years(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk",
@@ -54,7 +54,7 @@ def q11(t, year=2001):
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name"),
                    c("c_email_address").alias("customer_email_address")))
-    return top(out, 100, "customer_id", "customer_first_name", "customer_last_name", "customer_email_address")
+    return top(out, limit, "customer_id", "customer_first_name", "customer_last_name", "customer_email_address")
 
 
 def class_share(t, fact, item_col, date_col, amount, categories, start, days, limit):
@@ -77,10 +77,10 @@ def class_share(t, fact, item_col, date_col, amount, categories, start, days, li
 
 
 @model
-def q12(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=30):
+def q12(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=30, limit=100):
     """Web item revenue and share of its class over 30 days."""
     return class_share(t, t.web_sales, "ws_item_sk", "ws_sold_date_sk", "ws_ext_sales_price",
-                       categories, start, days, 100)
+                       categories, start, days, limit)
 
 
 @model
@@ -154,7 +154,7 @@ def _cross_channel(triples):
 
 
 @model
-def q14a(t, year_lo=1998, year=2000, moy=11):
+def q14a(t, year_lo=1998, year=2000, moy=11, limit=100):
     """Cross-channel items: per channel brand sales above the overall average, with subtotals."""
     channels = [ch for ch, _, _ in _CHANNELS]
     triples = _cross_channel(_brand_sales(t, {"now": ((c("d_year") == year) & (c("d_moy") == moy), channels)}, year_lo, year_lo + 2))
@@ -164,11 +164,11 @@ def q14a(t, year_lo=1998, year=2000, moy=11):
          .where(dbl("sales") > c("average_sales")))
     out = (u.rollup("channel", *_TRIPLE)
            .agg(dsum("sales").alias("total_sales"), lsum("number_sales").alias("total_number_sales")))
-    return top(out, 100, "channel", *_TRIPLE)
+    return top(out, limit, "channel", *_TRIPLE)
 
 
 @model
-def q14b(t, year_lo=1998, year=1999, moy=12, dom=16):
+def q14b(t, year_lo=1998, year=1999, moy=12, dom=16, limit=100):
     """Cross-channel items: store sales of one week this year vs the same week last year."""
     weeks = (t.date_dim.where(c("d_year").isin(year, year - 1) & (c("d_moy") == moy) & (c("d_dom") == dom))
              .select(c("d_year").alias("wk_year"), c("d_week_seq").alias("wk")))
@@ -180,12 +180,12 @@ def q14b(t, year_lo=1998, year=1999, moy=12, dom=16):
         F.lit("store").alias(f"{tag}_channel"), c("i_brand_id").alias(f"{tag}_brand"), c("i_class_id").alias(f"{tag}_class"),
         c("i_category_id").alias(f"{tag}_category"), dbl(f"{tag}_store").alias(f"{tag}_sales"),
         c(f"{tag}_store_n").alias(f"{tag}_number_sales"))])
-    return top(out, 100, "ty_channel", "ty_brand", "ty_class", "ty_category")
+    return top(out, limit, "ty_channel", "ty_brand", "ty_class", "ty_category")
 
 
 @model
 def q15(t, zips=("85669", "86197", "88274", "83405", "86475", "85392", "85460", "80348", "81792"),
-        states=("CA", "WA", "GA"), min_price=500, qoy=2, year=2000):
+        states=("CA", "WA", "GA"), min_price=500, qoy=2, year=2000, limit=100):
     """Catalog sales per zip where zip listed, state listed or price high, one quarter."""
     days = t.date_dim.where((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk")
     out = (t.catalog_sales.join(days, c("cs_sold_date_sk") == c("d_date_sk"))
@@ -194,7 +194,7 @@ def q15(t, zips=("85669", "86197", "88274", "83405", "86475", "85392", "85460",
            .where(F.substring("ca_zip", 1, 5).isin(list(zips)) | c("ca_state").isin(list(states))
                   | (c("cs_sales_price") > min_price))
            .groupBy("ca_zip").agg(dsum("cs_sales_price").alias("total_sales_price")))
-    return top(out, 100, "ca_zip")
+    return top(out, limit, "ca_zip")
 
 
 def multi_warehouse_unreturned(t, sales, p, returns, rp, ship_date_col, addr_col, outlet_filter,
@@ -253,7 +253,7 @@ def sale_return_rebuy(t, q1, q_list, by_quarter=True, d1_cond=None, d2_cond=None
 
 
 @model
-def q17(t, q1="1998Q1", quarters=("1998Q1", "1998Q2", "1998Q3")):
+def q17(t, q1="1998Q1", quarters=("1998Q1", "1998Q2", "1998Q3"), limit=100):
     """Quantity statistics along store sale -> return -> catalog re-purchase."""
     j = sale_return_rebuy(t, q1, quarters)
     aggs = []
@@ -263,12 +263,12 @@ def q17(t, q1="1998Q1", quarters=("1998Q1", "1998Q2", "1998Q3")):
                  r6(F.stddev_samp(col)).alias(f"{name}_quantitystdev"),
                  r6(F.stddev_samp(col) / F.avg(col)).alias(f"{name}_quantitycov")]
     out = j.groupBy("i_item_id", "i_item_desc", "s_state").agg(*aggs)
-    return top(out, 100, "i_item_id", "i_item_desc", "s_state")
+    return top(out, limit, "i_item_id", "i_item_desc", "s_state")
 
 
 @model
 def q18(t, gender="M", education="College", months=(9, 5, 12, 4, 1, 10), year=2001,
-        states=("ND", "WI", "AL", "NC", "OK", "MS", "TN")):
+        states=("ND", "WI", "AL", "NC", "OK", "MS", "TN"), limit=100):
     """Catalog averages by item/country/state/county subtotals for one demographic."""
     cd1 = t.customer_demographics.where((c("cd_gender") == gender) & (c("cd_education_status") == education)) \
         .select(c("cd_demo_sk").alias("cd1_sk"), c("cd_dep_count").alias("cd1_dep"))
@@ -286,11 +286,11 @@ def q18(t, gender="M", education="College", months=(9, 5, 12, 4, 1, 10), year=20
         ("cs_quantity", "cs_list_price", "cs_coupon_amt", "cs_sales_price", "cs_net_profit",
          "c_birth_year", "cd1_dep"))]
     out = j.rollup("i_item_id", "ca_country", "ca_state", "ca_county").agg(*aggs)
-    return top(out, 100, "ca_country", "ca_state", "ca_county", "i_item_id")
+    return top(out, limit, "ca_country", "ca_state", "ca_county", "i_item_id")
 
 
 @model
-def q19(t, manager=7, moy=11, year=1999):
+def q19(t, manager=7, moy=11, year=1999, limit=100):
     """Brand revenue where the customer's zip differs from the store's zip."""
     days = t.date_dim.where((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
     out = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -303,4 +303,4 @@ def q19(t, manager=7, moy=11, year=1999):
            .agg(dsum("ss_ext_sales_price").alias("ext_price"))
            .select(c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), "i_manufact_id",
                    "i_manufact", "ext_price"))
-    return top(out, 100, "-ext_price", "brand", "brand_id", "i_manufact_id", "i_manufact")
+    return top(out, limit, "-ext_price", "brand", "brand_id", "i_manufact_id", "i_manufact")

@@ -9,14 +9,14 @@ from .registry import model
 
 
 @model
-def q20(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=30):
+def q20(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=30, limit=100):
     """Catalog item revenue and share of its class over 30 days."""
     return class_share(t, t.catalog_sales, "cs_item_sk", "cs_sold_date_sk", "cs_ext_sales_price",
-                       categories, start, days, 100)
+                       categories, start, days, limit)
 
 
 @model
-def q21(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49):
+def q21(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49, limit=100):
     """Inventory 30 days before/after a date per warehouse and item, ratio in [2/3, 3/2]."""
     p = F.lit(pivot).cast("date")
     dates = t.date_dim.where(c("d_date").between(F.date_sub(p, days), F.date_add(p, days))) \
@@ -29,11 +29,11 @@ def q21(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49):
               lsum(F.when(c("d_date") >= p, c("inv_quantity_on_hand")).otherwise(0)).alias("inv_after")))
     ratio = F.when(c("inv_before") > 0, dbl("inv_after") / dbl("inv_before"))
     out = g.where(ratio.between(F.lit(2.0 / 3.0), F.lit(3.0 / 2.0)))
-    return top(out, 100, "w_warehouse_name", "i_item_id")
+    return top(out, limit, "w_warehouse_name", "i_item_id")
 
 
 @model
-def q22(t, month_seq=1212):
+def q22(t, month_seq=1212, limit=100):
     """Average quantity on hand with product/brand/class/category subtotals."""
     dates = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
@@ -43,7 +43,7 @@ def q22(t, month_seq=1212):
             .join(t.item, c("inv_item_sk") == c("i_item_sk"))
             .groupBy(*keys).agg(F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("n")))
     out = fine.rollup(*keys).agg((dbl(F.sum("s")) / F.sum("n")).alias("qoh"))
-    return top(out.select(*keys, "qoh"), 100, "qoh", *keys)
+    return top(out.select(*keys, "qoh"), limit, "qoh", *keys)
 
 
 def _store_history(t, years):
@@ -92,10 +92,10 @@ def q23a(t, year=1999, moy=1, years=(1999, 2000, 2001, 2002), min_count=4, share
 
 
 @model
-def q23b(t, year=1999, moy=1, years=(1999, 2000, 2001, 2002), min_count=4, share=0.95):
+def q23b(t, year=1999, moy=1, years=(1999, 2000, 2001, 2002), min_count=4, share=0.95, limit=100):
     """The same, per customer name."""
     u = _q23_channels(t, year, moy, years, min_count, share, True)
-    return top(u, 100, "c_last_name", "c_first_name", "sales")
+    return top(u, limit, "c_last_name", "c_first_name", "sales")
 
 
 def _q24(t, color, market):
@@ -130,7 +130,7 @@ def q24b(t, color="chiffon", market=7):
 
 
 @model
-def q25(t, year=2000, moy=4, moy_hi=10):
+def q25(t, year=2000, moy=4, moy_hi=10, limit=100):
     """Profit and loss along store sale -> return -> catalog re-purchase."""
     d1 = (c("d_moy") == moy) & (c("d_year") == year)
     d2 = c("d_moy").between(moy, moy_hi) & (c("d_year") == year)
@@ -138,11 +138,11 @@ def q25(t, year=2000, moy=4, moy_hi=10):
     out = (j.groupBy("i_item_id", "i_item_desc", "s_store_id", "s_store_name")
            .agg(dsum("ss_net_profit").alias("store_sales_profit"), dsum("sr_net_loss").alias("store_returns_loss"),
                 dsum("cs_net_profit").alias("catalog_sales_profit")))
-    return top(out, 100, "i_item_id", "i_item_desc", "s_store_id", "s_store_name")
+    return top(out, limit, "i_item_id", "i_item_desc", "s_store_id", "s_store_name")
 
 
 @model
-def q26(t, gender="F", marital="W", education="Primary", year=1998):
+def q26(t, gender="F", marital="W", education="Primary", year=1998, limit=100):
     """Catalog averages per item for one demographic, non-email/event promotions."""
     cd = t.customer_demographics.where((c("cd_gender") == gender) & (c("cd_marital_status") == marital)
                                        & (c("cd_education_status") == education)).select("cd_demo_sk")
@@ -155,11 +155,11 @@ def q26(t, gender="F", marital="W", education="Primary", year=1998):
            .groupBy("i_item_id")
            .agg(davg("cs_quantity").alias("agg1"), davg("cs_list_price").alias("agg2"),
                 davg("cs_coupon_amt").alias("agg3"), davg("cs_sales_price").alias("agg4")))
-    return top(out, 100, "i_item_id")
+    return top(out, limit, "i_item_id")
 
 
 @model
-def q27(t, gender="F", marital="W", education="Primary", year=1998, states=("TN",)):
+def q27(t, gender="F", marital="W", education="Primary", year=1998, states=("TN",), limit=100):
     """Store averages by item and state with subtotals and a grouping flag."""
     cd = t.customer_demographics.where((c("cd_gender") == gender) & (c("cd_marital_status") == marital)
                                        & (c("cd_education_status") == education)).select("cd_demo_sk")
@@ -173,7 +173,7 @@ def q27(t, gender="F", marital="W", education="Primary", year=1998, states=("TN"
                 davg("ss_quantity").alias("agg1"), davg("ss_list_price").alias("agg2"),
                 davg("ss_coupon_amt").alias("agg3"), davg("ss_sales_price").alias("agg4")))
     return top(out.select("i_item_id", "s_state", "g_state", "agg1", "agg2", "agg3", "agg4"),
-               100, "i_item_id", "s_state")
+               limit, "i_item_id", "s_state")
 
 
 Q28_BANDS = (  # quantity range, list price from, coupon from, wholesale from
@@ -208,7 +208,7 @@ def q28(t, bands=Q28_BANDS):
 
 
 @model
-def q29(t, year=1999, moy=4, months=4, years=(1999, 2000, 2001)):
+def q29(t, year=1999, moy=4, months=4, years=(1999, 2000, 2001), limit=100):
     """Quantities along store sale -> return -> catalog re-purchase over three years."""
     d1 = (c("d_moy") == moy) & (c("d_year") == year)
     d2 = c("d_moy").between(moy, moy + months - 1) & (c("d_year") == year)
@@ -218,4 +218,4 @@ def q29(t, year=1999, moy=4, months=4, years=(1999, 2000, 2001)):
            .agg(lsum("ss_quantity").alias("store_sales_quantity"),
                 lsum("sr_return_quantity").alias("store_returns_quantity"),
                 lsum("cs_quantity").alias("catalog_sales_quantity")))
-    return top(out, 100, "i_item_id", "i_item_desc", "s_store_id", "s_store_name")
+    return top(out, limit, "i_item_id", "i_item_desc", "s_store_id", "s_store_name")

@@ -26,12 +26,12 @@ def returns_above_state_average(t, returns, p, cust_col, addr_col, date_col, amo
 
 
 @model
-def q30(t, year=2002, state="IL"):
+def q30(t, year=2002, state="IL", limit=100):
     """Web-return customers above 1.2x their state's average."""
     j = returns_above_state_average(t, t.web_returns, "wr", "wr_returning_customer_sk", "wr_returning_addr_sk",
                                     "wr_returned_date_sk", "wr_return_amt", year, state, None)
     out = j.select(*_CUST_OUT, dbl("total").alias("ctr_total_return"))
-    return top(out, 100, *_CUST_OUT, "ctr_total_return")
+    return top(out, limit, *_CUST_OUT, "ctr_total_return")
 
 
 @model
@@ -79,7 +79,7 @@ def q32(t, manufact=269, start="1998-03-18", days=90):
     return excess_discount(t, t.catalog_sales, "cs", manufact, start, days)
 
 
-def channel_item_revenue(t, key, item_filter, year, moy, gmt, order_first):
+def channel_item_revenue(t, key, item_filter, year, moy, gmt, order_first, limit=100):
     """Revenue of items picked by ``item_filter`` across three channels (q33, q56, q60)."""
     keys = t.item.where(item_filter).select(c(key).alias("pick")).distinct()
     items = t.item.join(keys, c(key) == c("pick"), "left_semi").select("i_item_sk", key)
@@ -94,14 +94,14 @@ def channel_item_revenue(t, key, item_filter, year, moy, gmt, order_first):
                 .groupBy(key).agg(F.sum(f"{p}_ext_sales_price").alias("total_sales")))
         u = part if u is None else u.unionByName(part)
     out = u.groupBy(key).agg(dsum("total_sales").alias("total_sales"))
-    return top(out, 100, *order_first)
+    return top(out, limit, *order_first)
 
 
 @model
-def q33(t, category="Books", year=1999, moy=3, gmt=-5):
+def q33(t, category="Books", year=1999, moy=3, gmt=-5, limit=100):
     """Manufacturer revenue across channels for one category and time zone."""
     return channel_item_revenue(t, "i_manufact_id", c("i_category") == category, year, moy, gmt,
-                                ("total_sales",))
+                                ("total_sales",), limit)
 
 
 def ticket_counts(t, dom_cond, buy_potentials, ratio, years, counties, vehicle_ratio_cond=True):
@@ -133,7 +133,7 @@ def _buyers(t, fact, cust_col, date_col, cond):
 
 
 @model
-def q35(t, year=1999, max_qoy=4):
+def q35(t, year=1999, max_qoy=4, limit=100):
     """Demographic statistics of customers buying in store and (web or catalog)."""
     cond = (c("d_year") == year) & (c("d_qoy") < max_qoy)
     store = _buyers(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", cond)
@@ -154,11 +154,11 @@ def q35(t, year=1999, max_qoy=4):
                    "cd_dep_count", c("n").alias("cnt1"), "aggone1", "aggtwo1", "aggthree1",
                    "cd_dep_employed_count", c("n").alias("cnt2"), "aggone2", "aggtwo2", "aggthree2",
                    "cd_dep_college_count", c("n").alias("cnt3"), "aggone3", "aggtwo3", "aggthree3")
-    return top(out, 100, *keys)
+    return top(out, limit, *keys)
 
 
 @model
-def q36(t, year=2000, states=("TN",)):
+def q36(t, year=2000, states=("TN",), limit=100):
     """Gross margin by category and class with subtotals, ranked inside the parent."""
     j = (t.store_sales
          .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
@@ -172,12 +172,12 @@ def q36(t, year=2000, states=("TN",)):
     w = W.partitionBy("lochierarchy", parent).orderBy(c("gross_margin").asc_nulls_last())
     out = g.select("gross_margin", "i_category", "i_class", "lochierarchy",
                    F.rank().over(w).cast("long").alias("rank_within_parent"))
-    ordered = top(out, 100, "-lochierarchy", F.when(c("lochierarchy") == 0, c("i_category")).asc_nulls_last(),
+    ordered = top(out, limit, "-lochierarchy", F.when(c("lochierarchy") == 0, c("i_category")).asc_nulls_last(),
                   "rank_within_parent")
     return ordered
 
 
-def items_in_stock_and_sold(t, fact, item_col, price_lo, manufacts, start, days):
+def items_in_stock_and_sold(t, fact, item_col, price_lo, manufacts, start, days, limit=100):
     lo = F.lit(start).cast("date")
     dates = t.date_dim.where(c("d_date").between(lo, F.date_add(lo, days))).select("d_date_sk")
     stock = (t.inventory.where(c("inv_quantity_on_hand").between(100, 500))
@@ -193,13 +193,13 @@ def items_in_stock_and_sold(t, fact, item_col, price_lo, manufacts, start, days)
            .join(sold, c("i_item_sk") == c("sold"), "left_semi")
            .select("i_item_id", "i_item_desc", dbl("i_current_price").alias("i_current_price"))
            .distinct())
-    return top(out, 100, "i_item_id")
+    return top(out, limit, "i_item_id")
 
 
 @model
-def q37(t, price_lo=22, manufacts=(678, 964, 918, 849), start="2001-06-02", days=60):
+def q37(t, price_lo=22, manufacts=(678, 964, 918, 849), start="2001-06-02", days=60, limit=100):
     """Items in stock (100-500 units) within 60 days and sold by catalog, in a price band."""
-    return items_in_stock_and_sold(t, t.catalog_sales, "cs_item_sk", price_lo, manufacts, start, days)
+    return items_in_stock_and_sold(t, t.catalog_sales, "cs_item_sk", price_lo, manufacts, start, days, limit)
 
 
 def _name_days(t, fact, date_col, cust_col, month_seq):

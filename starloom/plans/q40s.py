@@ -10,7 +10,7 @@ from .registry import model
 
 
 @model
-def q40(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49):
+def q40(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49, limit=100):
     """Catalog sales net of refunds before/after a date, per warehouse state and item."""
     p = F.lit(pivot).cast("date")
     dates = t.date_dim.where(c("d_date").between(F.date_sub(p, days), F.date_add(p, days))) \
@@ -24,7 +24,7 @@ def q40(t, pivot="1998-04-08", days=30, price_lo=0.99, price_hi=1.49):
     out = (j.groupBy("w_state", "i_item_id")
            .agg(dsum(F.when(c("d_date") < p, net).otherwise(0)).alias("sales_before"),
                 dsum(F.when(c("d_date") >= p, net).otherwise(0)).alias("sales_after")))
-    return top(out, 100, "w_state", "i_item_id")
+    return top(out, limit, "w_state", "i_item_id")
 
 
 # (category, colours, units, sizes) of the eight attribute combinations
@@ -41,7 +41,7 @@ Q41_COMBOS = (
 
 
 @model
-def q41(t, manufact_lo=742, combos=Q41_COMBOS):
+def q41(t, manufact_lo=742, combos=Q41_COMBOS, limit=100):
     """Product names of manufacturers that make at least one item of the listed kinds."""
     cond = None
     for cat, colors, units, sizes in combos:
@@ -52,7 +52,7 @@ def q41(t, manufact_lo=742, combos=Q41_COMBOS):
     out = (t.item.where(c("i_manufact_id").between(manufact_lo, manufact_lo + 40))
            .join(makers, c("i_manufact") == c("m"), "left_semi")
            .select("i_product_name").distinct())
-    return top(out, 100, "i_product_name")
+    return top(out, limit, "i_product_name")
 
 
 def brand_or_category_revenue(t, group, manager, moy, year):
@@ -63,15 +63,15 @@ def brand_or_category_revenue(t, group, manager, moy, year):
 
 
 @model
-def q42(t, manager=1, moy=12, year=1998):
+def q42(t, manager=1, moy=12, year=1998, limit=100):
     """Category revenue of one manager in one month."""
     g = brand_or_category_revenue(t, ["d_year", "i_category_id", "i_category"], manager, moy, year)
     out = g.select("d_year", "i_category_id", "i_category", c("total").alias("total_sales"))
-    return top(out, 100, "-total_sales", "d_year", "i_category_id", "i_category")
+    return top(out, limit, "-total_sales", "d_year", "i_category_id", "i_category")
 
 
 @model
-def q43(t, gmt=-5, year=1998):
+def q43(t, gmt=-5, year=1998, limit=100):
     """Store sales by weekday for one year and time zone."""
     days = t.date_dim.where(c("d_year") == year).select("d_date_sk", "d_day_name")
     out = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -79,11 +79,11 @@ def q43(t, gmt=-5, year=1998):
            .groupBy("s_store_name", "s_store_id")
            .agg(*[dsum(F.when(c("d_day_name") == n, c("ss_sales_price"))).alias(f"{d}_sales")
                   for d, n in zip(WEEKDAYS, WEEKDAY_NAMES)]))
-    return top(out, 100, "s_store_name", "s_store_id", *[f"{d}_sales" for d in WEEKDAYS])
+    return top(out, limit, "s_store_name", "s_store_id", *[f"{d}_sales" for d in WEEKDAYS])
 
 
 @model
-def q44(t, store=2, share_tenths=9, n=10):
+def q44(t, store=2, share_tenths=9, n=10, limit=100):
     """Best and worst items of one store by average profit, side by side by rank."""
     no_demo = F.when(c("ss_hdemo_sk").isNull(), c("ss_net_profit"))
     per_item = shared(t.store_sales.where(c("ss_store_sk") == store).groupBy(c("ss_item_sk").alias("item_sk"))
@@ -101,12 +101,12 @@ def q44(t, store=2, share_tenths=9, n=10):
     out = (asc.join(desc, c("rnk") == c("rnk2"))
            .join(i1, c("item_sk") == c("i1_sk")).join(i2, c("item_sk2") == c("i2_sk"))
            .select(c("rnk").cast("long").alias("rnk"), "best_performing", "worst_performing"))
-    return top(out, 100, "rnk")
+    return top(out, limit, "rnk")
 
 
 @model
 def q45(t, zips=("85669", "86197", "88274", "83405", "86475", "85392", "85460", "80348", "81792"),
-        item_sks=(2, 3, 5, 7, 11, 13, 17, 19, 23, 29), qoy=2, year=2000):
+        item_sks=(2, 3, 5, 7, 11, 13, 17, 19, 23, 29), qoy=2, year=2000, limit=100):
     """Web sales by zip and county where the zip is listed or the item is one of a few."""
     ids = t.item.where(c("i_item_sk").isin(list(item_sks))).select(c("i_item_id").alias("pick_id")).distinct()
     days = t.date_dim.where((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk")
@@ -118,7 +118,7 @@ def q45(t, zips=("85669", "86197", "88274", "83405", "86475", "85392", "85460",
          .join(ids, c("i_item_id") == c("pick_id"), "left"))
     out = (j.where(F.substring("ca_zip", 1, 5).isin(list(zips)) | c("pick_id").isNotNull())
            .groupBy("ca_zip", "ca_county").agg(dsum("ws_sales_price").alias("total_sales")))
-    return top(out, 100, "ca_zip", "ca_county")
+    return top(out, limit, "ca_zip", "ca_county")
 
 
 def ticket_city(t, dow, years, cities, hd_cond, aggs):
@@ -137,13 +137,13 @@ def ticket_city(t, dow, years, cities, hd_cond, aggs):
 
 
 @model
-def q46(t, dep=5, vehicles=3, years=(1999, 2000, 2001), cities=("Midway", "Fairview")):
+def q46(t, dep=5, vehicles=3, years=(1999, 2000, 2001), cities=("Midway", "Fairview"), limit=100):
     """Weekend tickets bought away from home: coupon amount and profit."""
     j = ticket_city(t, c("d_dow").isin(6, 0), years, cities,
                     (c("hd_dep_count") == dep) | (c("hd_vehicle_count") == vehicles),
                     [dsum("ss_coupon_amt").alias("amt"), dsum("ss_net_profit").alias("profit")])
     out = j.select("c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number", "amt", "profit")
-    return top(out, 100, "c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number")
+    return top(out, limit, "c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number")
 
 
 def monthly_deviation(t, fact, p, outlet_join, outlet_cols, year, item_filter=None):
@@ -175,13 +175,13 @@ def monthly_deviation(t, fact, p, outlet_join, outlet_cols, year, item_filter=No
 
 
 @model
-def q47(t, year=2000):
+def q47(t, year=2000, limit=100):
     """Store brand months deviating more than 10% from the yearly mean, with neighbours."""
     v = monthly_deviation(t, t.store_sales, "ss", (t.store, c("ss_store_sk") == c("s_store_sk")),
                           ["s_store_name", "s_company_name"], year)
     out = v.select("i_category", "i_brand", "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum",
                    "s_store_name", "s_company_name")
-    out = top(out, 100, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "nsum")
+    out = top(out, limit, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "nsum")
     return out.select("i_category", "i_brand", "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum")
 
 
@@ -224,7 +224,7 @@ def _return_ranks(t, sales, p, returns, rp, ticket, r_ticket, ret_amt, sold_date
 
 
 @model
-def q49(t, year=2000, moy=12):
+def q49(t, year=2000, moy=12, limit=100):
     """Items with the worst return ratios per channel by two ranks."""
     web = _return_ranks(t, t.web_sales, "ws", t.web_returns, "wr", "ws_order_number", "wr_order_number",
                         "wr_return_amt", "ws_sold_date_sk", year, moy, "web")
@@ -233,4 +233,4 @@ def q49(t, year=2000, moy=12):
     sto = _return_ranks(t, t.store_sales, "ss", t.store_returns, "sr", "ss_ticket_number", "sr_ticket_number",
                         "sr_return_amt", "ss_sold_date_sk", year, moy, "store")
     out = web.union(cat).union(sto).distinct()
-    return top(out, 100, "channel", "return_rank", "currency_rank", "item")
+    return top(out, limit, "channel", "return_rank", "currency_rank", "item")

@@ -31,7 +31,7 @@ _STORE_ADDR = ("s_store_name", "s_company_id", "s_street_number", "s_street_name
 
 
 @model
-def q50(t, year=2000, moy=9):
+def q50(t, year=2000, moy=9, limit=100):
     """Store returns of one month bucketed by days since the sale."""
     d2 = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select(c("d_date_sk").alias("d2"))
     j = (t.store_returns.join(d2, c("sr_returned_date_sk") == c("d2"))
@@ -40,11 +40,11 @@ def q50(t, year=2000, moy=9):
          .join(t.date_dim.select(c("d_date_sk").alias("d1")), c("ss_sold_date_sk") == c("d1"))
          .join(t.store, c("ss_store_sk") == c("s_store_sk")))
     out = j.groupBy(*_STORE_ADDR).agg(*lag_buckets(c("sr_returned_date_sk") - c("ss_sold_date_sk")))
-    return top(out, 100, *_STORE_ADDR)
+    return top(out, limit, *_STORE_ADDR)
 
 
 @model
-def q51(t, month_seq=1212):
+def q51(t, month_seq=1212, limit=100):
     """Item-days where cumulative web sales exceed cumulative store sales."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
     running = W.partitionBy("item_sk").orderBy("d_date").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -69,16 +69,16 @@ def q51(t, month_seq=1212):
     out = y.where(c("web_cumulative") > c("store_cumulative")).select(
         "item_sk", "d_date", dbl("web_sales").alias("web_sales"), dbl("store_sales").alias("store_sales"),
         dbl("web_cumulative").alias("web_cumulative"), dbl("store_cumulative").alias("store_cumulative"))
-    return top(out, 100, "item_sk", "d_date")
+    return top(out, limit, "item_sk", "d_date")
 
 
 @model
-def q52(t, manager=1, moy=12, year=1998):
+def q52(t, manager=1, moy=12, year=1998, limit=100):
     """Brand revenue of one manager in one month."""
     g = brand_or_category_revenue(t, ["d_year", "i_brand", "i_brand_id"], manager, moy, year)
     out = g.select("d_year", c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"),
                    c("total").alias("ext_price"))
-    return top(out, 100, "d_year", "-ext_price", "brand_id")
+    return top(out, limit, "d_year", "-ext_price", "brand_id")
 
 
 def _q53_items():
@@ -105,15 +105,15 @@ def period_deviation(t, key, period, month_seq, item_filter, avg_name):
 
 
 @model
-def q53(t, month_seq=1212):
+def q53(t, month_seq=1212, limit=100):
     """Manufacturer quarterly sales deviating more than 10% from their mean."""
     v = period_deviation(t, "i_manufact_id", "d_qoy", month_seq, _q53_items(), "avg_quarterly_sales")
-    return top(v.select("i_manufact_id", "sum_sales", "avg_quarterly_sales"), 100,
+    return top(v.select("i_manufact_id", "sum_sales", "avg_quarterly_sales"), limit,
                "avg_quarterly_sales", "sum_sales", "i_manufact_id")
 
 
 @model
-def q54(t, category="Jewelry", klass="consignment", year=1999, moy=3, width=50):
+def q54(t, category="Jewelry", klass="consignment", year=1999, moy=3, width=50, limit=100):
     """Revenue segments of store customers who bought a kind of item by catalog or web."""
     items = t.item.where((c("i_category") == category) & (c("i_class") == klass)).select("i_item_sk")
     month = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy))
@@ -142,37 +142,37 @@ def q54(t, category="Jewelry", klass="consignment", year=1999, moy=3, width=50):
     seg = revenue.select(F.rint(dbl("revenue") / width).cast("int").alias("segment"))
     out = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("num_customers")) \
         .select("segment", "num_customers", (c("segment") * width).alias("segment_base"))
-    return top(out, 100, "segment", "num_customers")
+    return top(out, limit, "segment", "num_customers")
 
 
 @model
-def q55(t, manager=36, moy=12, year=2001):
+def q55(t, manager=36, moy=12, year=2001, limit=100):
     """Brand revenue of one manager in one month."""
     g = brand_or_category_revenue(t, ["i_brand", "i_brand_id"], manager, moy, year)
     out = g.select(c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), c("total").alias("ext_price"))
-    return top(out, 100, "-ext_price", "brand_id")
+    return top(out, limit, "-ext_price", "brand_id")
 
 
 @model
-def q56(t, colors=("orchid", "chiffon", "lace"), year=2000, moy=1, gmt=-8):
+def q56(t, colors=("orchid", "chiffon", "lace"), year=2000, moy=1, gmt=-8, limit=100):
     """Item revenue across channels for items of some colours."""
     return channel_item_revenue(t, "i_item_id", c("i_color").isin(*colors), year, moy, gmt,
-                                ("total_sales", "i_item_id"))
+                                ("total_sales", "i_item_id"), limit)
 
 
 @model
-def q57(t, year=2000):
+def q57(t, year=2000, limit=100):
     """Call-center brand months deviating more than 10% from the yearly mean, with neighbours."""
     v = monthly_deviation(t, t.catalog_sales, "cs", (t.call_center, c("cs_call_center_sk") == c("cc_call_center_sk")),
                           ["cc_name"], year)
     out = v.select("cc_name", "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum",
                    "i_category", "i_brand")
-    out = top(out, 100, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "nsum")
+    out = top(out, limit, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "nsum")
     return out.select("cc_name", "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum")
 
 
 @model
-def q58(t, day="1998-02-19"):
+def q58(t, day="1998-02-19", limit=100):
     """Items whose revenue is within 10% across the three channels in one week."""
     wk = t.date_dim.where(c("d_date") == F.lit(day).cast("date")).select(c("d_week_seq").alias("wk"))
     days = t.date_dim.join(wk, c("d_week_seq") == c("wk")).select("d_date_sk")
@@ -196,11 +196,11 @@ def q58(t, day="1998-02-19"):
                    (dbl("ss_rev") / avg * 100).alias("ss_dev"), dbl("cs_rev").alias("cs_item_rev"),
                    (dbl("cs_rev") / avg * 100).alias("cs_dev"), dbl("ws_rev").alias("ws_item_rev"),
                    (dbl("ws_rev") / avg * 100).alias("ws_dev"), avg.alias("average"))
-    return top(out, 100, "item_id", "ss_item_rev")
+    return top(out, limit, "item_id", "ss_item_rev")
 
 
 @model
-def q59(t, month_seq=1185, week_gap=52):
+def q59(t, month_seq=1185, week_gap=52, limit=100):
     """Store weekday sales of a year vs the same weeks one year later."""
     # only weeks that touch the two years are summed
     wanted = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 23)).select("d_week_seq").distinct()
@@ -221,5 +221,5 @@ def q59(t, month_seq=1185, week_gap=52):
     j = y.join(x, (c("s_store_id1") == c("s_store_id2")) & (c("d_week_seq1") == c("d_week_seq2") - week_gap))
     out = j.select("s_store_name1", "s_store_id1", "d_week_seq1",
                    *[nz_div(c(f"{d}_sales1"), c(f"{d}_sales2")).alias(f"{d}_sales_ratio") for d in WEEKDAYS])
-    return top(out, 100, "s_store_name1", "s_store_id1", "d_week_seq1")
+    return top(out, limit, "s_store_name1", "s_store_id1", "d_week_seq1")
 

@@ -13,14 +13,14 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 
 @model
-def q60(t, category="Children", year=1999, moy=9, gmt=-6):
+def q60(t, category="Children", year=1999, moy=9, gmt=-6, limit=100):
     """Item revenue across channels for one category and time zone."""
     return channel_item_revenue(t, "i_item_id", c("i_category") == category, year, moy, gmt,
-                                ("i_item_id", "total_sales"))
+                                ("i_item_id", "total_sales"), limit)
 
 
 @model
-def q61(t, gmt=-7, category="Books", year=1999, moy=11):
+def q61(t, gmt=-7, category="Books", year=1999, moy=11, limit=100):
     """Share of promoted store sales in one month, category and time zone."""
     days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
     base = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -37,10 +37,10 @@ def q61(t, gmt=-7, category="Books", year=1999, moy=11):
         dsum("ss_ext_sales_price").alias("total"))
     out = sums.select(
         "promotions", "total", (c("promotions") / c("total") * 100).alias("promotional_pct"))
-    return top(out, 100, "promotions", "total")
+    return top(out, limit, "promotions", "total")
 
 
-def ship_lag_report(t, fact, p, month_seq, outlet_dim, outlet_key, outlet_col):
+def ship_lag_report(t, fact, p, month_seq, outlet_dim, outlet_key, outlet_col, limit=100):
     """Shipping lag buckets per warehouse, ship mode and outlet (q62, q99)."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     j = (fact.join(days, c(f"{p}_ship_date_sk") == c("d_date_sk"))
@@ -49,21 +49,21 @@ def ship_lag_report(t, fact, p, month_seq, outlet_dim, outlet_key, outlet_col):
          .join(outlet_dim, c(f"{p}_{outlet_key}") == c(outlet_dim.columns[0])))
     keys = [F.substring("w_warehouse_name", 1, 20).alias("w_warehouse_name_substr"), "sm_type", outlet_col]
     out = j.groupBy(*keys).agg(*lag_buckets(c(f"{p}_ship_date_sk") - c(f"{p}_sold_date_sk")))
-    return top(out, 100, "w_warehouse_name_substr", "sm_type", outlet_col)
+    return top(out, limit, "w_warehouse_name_substr", "sm_type", outlet_col)
 
 
 @model
-def q62(t, month_seq=1212):
+def q62(t, month_seq=1212, limit=100):
     """Web shipping lag buckets per warehouse, ship mode and site."""
     return ship_lag_report(t, t.web_sales, "ws", month_seq, t.web_site.select("web_site_sk", "web_name"),
-                           "web_site_sk", "web_name")
+                           "web_site_sk", "web_name", limit)
 
 
 @model
-def q63(t, month_seq=1212):
+def q63(t, month_seq=1212, limit=100):
     """Manager monthly sales deviating more than 10% from their mean."""
     v = period_deviation(t, "i_manager_id", "d_moy", month_seq, _q53_items(), "avg_monthly_sales")
-    return top(v.select("i_manager_id", "sum_sales", "avg_monthly_sales"), 100,
+    return top(v.select("i_manager_id", "sum_sales", "avg_monthly_sales"), limit,
                "i_manager_id", "avg_monthly_sales", "sum_sales")
 
 
@@ -135,7 +135,7 @@ def q64(t, colors=Q64_COLORS, price=35, year=2000):
 
 
 @model
-def q65(t, month_seq=1212, share_tenths=1):
+def q65(t, month_seq=1212, share_tenths=1, limit=100):
     """Store items whose revenue is at most 10% of the store's average item revenue."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     sc = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -149,7 +149,7 @@ def q65(t, month_seq=1212, share_tenths=1):
            .select("s_store_name", "i_item_desc", dbl("revenue").alias("revenue"),
                    dbl("i_current_price").alias("i_current_price"), dbl("i_wholesale_cost").alias("i_wholesale_cost"),
                    "i_brand"))
-    return top(out, 100, "s_store_name", "i_item_desc")
+    return top(out, limit, "s_store_name", "i_item_desc")
 
 
 _W_COLS = ("w_warehouse_name", "w_warehouse_sq_ft", "w_city", "w_county", "w_state", "w_country")
@@ -173,7 +173,7 @@ def _warehouse_months(t, fact, p, price, net, days, times, modes):
 
 
 @model
-def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE")):
+def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE"), limit=100):
     """Warehouse monthly sales and per-square-foot figures for web and catalog."""
     days = t.date_dim.where(c("d_year") == year).select("d_date_sk", "d_year", "d_moy")
     times = t.time_dim.where(c("t_time").between(time_lo, time_lo + 28800)).select("t_time_sk")
@@ -186,11 +186,11 @@ def q66(t, year=2002, time_lo=49530, carriers=("DIAMOND", "AIRBORNE")):
            .agg(*[dsum(f"{m}_sales").alias(f"{m}_sales") for m in MONTHS],
                 *[F.sum(f"{m}_psf").alias(f"{m}_sales_per_sq_foot") for m in MONTHS],
                 *[dsum(f"{m}_net").alias(f"{m}_net") for m in MONTHS]))
-    return top(out, 100, "w_warehouse_name")
+    return top(out, limit, "w_warehouse_name")
 
 
 @model
-def q67(t, month_seq=1212, n=100):
+def q67(t, month_seq=1212, n=100, limit=100):
     """Top sales per category over eight-level subtotals."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)) \
         .select("d_date_sk", "d_year", "d_qoy", "d_moy")
@@ -207,11 +207,11 @@ def q67(t, month_seq=1212, n=100):
     w = W.partitionBy("i_category").orderBy(c("sumsales").desc_nulls_last())
     ranked = rolled.select(*keys, "sumsales", F.rank().over(w).alias("rk")).where(c("rk") <= n)
     out = ranked.select(*keys, dbl("sumsales").alias("sumsales"), c("rk").cast("long").alias("rk"))
-    return top(out, 100, *keys, "sumsales", "rk")
+    return top(out, limit, *keys, "sumsales", "rk")
 
 
 @model
-def q68(t, years=(1999, 2000, 2001), cities=("Midway", "Fairview"), dep=5, vehicles=3):
+def q68(t, years=(1999, 2000, 2001), cities=("Midway", "Fairview"), dep=5, vehicles=3, limit=100):
     """Tickets of the first two days of a month bought away from home."""
     from .q40s import ticket_city
 
@@ -221,7 +221,7 @@ def q68(t, years=(1999, 2000, 2001), cities=("Midway", "Fairview"), dep=5, vehic
                      dsum("ss_ext_tax").alias("extended_tax")])
     out = j.select("c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number", "extended_price",
                    "extended_tax", "list_price")
-    return top(out, 100, "c_last_name", "ss_ticket_number")
+    return top(out, limit, "c_last_name", "ss_ticket_number")
 
 
 def _buyers_in(t, fact, cust_col, date_col, cond):
@@ -230,7 +230,7 @@ def _buyers_in(t, fact, cust_col, date_col, cond):
 
 
 @model
-def q69(t, states=("CO", "IL", "MN"), year=1999, moy=1, months=3):
+def q69(t, states=("CO", "IL", "MN"), year=1999, moy=1, months=3, limit=100):
     """Demographics of customers buying in store but neither by web nor by catalog."""
     cond = (c("d_year") == year) & c("d_moy").between(moy, moy + months - 1)
     store = _buyers_in(t, t.store_sales, "ss_customer_sk", "ss_sold_date_sk", cond)
@@ -245,10 +245,10 @@ def q69(t, states=("CO", "IL", "MN"), year=1999, moy=1, months=3):
          .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     out = g.select("cd_gender", "cd_marital_status", "cd_education_status", c("n").alias("cnt1"),
                    "cd_purchase_estimate", c("n").alias("cnt2"), "cd_credit_rating", c("n").alias("cnt3"))
-    return top(out, 100, *keys)
+    return top(out, limit, *keys)
 
 
-def ranked_two_level(j, a, b, measure, measure_name, order_desc):
+def ranked_two_level(j, a, b, measure, measure_name, order_desc, limit=100):
     """Rollup of (a, b) with a rank of each row inside its parent (q36, q70, q86)."""
     g = (j.rollup(a, b)
          .agg(F.sum(measure).alias("m"),
@@ -259,12 +259,12 @@ def ranked_two_level(j, a, b, measure, measure_name, order_desc):
     w = W.partitionBy("lochierarchy", parent).orderBy(order)
     out = g.select(dbl("m").alias(measure_name), a, b, "lochierarchy",
                    F.rank().over(w).cast("long").alias("rank_within_parent"))
-    return top(out, 100, "-lochierarchy", F.when(c("lochierarchy") == 0, c(a)).asc_nulls_last(),
+    return top(out, limit, "-lochierarchy", F.when(c("lochierarchy") == 0, c(a)).asc_nulls_last(),
                "rank_within_parent")
 
 
 @model
-def q70(t, month_seq=1212, top_states=5):
+def q70(t, month_seq=1212, top_states=5, limit=100):
     """Net profit by state and county with subtotals, ranked inside the parent."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     sales = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -276,7 +276,7 @@ def q70(t, month_seq=1212, top_states=5):
                               F.rank().over(W.partitionBy("s_state").orderBy(c("p").desc_nulls_last())).alias("r"))
     states = ranked.where(c("r") <= top_states).select("top_state")
     j = sales.join(states, c("s_state") == c("top_state"), "left_semi")
-    return ranked_two_level(j, "s_state", "s_county", "ss_net_profit", "total_sum", True)
+    return ranked_two_level(j, "s_state", "s_county", "ss_net_profit", "total_sum", True, limit)
 
 
 @model
@@ -297,7 +297,7 @@ def q71(t, manager=1, moy=12, year=2000, meals=("breakfast", "dinner")):
 
 
 @model
-def q72(t, buy_potential="1001-5000", year=2001, marital="M", lag_days=5):
+def q72(t, buy_potential="1001-5000", year=2001, marital="M", lag_days=5, limit=100):
     """Catalog lines short of stock in the week of sale, by promotion presence."""
     d1 = t.date_dim.where(c("d_year") == year).select(c("d_date_sk").alias("d1_sk"), c("d_week_seq").alias("wk"),
                                                       c("d_date").alias("d1_date"))
@@ -327,7 +327,7 @@ def q72(t, buy_potential="1001-5000", year=2001, marital="M", lag_days=5):
            .agg(lsum(F.when(c("p_promo_sk").isNull(), 1).otherwise(0)).alias("no_promo"),
                 lsum(F.when(c("p_promo_sk").isNotNull(), 1).otherwise(0)).alias("promo"),
                 F.count(F.lit(1)).alias("total_cnt")))
-    return top(out, 100, "-total_cnt", "i_item_desc", "w_warehouse_name", "d_week_seq")
+    return top(out, limit, "-total_cnt", "i_item_desc", "w_warehouse_name", "d_week_seq")
 
 
 @model
@@ -342,7 +342,7 @@ def q73(t, years=(1998, 1999, 2000), lo=1, hi=5):
 
 
 @model
-def q74(t, year=2001):
+def q74(t, year=2001, limit=100):
     """Customers whose web growth on the largest payment beats store growth."""
     y1, y2 = year, year + 1
     largest = lambda x: dbl(F.max(x))
@@ -353,4 +353,4 @@ def q74(t, year=2001):
            .join(t.customer, c("customer_sk") == c("c_customer_sk"))
            .select(c("c_customer_id").alias("customer_id"), c("c_first_name").alias("customer_first_name"),
                    c("c_last_name").alias("customer_last_name")))
-    return top(out, 100, "customer_first_name", "customer_id", "customer_last_name")
+    return top(out, limit, "customer_first_name", "customer_id", "customer_last_name")

@@ -9,7 +9,7 @@ _KEYS = ["d_year", "i_brand_id", "i_class_id", "i_category_id", "i_manufact_id"]
 
 
 @model
-def q75(t, category="Sports", year=2002):
+def q75(t, category="Sports", year=2002, limit=100):
     """Brand lines whose yearly count net of returns fell below 90% of the previous year."""
     items = t.item.where(c("i_category") == category) \
         .select("i_item_sk", "i_brand_id", "i_class_id", "i_category_id", "i_manufact_id")
@@ -42,7 +42,7 @@ def q75(t, category="Sports", year=2002):
                    "i_manufact_id", "prev_yr_cnt", c("sales_cnt").alias("curr_yr_cnt"),
                    (c("sales_cnt") - c("prev_yr_cnt")).alias("sales_cnt_diff"),
                    dbl(c("sales_amt") - c("prev_amt")).alias("sales_amt_diff"))
-    return top(out, 100, "sales_cnt_diff", "sales_amt_diff")
+    return top(out, limit, "sales_cnt_diff", "sales_amt_diff")
 
 
 def _null_key_sales(t, fact, p, null_col, channel):
@@ -54,14 +54,14 @@ def _null_key_sales(t, fact, p, null_col, channel):
 
 
 @model
-def q76(t):
+def q76(t, limit=100):
     """Sales rows with a missing key, per channel, year, quarter and category."""
     u = (_null_key_sales(t, t.store_sales, "ss", "ss_addr_sk", "store")
          .unionByName(_null_key_sales(t, t.web_sales, "ws", "ws_web_page_sk", "web"))
          .unionByName(_null_key_sales(t, t.catalog_sales, "cs", "cs_warehouse_sk", "catalog")))
     out = (u.groupBy("channel", "col_name", "d_year", "d_qoy", "i_category")
            .agg(F.count(F.lit(1)).alias("sales_cnt"), dsum("ext_sales_price").alias("sales_amt")))
-    return top(out, 100, "channel", "col_name", "d_year", "d_qoy", "i_category")
+    return top(out, limit, "channel", "col_name", "d_year", "d_qoy", "i_category")
 
 
 def _window(t, start, days):
@@ -70,7 +70,7 @@ def _window(t, start, days):
 
 
 @model
-def q77(t, start="1998-08-04", days=30):
+def q77(t, start="1998-08-04", days=30, limit=100):
     """Sales, returns and profit per channel outlet over 30 days, with subtotals."""
     dates = _window(t, start, days)
 
@@ -110,11 +110,11 @@ def q77(t, start="1998-08-04", days=30):
         (c("profit") - F.coalesce("profit_loss", zero)).alias("profit"))
     out = (store.unionByName(catalog).unionByName(web).rollup("channel", "id")
            .agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"), dsum("profit").alias("profit")))
-    return top(out, 100, "channel", "id")
+    return top(out, limit, "channel", "id")
 
 
 @model
-def q78(t, year=2000):
+def q78(t, year=2000, limit=100):
     """Unreturned store purchases vs the same customer's other channels, per item and year."""
     dates = t.date_dim.select("d_date_sk", "d_year")
 
@@ -147,12 +147,12 @@ def q78(t, year=2000):
                    dbl("ss_sp").alias("store_sales_price"), other_qty.alias("other_chan_qty"),
                    dbl(F.coalesce("ws_wc", F.lit(0)) + F.coalesce("cs_wc", F.lit(0))).alias("other_chan_wholesale_cost"),
                    dbl(F.coalesce("ws_sp", F.lit(0)) + F.coalesce("cs_sp", F.lit(0))).alias("other_chan_sales_price"))
-    return top(out, 100, "ss_sold_year", "ss_item_sk", "ss_customer_sk", "-store_qty", "-store_wholesale_cost",
+    return top(out, limit, "ss_sold_year", "ss_item_sk", "ss_customer_sk", "-store_qty", "-store_wholesale_cost",
                "-store_sales_price", "other_chan_qty", "other_chan_wholesale_cost", "other_chan_sales_price", "ratio")
 
 
 @model
-def q79(t, dep=8, dow=1, years=(1998, 1999, 2000), emp_lo=200, emp_hi=295):
+def q79(t, dep=8, dow=1, years=(1998, 1999, 2000), emp_lo=200, emp_hi=295, limit=100):
     """Monday tickets in mid-sized stores: coupon amount and profit per customer."""
     days = t.date_dim.where((c("d_dow") == dow) & c("d_year").isin(*years)).select("d_date_sk")
     ms = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
@@ -165,11 +165,11 @@ def q79(t, dep=8, dow=1, years=(1998, 1999, 2000), emp_lo=200, emp_hi=295):
     out = ms.join(t.customer, c("ss_customer_sk") == c("c_customer_sk")).select(
         "c_last_name", "c_first_name", F.substring("s_city", 1, 30).alias("s_city_substr"), "ss_ticket_number",
         "amt", "profit")
-    return top(out, 100, "c_last_name", "c_first_name", "s_city_substr", "profit")
+    return top(out, limit, "c_last_name", "c_first_name", "s_city_substr", "profit")
 
 
 @model
-def q80(t, start="1998-08-04", days=30, min_price=50):
+def q80(t, start="1998-08-04", days=30, min_price=50, limit=100):
     """Sales, returns and profit per outlet over 30 days for pricier items without TV promotion."""
     dates = _window(t, start, days)
     items = t.item.where(c("i_current_price") > min_price).select("i_item_sk")
@@ -199,4 +199,4 @@ def q80(t, start="1998-08-04", days=30, min_price=50):
                               "web channel", "web_site")))
     out = u.rollup("channel", "id").agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"),
                                         dsum("profit").alias("profit"))
-    return top(out, 100, "channel", "id")
+    return top(out, limit, "channel", "id")

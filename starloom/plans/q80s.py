@@ -12,7 +12,7 @@ _ADDR_OUT = ("ca_street_number", "ca_street_name", "ca_street_type", "ca_suite_n
 
 
 @model
-def q81(t, year=1998, state="IL"):
+def q81(t, year=1998, state="IL", limit=100):
     """Catalog-return customers above 1.2x their state's average, with their address."""
     days = t.date_dim.where(c("d_year") == year).select("d_date_sk")
     ctr = (t.catalog_returns.join(days, c("cr_returned_date_sk") == c("d_date_sk"))
@@ -27,18 +27,18 @@ def q81(t, year=1998, state="IL"):
            .select("c_customer_id", "c_salutation", "c_first_name", "c_last_name",
                    *[dbl(x).alias(x) if x == "ca_gmt_offset" else c(x) for x in _ADDR_OUT],
                    dbl("total").alias("ctr_total_return")))
-    return top(out, 100, "c_customer_id", "c_salutation", "c_first_name", "c_last_name", *_ADDR_OUT,
+    return top(out, limit, "c_customer_id", "c_salutation", "c_first_name", "c_last_name", *_ADDR_OUT,
                "ctr_total_return")
 
 
 @model
-def q82(t, price_lo=30, manufacts=(437, 129, 727, 663), start="2002-05-30", days=60):
+def q82(t, price_lo=30, manufacts=(437, 129, 727, 663), start="2002-05-30", days=60, limit=100):
     """Items in stock (100-500 units) within 60 days and sold in stores, in a price band."""
-    return items_in_stock_and_sold(t, t.store_sales, "ss_item_sk", price_lo, manufacts, start, days)
+    return items_in_stock_and_sold(t, t.store_sales, "ss_item_sk", price_lo, manufacts, start, days, limit)
 
 
 @model
-def q83(t, dates=("1998-01-02", "1998-10-15", "1998-11-10")):
+def q83(t, dates=("1998-01-02", "1998-10-15", "1998-11-10"), limit=100):
     """Returned quantities per item in three weeks, across channels, with shares."""
     weeks = t.date_dim.where(c("d_date").isin(*[F.lit(d).cast("date") for d in dates])) \
         .select(c("d_week_seq").alias("wk")).distinct()
@@ -58,11 +58,11 @@ def q83(t, dates=("1998-01-02", "1998-10-15", "1998-11-10")):
                    (dbl("sr_item_qty") / total / 3.0 * 100).alias("sr_dev"), "cr_item_qty",
                    (dbl("cr_item_qty") / total / 3.0 * 100).alias("cr_dev"), "wr_item_qty",
                    (dbl("wr_item_qty") / total / 3.0 * 100).alias("wr_dev"), (total / 3.0).alias("average"))
-    return top(out, 100, "item_id", "sr_item_qty")
+    return top(out, limit, "item_id", "sr_item_qty")
 
 
 @model
-def q84(t, city="Hopewell", income_lo=32287, width=50000):
+def q84(t, city="Hopewell", income_lo=32287, width=50000, limit=100):
     """Customers of one city and income range, one row per store return of their demographic."""
     bands = t.income_band.where((c("ib_lower_bound") >= income_lo) & (c("ib_upper_bound") <= income_lo + width))
     hd = t.household_demographics.join(bands, c("hd_income_band_sk") == c("ib_income_band_sk")).select("hd_demo_sk")
@@ -74,11 +74,11 @@ def q84(t, city="Hopewell", income_lo=32287, width=50000):
            .select(c("c_customer_id").alias("customer_id"),
                    F.concat(F.coalesce("c_last_name", F.lit("")), F.lit(", "),
                             F.coalesce("c_first_name", F.lit(""))).alias("customername")))
-    return top(out, 100, "customer_id")
+    return top(out, limit, "customer_id")
 
 
 @model
-def q85(t, year=1998):
+def q85(t, year=1998, limit=100):
     """Web return averages per reason under OR-ed demographic, price, address and profit bands."""
     cd1 = t.customer_demographics.select(c("cd_demo_sk").alias("cd1_sk"), c("cd_marital_status").alias("m1"),
                                          c("cd_education_status").alias("e1"))
@@ -106,16 +106,16 @@ def q85(t, year=1998):
                 davg("wr_fee").alias("avg_wr_fee"))
            .select(F.substring("r_reason_desc", 1, 20).alias("reason_desc_substr"), "avg_ws_quantity",
                    "avg_wr_refunded_cash", "avg_wr_fee"))
-    return top(out, 100, "reason_desc_substr", "avg_ws_quantity", "avg_wr_refunded_cash", "avg_wr_fee")
+    return top(out, limit, "reason_desc_substr", "avg_ws_quantity", "avg_wr_refunded_cash", "avg_wr_fee")
 
 
 @model
-def q86(t, month_seq=1212):
+def q86(t, month_seq=1212, limit=100):
     """Web net paid by category and class with subtotals, ranked inside the parent."""
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     j = (t.web_sales.join(days, c("ws_sold_date_sk") == c("d_date_sk"))
          .join(t.item.select("i_item_sk", "i_category", "i_class"), c("ws_item_sk") == c("i_item_sk")))
-    return ranked_two_level(j, "i_category", "i_class", "ws_net_paid", "total_sum", True)
+    return ranked_two_level(j, "i_category", "i_class", "ws_net_paid", "total_sum", True, limit)
 
 
 def _name_days(t, fact, date_col, cust_col, month_seq):
@@ -158,7 +158,7 @@ def q88(t, store_name="ese", slots=Q88_SLOTS):
 
 
 @model
-def q89(t, year=2000):
+def q89(t, year=2000, limit=100):
     """Store brand months deviating more than 10% from the brand's monthly mean."""
     from pyspark.sql import Window as W
 
@@ -176,7 +176,7 @@ def q89(t, year=2000):
                  (F.sum("s").over(w).cast("double") / F.count("s").over(w)).alias("avg_monthly_sales"))
     out = v.where(F.when(c("avg_monthly_sales") != 0,
                          F.abs(c("sum_sales") - c("avg_monthly_sales")) / c("avg_monthly_sales")) > 0.1)
-    return top(out, 100, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "s_store_name")
+    return top(out, limit, (c("sum_sales") - c("avg_monthly_sales")).asc_nulls_last(), "s_store_name")
 
 
 @model
@@ -227,7 +227,7 @@ def q92(t, manufact=269, start="1998-03-18", days=90):
 
 
 @model
-def q93(t, reason="Did not like the warranty"):
+def q93(t, reason="Did not like the warranty", limit=100):
     """Store sales net of returns for one return reason, per customer."""
     reasons = t.reason.where(c("r_reason_desc") == reason).select("r_reason_sk")
     # the filter on the returns side turns the outer join into an inner one
@@ -238,7 +238,7 @@ def q93(t, reason="Did not like the warranty"):
                  (c("ss_quantity") - c("sr_return_quantity")) * c("ss_sales_price")) \
         .otherwise(c("ss_quantity") * c("ss_sales_price"))
     out = j.groupBy("ss_customer_sk").agg(dbl(F.sum(act)).alias("sumsales"))
-    return top(out, 100, "sumsales", "ss_customer_sk")
+    return top(out, limit, "sumsales", "ss_customer_sk")
 
 
 @model
@@ -313,9 +313,9 @@ def q98(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=3
 
 
 @model
-def q99(t, month_seq=1212):
+def q99(t, month_seq=1212, limit=100):
     """Catalog shipping lag buckets per warehouse, ship mode and call center."""
     from .q60s import ship_lag_report
 
     return ship_lag_report(t, t.catalog_sales, "cs", month_seq,
-                           t.call_center.select("cc_call_center_sk", "cc_name"), "call_center_sk", "cc_name")
+                           t.call_center.select("cc_call_center_sk", "cc_name"), "call_center_sk", "cc_name", limit)

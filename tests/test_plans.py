@@ -161,3 +161,19 @@ def test_day_partitions_are_pruned_by_date_filters(spark, monkeypatch):
     pruned = {n for n, fn in MODELS.items() if "dynamicpruning" in plan_of(fn(m))}
     assert set(MODELS) - pruned == NOT_PRUNED
 
+
+
+def test_limit_is_a_parameter(spark):
+    import inspect
+    import re
+
+    m, limited = Mart(spark, SF_SMALL), {}
+    for name, fn in MODELS.items():
+        default = inspect.signature(fn.__wrapped__).parameters.get("limit")
+        if default is not None:
+            assert default.default == 100
+            limited[name] = fn(m, limit=7)._jdf.queryExecution().logical().toString()
+    assert len(limited) == 75
+    # every such model keeps 7 rows; none has another limit of 100 left
+    assert [n for n, p in limited.items() if not re.search(r"GlobalLimit 7\b", p) or re.search(r"GlobalLimit 100\b", p)] == []
+    assert MODELS["q42"](m, limit=None)._jdf.queryExecution().logical().toString().count("Limit") == 0
