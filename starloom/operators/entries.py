@@ -759,3 +759,28 @@ def s9_models(spark, sf_dir):
     frames = run_models(Mart(spark, sf_dir), sorted(_SHARING), _raw_dir(spark, sf_dir) + "-models")
     return R.union_all([frames[q].agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(v), 2).alias("total"))
                         .select(F.lit(q).alias("model"), "n", "total") for q, v in sorted(_SHARING.items())])
+
+
+_STATE_SALES = ("SELECT s_state, d_year, COUNT(*) AS n, CAST(SUM(ss_net_paid) AS DOUBLE) AS paid FROM {0}store_sales JOIN {0}store ON ss_store_sk = s_store_sk "
+                "JOIN {0}date_dim ON ss_sold_date_sk = d_date_sk WHERE ss_quantity > 10 GROUP BY s_state, d_year")
+
+
+@_entry("s7_sql_over_views", _STATE_SALES.format(""), mart_sql=True)
+def s7_views(spark, sf_dir):
+    """SQL text over the registered views of the mart tables, which are derived when they are read."""
+    mart = Mart(spark, sf_dir)
+    prefix = f"v_{mart.suffix}_"
+    mart.register_views(prefix)
+    return spark.sql(_STATE_SALES.format(prefix))
+
+
+@_entry("s6_parquet_scan", _STATE_SALES.format(""), mart_sql=True)
+def s6_parquet(spark, sf_dir):
+    """The same over tables loaded as parquet files, filter and columns pushed into the scan.  The files are written when the query is called."""
+    mart, out, tables = Mart(spark, sf_dir), _raw_dir(spark, sf_dir) + "-parquet", ("store_sales", "store", "date_dim")
+    for t in tables:
+        loader.write_table(mart.table(t), os.path.join(out, t))
+    t = loader.load_parquet(spark, out, tables)
+    return (t["store_sales"].where("ss_quantity > 10").join(t["store"], c("ss_store_sk") == c("s_store_sk"))
+            .join(t["date_dim"], c("ss_sold_date_sk") == c("d_date_sk")).groupBy("s_state", "d_year")
+            .agg(F.count(F.lit(1)).alias("n"), dbl(F.sum("ss_net_paid")).alias("paid")))
