@@ -27,8 +27,13 @@ documents that are connected already, so the components are those of all links.
 Defined results
 * null or empty text, or text without words: an empty set, linked with nothing.
 * fewer than five words: the whole word sequence is the only shingle.
-* repeated rows have equal sets and share a component; a null doc_id takes part
-  but never names a component unless all of its group have none.
+* repeated rows have equal sets and share a component.
+* a row is known by a 64-bit hash of its id and text, so different texts of one
+  doc_id are different documents, and so are texts without one; two rows of one
+  hash (among n different ones with probability n**2 / 2**65) could cost a link.
+* a null doc_id takes part and names no component: the smallest id that is not
+  null does.  Where a component has none, component_id is null and ``kept``
+  marks one text of it (and its repeated rows).
 * other columns are ignored.
 """
 
@@ -107,8 +112,8 @@ def _profiles(trees: int, depth: int, k: int):
             all_keys = np.concatenate(keys).view(np.int64) if keys else np.zeros((0, trees * depth), np.int64)
             lists = pa.ListArray.from_arrays(np.arange(0, all_keys.size + 1, trees * depth, dtype=np.int32), all_keys.ravel())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cat(sizes, np.int64)), pa.array(cat(f1, np.int64)), pa.array(cat(f2, np.int64)), lists],
-                names=["doc_id", "n_shingles", "f1", "f2", "paths"])
+                [batch.column(0), batch.column(2), pa.array(cat(sizes, np.int64)), pa.array(cat(f1, np.int64)), pa.array(cat(f2, np.int64)), lists],
+                names=["doc_id", "id", "n_shingles", "f1", "f2", "paths"])
 
     return run
 
@@ -172,10 +177,16 @@ def sketches_agree(a: str, b: str, words: int, percent: int, deviations: float =
     return sum((differing(i) for i in range(words)), F.lit(0)) <= most
 
 
-def profiles(docs: DataFrame, trees: int, depth: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, a fingerprint of the set (f1, f2) and the path keys of every row."""
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text and ``id``, the hash of both that a row is known by."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_profiles(trees, depth, k), "doc_id long, n_shingles long, f1 long, f2 long, paths array<long>")
+    return rows.withColumn("id", F.xxhash64("doc_id", "text"))
+
+
+def profiles(docs: DataFrame, trees: int, depth: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, id, n_shingles, a fingerprint of the set (f1, f2) and the path keys of every row."""
+    return keyed_texts(docs, id_col, text_col).mapInArrow(
+        _profiles(trees, depth, k), "doc_id long, id long, n_shingles long, f1 long, f2 long, paths array<long>")
 
 
 def leaf_members(reps: DataFrame, trees: int, depth: int, leaf: int) -> DataFrame:
@@ -213,8 +224,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
     rows = stored(profiles(docs, trees, depth, k, id_col, text_col), "profiles")
     full = rows.filter("n_shingles > 0")
     classes = (full.groupBy("n_shingles", "f1", "f2")
-               .agg(F.min("doc_id").alias("rep"), F.first("paths").alias("paths")))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL").withColumn("_h", bitmap_place(F.col("id")))
+               .agg(F.min("id").alias("rep"), F.min("doc_id").alias("doc"), F.first("paths").alias("paths")))
+    texts = keyed_texts(docs, id_col, text_col).select("id", "text", bitmap_place(F.col("id")).alias("_h"))
     context = docs.sparkSession.sparkContext
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -223,6 +234,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
         sets = stored(texts.mapInArrow(_sets(wanted, k), "id long, set array<long>"), "sets").dropDuplicates(["id"])
         return confirmed(pairs, sets, percent)
 
+    def grown(component: DataFrame, links: DataFrame) -> DataFrame:
+        """The components of the new links and of those that made ``component``."""
+        held = component.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return connected_components(stored(held.unionByName(confirm(links)), "links"))
+
     def stars_of(members: DataFrame) -> DataFrame:
         """Every member with the smallest of its node."""
         hubs = members.groupBy("node").agg(F.min(F.struct("rep", "size")).alias("_hub"))
@@ -246,10 +262,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
         here = placed.join(outside, "node").filter(allowed if agree is None else allowed & agree)
         return here.select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct()
 
-    members = stored(leaf_members(classes.filter("rep IS NOT NULL"), trees, depth, leaf), "leaves")
+    members = stored(leaf_members(classes, trees, depth, leaf), "leaves")
     stars = stored(stars_of(members), "stars")
-    links = stored(confirm(stars), "links")
-    component = connected_components(links)
+    component = connected_components(stored(confirm(stars), "links"))
 
     mixed = stored(mixed_of(members, component), "mixed")
     rest = crossed(mixed.filter(F.col("members") <= leaf))
@@ -265,18 +280,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
         rest = rest.unionByName(stars_of(deep_members)).distinct()
     rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        links = stored(links.unionByName(confirm(rest)), "links")
-        component = connected_components(links)
+        component = grown(component, rest)
     if deep_members is not None:
         placed = stored(mixed_of(deep_members, component), "deep_mixed").join(found.select("rep", "sketch"), "rep")
         agree = sketches_agree("sketch", "_sketch", deep_trees * deep // 32, percent)
         last = stored(crossed(placed, agree).join(rest, ["a", "b"], "left_anti"), "last")
         if not last.isEmpty():
-            links = stored(links.unionByName(confirm(last)), "links")
-            component = connected_components(links)
-
-    named = classes.join(component, classes["rep"] == component["id"], "left").select(
-        "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("_c"))
-    out = rows.select("doc_id", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
-    component_id = F.coalesce("_c", "doc_id")
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+            component = grown(component, last)
+
+    # the smallest doc_id of every component; a class without links is its own
+    linked = classes.select("rep", "doc").join(component, F.col("rep") == F.col("id"))
+    first = linked.groupBy("component").agg(F.min("doc").alias("_doc"))
+    placed = component.join(first, "component").select(F.col("id").alias("rep"), F.col("component").alias("_rep"), "_doc")
+    named = classes.select("n_shingles", "f1", "f2", "rep", "doc").join(placed, "rep", "left").select(
+        "n_shingles", "f1", "f2", F.coalesce("_rep", "rep").alias("_rep"), F.when(F.col("_rep").isNull(), F.col("doc")).otherwise(F.col("_doc")).alias("_doc"))
+    out = rows.select("doc_id", "id", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
+    component_id = F.when(F.col("n_shingles") > 0, F.col("_doc")).otherwise(F.col("doc_id"))
+    kept = F.when(component_id.isNull() & (F.col("n_shingles") > 0), F.col("id") == F.col("_rep")).otherwise(F.col("doc_id").eqNullSafe(component_id))
+    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), kept.alias("kept"))
