@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 
 import brute
+import corpus_pipeline
+from conftest import SF_SMALL
 from starloom.llm.graph import connected_components, forest
+from starloom.llm.line_dedup import dedup_lines
 from starloom.llm.near_dedup import near_duplicates
 
 
@@ -67,3 +70,20 @@ def test_texts_of_one_id(spark):
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [
         (1, 57, 1, True), (2, 56, 1, False), (2, 56, 2, True), (5, 57, 2, False), (9, 46, 9, True)]
+
+
+def test_lines_of_one_id(spark):
+    """A line goes from the text of an id that holds it, not from the id's other texts."""
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nx"), (2, "p\nq\nr"), (2, "p\nq\nr"), (2, None), (3, "p\nq\nz")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(
+        [(1, "a\nb\nc"), (2, "x"), (2, "p\nq\nr"), (2, "p\nq\nr"), (2, None), (3, "z")], key=str)
+
+
+def test_pipeline_keeps_texts_of_one_id(spark):
+    """Both texts of an id stay unless they are near copies; repeated rows stay once."""
+    a, b = " ".join(words(60, 7)), " ".join(words(60, 8))
+    rows = [(1, a + " more"), (2, a), (2, b), (2, b), (3, b + " more"), (4, None), (4, ""), (4, "")]
+    d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, d.repartition(3).cache(), SF_SMALL).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a + " more"), (2, b), (4, None), (4, "")], key=str)
