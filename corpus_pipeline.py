@@ -33,9 +33,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id; rows without an id come after all others."""
+    """One document of each near-duplicate group stays, the one with the smallest id; rows without an id come after all others.
+    Different texts of one id are documents of their own; of repeated rows of one id and text one stays."""
     docs = docs.select(*COLUMNS)
-    if docs.filter("doc_id IS NULL").isEmpty():
+    own_text = F.xxhash64("text")
+    texts = docs.groupBy("doc_id").agg(F.min(own_text).alias("_lo"), F.max(own_text).alias("_hi"))
+    if texts.filter("doc_id IS NULL OR _lo < _hi").isEmpty():  # every id names one text
         kept = near_duplicates(docs).filter("kept").select("doc_id")
         return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     # a row key that sorts like the id, written once with the rows; _spread parts rows without an id (or of one id) among tasks
@@ -43,7 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = stored(spread.orderBy(F.col("doc_id").asc_nulls_last(), "_spread").withColumn("_row", F.monotonically_increasing_id()).drop("_spread"), "keyed")
     kept = near_duplicates(keyed, id_col="_row").filter("kept").select(F.col("doc_id").alias("_row"))
     out = keyed.join(kept, "_row", "left_semi").select(*COLUMNS)
-    return out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
+    named = out.filter("doc_id IS NOT NULL").withColumn("_text", own_text).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return named.unionByName(out.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
