@@ -722,6 +722,34 @@ def s5_catalog_load(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+_PRESENT, _ABSENT = ("store", "web_returns"), ("call_center", "ship_mode")
+
+
+@_entry("s3_preflight", " UNION ALL ".join([f"SELECT '{t}' AS table_name, FALSE AS missing, COUNT(*) AS n FROM {t}" for t in _PRESENT]
+                                           + [f"SELECT '{t}', TRUE, 0" for t in _ABSENT]), mart_sql=True)
+def s3_preflight(spark, sf_dir):
+    """Which raw extracts are missing, found before anything is read, and the rows loaded from those that are there; two of
+    the four are written when the query is called."""
+    raw, mart = _raw_dir(spark, sf_dir) + "-preflight", Mart(spark, sf_dir)
+    for t in _PRESENT:
+        loader.write_dat(mart.table(t), t, loader.dat_path(raw, t))
+    missing = loader.missing_inputs(spark, raw, _PRESENT + _ABSENT)
+    rows = [loader.load_dat(spark, loader.dat_path(raw, t), t).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(t).alias("table_name"), F.lit(False).alias("missing"), "n") for t in _PRESENT if t not in missing]
+    gone = spark.createDataFrame([(t, True, 0) for t in missing], "table_name string, missing boolean, n long")
+    return R.union_all([*rows, gone])
+
+
+@_entry("s4_overwrite_twice", "SELECT wr_reason_sk, COUNT(*) AS n, CAST(SUM(wr_return_amt) AS DOUBLE) AS amount FROM web_returns GROUP BY wr_reason_sk", mart_sql=True)
+def s4_overwrite(spark, sf_dir):
+    """web_returns written over its own earlier copy, the first of other rows: the table holds one copy of the last rows.  The
+    writes run when the query is called."""
+    mart, path = Mart(spark, sf_dir), os.path.join(_raw_dir(spark, sf_dir) + "-overwrite", "web_returns")
+    for rows in (mart.web_returns.where("wr_return_quantity > 5"), mart.web_returns, mart.web_returns):
+        loader.write_table(rows, path)
+    return spark.read.parquet(path).groupBy("wr_reason_sk").agg(F.count(F.lit(1)).alias("n"), dbl(F.sum("wr_return_amt")).alias("amount"))
+
+
 # key columns of the audit: the catalog's, and the customer's own id, by which q04, q11 and q74 name a customer
 _AUDIT_KEYS = {**{t: k for t, k in catalog.PRIMARY_KEYS.items() if t in M.MART_TABLES}, "customer_by_id": ("c_customer_id",)}
 # literal counts of the tables whose size does not follow the input

@@ -157,6 +157,30 @@ def rollup_agg(df: DataFrame, keys, sums) -> DataFrame:
                                   *[F.grouping(k).cast("long").alias(f"g_{k}") for k in keys])
 
 
+def cascaded_rollup(df: DataFrame, keys, *partials) -> DataFrame:
+    """Subtotals over ``keys``, each level summed from the next finer one.
+
+    ``partials`` are aliased sums and counts, which add up; averages and ratios are taken
+    from them afterwards.  Input rows are grouped once, and a level reads the groups of
+    the level before it instead of a copy of the finest groups for every level.
+    ``_level`` is the number of keys that are rolled up, counted from the right: it parts
+    a subtotal from a group whose key is NULL.  Without input rows there is no total.
+    """
+    keys = list(keys)
+    level = shared(df.groupBy(*keys).agg(*partials))
+    types = {f.name: f.dataType for f in level.schema}
+    sums = [x for x in level.columns if x not in keys]
+    out = level.withColumn("_level", F.lit(0))
+    for n in range(len(keys) - 1, -1, -1):
+        groups = [] if n else [F.count(F.lit(1)).alias("_groups")]
+        level = level.groupBy(*keys[:n]).agg(*[F.sum(x).alias(x) for x in sums], *groups)
+        if not n:
+            level = level.where("_groups > 0").drop("_groups")
+        rolled = [F.lit(None).cast(types[k]).alias(k) for k in keys[n:]]
+        out = out.unionByName(level.select(*keys[:n], *rolled, *sums, F.lit(len(keys) - n).alias("_level")))
+    return out
+
+
 def tag_channel(df: DataFrame, name: str, col: str = "channel") -> DataFrame:
     """A literal channel column in front of the rows."""
     return df.select(F.lit(name).alias(col), "*")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, nz_div, top
+from ..operators.relational import cascaded_rollup
 from .q08_zips import Q08_ZIPS
 from .registry import model
 
@@ -163,8 +164,9 @@ def q05(t, start="1998-08-04", days=14, limit=100):
         part = agg.select(F.lit(channel).alias("channel"), F.concat(F.lit(prefix), c(idcol)).alias("id"),
                           "sales", "returns", (c("profit") - c("loss")).alias("profit"))
         rows = part if rows is None else rows.unionByName(part)
-    out = (rows.rollup("channel", "id")
-           .agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"), dsum("profit").alias("profit")))
+    money = ("sales", "returns", "profit")
+    rolled = cascaded_rollup(rows, ["channel", "id"], *[F.sum(x).alias(x) for x in money])
+    out = rolled.select("channel", "id", *[dbl(x).alias(x) for x in money])
     return top(out, limit, "channel", "id")
 
 

@@ -3,7 +3,8 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import c, davg, dbl, dsum, lsum, r6, top
+from ..functions import c, davg, dbl, dsum, r6, top
+from ..operators.relational import cascaded_rollup
 from .q00s import customer_years
 from .registry import model
 
@@ -162,8 +163,8 @@ def q14a(t, year_lo=1998, year=2000, moy=11, limit=100):
                                 for ch in channels])).alias("x")
     u = (triples.select(*_TRIPLE, "average_sales", sales).select("x.channel", *_TRIPLE, "x.sales", "x.number_sales", "average_sales")
          .where(dbl("sales") > c("average_sales")))
-    out = (u.rollup("channel", *_TRIPLE)
-           .agg(dsum("sales").alias("total_sales"), lsum("number_sales").alias("total_number_sales")))
+    out = (cascaded_rollup(u, ["channel", *_TRIPLE], F.sum("sales").alias("s"), F.sum("number_sales").alias("n"))
+           .select("channel", *_TRIPLE, dbl("s").alias("total_sales"), c("n").cast("long").alias("total_number_sales")))
     return top(out, limit, "channel", *_TRIPLE)
 
 
@@ -282,10 +283,11 @@ def q18(t, gender="M", education="College", months=(9, 5, 12, 4, 1, 10), year=20
          .join(t.customer_address.where(c("ca_state").isin(list(states))), c("c_current_addr_sk") == c("ca_address_sk"))
          .join(t.item, c("cs_item_sk") == c("i_item_sk")))
     dec = "decimal(12,2)"
-    aggs = [davg(c(x).cast(dec)).alias(f"agg{i + 1}") for i, x in enumerate(
-        ("cs_quantity", "cs_list_price", "cs_coupon_amt", "cs_sales_price", "cs_net_profit",
-         "c_birth_year", "cd1_dep"))]
-    out = j.rollup("i_item_id", "ca_country", "ca_state", "ca_county").agg(*aggs)
+    measures = ("cs_quantity", "cs_list_price", "cs_coupon_amt", "cs_sales_price", "cs_net_profit", "c_birth_year", "cd1_dep")
+    keys = ["i_item_id", "ca_country", "ca_state", "ca_county"]
+    rolled = cascaded_rollup(j, keys, *[F.sum(c(x).cast(dec)).alias(f"s{i + 1}") for i, x in enumerate(measures)],
+                             *[F.count(c(x).cast(dec)).alias(f"n{i + 1}") for i, x in enumerate(measures)])
+    out = rolled.select(*keys, *[(dbl(f"s{i + 1}") / c(f"n{i + 1}")).alias(f"agg{i + 1}") for i in range(len(measures))])
     return top(out, limit, "ca_country", "ca_state", "ca_county", "i_item_id")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
-from ..operators.relational import shared
+from ..operators.relational import cascaded_rollup, shared
 from .q10s import class_share, sale_return_rebuy
 from .registry import model
 
@@ -37,13 +37,11 @@ def q22(t, month_seq=1212, limit=100):
     """Average quantity on hand with product/brand/class/category subtotals."""
     dates = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
-    # pre-aggregate at the finest level, then roll up sums and counts:
-    # the rollup expands the grouped rows, not the inventory rows
-    fine = (t.inventory.join(dates, c("inv_date_sk") == c("d_date_sk"))
-            .join(t.item, c("inv_item_sk") == c("i_item_sk"))
-            .groupBy(*keys).agg(F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("n")))
-    out = fine.rollup(*keys).agg((dbl(F.sum("s")) / F.sum("n")).alias("qoh"))
-    return top(out.select(*keys, "qoh"), limit, "qoh", *keys)
+    # sums and counts of each level come from the next finer one
+    stock = (t.inventory.join(dates, c("inv_date_sk") == c("d_date_sk"))
+             .join(t.item, c("inv_item_sk") == c("i_item_sk")))
+    rolled = cascaded_rollup(stock, keys, F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("n"))
+    return top(rolled.select(*keys, (dbl("s") / c("n")).alias("qoh")), limit, "qoh", *keys)
 
 
 def _store_history(t, years):
@@ -168,12 +166,12 @@ def q27(t, gender="F", marital="W", education="Primary", year=1998, states=("TN"
          .join(cd, c("ss_cdemo_sk") == c("cd_demo_sk"))
          .join(t.store.where(c("s_state").isin(list(states))), c("ss_store_sk") == c("s_store_sk"))
          .join(t.item, c("ss_item_sk") == c("i_item_sk")))
-    out = (j.rollup("i_item_id", "s_state")
-           .agg(F.grouping("s_state").cast("long").alias("g_state"),
-                davg("ss_quantity").alias("agg1"), davg("ss_list_price").alias("agg2"),
-                davg("ss_coupon_amt").alias("agg3"), davg("ss_sales_price").alias("agg4")))
-    return top(out.select("i_item_id", "s_state", "g_state", "agg1", "agg2", "agg3", "agg4"),
-               limit, "i_item_id", "s_state")
+    measures = ("ss_quantity", "ss_list_price", "ss_coupon_amt", "ss_sales_price")
+    rolled = cascaded_rollup(j, ["i_item_id", "s_state"], *[F.sum(x).alias(f"s{i + 1}") for i, x in enumerate(measures)],
+                             *[F.count(x).alias(f"n{i + 1}") for i, x in enumerate(measures)])
+    out = rolled.select("i_item_id", "s_state", (c("_level") > 0).cast("long").alias("g_state"),
+                        *[(dbl(f"s{i + 1}") / c(f"n{i + 1}")).alias(f"agg{i + 1}") for i in range(len(measures))])
+    return top(out, limit, "i_item_id", "s_state")
 
 
 Q28_BANDS = (  # quantity range, list price from, coupon from, wholesale from

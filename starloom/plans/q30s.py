@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, r6, top
+from ..operators.relational import cascaded_rollup
 from .registry import model
 
 _CUST_OUT = ("c_customer_id", "c_salutation", "c_first_name", "c_last_name", "c_preferred_cust_flag",
@@ -164,11 +165,9 @@ def q36(t, year=2000, states=("TN",), limit=100):
          .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
          .join(t.item, c("ss_item_sk") == c("i_item_sk"))
          .join(t.store.where(c("s_state").isin(list(states))), c("ss_store_sk") == c("s_store_sk")))
-    g = (j.rollup("i_category", "i_class")
-         .agg((dbl(F.sum("ss_net_profit")) / dbl(F.sum("ss_ext_sales_price"))).alias("gross_margin"),
-              (F.grouping("i_category") + F.grouping("i_class")).cast("long").alias("lochierarchy"),
-              F.grouping("i_class").alias("gb")))
-    parent = F.when(c("gb") == 0, c("i_category"))
+    rolled = cascaded_rollup(j, ["i_category", "i_class"], F.sum("ss_net_profit").alias("p"), F.sum("ss_ext_sales_price").alias("s"))
+    g = rolled.select("i_category", "i_class", (dbl("p") / dbl("s")).alias("gross_margin"), c("_level").cast("long").alias("lochierarchy"))
+    parent = F.when(c("lochierarchy") == 0, c("i_category"))
     w = W.partitionBy("lochierarchy", parent).orderBy(c("gross_margin").asc_nulls_last())
     out = g.select("gross_margin", "i_category", "i_class", "lochierarchy",
                    F.rank().over(w).cast("long").alias("rank_within_parent"))

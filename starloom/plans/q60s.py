@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, dbl, dsum, lsum, top
+from ..operators.relational import cascaded_rollup
 from .q00s import customer_years
 from .q30s import channel_item_revenue
 from .q50s import _q53_items, lag_buckets, period_deviation
@@ -195,13 +196,10 @@ def q67(t, month_seq=1212, n=100, limit=100):
     days = t.date_dim.where(c("d_month_seq").between(month_seq, month_seq + 11)) \
         .select("d_date_sk", "d_year", "d_qoy", "d_moy")
     keys = ["i_category", "i_class", "i_brand", "i_product_name", "d_year", "d_qoy", "d_moy", "s_store_id"]
-    # sum at the finest level first; the rollup then expands grouped rows only
-    fine = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
-            .join(t.store.select("s_store_sk", "s_store_id"), c("ss_store_sk") == c("s_store_sk"))
-            .join(t.item, c("ss_item_sk") == c("i_item_sk"))
-            .groupBy(*keys)
-            .agg(F.sum(F.coalesce(c("ss_sales_price") * c("ss_quantity"), F.lit(0))).alias("s")))
-    rolled = fine.rollup(*keys).agg(F.sum("s").alias("sumsales"))
+    sales = (t.store_sales.join(days, c("ss_sold_date_sk") == c("d_date_sk"))
+             .join(t.store.select("s_store_sk", "s_store_id"), c("ss_store_sk") == c("s_store_sk"))
+             .join(t.item, c("ss_item_sk") == c("i_item_sk")))
+    rolled = cascaded_rollup(sales, keys, F.sum(F.coalesce(c("ss_sales_price") * c("ss_quantity"), F.lit(0))).alias("sumsales"))
     # rank <= n per category plans as a window group limit, applied per
     # partition before the shuffle as well
     w = W.partitionBy("i_category").orderBy(c("sumsales").desc_nulls_last())
@@ -250,11 +248,8 @@ def q69(t, states=("CO", "IL", "MN"), year=1999, moy=1, months=3, limit=100):
 
 def ranked_two_level(j, a, b, measure, measure_name, order_desc, limit=100):
     """Rollup of (a, b) with a rank of each row inside its parent (q36, q70, q86)."""
-    g = (j.rollup(a, b)
-         .agg(F.sum(measure).alias("m"),
-              (F.grouping(a) + F.grouping(b)).cast("long").alias("lochierarchy"),
-              F.grouping(b).alias("gb")))
-    parent = F.when(c("gb") == 0, c(a))
+    g = cascaded_rollup(j, [a, b], F.sum(measure).alias("m")).withColumn("lochierarchy", c("_level").cast("long"))
+    parent = F.when(c("lochierarchy") == 0, c(a))
     order = c("m").desc_nulls_last() if order_desc else c("m").asc_nulls_last()
     w = W.partitionBy("lochierarchy", parent).orderBy(order)
     out = g.select(dbl("m").alias(measure_name), a, b, "lochierarchy",

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, dbl, dsum, lsum, top
+from ..operators.relational import cascaded_rollup
 from .registry import model
 
 _KEYS = ["d_year", "i_brand_id", "i_class_id", "i_category_id", "i_manufact_id"]
@@ -108,8 +109,9 @@ def q77(t, start="1998-08-04", days=30, limit=100):
     web = ws.join(wr, c("id") == c("rid"), "left").select(
         F.lit("web channel").alias("channel"), "id", "sales", F.coalesce("returns", zero).alias("returns"),
         (c("profit") - F.coalesce("profit_loss", zero)).alias("profit"))
-    out = (store.unionByName(catalog).unionByName(web).rollup("channel", "id")
-           .agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"), dsum("profit").alias("profit")))
+    money = ("sales", "returns", "profit")
+    rolled = cascaded_rollup(store.unionByName(catalog).unionByName(web), ["channel", "id"], *[F.sum(x).alias(x) for x in money])
+    out = rolled.select("channel", "id", *[dbl(x).alias(x) for x in money])
     return top(out, limit, "channel", "id")
 
 
@@ -197,6 +199,7 @@ def q80(t, start="1998-08-04", days=30, min_price=50, limit=100):
          .unionByName(channel(t.web_sales, "ws", t.web_returns, "wr", "ws_order_number", "wr_order_number",
                               "wr_return_amt", t.web_site, "web_site_sk", "web_site_id", "web_site_sk",
                               "web channel", "web_site")))
-    out = u.rollup("channel", "id").agg(dsum("sales").alias("sales"), dsum("returns").alias("returns"),
-                                        dsum("profit").alias("profit"))
+    money = ("sales", "returns", "profit")
+    rolled = cascaded_rollup(u, ["channel", "id"], *[F.sum(x).alias(x) for x in money])
+    out = rolled.select("channel", "id", *[dbl(x).alias(x) for x in money])
     return top(out, limit, "channel", "id")

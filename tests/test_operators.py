@@ -86,6 +86,17 @@ def test_rollup_agg_matches_plain_rollup(spark):
     assert got == want
 
 
+def test_cascaded_rollup_matches_plain_rollup(spark):
+    """NULL keys stay apart from subtotals, repeated rows and NULL values count as in a plain rollup; no rows give no total."""
+    data = [("a", "x", 1), ("a", "x", 1), ("a", None, 2), (None, "x", 3), (None, None, 4), ("b", "y", None)]
+    df = spark.createDataFrame(data, "k1 string, k2 string, v int")
+    out = R.cascaded_rollup(df, ["k1", "k2"], F.sum("v").alias("s"), F.count("v").alias("n"))
+    want = df.rollup("k1", "k2").agg(F.sum("v").alias("s"), F.count("v").alias("n"), (F.grouping("k1") + F.grouping("k2")).alias("_level"))
+    assert rows(out, "k1", "k2", "s", "n", "_level") == rows(want, "k1", "k2", "s", "n", "_level")
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert R.cascaded_rollup(df.limit(0), ["k1", "k2"], F.sum("v").alias("s")).count() == 0
+
+
 def test_pivot_share_self_join_role(spark):
     df = spark.createDataFrame([("n1", "A", 1), ("n1", "B", 3), ("n2", "A", 5)], "n string, p string, v int")
     assert rows(R.pivot_sum(df, "n", "p", ["A", "B"], "v")) == [("n1", 1, 3), ("n2", 5, None)]

@@ -26,6 +26,11 @@ def plans(spark):
     return {name: plan_of(fn(m)) for name, fn in MODELS.items()}
 
 
+def test_rollups_cascade(plans):
+    """No model multiplies rows for its subtotals: each level reads the next finer one."""
+    assert [n for n in ("q05", "q14a", "q18", "q22", "q27", "q36", "q67", "q70", "q77", "q80", "q86") if "Expand" in plans[n]] == []
+
+
 def test_no_cartesian_products(plans):
     assert [n for n, p in plans.items() if "CartesianProduct" in p] == []
 
