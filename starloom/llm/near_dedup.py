@@ -21,7 +21,8 @@ Other large nodes hold documents that share a common passage and little else:
 their members branch on, in ``deep_trees`` trees straight to ``deep`` levels,
 where a pair of similarity 0.75 meets at least once with probability
 1 - (1 - 0.75**10)**128 = 0.9994 and one of 0.4 with probability 0.013; the nodes
-there are compared in the same two steps.  A link that is not tested joins
+there are compared in the same two steps, where a pair that shares nodes of several
+trees is taken in one of them.  A link that is not tested joins
 documents that are connected already, so the components are those of all links.
 
 Defined results
@@ -210,6 +211,20 @@ def similar_size(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def crossed(placed: DataFrame, percent: int, words: int = 0) -> DataFrame:
+    """(a, b): members outside the component of their node's smallest, with all members of other components.
+    With ``words`` the sketches of both must agree, and a pair comes only from the first of the nodes it
+    shares (``shared`` lists a member's nodes), so as many rows are made as there are pairs."""
+    extra = ("sketch", "shared") if words else ()
+    outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"),
+                                                       *[F.col(c).alias("_" + c) for c in extra])
+    allowed = (F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")) & similar_size("size", "_z", percent)
+    allowed = allowed & ((F.col("comp") == F.col("hub_comp")) | (F.col("rep") < F.col("_r")))  # two outside members meet once
+    if words:
+        allowed = allowed & sketches_agree("sketch", "_sketch", words, percent) & (F.array_min(F.array_intersect("shared", "_shared")) == F.col("node"))
+    return placed.join(outside, "node").filter(allowed).select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * |A and B| >= percent * |A or B|."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("_sa")), "a")
@@ -253,21 +268,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
                                             F.count("*").alias("members")).filter("_lo < _hi"))
         return placed.join(nodes, "node").select("node", "rep", "size", "comp", F.col("_hub.rep").alias("hub"), F.col("_hub.comp").alias("hub_comp"), "members")
 
-    def crossed(placed: DataFrame, agree=None) -> DataFrame:
-        """Members outside the component of their node's smallest, with all members of other components."""
-        outside = placed.filter("comp <> hub_comp").select("node", F.col("rep").alias("_r"), F.col("size").alias("_z"), F.col("comp").alias("_c"),
-                                                           *([F.col("sketch").alias("_sketch")] if agree is not None else []))
-        allowed = (F.col("comp") != F.col("_c")) & (F.col("rep") != F.col("hub")) & similar_size("size", "_z", percent)
-        allowed = allowed & ((F.col("comp") == F.col("hub_comp")) | (F.col("rep") < F.col("_r")))  # two outside members meet once
-        here = placed.join(outside, "node").filter(allowed if agree is None else allowed & agree)
-        return here.select(F.greatest("rep", "_r").alias("a"), F.least("rep", "_r").alias("b")).distinct()
-
     members = stored(leaf_members(classes, trees, depth, leaf), "leaves")
     stars = stored(stars_of(members), "stars")
     component = connected_components(stored(confirm(stars), "links"))
 
     mixed = stored(mixed_of(members, component), "mixed")
-    rest = crossed(mixed.filter(F.col("members") <= leaf))
+    rest = crossed(mixed.filter(F.col("members") <= leaf), percent)
     far = stored(mixed.filter(F.col("members") > leaf).select(F.col("rep").alias("_w")).distinct(), "far")
     deep_members = None
     if not far.isEmpty():
@@ -282,9 +288,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, trees: int =
     if not rest.isEmpty():
         component = grown(component, rest)
     if deep_members is not None:
-        placed = stored(mixed_of(deep_members, component), "deep_mixed").join(found.select("rep", "sketch"), "rep")
-        agree = sketches_agree("sketch", "_sketch", deep_trees * deep // 32, percent)
-        last = stored(crossed(placed, agree).join(rest, ["a", "b"], "left_anti"), "last")
+        placed = stored(mixed_of(deep_members, component), "deep_mixed")
+        lists = placed.groupBy("rep").agg(F.collect_list("node").alias("shared"))  # one node of each deep tree at most
+        placed = placed.join(stored(lists.join(found.select("rep", "sketch"), "rep"), "deep_lists"), "rep")
+        last = stored(crossed(placed, percent, deep_trees * deep // 32).join(rest, ["a", "b"], "left_anti"), "last")
         if not last.isEmpty():
             component = grown(component, last)
 

@@ -1,10 +1,11 @@
-"""Fitting on all training texts."""
+"""Fitting on all training texts; candidate pairs that come once."""
 
 import random
 
 import pytest
 
 from starloom.llm import lm_score
+from starloom.llm.near_dedup import crossed
 from test_llm_operators import remainder
 
 
@@ -37,3 +38,15 @@ def test_lm_scores_do_not_depend_on_who_holds_a_text(spark):
         got = {r.doc_id: r.score for r in lm_score.score_texts(d).collect()}
         scores.append([got[i] for i in held])
     assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+
+
+def test_pairs_of_several_nodes_are_crossed_once(spark):
+    same, far = [0] * 40, [-1] * 40
+    members = [(1, 100, 1), (2, 100, 2), (3, 100, 3), (4, 100, 4)]  # rep, size, component; 1 is every node's smallest
+    rows = [(node, rep, size, comp, 1, 1, far if rep == 4 else same, [7, 8, 9]) for node in (9, 7, 8) for rep, size, comp in members]
+    placed = spark.createDataFrame(rows, "node long, rep long, size long, comp long, hub long, hub_comp long, sketch array<long>, shared array<long>")
+    plan = crossed(placed, 75, 40)
+    assert [tuple(r) for r in plan.collect()] == [(3, 2)]
+    joined = placed.sparkSession.createDataFrame(rows[4:], placed.schema)  # one node fewer than listed: the first shared one is gone
+    assert crossed(joined.filter("node <> 7"), 75, 40).count() == 0
+    assert sorted(tuple(r) for r in crossed(placed, 75).collect()) == [(3, 2), (4, 2), (4, 3)]
