@@ -5,19 +5,23 @@ ranks.  Neighbouring ids are counted in tasks: the square of head ids is split i
 tiles of ``TILE`` x ``TILE`` cells; a tile that many pairs of a run fall into is counted
 densely (numpy bincount, the cell is the address), the pairs of sparse tiles and
 of ids beyond the head are sorted and counted as coordinates.  Only distinct
-pairs of a run leave a task, and are added up by Spark.
+pairs of a run leave a task: those of head ids as numbers in a scrambled order, dealt to
+groups by range, each as its distance from the one before and packed, so a pair takes two
+or three bytes of the shuffle.  Each group's counts are added up in one task,
+and only frequent pairs are written.
 
 Frequent pairs are ranked anew and are the ids of the next level: a phrase of k words is
 the pair of its first k - 1 words (one id) and its last, so each level counts pairs again,
-up to ``longest`` words.  A phrase can only be frequent if all words and its first k - 1
-words are, so everything else is left out of the sequences.
+up to ``longest`` words.  A phrase can only be frequent if all words, its first k - 1 and
+its last k - 1 words are, so everything else is left out.
 
-Ids.  The ``head`` most frequent words (phrases of a level) get their ranks; that
-table is broadcast, its size is bounded by ``head``.  All others get a 62-bit hash of
+Ids.  The ``head`` most frequent words (``WIDER`` times as many phrases of a level) get their
+ranks; that table is broadcast, its size is bounded by ``head``.  Other words get a 62-bit hash of
 what they are made of, behind a bitmap of bounded size with the frequent ones; a wrong
-hit in the bitmap is counted like any other and fails the minimum count.  That two
+hit in the bitmap is counted like any other and fails the minimum count.  Other pairs of ranks
+are numbered by their cell, all others hashed likewise.  That two
 different phrases share such a hash is looked for in the full counts of each level; if one
-is frequent, the level is hashed anew with another seed, so counts are exact.
+is frequent, the level is counted anew with another seed, so counts are exact.
 
 Defined results
 * null text counts as empty; null language as ``und``, together with documents that name it.
@@ -53,7 +57,10 @@ SEQUENCE_RUN = 1 << 21  # bytes of sequences that are worked off at once
 LONG_WORD = 200  # bytes; longer words get a hash whatever their rank
 SHARES = 64  # of a language's phrases, ranked apart before all
 BITS = 27
+WIDER = 4
+GROUP = 1 << 21  # word occurrences for each group of pairs, at most
 HASHED = np.int64(1 << 62)
+FAR = np.int64(1 << 61)  # marks hashes of pairs that have no cell
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -110,6 +117,36 @@ def pair_hash(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
     return (mix(h) >> np.uint64(2)).astype(np.int64) | HASHED
 
 
+class Cells:
+    """The square of ranks as numbers of ``bits`` bits in a scrambled order, there and back."""
+
+    def __init__(self, head: int):
+        self.head, self.wide = head, head * WIDER
+        self.bits = max(2, (self.wide * head - 1).bit_length())
+        self.mask, self.half = np.uint64((1 << self.bits) - 1), np.uint64((self.bits + 1) // 2)
+        self.back = np.uint64(pow(int(_A), -1, 1 << self.bits))
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a < self.wide) & (b < self.head)
+
+    def number(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = ((a * self.head + b).astype(np.uint64) * _A) & self.mask
+        return (((x ^ (x >> self.half)) * _A) & self.mask).astype(np.int64)
+
+    def pair(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = (number.astype(np.uint64) * self.back) & self.mask
+        x = (((x ^ (x >> self.half)) * self.back) & self.mask).astype(np.int64)
+        return x // self.head, x % self.head
+
+    def ids(self, a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
+        """Ids of pairs without a rank: the marked number of a cell, else a hash."""
+        near = self.near(a, b)
+        out = np.empty(len(a), np.int64)
+        out[near] = self.number(a[near], b[near]) | HASHED
+        out[~near] = pair_hash(a[~near], b[~near], seed) | FAR
+        return out
+
+
 class Words(dict):
     """Word -> id for one language: rank, hash, or -1 for breaks and words that are not frequent."""
 
@@ -132,32 +169,31 @@ class Words(dict):
 
 class Level:
     """Pair -> id of the phrases of one length: the head's pairs of ranks in sorted order with their
-    ranks, and a bitmap of the hashes of other frequent pairs (None if there are none)."""
+    ranks, and a bitmap of the ids of other frequent pairs (None if there are none)."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, head: int, bitmap, seed: int):
-        key = a * head + b
+    def __init__(self, a: np.ndarray, b: np.ndarray, cells: Cells, bitmap, seed: int):
+        key = a * cells.head + b
         order = np.argsort(key)
-        self.key, self.rank, self.head, self.bitmap, self.seed = key[order], order, head, bitmap, seed
+        self.key, self.rank, self.cells, self.bitmap, self.seed = key[order], order.astype(np.int32), cells, bitmap, seed
 
-    def ids(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def ids(self, a: np.ndarray, b: np.ndarray, valid: np.ndarray) -> np.ndarray:
         out = np.full(len(a), -1, np.int64)
-        valid = (a >= 0) & (b >= 0)
-        near = valid & (a < self.head) & (b < self.head)
-        key = a[near] * self.head + b[near]
+        near = np.flatnonzero(valid & self.cells.near(a, b))
+        key = a[near] * self.cells.head + b[near]
         if len(self.key):
             at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
             out[near] = np.where(self.key[at] == key, self.rank[at], -1)
         if self.bitmap is not None:
             rest = np.flatnonzero(valid & (out < 0))
-            h = pair_hash(a[rest], b[rest], self.seed)
+            h = self.cells.ids(a[rest], b[rest], self.seed)
             place = h & (1 << BITS) - 1
             out[rest] = np.where((self.bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1, h, -1)
         return out
 
 
-def tile_counts(a: np.ndarray, b: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tile_counts(a: np.ndarray, b: np.ndarray, head: int, wide: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs and their counts: dense tiles by address, the rest as sorted coordinates."""
-    near = (a < head) & (b < head)
+    near = (a < (head if wide is None else wide)) & (b < head)
     across = -(-head // TILE)
     out = []
     x, y = a[near], b[near]
@@ -173,7 +209,9 @@ def tile_counts(a: np.ndarray, b: np.ndarray, head: int) -> tuple[np.ndarray, np
         cells = np.bincount((x[s:e] % TILE) * TILE + y[s:e] % TILE, minlength=TILE * TILE)
         at = np.flatnonzero(cells)
         out.append((x[s] // TILE * TILE + at // TILE, y[s] // TILE * TILE + at % TILE, cells[at]))
-    x, y = np.concatenate((x[sparse], a[~near])), np.concatenate((y[sparse], b[~near]))
+    cell, n = np.unique(x[sparse] * head + y[sparse], return_counts=True)
+    out.append((cell // head, cell % head, n))
+    x, y = a[~near], b[~near]
     order = np.lexsort((y, x))
     x, y = x[order], y[order]
     if len(x):
@@ -215,28 +253,73 @@ def _joined(column: pa.Array):
             held, size = [], 0
 
 
-def _count_pairs(levels, head: int):
-    """Sequences to counted pairs (phrase of the last level, next word)."""
+def _planes(x: np.ndarray) -> tuple[int, bytes]:
+    """Non-negative numbers as (bytes each, all first bytes, all second bytes, ...)."""
+    width = max(1, -(-int(x.max()).bit_length() // 8))
+    return width, x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _unplanes(data: bytes, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(width, n).T
+    return out.view("<i8").ravel()
+
+
+def packed(columns: list[np.ndarray]) -> tuple[list[int], bytes]:
+    """Columns of equal length: each one's bytes a value, and all as compressed bytes."""
+    widths, planes = zip(*map(_planes, columns))
+    return list(widths), pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, widths: list[int]) -> list[np.ndarray]:
+    raw = pa.decompress(data, n * sum(widths), codec="zstd", asbytes=True)
+    ends = np.cumsum(widths) * n
+    return [_unplanes(raw[e - w * n:e], n, w) for e, w in zip(ends.tolist(), widths)]
+
+
+PACKED = "part int, far boolean, n int, widths array<int>, data binary"
+
+
+def _count_pairs(levels, cells: Cells, groups: int, seed: int):
+    """Sequences to counted pairs (phrase of the last level, next word), packed for each of 2**groups groups."""
 
     def run(batches):
         tables = [level.value for level in levels]
         held, size = [], 0
 
         def flush():
-            a, b, c = tile_counts(*(np.concatenate(x) for x in zip(*held)), head)
-            for s in range(0, len(a), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[s:s + 200_000].astype(np.int64)) for x in (a, b, c)], names=["a", "b", "c"])
+            a, b, c = tile_counts(*(np.concatenate(x) for x in zip(*held)), cells.head, cells.wide)
+            near = cells.near(a, b)
+            number, count = cells.number(a[near], b[near]), c[near]
+            order = np.argsort(number)
+            number, count = number[order], count[order]
+            far = [x[~near] for x in (a, b, c)]
+            far_part = (pair_hash(far[0], far[1], seed) >> (61 - groups)) & (1 << groups) - 1  # the hash without its mark FAR
+            order = np.argsort(far_part, kind="stable")
+            far, far_part = [x[order] for x in far], far_part[order]
+            rows = []
+            for is_far, part, columns in ((False, number >> max(0, cells.bits - groups), [number, count]), (True, far_part, far)):
+                edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)).tolist()
+                for s, e in zip(edges[:-1], edges[1:]):
+                    own = [x[s:e] for x in columns]
+                    own[0] = np.diff(own[0], prepend=0)  # both are sorted by their first column
+                    rows.append((int(part[s]), is_far, e - s, *packed(own)))
+            for s in range(0, len(rows), 256):
+                kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int32()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[s:s + 256]), kinds)], names=["part", "far", "n", "widths", "data"])
 
         for batch in batches:
             for w in _joined(batch.column(0)):
-                p, n = w, 1
+                p, ok, n = w, w >= 0, 1
+                words = ok
+                # ok: here starts a frequent phrase of n words, and one starts at the next word
                 for table in tables:
-                    p = table.ids(p[: max(0, len(w) - n)], w[n:])
-                    n += 1
-                p, q = p[: max(0, len(w) - n)], w[n:]
-                both = (p >= 0) & (q >= 0)
-                if both.any():
-                    held.append((p[both], q[both]))
+                    ok = ok[:-1] & ok[1:] & words[n:]
+                    p = table.ids(p[: len(ok)], w[n:], ok)
+                    ok, n = p >= 0, n + 1
+                ok = ok[:-1] & ok[1:] & words[n:]
+                if ok.any():
+                    held.append((p[: len(ok)][ok], w[n:][ok]))
                     size += len(held[-1][0])
                 if size >= RUN:
                     yield from flush()
@@ -247,6 +330,40 @@ def _count_pairs(levels, head: int):
     return run
 
 
+def _add_pairs(cells: Cells, least: int, seed: int):
+    """A group's packed pairs to its frequent ones (a, b, c, h); ``clash`` with a hash that others share."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cell, far = [], []
+        for is_far, n, widths, data in zip(*(table.column(k).to_pylist() for k in ("far", "n", "widths", "data"))):
+            columns = unpacked(data, n, widths)
+            columns[0] = np.cumsum(columns[0])
+            (far if is_far else cell).append(columns)
+        out = []
+        if cell:
+            number, c = (np.concatenate(x) for x in zip(*cell))
+            order = np.argsort(number, kind="stable")
+            number, c = number[order], c[order]
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            c = np.add.reduceat(c, first)
+            often = c >= least
+            number = number[first][often]
+            out.append((*cells.pair(number), c[often], number | HASHED, np.zeros(len(number), bool)))
+        if far:
+            a, b, c = (np.concatenate(x) for x in zip(*far))
+            h = pair_hash(a, b, seed) | FAR
+            order = np.lexsort((b, a, h))
+            a, b, c, h = a[order], b[order], c[order], h[order]
+            first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+            a, b, c, h = a[first], b[first], np.add.reduceat(c, first), h[first]
+            same = np.concatenate(([False], h[1:] == h[:-1], [False]))
+            often = c >= least
+            out.append((a[often], b[often], c[often], h[often], (same[1:] | same[:-1])[often]))
+        return pa.table({k: np.concatenate(x) for k, x in zip(("a", "b", "c", "h", "clash"), zip(*out))})
+
+    return run
+
+
 def _bitmap(hashes: DataFrame) -> np.ndarray | None:
     """2**27 bits (16 MB whatever the number) with the places of the hashes; None without any."""
     place = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1)) + 1
@@ -276,15 +393,6 @@ def _hash_words(seed: int):
     return run
 
 
-def _hash_pairs(seed: int):
-    def run(batches):
-        for batch in batches:
-            h = pair_hash(batch.column(0).to_numpy(), batch.column(1).to_numpy(), seed)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h)], names=["a", "b", "c", "h"])
-
-    return run
-
-
 def _ranked_words(counts: DataFrame, least: int, head: int):
     """Frequent words with ids (a DataFrame), and the broadcast form (ranks by language, bitmap, seed)."""
     frequent = counts.filter(F.col("c") >= least)
@@ -312,28 +420,29 @@ def _ranked_words(counts: DataFrame, least: int, head: int):
     return placed.select("id", "lang", "word", "c"), (ranks, bitmap, seed)
 
 
-def _ranked_pairs(counts: DataFrame, least: int, head: int):
+def _frequent_pairs(sequences: DataFrame, levels, cells: Cells, least: int, groups: int, name: str) -> tuple[DataFrame, int]:
+    """Frequent pairs (a, b, c, h) of the next level, and the seed of their hashes."""
+    for seed in range(8):
+        pairs = stored(sequences.mapInArrow(_count_pairs(list(levels), cells, groups, seed), PACKED)
+                       .groupBy("part").applyInArrow(_add_pairs(cells, least, seed), "a long, b long, c long, h long, clash boolean"), name)
+        if pairs.filter("clash").isEmpty():
+            return pairs.drop("clash"), seed
+    raise RuntimeError("phrases kept sharing hashes")
+
+
+def _ranked_pairs(frequent: DataFrame, cells: Cells, seed: int):
     """Frequent pairs with ids (a DataFrame), and their table for tasks; (None, None) without any."""
-    frequent = counts.filter(F.col("c") >= least)
-    top = frequent.filter((F.col("a") < head) & (F.col("b") < head)).orderBy(F.desc("c"), "a", "b").limit(head).select("a", "b").toArrow()
+    top = (frequent.filter((F.col("a") < cells.wide) & (F.col("b") < cells.head)).orderBy(F.desc("c"), "a", "b").limit(cells.wide)
+           .select("a", "b").toArrow())
     a, b = (top.column(i).to_numpy().astype(np.int64) for i in (0, 1))
-    spark = counts.sparkSession
+    spark = frequent.sparkSession
     listed = spark.createDataFrame(pa.table({"a": a, "b": b, "id": np.arange(len(a), dtype=np.int64)}))
     placed = frequent.join(listed, ["a", "b"], "left")
-    bitmap, seed = None, 0
-    if not placed.filter("id IS NULL").isEmpty():
-        for seed in range(8):
-            hashed = counts.mapInArrow(_hash_pairs(seed), "a long, b long, c long, h long").join(listed, ["a", "b"], "left_anti")
-            if not _clash(hashed, least):
-                break
-        else:
-            raise RuntimeError("phrases kept sharing hashes")
-        rest = hashed.filter(F.col("c") >= least)
-        bitmap = _bitmap(rest)
-        placed = placed.filter("id IS NOT NULL").unionByName(rest.withColumnRenamed("h", "id"))
-    elif not len(a):
+    rest = placed.filter("id IS NULL")
+    bitmap = _bitmap(rest)
+    if bitmap is None and not len(a):
         return None, None
-    return placed.select("id", "a", "b", "c"), Level(a, b, head, bitmap, seed)
+    return placed.select(F.coalesce("id", "h").alias("id"), "a", "b", "c"), Level(a, b, cells, bitmap, seed)
 
 
 def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5, head: int = 1 << 16,
@@ -346,13 +455,15 @@ def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5, head: int
     totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
     placed, table = _ranked_words(counts, least, head)
     words = stored(placed, "ranked-words")
+    occurrences = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    cells = Cells(head)
+    groups = min(14, cells.bits, max(3, (int(occurrences) // GROUP).bit_length()))
     sequences = stored(texts.mapInArrow(_sequences(spark.sparkContext.broadcast(table)), "ids binary"), "sequences")
     before = stored(words.select("id", "lang", F.array("word").alias("words"), "c"), "phrases1")
     out, levels = [before], []
     for k in range(2, longest + 1):
-        pairs = stored(sequences.mapInArrow(_count_pairs(list(levels), head), "a long, b long, c long")
-                       .groupBy("a", "b").agg(F.sum("c").alias("c")), f"pairs{k}")
-        placed, level = _ranked_pairs(pairs, least, head)
+        frequent, seed = _frequent_pairs(sequences, levels, cells, least, groups, f"pairs{k}")
+        placed, level = _ranked_pairs(frequent, cells, seed)
         if placed is None:
             break
         first = before.select(F.col("id").alias("a"), "lang", "words")

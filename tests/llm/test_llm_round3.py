@@ -210,3 +210,52 @@ def test_whitening_odd(spark):
     x = np.array([[10 ** 6, 10 ** 6], [10 ** 6 + 9, 10 ** 6]])
     want = [sum((wide.n * int(v) - s) ** 2 for v, s in zip(r, (3 * 10 ** 15 + 5, 3 * 10 ** 15))) for r in x]
     assert wide.deviations(x.tobytes()) == [w if w < 2 ** 63 else None for w in want]
+
+
+def test_cells_and_packing():
+    rng = np.random.default_rng(2)
+    for head in (1, 5, 40, 1 << 16):
+        cells = collocation.Cells(head)
+        a, b = rng.integers(0, cells.wide, 5000), rng.integers(0, head, 5000)
+        number = cells.number(a, b)
+        assert number.min() >= 0 and number.max() < 1 << cells.bits
+        x, y = cells.pair(number)
+        assert (x == a).all() and (y == b).all()
+    columns = [rng.integers(0, 1 << bits, 700) for bits in (1, 9, 40, 62)]
+    widths, data = collocation.packed(columns)
+    assert widths == [1, 2, 5, 8]
+    assert all((x == y).all() for x, y in zip(columns, collocation.unpacked(data, 700, widths)))
+
+
+@pytest.mark.parametrize("head", [5, 1 << 16])
+def test_pairs_travel_packed_and_infrequent_ones_are_not_written(spark, monkeypatch, head):
+    """All distinct pairs of a run as blobs of a few bytes a pair; only frequent ones are stored, and a phrase
+    whose last words are not frequent is not counted at all."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 300, 400)) + " k l m" * (i % 2) + " l m n" * (i % 3 == 0) for i in range(60)]
+    written = {}
+
+    def stored(df, name="step"):
+        written[name] = df.collect()
+        return spark.createDataFrame(written[name], df.schema)
+
+    monkeypatch.setattr(collocation, "stored", stored)
+    d = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").coalesce(2)
+    assert {tuple(r) for r in collocation.mine(d, least=20, head=head).collect()} == brute_phrases([("en", t) for t in texts], 20)
+    assert all(r.c >= 20 for name, rows_ in written.items() if name.startswith("pairs") for r in rows_)
+    if head > 300:
+        cells = collocation.Cells(head)
+        a, b = rng.integers(0, 300, (2, 50_000))
+        pair = np.unique(cells.number(a, b))
+        assert len(collocation.packed([np.diff(pair, prepend=0), np.ones(len(pair), np.int64)])[1]) < 5 * len(pair)
+
+
+def test_shared_hash_of_pairs_is_seen(monkeypatch):
+    cells = collocation.Cells(2)
+    monkeypatch.setattr(collocation, "pair_hash", lambda a, b, seed: np.zeros(len(a), np.int64) | collocation.HASHED)
+    far = [(3000, 1, 70), (3000, 2, 5)]
+    widths, data = collocation.packed([np.diff([x[0] for x in far], prepend=0), *(np.array([x[i] for x in far]) for i in (1, 2))])
+    table = collocation.pa.table({"part": [0], "far": [True], "n": [2], "widths": [widths], "data": [data]})
+    out = collocation._add_pairs(cells, 50, 0)(table).to_pylist()
+    assert [(r["a"], r["b"], r["c"], r["clash"]) for r in out] == [(3000, 1, 70, True)]
+    assert not any(r["clash"] for r in collocation._add_pairs(cells, 500, 0)(table).to_pylist())
