@@ -1,7 +1,10 @@
 """Fitting on all training texts; candidate pairs that come once."""
 
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from starloom.llm import lm_score
@@ -40,6 +43,46 @@ def test_lm_scores_do_not_depend_on_who_holds_a_text(spark):
     assert scores[0] == pytest.approx(scores[1], rel=1e-6)
 
 
+def test_lm_shared_beginnings_are_worked_off_once(monkeypatch):
+    """Sums and scores as from every token alone, over fewer bytes than the tokens have."""
+    rng = random.Random(3)
+    tokens = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(0, 9))).encode() for _ in range(900)} | {b"", "caf\u00e9".encode()})
+    counts = [rng.choice([1, 2, 3, 4, 5, 40]) for _ in tokens]
+    data, starts = lm_score.flat(tokens)
+    first, of = lm_score.beginnings(data, starts)
+    whole = [t[:i] for t in (t + b" " for t in tokens) for i in range(1, len(t) + 1)]
+    assert len(first) == len(set(whole)) < len(data) / 2
+    assert [whole[i] for i in first[of]] == whole
+
+    def summed(runs):
+        n, ones = np.zeros(lm_score.BASES[-1], np.float32), np.zeros(lm_score.BASES[-1], np.float32)
+        for run in runs:
+            for out in lm_score._bit_counts([run]):
+                n[out.column(0).to_numpy()] += out.column(1).to_numpy()
+                ones[out.column(0).to_numpy()] += out.column(2).to_numpy()
+        model = lm_score.Mixer(lm_score.logits(n, ones), lm_score.levels(n))
+        tables = SimpleNamespace(value=(n + 1j * ones).astype(np.complex64))
+        sums = []
+        for refine in (False, True):
+            total = np.zeros(256 * lm_score.LEVELS * 42 + 1)
+            for run in runs:
+                for out in lm_score._fit_sums(tables, SimpleNamespace(value=model.weights), refine)([run]):
+                    total[out.column(0).to_numpy()] += out.column(1).to_numpy()
+            sums.append(total)
+        return n, ones, *sums, np.concatenate([model.score(r.column(0).to_pylist()) for r in runs])
+
+    batch = pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array(counts, pa.int64())], names=["token", "c"])
+    alone = summed([batch.slice(i, 1) for i in range(len(tokens))][::7])
+    some = pa.Table.from_batches([batch.slice(i, 1) for i in range(0, len(tokens), 7)]).combine_chunks().to_batches()[0]
+    for x, y in zip(alone, summed([some])):
+        assert y == pytest.approx(x, rel=1e-9, abs=1e-9)
+    seen = []
+    contexts = lm_score.slots
+    monkeypatch.setattr(lm_score, "slots", lambda c, node, k: seen.append(len(c)) or contexts(c, node, k))
+    lm_score.Mixer(*np.zeros((2, lm_score.BASES[-1]))).score(tokens)
+    assert max(seen) == len(first)
+
+
 def test_pairs_of_several_nodes_are_crossed_once(spark):
     same, far = [0] * 40, [-1] * 40
     members = [(1, 100, 1), (2, 100, 2), (3, 100, 3), (4, 100, 4)]  # rep, size, component; 1 is every node's smallest
