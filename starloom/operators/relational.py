@@ -241,6 +241,19 @@ def _release(frames: list[DataFrame]) -> None:
         f.unpersist()
 
 
+def pinned(df: DataFrame, *cols: str) -> DataFrame:
+    """The same rows with ``cols`` computed once each, before any condition on them.
+
+    Spark moves a condition below the projection that makes its columns and writes their
+    whole formula out at each mention; the nested money formulas of the mart then grow to
+    a filter that the JVM never compiles.  Conditions are not moved below a generator whose
+    values they test, so behind one struct a row they read the finished values; those on
+    the other columns still move.
+    """
+    rest = [F.col(n) for n in df.columns if n not in cols]
+    return df.select(*rest, F.inline(F.array(F.struct(*[F.col(n) for n in cols]))))
+
+
 def value_bucket(col: str, kind: T.DataType) -> Column:
     """A bucket number that never falls as the value grows, so ranks can be counted bucket by bucket.
 

@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
-from ..operators.relational import global_rank, shared, top_ranks
+from ..operators.relational import global_rank, pinned, shared, top_ranks
 from .q00s import WEEKDAYS, WEEKDAY_NAMES
 from .registry import model
 
@@ -188,9 +188,11 @@ def q47(t, year=2000, limit=100):
 @model
 def q48(t, year=1998):
     """Quantity under OR-ed demographic, price, address and profit bands."""
-    ss = (t.store_sales
-          .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
-          .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+    sold = pinned(t.store_sales
+                  .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
+                  .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk")),
+                  "ss_sales_price", "ss_net_profit")
+    ss = (sold
           .join(t.customer_demographics, c("ss_cdemo_sk") == c("cd_demo_sk"))
           .join(t.customer_address.where(c("ca_country") == "United States"), c("ss_addr_sk") == c("ca_address_sk")))
     price, profit = c("ss_sales_price"), c("ss_net_profit")
@@ -207,8 +209,10 @@ def q48(t, year=1998):
 def _return_ranks(t, sales, p, returns, rp, ticket, r_ticket, ret_amt, sold_date, year, moy, channel):
     days = t.date_dim.where((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
     # the outer join is undone by the filter on the returned amount: inner join
-    j = (sales.where((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
-         .join(days, c(sold_date) == c("d_date_sk"))
+    sold = pinned(sales.join(days, c(sold_date) == c("d_date_sk"))
+                  .select(ticket, f"{p}_item_sk", f"{p}_net_profit", f"{p}_net_paid", f"{p}_quantity"),
+                  f"{p}_net_profit", f"{p}_net_paid", f"{p}_quantity")
+    j = (sold.where((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
          .join(returns.where(c(ret_amt) > 10000),
                (c(ticket) == c(r_ticket)) & (c(f"{p}_item_sk") == c(f"{rp}_item_sk"))))
     g = j.groupBy(c(f"{p}_item_sk").alias("item")).agg(

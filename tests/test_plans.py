@@ -168,6 +168,28 @@ def test_day_partitions_are_pruned_by_date_filters(spark, monkeypatch):
 
 
 
+@pytest.mark.parametrize("name", ["q48", "q49"])
+def test_conditions_on_money_read_finished_columns(plans, name):
+    """No condition carries the money formulas once per mention; q49's returns have one, with its four unit costs."""
+    filters = [line for line in plans[name].splitlines() if " Filter " in line or "- *Filter" in line]
+    assert filters and max(line.count("9901") for line in filters) <= 4
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 5, "a"), (1, 5, "a"), (2, -5, None), (3, None, "b"), (None, 7, ""), (4, 3, "c")]])
+def test_pinned_keeps_rows(spark, rows):
+    """Also those that come twice or hold nulls; columns keep names and types."""
+    from pyspark.sql import functions as F
+
+    from starloom.operators.relational import pinned
+
+    df = spark.createDataFrame(rows, "k long, v int, s string").withColumn("m", F.expr("CAST(v * 0.5 AS DECIMAL(7,2))"))
+    out = pinned(df, "m", "v")
+    assert sorted(out.dtypes) == sorted(df.dtypes)
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(out.select(df.columns).collect(), key=key) == sorted(df.collect(), key=key)
+    assert out.where("m > 1 AND v < 6").count() == df.where("m > 1 AND v < 6").count()
+
+
 def test_limit_is_a_parameter(spark):
     import inspect
     import re
