@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, r6, top
-from ..operators.relational import cascaded_rollup
+from ..operators.relational import cascaded_rollup, pinned
 from .q00s import customer_years
 from .registry import model
 
@@ -87,9 +87,11 @@ def q12(t, categories=("Jewelry", "Sports", "Books"), start="2001-01-12", days=3
 @model
 def q13(t, year=2001):
     """Store sale averages under OR-ed demographic, price, address and profit bands."""
-    ss = (t.store_sales
-          .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
-          .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+    sold = pinned(t.store_sales
+                  .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
+                  .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk")),
+                  "ss_sales_price", "ss_net_profit")
+    ss = (sold
           .join(t.household_demographics, c("ss_hdemo_sk") == c("hd_demo_sk"))
           .join(t.customer_demographics, c("ss_cdemo_sk") == c("cd_demo_sk"))
           .join(t.customer_address.where(c("ca_country") == "United States"),

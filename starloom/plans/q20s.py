@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, dsum, lsum, top
-from ..operators.relational import cascaded_rollup, shared
+from ..operators.relational import cascaded_rollup, pinned, shared
 from .q10s import class_share, sale_return_rebuy
 from .registry import model
 
@@ -191,7 +191,9 @@ def q28(t, bands=Q28_BANDS):
             c("ss_list_price").between(lp, lp + 10) | c("ss_coupon_amt").between(cp, cp + 1000)
             | c("ss_wholesale_cost").between(wc, wc + 20))
         band = F.when(cond, i + 1) if band is None else band.when(cond, i + 1)
-    per_price = (t.store_sales.where(c("ss_list_price").isNotNull())
+    sold = pinned(t.store_sales.select("ss_quantity", "ss_list_price", "ss_coupon_amt", "ss_wholesale_cost"),
+                  "ss_list_price", "ss_coupon_amt", "ss_wholesale_cost")
+    per_price = (sold.where(c("ss_list_price").isNotNull())
                  .select(band.alias("band"), "ss_list_price").where(c("band").isNotNull())
                  .groupBy("band", "ss_list_price").agg(F.count(F.lit(1)).alias("n")))
     per_band = per_price.groupBy("band").agg(

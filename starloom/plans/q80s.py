@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import c, davg, dbl, lsum, top
+from ..operators.relational import pinned
 from .q30s import items_in_stock_and_sold
 from .q60s import ranked_two_level
 from .registry import model
@@ -84,9 +85,12 @@ def q85(t, year=1998, limit=100):
                                          c("cd_education_status").alias("e1"))
     cd2 = t.customer_demographics.select(c("cd_demo_sk").alias("cd2_sk"), c("cd_marital_status").alias("m2"),
                                          c("cd_education_status").alias("e2"))
-    j = (t.web_sales
-         .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ws_sold_date_sk") == c("d_date_sk"))
-         .join(t.web_page.select("wp_web_page_sk"), c("ws_web_page_sk") == c("wp_web_page_sk"))
+    sold = pinned(t.web_sales
+                  .join(t.date_dim.where(c("d_year") == year).select("d_date_sk"), c("ws_sold_date_sk") == c("d_date_sk"))
+                  .join(t.web_page.select("wp_web_page_sk"), c("ws_web_page_sk") == c("wp_web_page_sk"))
+                  .select("ws_item_sk", "ws_order_number", "ws_quantity", "ws_sales_price", "ws_net_profit"),
+                  "ws_sales_price", "ws_net_profit")
+    j = (sold
          .join(t.web_returns, (c("ws_item_sk") == c("wr_item_sk")) & (c("ws_order_number") == c("wr_order_number")))
          .join(cd1, c("wr_refunded_cdemo_sk") == c("cd1_sk"))
          .join(cd2, c("wr_returning_cdemo_sk") == c("cd2_sk"))

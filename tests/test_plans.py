@@ -168,7 +168,7 @@ def test_day_partitions_are_pruned_by_date_filters(spark, monkeypatch):
 
 
 
-@pytest.mark.parametrize("name", ["q48", "q49"])
+@pytest.mark.parametrize("name", ["q13", "q28", "q48", "q49", "q85"])
 def test_conditions_on_money_read_finished_columns(plans, name):
     """No condition carries the money formulas once per mention; q49's returns have one, with its four unit costs."""
     filters = [line for line in plans[name].splitlines() if " Filter " in line or "- *Filter" in line]
