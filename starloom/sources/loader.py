@@ -161,12 +161,13 @@ def load_parquet(spark: SparkSession, directory: str, tables=catalog.TABLE_NAMES
 
 def to_lines(df: DataFrame, table: str) -> DataFrame:
     """``df`` and ``value``, its rows in the raw layout of ``table``: every spec column in order,
-    ``|``-separated with a trailing ``|``, NULL and absent columns empty."""
-    fields = []
-    for name, _ in catalog.columns(table):
-        v = F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
-        fields += [F.coalesce(v, F.lit("")), F.lit("|")]
-    return df.withColumn("value", F.concat(*fields))
+    ``|``-separated with a trailing ``|``, NULL and absent columns empty.
+
+    The fields go through an array and a function of its elements: a plain concatenation of them all is
+    generated, with the formulas of a derived table in it, as one method too long for the JVM to compile."""
+    fields = [F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string") for name, _ in catalog.columns(table)]
+    texts = F.transform(F.array(*fields), lambda v: F.coalesce(v, F.lit("")))
+    return df.withColumn("value", F.concat_ws("|", texts, F.lit("")))
 
 
 def write_dat(df: DataFrame, table: str, path: str, compressed: bool = False) -> str:

@@ -24,6 +24,22 @@ def test_catalog_shapes():
     assert any("CREATE TABLE IF NOT EXISTS tpc.store_sales" in s for s in catalog.create_tables_sql("tpc"))
 
 
+def test_lines_of_a_derived_table_are_not_one_generated_method(spark):
+    """The text of all columns is made outside whole-stage code, where the generated code is split."""
+    lines = loader.to_lines(Mart(spark, SF_SMALL).store_sales, "store_sales").select("value")
+    assert len(lines.collect()) > 0
+    final = lines._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    made = [n for n in final if "Project [concat" in n]
+    assert made and not [n for n in made if "*(" in n.split("Project")[0]]
+
+
+def test_lines_hold_nulls_empty_texts_and_absent_columns(spark):
+    rows = [(1, "a b", "x"), (2, None, ""), (None, "", None), (1, "a b", "x")]
+    df = spark.createDataFrame(rows, "r_reason_sk long, r_reason_id string, r_reason_desc string")
+    assert [r.value for r in loader.to_lines(df, "reason").collect()] == ["1|a b|x|", "2|||", "|||", "1|a b|x|"]
+    assert {r.value for r in loader.to_lines(df.drop("r_reason_id"), "reason").collect()} == {"1||x|", "2|||", "|||"}
+
+
 def test_raw_file_format(spark):
     d = _scratch()
     m = Mart(spark, SF_SMALL)
